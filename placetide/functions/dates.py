@@ -184,12 +184,17 @@ PERIODS = ("second", "minute", "hour", "day", "week", "month", "quarter", "year"
 
 
 def periods_since(ts, as_of, period: str = "day") -> Column:
-    """Whole periods between ``ts`` and ``as_of``."""
+    """Whole periods between ``ts`` and ``as_of``: the most that can be added to ``ts``
+    without passing ``as_of``. A month added to January 30 ends on the last of February."""
     if period not in PERIODS:
         raise ValueError(f"unknown period {period!r}")
-    return F.timestamp_diff(
-        period.upper(), _col(ts).cast("timestamp_ntz"), _col(as_of).cast("timestamp_ntz")
-    )
+    unit, start, end = period.upper(), _col(ts).cast("timestamp_ntz"), _col(as_of).cast("timestamp_ntz")
+    whole = F.timestamp_diff(unit, start, end)
+    if period not in ("month", "quarter", "year"):
+        return whole
+    # The built-in count wants the day of month to be reached, even where the month is shorter.
+    one_more = (end >= start) & (F.timestamp_add(unit, (whole + 1).cast("int"), start) <= end)
+    return whole + F.when(one_more, 1).otherwise(0)
 
 
 def round_timestamp(ts) -> Column:
@@ -198,23 +203,28 @@ def round_timestamp(ts) -> Column:
     return shifted.cast("date").cast("timestamp_ntz")
 
 
+# Epoch units and how many make a second.
+EPOCH_UNITS = {"seconds": 1, "milliseconds": 1_000, "microseconds": 1_000_000}
+
+
 def from_unixtimestamp(epoch, unit: str = "seconds") -> Column:
-    """UTC wall-clock timestamp of an epoch count."""
-    maker = {
-        "seconds": F.timestamp_seconds,
-        "milliseconds": F.timestamp_millis,
-        "microseconds": F.timestamp_micros,
-    }
-    if unit not in maker:
+    """UTC wall-clock timestamp of an epoch count, whatever the session time zone."""
+    if unit not in EPOCH_UNITS:
         raise ValueError(f"unknown unit {unit!r}")
-    instant = maker[unit](_col(epoch))
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+    per_second = EPOCH_UNITS[unit]
+    count = _col(epoch).cast("bigint")
+    seconds = F.floor(count / F.lit(per_second).cast("decimal(10,0)")).cast("bigint")
+    rest = F.pmod(count, F.lit(per_second)) * (1_000_000 // per_second)
+    fraction = F.make_dt_interval(secs=(rest / F.lit(1_000_000).cast("decimal(10,0)")).cast("decimal(18,6)"))
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int")).cast("timestamp_ntz")
+    return day + F.make_dt_interval(secs=F.pmod(seconds, F.lit(86400)).cast("decimal(18,6)")) + fraction
 
 
 def to_unixtimestamp(ts) -> Column:
-    """Seconds since 1970-01-01 of a UTC wall-clock timestamp."""
-    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", start, _col(ts).cast("timestamp_ntz"))
+    """Seconds since 1970-01-01 of a UTC wall-clock timestamp, whatever the session zone."""
+    ts = _col(ts).cast("timestamp_ntz")
+    in_day = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.unix_date(ts.cast("date")).cast("bigint") * 86400 + in_day
 
 
 def make_date(year, month, day) -> Column:

@@ -109,7 +109,10 @@ def display_value(value, style: str) -> Column:
     if style == "currency":
         shown = F.concat(F.lit("$"), F.format_number(F.floor(value + 0.5), 0))
     elif style == "percent":
-        shown = F.concat(F.format_string("%.1f", value.cast("double")), F.lit("%"))
+        # format_string prints NULL as text, so it is kept away from it.
+        shown = F.when(
+            value.isNotNull(), F.concat(F.format_string("%.1f", value.cast("double")), F.lit("%"))
+        )
     else:
         shown = F.format_number(value, "#,##0.###")
     return F.coalesce(shown, F.lit("N/A"))

@@ -10,7 +10,7 @@ from placetide.functions.numeric import haversine_distance, round_half_away
 from placetide.functions.text import display_value, legend_labels
 from placetide.operators.scale import arc_width, percentile_bounds
 from placetide.plans import layers, marts, serving
-from placetide.schemas import MEASURES, SUPPRESSED_TEXT
+from placetide.schemas import MEASURES, METRICS, SUPPRESSED_TEXT
 from placetide.sources import geojson
 from placetide.sources.landing import explode_header_json
 from placetide.sources.storage import create_view
@@ -329,15 +329,13 @@ def years_available(t):
     named(metric, label, format) AS (VALUES ('median_household_income', 'Median Household Income', 'currency'),
       ('poverty_rate', 'Poverty Rate', 'percent'), ('bachelors_plus_rate', 'Bachelor''s+ Rate', 'percent'),
       ('renter_rate', 'Renter Rate', 'percent'), ('remote_work_rate', 'Remote Work Rate', 'percent')),
-    long AS (UNPIVOT INCLUDE NULLS (SELECT CAST(median_household_income AS DOUBLE) AS median_household_income, poverty_rate, bachelors_plus_rate,
-      renter_rate, remote_work_rate FROM mart) ON COLUMNS(*) INTO NAME metric VALUE v)
+    long AS ({' UNION ALL '.join(f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS v FROM mart" for m in METRICS)})
     SELECT metric, label, format, CAST(count(*) AS BIGINT) AS rows, CAST(count(v) AS BIGINT) AS known
     FROM named JOIN long USING (metric) GROUP BY ALL""",
 )
 def metrics_list(t):
     """The metric list with how much of each the tract mart holds."""
     from placetide.operators.relational import unpivot
-    from placetide.schemas import METRICS
 
     long = unpivot(S.mart(t, "tracts").select(*METRICS), "double", field_name="metric", value_name="v")
     held = long.groupBy("metric").agg(F.count("*").alias("rows"), F.count("v").alias("known"))
@@ -467,7 +465,7 @@ def haversine(t):
     "display_format",
     f"""WITH {S.mart_sql('tracts')} SELECT geography_id, survey_year,
        coalesce('$' || format('{{:,}}', CAST(median_household_income AS BIGINT)), 'N/A') AS income,
-       coalesce(format('{{:.1f}}', remote_work_rate) || '%', 'N/A') AS remote,
+       coalesce(format('{{:.1f}}', floor(remote_work_rate * 10 + 0.5) / 10) || '%', 'N/A') AS remote,
        coalesce('$' || format('{{:,}}', CAST(median_home_value AS BIGINT)), 'N/A') || '+' AS legend_high FROM mart""",
 )
 def display_format(t):
