@@ -50,7 +50,7 @@ def survey_bronze(spark: SparkSession, path: str, variables: Sequence[str], year
     return add_ingest_columns(rename_variables(read_header_json(spark, path, names)), year, ingest_date)
 
 
-def read_text_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, encoding: str = "UTF-8") -> DataFrame:
+def read_text_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, encoding: str = "UTF-8") -> DataFrame:
     """CSV with a header and only string columns.
 
     Undecodable bytes become U+FFFD and the row is kept. With a string ``schema`` no pass

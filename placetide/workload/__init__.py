@@ -6,7 +6,7 @@ from importlib import import_module
 
 from placetide.workload import registry
 
-MODULES = ("layers_queries", "relational_queries")
+MODULES = ("layers_queries", "relational_queries", "quality_queries", "storage_queries")
 
 
 def _load() -> None:
