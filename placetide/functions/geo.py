@@ -1,151 +1,116 @@
 """Boundary geometry held as WKT text.
 
 The text is rewritten into nested JSON arrays and read with ``from_json``, so parsing,
-centroids and boxes are all built-in expressions: no UDF, no geometry library.
+centroids and boxes are all built-in expressions: no UDF, no geometry library. Functions
+take a column name or SQL text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COORDINATES = "array<array<array<array<double>>>>"
-_NUMBER = r"([-+0-9.eE]+)"
+_NUMBER = "([-+0-9.eE]+)"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _is_multi(wkt: str) -> str:
+    return f"startswith(upper(ltrim({wkt})), 'MULTIPOLYGON')"
 
 
-def _is_multi(wkt: Column) -> Column:
-    return F.upper(F.ltrim(wkt)).startswith("MULTIPOLYGON")
+def _body(wkt: str) -> str:
+    return rf"regexp_replace({wkt}, r'(?i)^\s*(MULTI)?POLYGON\s*(ZM|Z|M)?\s*', '')"
 
 
-def _nested_json(wkt: Column) -> Column:
-    """Body of the WKT as JSON arrays: ``((x y, ...))`` becomes ``[[[x,y],...]]``."""
-    body = F.regexp_replace(wkt, r"(?i)^\s*(MULTI)?POLYGON\s*(ZM|Z|M)?\s*", "")
-    pairs = F.regexp_replace(body, rf"{_NUMBER}\s+{_NUMBER}(\s+{_NUMBER})*", "[$1,$2]")
-    return F.when(F.upper(body).startswith("EMPTY"), F.lit("[]")).otherwise(
-        F.translate(pairs, "()", "[]")
+def _polygons_sql(wkt: str) -> str:
+    body = _body(wkt)
+    pairs = rf"regexp_replace({body}, r'{_NUMBER}\s+{_NUMBER}(\s+{_NUMBER})*', '[$1,$2]')"
+    nested = f"translate({pairs}, '()', '[]')"
+    text = (
+        f"CASE WHEN startswith(upper({body}), 'EMPTY') THEN '[]' "
+        f"WHEN {_is_multi(wkt)} THEN {nested} ELSE concat('[', {nested}, ']') END"
     )
+    return f"from_json({text}, '{COORDINATES}')"
 
 
-def polygons(wkt) -> Column:
+def _let(value: str, name: str, body: str) -> str:
+    """Bind ``value`` once under ``name`` inside ``body``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def polygons(wkt: str) -> Column:
     """POLYGON / MULTIPOLYGON text as polygons > rings > points > (x, y).
 
     EMPTY gives an empty array, NULL gives NULL.
     """
-    wkt = _col(wkt)
-    nested = _nested_json(wkt)
-    as_many = F.when(_is_multi(wkt) | (nested == "[]"), nested).otherwise(
-        F.concat(F.lit("["), nested, F.lit("]"))
-    )
-    return F.from_json(as_many, COORDINATES)
+    return F.expr(_polygons_sql(wkt))
 
 
-def geojson_geometry(wkt) -> Column:
+def geojson_geometry(wkt: str) -> Column:
     """GeoJSON geometry text; the word ``null`` for NULL or blank input."""
-    wkt = _col(wkt)
-    coordinates = polygons(wkt)
-    single = F.when(F.size(coordinates) > 0, F.to_json(coordinates[0])).otherwise(F.lit("[]"))
-    text = F.when(
-        _is_multi(wkt),
-        F.concat(F.lit('{"type":"MultiPolygon","coordinates":'), F.to_json(coordinates), F.lit("}")),
-    ).otherwise(F.concat(F.lit('{"type":"Polygon","coordinates":'), single, F.lit("}")))
-    return F.when(wkt.isNull() | (F.trim(wkt) == ""), F.lit("null")).otherwise(text)
-
-
-def _ring_moments(ring: Column) -> Column:
-    """Area and first moments of one closed ring, taken relative to its first point.
-
-    Shifting first keeps the cross products small, which is what the precision of a
-    shoelace sum depends on.
-    """
-    x0, y0 = ring[0][0], ring[0][1]
-
-    def step(acc: Column, i: Column) -> Column:
-        ax, ay = ring[i - 1][0] - x0, ring[i - 1][1] - y0
-        bx, by = ring[i][0] - x0, ring[i][1] - y0
-        cross = ax * by - bx * ay
-        return F.struct(
-            (acc["a"] + cross).alias("a"),
-            (acc["x"] + (ax + bx) * cross).alias("x"),
-            (acc["y"] + (ay + by) * cross).alias("y"),
-        )
-
-    zero = F.struct(*(F.lit(0.0).alias(n) for n in ("a", "x", "y")))
-    raw = F.aggregate(F.sequence(F.lit(1), F.size(ring) - 1), zero, step)
-    # Ring direction is not reliable in source files: use the absolute area and flip the
-    # moments with it.
-    return F.transform(
-        F.array(raw),
-        lambda m: F.struct(
-            (F.abs(m["a"]) / 2).alias("a"),
-            (F.signum(m["a"]) * m["x"] / 6 + F.abs(m["a"]) / 2 * x0).alias("x"),
-            (F.signum(m["a"]) * m["y"] / 6 + F.abs(m["a"]) / 2 * y0).alias("y"),
-        ),
-    )[0]
-
-
-def _add_moments(acc: Column, m: Column) -> Column:
-    return F.struct(*((acc[n] + m["sign"] * m["m"][n]).alias(n) for n in ("a", "x", "y")))
-
-
-def centroid(wkt) -> Column:
+    single = "CASE WHEN size(p) > 0 THEN to_json(p[0]) ELSE '[]' END"
+    text = _let(
+        _polygons_sql(wkt),
+        "p",
+        f"""CASE WHEN {_is_multi(wkt)} THEN concat('{{"type":"MultiPolygon","coordinates":', to_json(p), '}}')
+            ELSE concat('{{"type":"Polygon","coordinates":', {single}, '}}') END""",
+    )
+    return F.expr(f"CASE WHEN {wkt} IS NULL OR trim({wkt}) = '' THEN 'null' ELSE {text} END")
+
+
+# Area and first moments of one closed ring r, relative to its first point: shifting first
+# keeps the cross products small, which is what the precision of a shoelace sum depends on.
+_ZERO = "named_struct('a', 0D, 'x', 0D, 'y', 0D)"
+_CROSS = (
+    "((r[i-1][0] - r[0][0]) * (r[i][1] - r[0][1]) - (r[i][0] - r[0][0]) * (r[i-1][1] - r[0][1]))"
+)
+_SHIFTED = f"""aggregate(sequence(1, size(r) - 1), {_ZERO}, (t, i) -> named_struct(
+    'a', t.a + {_CROSS},
+    'x', t.x + (r[i-1][0] + r[i][0] - 2 * r[0][0]) * {_CROSS},
+    'y', t.y + (r[i-1][1] + r[i][1] - 2 * r[0][1]) * {_CROSS}))"""
+# Ring direction is not reliable in source files: take the absolute area, flip the moments
+# with it, and let the position in the polygon (outer ring first) give the sign.
+_RING = _let(
+    _SHIFTED,
+    "m",
+    """named_struct('a', s * abs(m.a) / 2,
+       'x', s * (signum(m.a) * m.x / 6 + abs(m.a) / 2 * r[0][0]),
+       'y', s * (signum(m.a) * m.y / 6 + abs(m.a) / 2 * r[0][1]))""",
+)
+
+
+def centroid(wkt: str) -> Column:
     """Area centroid as ``struct(lon, lat)``; holes are subtracted.
 
     A shape without area falls back to the mean of its points; NULL and EMPTY give NULL.
     """
-    coordinates = polygons(wkt)
-    rings = F.flatten(
-        F.transform(
-            coordinates,
-            lambda polygon: F.transform(
-                polygon,
-                lambda ring, i: F.struct(
-                    F.when(i == 0, 1.0).otherwise(-1.0).alias("sign"), _ring_moments(ring).alias("m")
-                ),
-            ),
-        )
+    ring = _let("CASE WHEN k = 0 THEN 1D ELSE -1D END", "s", _RING)
+    rings = f"flatten(transform(p, poly -> transform(poly, (r, k) -> {ring})))"
+    total = f"aggregate({rings}, {_ZERO}, (t, m) -> named_struct('a', t.a + m.a, 'x', t.x + m.x, 'y', t.y + m.y))"
+
+    def mean(axis: int) -> str:
+        return f"aggregate(flatten(flatten(p)), 0D, (t, q) -> t + q[{axis}]) / size(flatten(flatten(p)))"
+
+    centre = _let(
+        total,
+        "t",
+        f"""CASE WHEN t.a > 0 THEN named_struct('lon', t.x / t.a, 'lat', t.y / t.a)
+            ELSE named_struct('lon', {mean(0)}, 'lat', {mean(1)}) END""",
     )
-    zero = F.struct(*(F.lit(0.0).alias(n) for n in ("a", "x", "y")))
-    total = F.aggregate(rings, zero, _add_moments)
-    points = F.flatten(F.flatten(coordinates))
-
-    def mean(axis: int) -> Column:
-        return F.aggregate(points, F.lit(0.0), lambda acc, p: acc + p[axis]) / F.size(points)
-
-    def finish(t: Column) -> Column:
-        return F.struct(
-            F.when(t["a"] > 0, t["x"] / F.nullif(t["a"], F.lit(0.0))).otherwise(mean(0)).alias("lon"),
-            F.when(t["a"] > 0, t["y"] / F.nullif(t["a"], F.lit(0.0))).otherwise(mean(1)).alias("lat"),
-        )
+    return F.expr(_let(_polygons_sql(wkt), "p", f"CASE WHEN size(flatten(flatten(p))) > 0 THEN {centre} END"))
 
-    return F.when(F.size(points) > 0, F.transform(F.array(total), finish)[0])
 
-
-def bounding_box(wkt) -> Column:
+def bounding_box(wkt: str) -> Column:
     """``struct(min_lon, min_lat, max_lon, max_lat)``: outer ring of a POLYGON, all rings of a
     MULTIPOLYGON; NULL for NULL or EMPTY."""
-    wkt = _col(wkt)
-    coordinates = polygons(wkt)
-    points = F.when(_is_multi(wkt), F.flatten(F.flatten(coordinates))).when(
-        F.size(coordinates) > 0, coordinates[0][0]
-    )
-    xs = F.transform(points, lambda p: p[0])
-    ys = F.transform(points, lambda p: p[1])
-    return F.when(
-        F.size(points) > 0,
-        F.struct(
-            F.array_min(xs).alias("min_lon"),
-            F.array_min(ys).alias("min_lat"),
-            F.array_max(xs).alias("max_lon"),
-            F.array_max(ys).alias("max_lat"),
-        ),
-    )
+    points = f"CASE WHEN {_is_multi(wkt)} THEN flatten(flatten(p)) WHEN size(p) > 0 THEN p[0][0] END"
+    box = """CASE WHEN size(q) > 0 THEN named_struct(
+        'min_lon', array_min(transform(q, c -> c[0])), 'min_lat', array_min(transform(q, c -> c[1])),
+        'max_lon', array_max(transform(q, c -> c[0])), 'max_lat', array_max(transform(q, c -> c[1]))) END"""
+    return F.expr(_let(_let(_polygons_sql(wkt), "p", points), "q", box))
 
 
-def selection_bounds(df, wkt="geometry_wkt", by=()):
+def selection_bounds(df: DataFrame, wkt: str = "geometry_wkt", by=()) -> DataFrame:
     """One box over all rows (or per group): min / max of the per-row boxes.
 
     Only four numbers per row reach the aggregate, and it combines map-side.

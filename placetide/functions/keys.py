@@ -39,13 +39,14 @@ def typed_measures(lenient: bool = False, missing_codes: tuple[int, ...] = ()) -
     Malformed text raises under ANSI mode; ``lenient`` turns it into NULL instead.
     ``missing_codes`` (off by default) reads the given sentinel numbers as NULL.
     """
+    convert = "try_cast" if lenient else "cast"
     out = []
     for name in MEASURES:
         dtype = "double" if name in REAL_MEASURES else "bigint"
-        typed = F.col(name).try_cast(dtype) if lenient else F.col(name).cast(dtype)
+        typed = f"{convert}({name} AS {dtype})"
         for code in missing_codes:
-            typed = F.nullif(typed, F.lit(code).cast(dtype))
-        out.append(typed.alias(name))
+            typed = f"nullif({typed}, cast({int(code)} AS {dtype}))"
+        out.append(F.expr(f"{typed} AS {name}"))
     return out
 
 

@@ -39,6 +39,11 @@ def width_bucket(value, low, high, buckets: int) -> Column:
     return F.width_bucket(_col(value), F.lit(low), F.lit(high), F.lit(buckets).cast("int"))
 
 
+def _rounded_sql(value: str, digits: int) -> str:
+    scale = f"{10**digits}.0D"
+    return f"signum({value}) * floor(abs({value}) * {scale} + 0.5D) / {scale}"
+
+
 def round_half_away(value: Column, digits: int) -> Column:
     """Round a double by scaling, ties away from zero.
 
@@ -46,25 +51,29 @@ def round_half_away(value: Column, digits: int) -> Column:
     engines that scale the binary value give 1.0; this is that rule.
     """
     scale = 10.0**digits
-    size = F.floor(F.abs(value) * scale + 0.5) / scale
-    return F.when(value < 0, -size).otherwise(size)
+    return F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / scale
+
+
+def share_sql(numerator: str, denominator: str, digits: int = 2) -> str:
+    """:func:`share` as SQL text, for wide projections."""
+    ratio = f"(CAST({numerator} AS DOUBLE) / NULLIF({denominator}, 0) * 100)"
+    return _rounded_sql(ratio, digits)
 
 
-def share(numerator, denominator, digits: int = 2) -> Column:
+def share(numerator, denominator: str, digits: int = 2) -> Column:
     """Percentage ``numerator`` of ``denominator``; NULL on a 0 or NULL denominator.
 
-    ``numerator`` may be a sequence of columns, summed with plain ``+`` so that one NULL
-    part makes the share NULL.
+    Both are column names or SQL text. A sequence of numerators is summed with plain ``+``,
+    so that one NULL part makes the share NULL.
     """
     if isinstance(numerator, (tuple, list)):
-        numerator = reduce(add, [_col(c) for c in numerator])
-    ratio = _col(numerator).cast("double") / F.nullif(_col(denominator), F.lit(0))
-    return round_half_away(ratio * 100, digits)
+        numerator = "(" + " + ".join(numerator) + ")"
+    return F.expr(share_sql(numerator, denominator, digits))
 
 
-def per_unit(amount, units, digits: int = 2) -> Column:
+def per_unit(amount: str, units: str, digits: int = 2) -> Column:
     """Amount per unit, rounded; NULL when there are no units."""
-    return round_half_away(_col(amount).cast("double") / F.nullif(_col(units), F.lit(0)), digits)
+    return F.expr(_rounded_sql(f"(CAST({amount} AS DOUBLE) / NULLIF({units}, 0))", digits))
 
 
 # Earth radius in miles and kilometres per mile.

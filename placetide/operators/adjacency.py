@@ -57,15 +57,20 @@ def with_next(
     ).otherwise(0)
     rows = distinct.withColumn("_block", F.coalesce(block, F.lit(-1)))
 
+    # A block's rows but the last take their follower from the block's own window. The last
+    # row takes the head of the group's next block; heads and tails are two aggregates per
+    # block, so no join is needed: every row is in exactly one of the two halves.
     here = F.struct(*order)
     inside = Window.partitionBy(*group_by, "_block").orderBy(*order)
-    paired = rows.withColumn("_in", F.lead(here).over(inside))
-    heads = rows.groupBy(*group_by, "_block").agg(F.min(here).alias("_head"))
+    within = rows.withColumn("next", F.lead(here).over(inside)).filter(F.col("next").isNotNull())
+    ends = rows.groupBy(*group_by, "_block").agg(
+        F.min(here).alias("_head"), F.max(F.struct(*order, "copies")).alias("_tail")
+    )
     across = Window.partitionBy(*group_by).orderBy("_block")
-    seams = heads.select(*group_by, "_block", F.lead("_head").over(across).alias("_over"))
-    # One seam row per (group, block); only a block's last row takes its value.
-    joined = paired.join(seams, [*group_by, "_block"], "left") if group_by else paired.join(seams, "_block", "left")
-    return joined.select(*group_by, *order, "copies", F.coalesce("_in", "_over").alias("next"))
+    tails = ends.withColumn("next", F.lead("_head").over(across))
+    columns = [*group_by, *order, "copies", "next"]
+    last = [F.col(f"_tail.{c}").alias(c) for c in [*order, "copies"]]
+    return within.select(*columns).unionByName(tails.select(*group_by, *last, "next"))
 
 
 def exclusive_range_violations(

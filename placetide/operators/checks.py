@@ -11,7 +11,7 @@ the groups. Both steps combine map-side, so no rule gathers a group in one task.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -49,14 +49,13 @@ class AggregateRule:
 
 @dataclass(frozen=True)
 class FrameRule:
-    """``build(df)`` returns one row ``(observed, passed, sample)``."""
+    """``build(df)`` returns one row ``(observed, passed, sample)``; with a fourth column
+    ``some`` it also says whether the table has rows, else that is looked up."""
 
     name: str
     build: Callable[[DataFrame], DataFrame]
     expected: str
     severity: str = ERROR
-    needs_rows: bool = True
-    extra: Mapping[str, object] = field(default_factory=dict)
 
 
 Rule = AggregateRule | FrameRule
@@ -268,13 +267,16 @@ def unique_key(*columns: str, name: str = "no_duplicate_keys") -> FrameRule:
     """
 
     def build(df: DataFrame) -> DataFrame:
-        dupes = df.groupBy(*columns).agg(F.count("*").alias("n")).filter("n > 1")
+        counted = df.groupBy(*columns).agg(F.count("*").alias("n"))
         text = F.concat_ws("/", *(F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns))
-        first = dupes.orderBy(*columns).limit(SAMPLE_SIZE).select(text.alias("k"))
+        # The sample reads the same counts; Spark reuses their shuffle.
+        first = counted.filter("n > 1").orderBy(*columns).limit(SAMPLE_SIZE).select(text.alias("k"))
         listed = first.agg(F.array_join(F.array_sort(F.collect_list("k")), ", ").alias("s")).scalar()
-        return dupes.agg(
-            F.count("*").alias("observed"), (F.count("*") == 0).alias("passed"), F.nullif(listed, F.lit("")).alias("sample")
-        )
+        return counted.agg(
+            F.count_if(F.col("n") > 1).alias("observed"),
+            (F.count_if(F.col("n") > 1) == 0).alias("passed"),
+            (F.count("*") > 0).alias("some"),
+        ).withColumn("sample", F.nullif(listed, F.lit("")))
 
     return FrameRule(name, build, "unique " + ", ".join(columns))
 
@@ -414,16 +416,17 @@ def _aggregate_rows(table: str, df: DataFrame, by: tuple[str, ...], rules: Seque
 
 
 def _frame_row(table: str, df: DataFrame, rule: FrameRule) -> DataFrame:
-    has_rows = df.limit(1).agg((F.count("*") > 0).alias("x")).scalar() if rule.needs_rows else F.lit(True)
-    result = rule.build(df).withColumn("_some", has_rows)
+    result = rule.build(df)
+    if "some" not in result.columns:
+        result = result.withColumn("some", df.limit(1).agg((F.count("*") > 0).alias("x")).scalar())
     return result.select(
         F.lit(table).alias("table"),
         F.lit(rule.name).alias("check"),
         F.lit(rule.severity).alias("severity"),
-        (F.col("_some") & F.coalesce(F.col("passed"), F.lit(False))).alias("passed"),
+        (F.col("some") & F.coalesce(F.col("passed"), F.lit(False))).alias("passed"),
         F.col("observed").cast("string").alias("observed"),
         F.lit(rule.expected).alias("expected"),
-        F.when(~F.col("_some"), F.lit("empty table")).otherwise(F.col("sample").cast("string")).alias("sample"),
+        F.when(~F.col("some"), F.lit("empty table")).otherwise(F.col("sample").cast("string")).alias("sample"),
     )
 
 

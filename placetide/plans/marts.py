@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placetide.functions.geo import centroid
-from placetide.functions.numeric import per_unit, share
+from placetide.functions.numeric import per_unit, share_sql
 from placetide.schemas import BASE_MEASURES, FLOW_GOLD, LEVEL_CODES, MEASURES, RATES
 
 
@@ -33,7 +33,7 @@ def socioeconomic_mart(gold: DataFrame, level: str) -> DataFrame:
         "geography_name",
         *LEVEL_CODES[level],
         *BASE_MEASURES,
-        *(share(parts, whole).alias(name) for name, (parts, whole) in RATES.items()),
+        *(F.expr(f"{share_sql(' + '.join(parts), whole)} AS {name}") for name, (parts, whole) in RATES.items()),
         "geometry_wkt",
         "ALAND",
         "AWATER",

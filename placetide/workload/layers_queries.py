@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from placetide.functions import keys as K
 from placetide.functions.geo import bounding_box, centroid, polygons, selection_bounds
-from placetide.functions.numeric import haversine_distance, round_half_away
+from placetide.functions.numeric import haversine_distance, round_half_away, share
 from placetide.functions.text import display_value, legend_labels
 from placetide.operators.scale import arc_width, percentile_bounds
 from placetide.plans import layers, marts, serving
@@ -413,7 +413,7 @@ def bbox(t):
 def geojson_features(t):
     rows = S.gold(t, "tracts").select(
         "geography_id", "survey_year", F.col("masters_degree").alias("masters"),
-        marts.share(("renter_occupied",), "total_occupied").alias("renter_rate"), "geometry_wkt",
+        share("renter_occupied", "total_occupied").alias("renter_rate"), "geometry_wkt",
     )
     return geojson.features(rows)
 

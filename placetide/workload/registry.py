@@ -9,10 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-TABLE_NAMES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
+# Declared schemas: no job is spent on reading footers to learn them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
 
 
 class Tables:
@@ -22,9 +38,11 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name not in TABLE_NAMES:
+        if name not in SCHEMAS:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def query(name: str, sql: str | None = None):

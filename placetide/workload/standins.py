@@ -102,19 +102,23 @@ PLACE_NAME = {
 def survey_parts(t: Tables) -> DataFrame:
     """Parts per customer and year. Orders are summed before the join: one row per key and
     map task is shuffled, whatever the key skew."""
-    parts = [F.expr(f"CAST({e} AS BIGINT)").alias(n) for n, e in PARTS.items()]
+    parts = [F.expr(f"CAST({e} AS BIGINT) AS {n}") for n, e in PARTS.items()]
     return t.orders.groupBy("o_custkey", F.year("o_orderdate").alias("survey_year")).agg(*parts)
 
 
 def survey_bronze(t: Tables, level: str) -> DataFrame:
     """Survey rows as landed: all text, codes without padding."""
     people = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    rows = survey_parts(t).join(people, F.col("o_custkey") == F.col("c_custkey"))
-    rows = rows.join(t.nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
-    rolled = rows.groupBy(*PLACE_KEYS[level], "survey_year").agg(
-        *(F.expr(f"{_ROLL.get(p, 'sum')}({p})").alias(p) for p in PARTS)
-    )
-    measures = [F.expr(FROM_PARTS[m].format(div="div")).cast("string").alias(m) for m in MEASURES]
+    rolled = survey_parts(t).join(people, F.col("o_custkey") == F.col("c_custkey"))
+    if level != "tracts":
+        # A tract is one customer, so only the wider levels are summed again.
+        keys = ["c_nationkey", *(["c_mktsegment"] if level == "counties" else [])]
+        rolled = rolled.groupBy(*keys, "survey_year").agg(
+            *(F.expr(f"{_ROLL.get(p, 'sum')}({p}) AS {p}") for p in PARTS)
+        )
+    names = t.nation.select("n_nationkey", "n_name")
+    rolled = rolled.join(names, F.col("c_nationkey") == F.col("n_nationkey"))
+    measures = [F.expr(f"CAST({FROM_PARTS[m].format(div='div')} AS STRING) AS {m}") for m in MEASURES]
     codes = [F.col("c_nationkey").cast("string").alias("state")]
     if level != "states":
         codes.append(F.expr(SEGMENT_CODE).alias("county"))
