@@ -228,7 +228,7 @@ def not_null_proportion(
     column: str, at_least: float, at_most: float = 1.0, group_by: Sequence[str] = (), name: str = "not_null_proportion"
 ) -> AggregateRule:
     def outside(p):
-        ratio = p("have") / F.col("rows")
+        ratio = p("have") / F.nullif(F.col("rows"), F.lit(0))
         return (ratio < at_least) | (ratio > at_most)
 
     return _per_group(

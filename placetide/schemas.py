@@ -65,6 +65,15 @@ def _measure_type(name: str) -> T.DataType:
     return T.DoubleType() if name in REAL_MEASURES else T.LongType()
 
 
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType()}
+
+
+def _schema(columns: str) -> T.StructType:
+    """Schema from ``name type, ...``; unlike ``fromDDL`` it needs no running session."""
+    pairs = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(n, _TYPES[t]) for n, t in pairs])
+
+
 def _fields(names, dtype) -> list[T.StructField]:
     return [T.StructField(n, dtype) for n in names]
 
@@ -74,18 +83,18 @@ SURVEY_BRONZE = T.StructType(
     + [T.StructField("survey_year", T.LongType()), T.StructField("ingest_date", T.StringType())]
 )
 
-BOUNDARY_BRONZE = T.StructType.fromDDL(
+BOUNDARY_BRONZE = _schema(
     "STATEFP string, COUNTYFP string, TRACTCE string, GEOID string, NAME string, "
     "NAMELSAD string, MTFCC string, FUNCSTAT string, ALAND bigint, AWATER bigint, "
     "INTPTLAT string, INTPTLON string, geometry_wkt string, survey_year bigint, ingest_date string"
 )
 
-STATE_FLOW_BRONZE = T.StructType.fromDDL(
+STATE_FLOW_BRONZE = _schema(
     "y1_statefips string, y2_statefips string, y2_state string, y2_state_name string, "
     "n1 string, n2 string, AGI string, survey_year bigint, ingest_date string"
 )
 
-COUNTY_FLOW_BRONZE = T.StructType.fromDDL(
+COUNTY_FLOW_BRONZE = _schema(
     "y1_statefips string, y1_countyfips string, y2_statefips string, y2_countyfips string, "
     "y2_state string, y2_countyname string, n1 string, n2 string, agi string, "
     "survey_year bigint, ingest_date string"
@@ -99,13 +108,13 @@ SURVEY_SILVER = T.StructType(
     + [T.StructField(m, _measure_type(m)) for m in MEASURES]
 )
 
-BOUNDARY_SILVER = T.StructType.fromDDL(
+BOUNDARY_SILVER = _schema(
     "geography_id string, survey_year int, geography_name string, state_fips string, "
     "county_fips string, tract_fips string, namelsad string, mtfcc string, funcstat string, "
     "ALAND bigint, AWATER bigint, intptlat string, intptlon string, geometry_wkt string"
 )
 
-FLOW_SILVER = T.StructType.fromDDL(
+FLOW_SILVER = _schema(
     "origin_geography_id string, dest_geography_id string, dest_state string, dest_name string, "
     "households bigint, individuals bigint, agi bigint, survey_year int"
 )

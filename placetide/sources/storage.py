@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from contextlib import contextmanager
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,6 +112,16 @@ def create_table(
     return True
 
 
+def _observed_years(seen: Observation, rows: DataFrame, years: list[int]) -> dict[int, int]:
+    try:
+        found = seen.get
+        return {y: found[f"y{y}"] for y in years}
+    except Py4JJavaError:
+        # A source the optimizer knows to be empty takes the observation out with it.
+        counted = {r[YEAR]: r["count"] for r in rows.groupBy(YEAR).count().collect()}
+        return {y: counted.get(y, 0) for y in years}
+
+
 def backfill_years(df: DataFrame, table: str, years: Sequence[int], bucket_by: str | None = None) -> dict[int, int]:
     """Replace the given years of a table by the rows of ``df``; returns rows per year.
 
@@ -127,7 +138,7 @@ def backfill_years(df: DataFrame, table: str, years: Sequence[int], bucket_by: s
     observed = spread(rows.observe(seen, *counts.values()), *keys)
     with _dynamic_overwrite(spark):
         observed.write.insertInto(table, overwrite=True)
-    written = {y: seen.get[f"y{y}"] for y in years}
+    written = _observed_years(seen, rows, years)
     for year, n in written.items():
         if n == 0:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({YEAR}={year})")
