@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COORDINATES = "array<array<array<array<double>>>>"
-_NUMBER = "([-+0-9.eE]+)"
+_NUMBER = r"([^\s,()]+)"
 
 
 def _is_multi(wkt: str) -> str:
@@ -58,20 +58,21 @@ def geojson_geometry(wkt: str) -> Column:
     return F.expr(f"CASE WHEN {wkt} IS NULL OR trim({wkt}) = '' THEN 'null' ELSE {text} END")
 
 
-# Area and first moments of one closed ring r, relative to its first point: shifting first
-# keeps the cross products small, which is what the precision of a shoelace sum depends on.
+# Area and first moments of one closed ring r. The ring is shifted to its first point (array
+# v): that keeps the cross products (array c) small, which is what the precision of a
+# shoelace sum depends on.
 _ZERO = "named_struct('a', 0D, 'x', 0D, 'y', 0D)"
-_CROSS = (
-    "((r[i-1][0] - r[0][0]) * (r[i][1] - r[0][1]) - (r[i][0] - r[0][0]) * (r[i-1][1] - r[0][1]))"
-)
-_SHIFTED = f"""aggregate(sequence(1, size(r) - 1), {_ZERO}, (t, i) -> named_struct(
-    'a', t.a + {_CROSS},
-    'x', t.x + (r[i-1][0] + r[i][0] - 2 * r[0][0]) * {_CROSS},
-    'y', t.y + (r[i-1][1] + r[i][1] - 2 * r[0][1]) * {_CROSS}))"""
+_STEPS = "sequence(1, size(r) - 1)"
+_SHIFT = "transform(r, q -> named_struct('x', q[0] - r[0][0], 'y', q[1] - r[0][1]))"
+_CROSS = f"transform({_STEPS}, i -> v[i-1].x * v[i].y - v[i].x * v[i-1].y)"
+_SUMS = f"""named_struct(
+    'a', aggregate(c, 0D, (t, e) -> t + e),
+    'x', aggregate({_STEPS}, 0D, (t, i) -> t + (v[i-1].x + v[i].x) * c[i-1]),
+    'y', aggregate({_STEPS}, 0D, (t, i) -> t + (v[i-1].y + v[i].y) * c[i-1]))"""
 # Ring direction is not reliable in source files: take the absolute area, flip the moments
 # with it, and let the position in the polygon (outer ring first) give the sign.
 _RING = _let(
-    _SHIFTED,
+    _let(_SHIFT, "v", _let(_CROSS, "c", _SUMS)),
     "m",
     """named_struct('a', s * abs(m.a) / 2,
        'x', s * (signum(m.a) * m.x / 6 + abs(m.a) / 2 * r[0][0]),

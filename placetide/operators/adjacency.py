@@ -16,7 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Coarse blocks over the whole value range, and finer ones inside each: values bunched in a
+# small part of the range (one far outlier is enough) are still spread over many blocks.
 BLOCKS = 1024
+SUB_BLOCKS = 64
 
 
 def _as_number(df: DataFrame, column: str) -> Column:
@@ -35,6 +38,13 @@ def _as_number(df: DataFrame, column: str) -> Column:
     raise TypeError(f"column {column} of type {kind.simpleString()} has no block rule")
 
 
+def _cut(number: Column, low: Column, high: Column, parts: int) -> Column:
+    """Equal-width part of ``number`` between the limits: 0..parts, or -1 for NULL."""
+    width = F.nullif(high - low, F.lit(0.0))
+    part = F.floor((number - low) / width * parts).cast("int")
+    return F.when(number.isNull(), -1).otherwise(F.coalesce(part, F.lit(0)))
+
+
 def with_next(
     df: DataFrame,
     group_by: Sequence[str],
@@ -47,15 +57,16 @@ def with_next(
     The first ``order`` column decides the block; rows with equal values share one.
     """
     group_by, order = list(group_by), list(order)
-    distinct = df.groupBy(*group_by, *order).agg(F.count("*").alias("copies"))
     number = _as_number(df, order[0])
-    span = df.select(number.alias("v")).agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high")))
-    limits = span.scalar()
-    width = limits["high"] - limits["low"]
-    block = F.when(
-        width > 0, F.floor((number - limits["low"]) / F.nullif(width, F.lit(0.0)) * blocks).cast("int")
-    ).otherwise(0)
-    rows = distinct.withColumn("_block", F.coalesce(block, F.lit(-1)))
+    distinct = df.groupBy(*group_by, *order).agg(F.count("*").alias("copies"))
+    limits = df.select(number.alias("v")).agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
+    coarse = distinct.withColumn("_coarse", _cut(number, limits["low"], limits["high"], blocks))
+    # At most one row per coarse block, so the broadcast is bounded by construction.
+    inner = coarse.groupBy("_coarse").agg(F.min(number).alias("_low"), F.max(number).alias("_high"))
+    sub = _cut(number, F.col("_low"), F.col("_high"), SUB_BLOCKS)
+    rows = coarse.join(F.broadcast(inner), "_coarse").withColumn(
+        "_block", F.col("_coarse") * (SUB_BLOCKS + 1) + F.greatest(sub, F.lit(0))
+    )
 
     # A block's rows but the last take their follower from the block's own window. The last
     # row takes the head of the group's next block; heads and tails are two aggregates per

@@ -350,11 +350,14 @@ def relationships(
     to_condition: str | Column | None = None,
     name: str = "relationships",
 ) -> FrameRule:
-    return FrameRule(
-        name,
-        lambda df: _counted(orphans(df, column, to, field_, from_condition, to_condition)),
-        "every key found",
-    )
+    def build(df: DataFrame) -> DataFrame:
+        # Rows are counted per key first, so a hot key crosses the join as one row.
+        wanted = df if from_condition is None else df.filter(from_condition)
+        keys = wanted.groupBy(column).agg(F.count("*").alias("n"))
+        lost = orphans(keys, column, to, field_, to_condition=to_condition)
+        return _counted(lost, F.coalesce(F.sum("n"), F.lit(0)))
+
+    return FrameRule(name, build, "every key found")
 
 
 def exclusive_ranges(lower: str, upper: str, name: str = "mutually_exclusive_ranges", **options) -> FrameRule:

@@ -23,7 +23,9 @@ def explode_header_json(df: DataFrame, column: str, names: Sequence[str], keep:
         df.select(*keep, parsed.alias("_doc"))
         .filter(F.size("_doc") > 1)
         .select(*keep, F.col("_doc")[0].alias("_head"), F.explode(F.slice("_doc", 2, F.size("_doc") - 1)).alias("_row"))
-        .select(*keep, F.map_from_arrays("_head", "_row").alias("_cells"))
+        # A short or long row is paired as far as both go.
+        .withColumn("_n", F.least(F.size("_head"), F.size("_row")))
+        .select(*keep, F.map_from_arrays(F.slice("_head", 1, F.col("_n")), F.slice("_row", 1, F.col("_n"))).alias("_cells"))
     )
     return rows.select(*keep, *(F.try_element_at("_cells", F.lit(n)).alias(n) for n in names))
 

@@ -7,6 +7,7 @@ import pytest
 from conftest import plan_of, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from placetide.operators import adjacency as A
 
@@ -112,3 +113,13 @@ def test_hot_group_is_cut_into_blocks(spark):
     assert "_block" in plan and "CartesianProduct" not in plan and "SortMergeJoin" not in plan
     # Copies of a row are counted before the shuffle.
     assert "partial_count" in plan
+
+
+def test_outlier_does_not_put_all_rows_in_one_block(spark):
+    df = spark.range(5000).selectExpr("id AS v").union(spark.range(1).selectExpr("1000000000000 AS v"))
+    found = A.with_next(df, [], ["v"])
+    assert found.filter("next IS NULL").count() == 1 and found.count() == 5001
+    low, high = 0.0, 1e12
+    cut = df.selectExpr("CAST(v AS double) AS v").select(A._cut(F.col("v"), F.lit(low), F.lit(high), A.BLOCKS).alias("b"))
+    assert cut.distinct().count() == 2  # coarse blocks alone would not do
+    assert A.sequence_violations(df, "v").collect()[0]["v"] == 4999

@@ -15,6 +15,7 @@ def test_header_json_file(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(doc, indent=1))
     (tmp_path / "b.json").write_text(json.dumps(other))
     (tmp_path / "empty.json").write_text(json.dumps([["NAME"]]))
+    (tmp_path / "short.json").write_text(json.dumps([["NAME", "state", "B01001_001E"], ["Short", "9"]]))
     bronze = L.survey_bronze(spark, str(tmp_path), list(SURVEY_VARIABLES), 2020, "2021-12-05")
     assert bronze.columns == SURVEY_BRONZE.fieldNames()
     assert dict(bronze.dtypes) == {f.name: f.dataType.simpleString() for f in SURVEY_BRONZE}
@@ -23,9 +24,10 @@ def test_header_json_file(spark, tmp_path):
         ("Alabama", "1", "1", None, 2020, "2021-12-05"),
         ("Alaska", None, "2", None, 2020, "2021-12-05"),
         ("Arizona", "2", "4", None, 2020, "2021-12-05"),
+        ("Short", None, "9", None, 2020, "2021-12-05"),
     ]
     silver = survey_silver(bronze, "states")
-    assert rows(silver.select("geography_id", MEASURES[0]), "geography_id") == [("01", 1), ("02", None), ("04", 2)]
+    assert rows(silver.select("geography_id", MEASURES[0]), "geography_id") == [("01", 1), ("02", None), ("04", 2), ("09", None)]
 
 
 def test_csv_stays_text_and_keeps_bad_bytes(spark, tmp_path):
