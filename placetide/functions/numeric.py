@@ -81,6 +81,10 @@ EARTH_RADIUS_MILES = 3961
 KM_PER_MILE = 1.60934
 
 
+def degrees_to_radians(degrees) -> Column:
+    return F.radians(_col(degrees))
+
+
 def haversine_distance(lat1, lon1, lat2, lon2, unit: str = "mi") -> Column:
     """Great-circle distance in ``mi`` or ``km``."""
     if unit not in ("mi", "km"):

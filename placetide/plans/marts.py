@@ -113,4 +113,3 @@ MART_BUCKETS = {
     "mart_migration_flows_states": "origin_geography_id",
     "mart_migration_flows_counties": "origin_state_fips",
 }
-BUCKET_COUNT = 32

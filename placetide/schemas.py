@@ -6,6 +6,9 @@ from pyspark.sql import types as T
 
 LEVELS = ("states", "counties", "tracts")
 
+# Fixed value: buckets of every bucketed mart.
+BUCKET_COUNT = 32
+
 # Survey variable code -> column name, in source order.
 SURVEY_VARIABLES = {
     "B01001_001E": "total_population",

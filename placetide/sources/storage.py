@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from placetide.plans.marts import BUCKET_COUNT
+from placetide.schemas import BUCKET_COUNT
 
 YEAR = "survey_year"
 _OVERWRITE = "spark.sql.sources.partitionOverwriteMode"

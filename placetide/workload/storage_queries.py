@@ -6,7 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import functions as F
 
-from placetide.plans import layers
+from placetide.plans import layers, refresh
 from placetide.schemas import (
     FLOW_GOLD,
     FLOW_SILVER,
@@ -223,3 +223,25 @@ def sync_missing_years(t):
     expected = bounds.select(F.explode(F.sequence("lo", "hi")).alias("survey_year"))
     arrivals.sync_years(t.spark, lambda y: rows.filter(F.col("survey_year") == y), table, expected, batch=3)
     return t.spark.table(table)
+
+
+_LAYERED = f"""WITH {S.flow_mart_sql('states')} SELECT * REPLACE (
+    floor(origin_lat * 1e6 + 0.5) / 1e6 AS origin_lat, floor(origin_lon * 1e6 + 0.5) / 1e6 AS origin_lon,
+    floor(dest_lat * 1e6 + 0.5) / 1e6 AS dest_lat, floor(dest_lon * 1e6 + 0.5) / 1e6 AS dest_lon) FROM fm
+    WHERE survey_year BETWEEN 1996 AND 2001"""
+
+
+@query("refresh_layers", _LAYERED)
+def refresh_layers(t):
+    """Landed bronze through silver, gold and marts, all stored; some years arrive late."""
+    layout = refresh.Layout(storage.shared_dir(t.spark, "layers"), prefix=f"r{uuid4().hex[:8]}_")
+    years = range(S.BOUNDARY_YEARS[0], S.BOUNDARY_YEARS[1] + 1)
+    in_years = F.col("survey_year").between(*S.BOUNDARY_YEARS)
+    storage.write_bronze(_dated(S.survey_bronze(t, "states")).filter(in_years), layout.bronze("census_acs5", "states"), "year")
+    storage.write_bronze(S.boundary_bronze(t, "states"), layout.bronze("tiger", "states"), "year")
+    storage.write_bronze(_dated(S.flow_bronze(t, "states")).filter(in_years), layout.bronze("irs", "states"), "year")
+    places = flow = ("states",)
+    refresh.refresh_silver(t.spark, layout, refresh.silver_sources(places, flow), list(years)[:3])
+    refresh.refresh_all(t.spark, layout, list(years)[3:], places, flow)
+    out = t.spark.table(layout.table(refresh.FLOW_MART["states"]))
+    return out.withColumns({c: F.floor(F.col(c) * 1e6 + 0.5) / 1e6 for c in ("origin_lat", "origin_lon", "dest_lat", "dest_lon")})

@@ -7,7 +7,7 @@ from placetide.workload import all_queries
 
 SLOW = {  # these write and read back, or run jobs while building
     "year_backfill", "backfill_bucketed", "bucketed_mart", "stream_arrivals", "sync_missing_years", "write_metrics",
-    "geojson_sink", "bronze_partitions", "boundary_landing", "csv_flows", "series", "value_pivot", "single_value",
+    "geojson_sink", "bronze_partitions", "boundary_landing", "csv_flows", "refresh_layers", "series", "value_pivot", "single_value",
 }
 
 
