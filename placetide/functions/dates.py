@@ -97,7 +97,7 @@ def iso_week_of_year(d) -> Column:
 def iso_year_week(d) -> Column:
     """ISO year and week as ``2026-W01``; the year is the one the week belongs to."""
     year = F.date_part(F.lit("yearofweek"), _day(d))
-    return F.format_string("%d-W%02d", year, F.weekofyear(_day(d)))
+    return F.concat(year.cast("string"), F.lit("-W"), F.lpad(F.weekofyear(_day(d)).cast("string"), 2, "0"))
 
 
 def convert_timezone(ts, target: str, source: str = "UTC") -> Column:

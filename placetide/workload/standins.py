@@ -271,8 +271,9 @@ def boundary_bronze(t: Tables, level: str) -> DataFrame:
         places = places if tracts else places.distinct()
     state = F.lpad(F.col("nk").cast("string"), 2, "0")
     county = F.lpad("county", 3, "0")
-    corner = places.withColumns({"x": F.expr(X), "y": F.expr(Y)})
-    return corner.select(
+    # The outline is built once per place, ahead of the repetition over years.
+    drawn = places.withColumns({"x": F.expr(X), "y": F.expr(Y)}).withColumn("geometry_wkt", F.expr(WKT))
+    return drawn.select(
         state.alias("STATEFP"),
         county.alias("COUNTYFP"),
         F.col("tract").alias("TRACTCE"),
@@ -285,7 +286,7 @@ def boundary_bronze(t: Tables, level: str) -> DataFrame:
         F.col("k").alias("AWATER"),
         F.col("y").cast("string").alias("INTPTLAT"),
         F.col("x").cast("string").alias("INTPTLON"),
-        F.expr(WKT).alias("geometry_wkt"),
+        "geometry_wkt",
         F.explode(F.sequence(*(F.lit(y).cast("bigint") for y in BOUNDARY_YEARS))).alias("survey_year"),
     ).withColumn("ingest_date", F.lit(INGEST_DATE))
 
