@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -16,11 +17,14 @@ def _lower_set(names: Iterable[str] | None) -> set[str]:
     return {n.lower() for n in (names or ())}
 
 
-def star(df: DataFrame, except_: Iterable[str] = (), prefix: str = "", suffix: str = "") -> list[Column]:
+def star(
+    df: DataFrame, except_: Iterable[str] = (), relation_alias: str | None = None, prefix: str = "", suffix: str = ""
+) -> list[Column]:
     """All columns but ``except_`` (case-insensitive), renamed with prefix and suffix."""
     dropped = _lower_set(except_)
+    source = f"{relation_alias}." if relation_alias else ""
     return [
-        F.col(f"`{c}`").alias(f"{prefix}{c}{suffix}") for c in df.columns if c.lower() not in dropped
+        F.col(f"{source}`{c}`").alias(f"{prefix}{c}{suffix}") for c in df.columns if c.lower() not in dropped
     ]
 
 
@@ -46,53 +50,49 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[C
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-# Comparisons and aggregates the pivot accepts.
-_COMPARISONS = {
-    "=": lambda a, b: a == b,
-    "<>": lambda a, b: a != b,
-    "!=": lambda a, b: a != b,
-    "<": lambda a, b: a < b,
-    "<=": lambda a, b: a <= b,
-    ">": lambda a, b: a > b,
-    ">=": lambda a, b: a >= b,
-}
-_AGGREGATES = {
-    "sum": (F.sum, F.sum_distinct),
-    "count": (F.count, F.count_distinct),
-    "min": (F.min, F.min),
-    "max": (F.max, F.max),
-}
+# Comparisons the pivot accepts.
+COMPARISONS = ("=", "<=>", "<>", "!=", "<", "<=", ">", ">=", "like", "rlike")
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, (bool, int, float)):
+        return str(value)
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def pivot_columns(
     column: str,
-    values: Iterable[str],
+    values: Iterable,
+    alias: bool = True,
     agg: str = "sum",
     cmp: str = "=",
     prefix: str = "",
     suffix: str = "",
-    then_value: Column | int | str = 1,
-    else_value: Column | int | str | None = 0,
+    then_value: int | str = 1,
+    else_value: int | str | None = 0,
     quote_identifiers: bool = True,
     distinct: bool = False,
 ) -> list[Column]:
     """One aggregate column per value, to be used in ``groupBy(...).agg(*...)``.
 
     Conditional aggregation: one pass and one shuffle whatever the number of values, and a
-    missing cell shows ``else_value``, not NULL. ``then_value`` / ``else_value`` are
-    numbers, columns or column names.
+    missing cell shows ``else_value``, not NULL. ``agg`` is any aggregate function;
+    ``then_value`` / ``else_value`` are numbers or SQL text such as a column name.
     """
-    plain, over_distinct = _AGGREGATES[agg]
-    compare = _COMPARISONS[cmp]
-
-    def operand(v):
-        return F.col(v) if isinstance(v, str) else v if isinstance(v, Column) else F.lit(v)
-
+    if cmp.lower() not in COMPARISONS:
+        raise ValueError(f"cmp must be one of {COMPARISONS}")
+    if not agg.isidentifier():
+        raise ValueError(f"agg must be a function name, got {agg!r}")
+    missing = "NULL" if else_value is None else else_value
     out = []
     for value in values:
-        cell = F.when(compare(F.col(column), F.lit(value)), operand(then_value)).otherwise(operand(else_value))
+        cell = f"CASE WHEN {column} {cmp} {_literal(value)} THEN {then_value} ELSE {missing} END"
+        total = F.expr(f"{agg}({'DISTINCT ' if distinct else ''}{cell})")
         name = f"{prefix}{value}{suffix}"
-        out.append((over_distinct if distinct else plain)(cell).alias(name if quote_identifiers else slug(name)))
+        out.append(total.alias(name if quote_identifiers else slug(name)) if alias else total)
     return out
 
 
@@ -160,8 +160,6 @@ def union_relations(
 
 
 def _like(name: str, pattern: str) -> bool:
-    import re
-
     parts = [".*" if ch == "%" else "." if ch == "_" else re.escape(ch) for ch in pattern.lower()]
     return re.fullmatch("".join(parts), name.lower()) is not None
 
@@ -237,19 +235,36 @@ def two_way_except(
     return one_sided.select(which, *columns)
 
 
+def _order_terms(terms: str | Sequence[str]) -> list[tuple[str, bool]]:
+    """``"min(x) desc"`` as (aggregate, descending)."""
+    out = []
+    for term in [terms] if isinstance(terms, str) else terms:
+        found = re.fullmatch(r"(.*?)(?:\s+(asc|desc))?", term.strip(), re.IGNORECASE | re.DOTALL)
+        out.append((found[1], (found[2] or "").lower() == "desc"))
+    return out
+
+
 def column_values(
     df: DataFrame,
     column: str,
-    order_by: Sequence[Column] | None = None,
+    order_by: str | Sequence[str] = "count(*) desc",
     max_records: int | None = None,
     where: str | Column | None = None,
 ) -> DataFrame:
-    """Distinct values with their counts, most frequent first (value breaks ties)."""
+    """Distinct values with their counts, most frequent first (the value breaks ties).
+
+    ``order_by`` is SQL text over the group, such as ``"min(created_at)"`` or the column's
+    own name.
+    """
     if where is not None:
         df = df.filter(where)
-    counted = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    ordered = counted.orderBy(*(order_by or [F.desc("n"), F.asc("value")]))
-    return ordered if max_records is None else ordered.limit(max_records)
+    terms = _order_terms(order_by)
+    keys = [F.expr(text).alias(f"_o{i}") for i, (text, _) in enumerate(terms)]
+    counted = df.groupBy(column).agg(F.count("*").alias("n"), *keys)
+    order = [F.desc(f"_o{i}") if down else F.asc(f"_o{i}") for i, (_, down) in enumerate(terms)]
+    ordered = counted.orderBy(*order, F.asc(column))
+    ordered = ordered if max_records is None else ordered.limit(max_records)
+    return ordered.select(F.col(column).alias("value"), "n")
 
 
 def column_value_list(df: DataFrame, column: str, max_records: int, default=None, **options) -> list:

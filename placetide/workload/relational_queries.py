@@ -187,7 +187,7 @@ def group_by_n(t):
 )
 def value_pivot(t):
     """Pivot over the values found in the data, read as a bounded list."""
-    ranked = R.column_values(t.customer, "c_mktsegment", order_by=[F.asc("value")])
+    ranked = R.column_values(t.customer, "c_mktsegment", order_by="c_mktsegment")
     values = R.results_as_lists(ranked, max_rows=50)["value"]
     return R.pivot(t.customer, ["c_nationkey"], "c_mktsegment", values, quote_identifiers=False)
 

@@ -15,6 +15,12 @@ def test_pivot_counts_and_sums(shirts):
     summed = R.pivot(shirts, ["size"], "color", ["red", "blue"], then_value="quantity", prefix="qty ")
     assert summed.columns == ["size", "qty red", "qty blue"]
     assert sorted(rows(summed)) == [("M", 8, 0), ("S", 5, 2)]
+    top = R.pivot(shirts, ["size"], "color", ["red", "it's"], agg="max", then_value="quantity", else_value=None)
+    assert top.columns == ["size", "red", "it's"] and sorted(rows(top)) == [("M", 8, None), ("S", 4, None)]
+    with pytest.raises(ValueError):
+        R.pivot_columns("color", ["red"], cmp="; drop")
+    with pytest.raises(ValueError):
+        R.pivot_columns("color", ["red"], agg="sum(")
     other = R.pivot(shirts, ["size"], "color", ["red"], cmp="!=", quote_identifiers=False, suffix="-n")
     assert other.columns == ["size", "red_n"] and sorted(rows(other)) == [("M", 0), ("S", 1)]
 
@@ -80,7 +86,7 @@ def test_deduplicate_keeps_rows_with_nulls(spark):
 
 def test_star_nullcheck_group_by(spark):
     df = spark.createDataFrame([("", 1, "x"), ("a", 1, "")], "s string, n int, t string")
-    assert df.select(*R.star(df, ["N"], "p_", "_q")).columns == ["p_s_q", "p_t_q"]
+    assert df.select(*R.star(df, ["N"], prefix="p_", suffix="_q")).columns == ["p_s_q", "p_t_q"]
     assert rows(R.nullcheck(df)) == [(None, 1, "x"), ("a", 1, None)]
     assert rows(R.nullcheck(df, ["S"])) == [(None, 1, "x"), ("a", 1, "")]
     assert rows(R.group_by_first(df.select("n", "s"), 1).count()) == [(1, 2)]
@@ -92,6 +98,9 @@ def test_values_and_lists(spark):
     df = spark.createDataFrame([("b",), ("a",), ("a",), ("c",), ("b",)], "v string")
     assert rows(R.column_values(df, "v")) == [("a", 2), ("b", 2), ("c", 1)]
     assert R.column_value_list(df, "v", 2) == ["a", "b"]
+    assert R.column_value_list(df, "v", 5, order_by="v desc") == ["c", "b", "a"]
+    timed = df.withColumn("t", F.when(F.col("v") == "c", 0).otherwise(1))
+    assert R.column_value_list(timed, "v", 5, order_by=["min(t)", "count(*) DESC"]) == ["c", "a", "b"]
     assert R.column_value_list(df, "v", 2, default=["z"], where="v > 'x'") == ["z"]
     assert R.single_value(df.filter("v = 'q'"), 7) == 7 and R.single_value(df.orderBy("v")) == "a"
     assert R.results_as_lists(df.orderBy("v"), 5) == {"v": ["a", "a", "b", "b", "c"]}
