@@ -2,15 +2,18 @@
 
 A plain ``lead`` over a whole table, or over one hot group, sorts it all in a single task.
 Here rows are first reduced to distinct values with a count (map-side combined, so copies
-collapse before the shuffle), then cut into blocks of consecutive values. Neighbours inside
-a block come from a window per (group, block); the pair across two blocks comes from a
-small table of block heads. Blocks are value ranges taken from exact minima and maxima, so
-the result does not depend on how Spark partitions the data.
+collapse before the shuffle). The largest groups are then cut into blocks of consecutive
+values, each with a window of its own; the pair across two blocks comes from a second,
+small window over the blocks' first and last rows. All other groups keep one window. Blocks
+are value ranges taken from exact minima and maxima, so the result depends neither on how
+Spark partitions the data nor on which groups are cut.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +23,9 @@ from pyspark.sql import types as T
 # small part of the range (one far outlier is enough) are still spread over many blocks.
 BLOCKS = 1024
 SUB_BLOCKS = 64
+# How many of the largest groups are cut, and the size below which none is.
+HOT_GROUPS = 1000
+HOT_ROWS = 50_000
 
 
 def _as_number(df: DataFrame, column: str) -> Column:
@@ -45,11 +51,25 @@ def _cut(number: Column, low: Column, high: Column, parts: int) -> Column:
     return F.when(number.isNull(), -1).otherwise(F.coalesce(part, F.lit(0)))
 
 
+def _mark_hot(distinct: DataFrame, group_by: list[str], hot_rows: int) -> DataFrame:
+    """Add ``_hot``: the row is in one of the largest groups. The broadcast holds at most
+    ``HOT_GROUPS`` keys; every group left out is smaller than all of those."""
+    if not group_by:
+        return distinct.withColumn("_hot", F.lit(True))
+    sizes = distinct.groupBy(*group_by).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+    largest = sizes.orderBy(F.desc("_n")).limit(HOT_GROUPS)
+    keys = largest.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(group_by)), F.lit(True).alias("_found"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(group_by)])
+    marked = distinct.join(F.broadcast(keys), same, "left")
+    return marked.select(*distinct.columns, F.coalesce("_found", F.lit(False)).alias("_hot"))
+
+
 def with_next(
     df: DataFrame,
     group_by: Sequence[str],
     order: Sequence[str],
     blocks: int = BLOCKS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Distinct (group, order) rows with ``copies`` and ``next`` = struct of the following
     row's ``order`` columns in the group (NULL at the group's end).
@@ -59,29 +79,27 @@ def with_next(
     group_by, order = list(group_by), list(order)
     number = _as_number(df, order[0])
     distinct = df.groupBy(*group_by, *order).agg(F.count("*").alias("copies"))
+    marked = _mark_hot(distinct, group_by, hot_rows)
     limits = df.select(number.alias("v")).agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
-    coarse = distinct.withColumn("_coarse", _cut(number, limits["low"], limits["high"], blocks))
+    coarse = F.when(F.col("_hot"), _cut(number, limits["low"], limits["high"], blocks)).otherwise(-2)
+    marked = marked.withColumn("_coarse", coarse)
     # At most one row per coarse block, so the broadcast is bounded by construction.
-    inner = coarse.groupBy("_coarse").agg(F.min(number).alias("_low"), F.max(number).alias("_high"))
-    sub = _cut(number, F.col("_low"), F.col("_high"), SUB_BLOCKS)
-    rows = coarse.join(F.broadcast(inner), "_coarse").withColumn(
-        "_block", F.col("_coarse") * (SUB_BLOCKS + 1) + F.greatest(sub, F.lit(0))
-    )
+    inner = marked.filter("_hot").groupBy("_coarse").agg(F.min(number).alias("_low"), F.max(number).alias("_high"))
+    sub = F.greatest(_cut(number, F.col("_low"), F.col("_high"), SUB_BLOCKS), F.lit(0))
+    block = F.when(F.col("_hot"), F.col("_coarse") * (SUB_BLOCKS + 1) + sub).otherwise(-2)
+    rows = marked.join(F.broadcast(inner), "_coarse", "left").withColumn("_block", block)
 
-    # A block's rows but the last take their follower from the block's own window. The last
-    # row takes the head of the group's next block; heads and tails are two aggregates per
-    # block, so no join is needed: every row is in exactly one of the two halves.
     here = F.struct(*order)
-    inside = Window.partitionBy(*group_by, "_block").orderBy(*order)
-    within = rows.withColumn("next", F.lead(here).over(inside)).filter(F.col("next").isNotNull())
-    ends = rows.groupBy(*group_by, "_block").agg(
-        F.min(here).alias("_head"), F.max(F.struct(*order, "copies")).alias("_tail")
-    )
-    across = Window.partitionBy(*group_by).orderBy("_block")
-    tails = ends.withColumn("next", F.lead("_head").over(across))
+    inside = Window.partitionBy(*group_by, "_hot", "_block").orderBy(*order)
+    paired = rows.withColumns({"next": F.lead(here).over(inside), "_rn": F.row_number().over(inside)})
     columns = [*group_by, *order, "copies", "next"]
-    last = [F.col(f"_tail.{c}").alias(c) for c in [*order, "copies"]]
-    return within.select(*columns).unionByName(tails.select(*group_by, *last, "next"))
+    settled = paired.filter(~F.col("_hot") | F.col("next").isNotNull())
+    # Each block's first and last row, at most two per block: the last one's follower is the
+    # first row of the group's next block.
+    ends = paired.filter(F.col("_hot") & (F.col("next").isNull() | (F.col("_rn") == 1)))
+    across = Window.partitionBy(*group_by).orderBy(*order)
+    seams = ends.withColumn("_over", F.lead(here).over(across)).filter(F.col("next").isNull())
+    return settled.select(*columns).unionByName(seams.withColumn("next", F.col("_over")).select(*columns))
 
 
 def exclusive_range_violations(

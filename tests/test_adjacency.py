@@ -42,9 +42,11 @@ def test_ranges_match_brute_force(spark, data, gaps, zero, blocks):
     df = spark.createDataFrame(data, RANGES)
     found = A.exclusive_range_violations(df, "lo", "hi", ["g"], gaps, zero)
     assert sum(r.violations for r in found.collect()) == brute_ranges(data, KEEP[gaps], zero)
-    # The neighbours do not depend on how many blocks the values are cut into.
-    fine = sorted(rows(A.with_next(df, ["g"], ["lo", "hi"])), key=str)
-    assert sorted(rows(A.with_next(df, ["g"], ["lo", "hi"], blocks=blocks)), key=str) == fine
+    # The neighbours do not depend on which groups are cut, nor into how many blocks.
+    whole = sorted(rows(A.with_next(df, ["g"], ["lo", "hi"])), key=str)
+    for hot_rows in (0, 5):
+        cut = A.with_next(df, ["g"], ["lo", "hi"], blocks=blocks, hot_rows=hot_rows)
+        assert sorted(rows(cut), key=str) == whole
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -108,11 +110,14 @@ def test_hourly_sequence(spark):
 
 
 def test_hot_group_is_cut_into_blocks(spark):
-    df = spark.range(1000).selectExpr("1 AS g", "id AS v")
-    plan = plan_of(A.with_next(df, ["g"], ["v"]))
+    df = spark.range(1000).selectExpr("IF(id % 3 = 0, NULL, 1) AS g", "id AS v")
+    found = A.with_next(df, ["g"], ["v"], hot_rows=100)
+    plan = plan_of(found)
     assert "_block" in plan and "CartesianProduct" not in plan and "SortMergeJoin" not in plan
     # Copies of a row are counted before the shuffle.
     assert "partial_count" in plan
+    # Both groups are cut, the NULL one too; only the two group ends have no follower.
+    assert found.count() == 1000 and found.filter("next IS NULL").count() == 2
 
 
 def test_outlier_does_not_put_all_rows_in_one_block(spark):
