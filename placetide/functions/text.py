@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,8 +31,6 @@ def slugify(text) -> Column:
 
 def slug(text: str) -> str:
     """Driver-side :func:`slugify` for column names."""
-    import re
-
     clean = re.sub("[^a-z0-9_]+", "", re.sub("[ -]+", "_", (text or "").lower()))
     return f"_{clean}" if clean[:1].isdigit() else clean
 

@@ -102,6 +102,32 @@ def with_next(
     return settled.select(*columns).unionByName(seams.withColumn("next", F.col("_over")).select(*columns))
 
 
+# How the end of a range must relate to the start of the next one.
+GAP_RULES = {
+    "not_allowed": lambda end, start: end == start,
+    "allowed": lambda end, start: end <= start,
+    "required": lambda end, start: end < start,
+}
+
+
+def range_conflicts(lower: str, upper: str, gaps: str = "allowed", zero_length_range_allowed: bool = False) -> Column:
+    """Number of violations of a :func:`with_next` row under one gap rule.
+
+    Several rules can be counted from the same neighbours in one aggregate.
+    """
+    if gaps not in GAP_RULES:
+        raise ValueError(f"gaps must be one of {sorted(GAP_RULES)}")
+    keeps = GAP_RULES[gaps]
+    low, high = F.col(lower), F.col(upper)
+    shape = (low <= high) if zero_length_range_allowed else (low < high)
+    good_shape = F.coalesce(shape, F.lit(False))
+    good_next = F.col("next").isNull() | F.coalesce(keeps(high, F.col(f"next.{lower}")), F.lit(False))
+    # All copies but the last are followed by an equal range.
+    good_copy = F.coalesce(keeps(high, low), F.lit(False))
+    after = F.when(good_copy, F.lit(0)).otherwise(F.col("copies") - 1) + F.when(good_next, F.lit(0)).otherwise(1)
+    return F.when(good_shape, after).otherwise(F.col("copies")).cast("bigint")
+
+
 def exclusive_range_violations(
     df: DataFrame,
     lower: str,
@@ -117,27 +143,8 @@ def exclusive_range_violations(
     a NULL bound is a violation. Result: the range, ``copies`` of it, and how many of them
     are ``violations``.
     """
-    rules = {
-        "not_allowed": lambda a, b: a == b,
-        "allowed": lambda a, b: a <= b,
-        "required": lambda a, b: a < b,
-    }
-    if gaps not in rules:
-        raise ValueError(f"gaps must be one of {sorted(rules)}")
+    bad = range_conflicts(lower, upper, gaps, zero_length_range_allowed)
     rows = with_next(df, partition_by, [lower, upper])
-    low, high = F.col(lower), F.col(upper)
-    shape = (low <= high) if zero_length_range_allowed else (low < high)
-    good_shape = F.coalesce(shape, F.lit(False))
-    good_next = F.col("next").isNull() | F.coalesce(rules[gaps](high, F.col(f"next.{lower}")), F.lit(False))
-    # All copies but the last are followed by an equal range.
-    good_copy = F.coalesce(rules[gaps](high, low), F.lit(False))
-    bad = (
-        F.when(~good_shape, F.col("copies"))
-        .otherwise(
-            F.when(good_copy, F.lit(0)).otherwise(F.col("copies") - 1) + F.when(good_next, F.lit(0)).otherwise(1)
-        )
-        .cast("bigint")
-    )
     return rows.select(*partition_by, lower, upper, "copies", bad.alias("violations")).filter("violations > 0")
 
 

@@ -106,7 +106,8 @@ def create_table(
     if bucket_by:
         clauses.append(f"CLUSTERED BY (`{bucket_by}`) INTO {int(buckets)} BUCKETS")
     if location:
-        clauses.append(f"LOCATION '{location}'")
+        quoted = location.replace("'", "\\'")
+        clauses.append(f"LOCATION '{quoted}'")
     clauses.append("TBLPROPERTIES ('parquet.compression'='snappy')")
     spark.sql(" ".join(clauses))
     return True

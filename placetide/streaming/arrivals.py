@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from placetide.functions.keys import available_years, latest_flow_year, latest_survey_year
 from placetide.operators.relational import missing_keys
-from placetide.schemas import STATE_FIPS_CODES
-from placetide.sources.storage import backfill_years, read_bronze
+from placetide.plans.refresh import FLOW_LEVELS, FLOW_STEM, Layout, refresh_gold, refresh_marts, silver_sources
+from placetide.schemas import LEVELS, STATE_FIPS_CODES
+from placetide.sources.storage import backfill_years, create_table, read_bronze
 
 
 def expected_years(spark: SparkSession, as_of: str, source: str = "survey") -> DataFrame:
@@ -101,3 +102,44 @@ def refresh_on_arrival(
     query.awaitTermination()
     return sorted(touched)
 
+
+
+def cascade_on_arrival(
+    spark: SparkSession,
+    layout: Layout,
+    checkpoint: str,
+    levels: Sequence[str] = LEVELS,
+    flow_levels: Sequence[str] = FLOW_LEVELS,
+) -> dict[str, list[int]]:
+    """Carry newly landed files of every source through silver, gold and marts, then stop.
+
+    Gold and marts are refreshed inside the batch, before the stream commits it: a run that
+    dies in between is replayed, and every step replaces whole years or tables, so nothing
+    is lost or doubled. Returns the years refreshed per silver table.
+    """
+    sources = silver_sources(levels, flow_levels)
+    for source in sources:
+        create_table(spark, layout.table(source.silver), source.silver_schema, location=layout.location(source.silver))
+    done: dict[str, list[int]] = {}
+    for source in sources:
+        flow = source.folder == "irs"
+
+        def upward(years: list[int], source=source, flow=flow) -> None:
+            places = () if flow else (source.level,)
+            refresh_gold(spark, layout, places, (source.level,) if flow else (), years)
+            # A place mart feeds the flow mart of its level, once both have gold.
+            feeds = [x for x in flow_levels if x == source.level]
+            ready = [x for x in feeds if spark.catalog.tableExists(layout.table(f"gold_{FLOW_STEM[x]}"))]
+            have = [x for x in levels if x == source.level and spark.catalog.tableExists(layout.table(f"gold_{x}"))]
+            refresh_marts(spark, layout, have, ready if have else ())
+
+        done[source.silver] = refresh_on_arrival(
+            spark,
+            layout.bronze(source.folder, source.level),
+            source.schema,
+            source.to_silver,
+            layout.table(source.silver),
+            f"{checkpoint}/{source.silver}",
+            after=upward,
+        )
+    return done

@@ -155,3 +155,42 @@ def test_no_machine_local_folder_off_local_master(spark, bad, monkeypatch):
 
     with pytest.raises(RuntimeError):
         S.shared_dir(Session())
+
+
+def test_arrivals_cascade_to_marts(spark, tmp_path):
+    from placetide.plans.refresh import Layout
+    from placetide.schemas import BOUNDARY_BRONZE
+    from placetide.streaming.arrivals import cascade_on_arrival
+
+    layout = Layout(str(tmp_path), prefix="cas_")
+
+    def survey(year, *states):
+        names = SURVEY_BRONZE.fieldNames()
+        special = {"survey_year": year, "county": None, "tract": None}
+        data = [tuple(special[n] if n in special else s if n == "state" else "10" for n in names) for s in states]
+        return spark.createDataFrame(data, SURVEY_BRONZE)
+
+    def shapes(year, *states):
+        names = BOUNDARY_BRONZE.fieldNames()
+        special = {"survey_year": year, "ALAND": 1, "AWATER": 2, "geometry_wkt": "POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))"}
+        return spark.createDataFrame([tuple(special.get(n, s) for n in names) for s in states], BOUNDARY_BRONZE)
+
+    def moves(year, *pairs):
+        return spark.createDataFrame([(o, d, "S", "N", "5", "9", "100", year, "x") for o, d in pairs], STATE_FLOW_BRONZE)
+
+    def land(year, states, pairs):
+        S.write_bronze(survey(year, *states), layout.bronze("census_acs5", "states"), "year")
+        S.write_bronze(shapes(year, *states), layout.bronze("tiger", "states"), "year")
+        S.write_bronze(moves(year, *pairs), layout.bronze("irs", "states"), "year")
+
+    def run():
+        return cascade_on_arrival(spark, layout, str(tmp_path / "check"), ("states",), ("states",))
+
+    land(2020, ["01", "06"], [("1", "6"), ("6", "6"), ("1", "96")])
+    assert set(map(tuple, run().values())) == {(2020,)}
+    land(2021, ["01"], [("1", "6")])
+    assert set(map(tuple, run().values())) == {(2021,)}
+    assert set(map(tuple, run().values())) == {()}
+    got = rows(spark.table("cas_mart_migration_flows_states").select("survey_year", "origin_lat", "dest_lat", "agi_per_household"), "survey_year")
+    assert got == [(2020, 1.0, 1.0, 20.0), (2021, 1.0, None, 20.0)]
+    assert spark.table("cas_gold_states").count() == 3
