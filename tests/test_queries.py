@@ -1,8 +1,9 @@
-"""Every named query against its SQL twin on the same parquet tables."""
+"""Every named query against its SQL twin on the same parquet tables, and its plan."""
 
 import math
 
 import pytest
+from conftest import plan_of
 
 from placetide.workload import all_queries, all_sql
 from placetide.workload.registry import SCHEMAS
@@ -15,6 +16,10 @@ TYPES = {
     "date": "DATE", "timestamp_ntz": "TIMESTAMP",
 }
 NAMES = sorted(all_queries())
+# No query may plan a cross join or leave the JVM.
+UNWANTED = (
+    "CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas", "InArrow", "MapPartitions",
+)
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +41,8 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(name, spark, data_dir, engine):
     df = all_queries()[name](spark, data_dir)
+    plan = plan_of(df)
+    assert not [bad for bad in UNWANTED if bad in plan]
     columns = sorted(df.columns)
     result = engine.execute(all_sql()[name])
     other = [d[0] for d in result.description]
