@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placetide.llm import quality
-from placetide.llm.shared import scratch_path
+from placetide.llm import language, line_chunks, quality, simhash
+from placetide.llm.shared import importable, scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is near enough to a centroid to be told."""
+    return language.keep_identified(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without chunks of lines that stand in an earlier one; emptied ones go."""
+    return line_chunks.keep_new_lines(docs)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return simhash.keep_one(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("language ID", language_id),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", simhash_dedup),
 ]
 
 # Centroids, fingerprints' links and packing are beyond SQL.
@@ -27,6 +45,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``: the rows of the last one."""
+    importable(spark)
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, name.replace(" ", "_"))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetide.llm import quality
+from placetide.llm import language, line_chunks, quality, simhash
+from placetide.llm.shared import importable
 from placetide.workload.registry import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,10 +16,39 @@ SQL: dict[str, str] = {}
 
 
 def _query(fn: Callable[[Tables], DataFrame]):
-    QUERIES[fn.__name__] = lambda spark, folder: fn(Tables(spark, folder))
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        importable(spark)
+        return fn(Tables(spark, folder))
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
+@_query
+def op2_line_dedup(t: Tables) -> DataFrame:
+    return line_chunks.without_repeats(t.documents.select("doc_id", "text"))
+
+
+SQL["op2_line_dedup"] = line_chunks.SQL
+
+
+@_query
+def op3_language_id(t: Tables) -> DataFrame:
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    rows = t.documents.select("doc_id", "text", "lang")
+    model = language.fit(rows.filter(part != 2))
+    said = language.identify(rows.select("doc_id", "text", (part == 2).alias("held_out")), model)
+    return said.select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "lang_pred", "score", "near")
+
+
+@_query
+def op7_simhash(t: Tables) -> DataFrame:
+    found = simhash.classes(t.documents.select("doc_id", "text"))
+    # The same 64 bits, unsigned and with all their digits.
+    digits = F.lpad(F.lower(F.hex("print")), 16, "0")
+    return found.select(F.col("key").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 @_query
 def op10_quality_rules(t: Tables) -> DataFrame:
     rules = quality.fit(t.documents, t.labels)

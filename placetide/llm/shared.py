@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import os
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +51,17 @@ def release() -> None:
             return
 
 
+def importable(spark: SparkSession) -> None:
+    """Let the Python workers of a local session import this package from where it lies.
+
+    On a cluster it is installed or sent with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if spark.sparkContext.master.startswith("local") and root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def free_name(columns: Sequence[str], name: str) -> str:
     """``name``, prefixed until no column has it."""
     taken = {c.lower() for c in columns}
@@ -73,7 +87,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterato
     """
     for batch in batches:
         done, held = 0, 0
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         for row, length in enumerate(lengths):
             if held and held + length > size:
                 yield batch.slice(done, row - done)
