@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placetide.llm import language, line_chunks, quality, simhash
+from placetide.llm import language, line_chunks, packing, quality, simhash
+from placetide.llm.queries import tokenizer_file
 from placetide.llm.shared import importable, scratch_path
 
+END_ID = 1
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,11 +35,17 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.keep_one(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token windows filled with lexical neighbours, with their ids."""
+    return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), END_ID, id_bytes=2)
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("language ID", language_id),
     ("line dedup", line_dedup),
     ("SimHash near-dedup", simhash_dedup),
+    ("packing", pack),
 ]
 
 # Centroids, fingerprints' links and packing are beyond SQL.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetide.llm import language, line_chunks, quality, simhash
+from placetide.llm import language, line_chunks, packing, quality, simhash
 from placetide.llm.shared import importable
 from placetide.workload.registry import Tables
 
@@ -24,6 +24,19 @@ def _query(fn: Callable[[Tables], DataFrame]):
     return fn
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file lies; every executor has the same library."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@_query
+def op1_packing(t: Tables) -> DataFrame:
+    path = tokenizer_file("byte_bpe_50k.json")
+    return packing.pack(t.documents.select("doc_id", "text"), path, end_id=1, id_bytes=2, keep_tokens=False).drop("tokens")
+
+
 @_query
 def op2_line_dedup(t: Tables) -> DataFrame:
     return line_chunks.without_repeats(t.documents.select("doc_id", "text"))
