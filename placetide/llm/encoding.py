@@ -71,8 +71,9 @@ class TextEncoder:
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of each piece; one that starts with a line feed has no space before it.
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces and how many each has; one that starts with a line feed has no
+        space before it.
 
         A word of plain letters is one unit of the model, and so is one mark after it; every
         other piece takes the library's whole way.
@@ -104,7 +105,8 @@ class TextEncoder:
         whole = [p if words_only or p[:1] == "\n" else " " + p for p in (pieces[k] for k in rest)]
         for k, ids in zip(rest, self._whole(whole), strict=True):
             out[k] = ids
-        return out
+        sizes = np.fromiter(map(len, out), np.int64, len(out))
+        return np.fromiter(chain.from_iterable(out), np.uint32, int(sizes.sum())), sizes
 
     def _cut(self, text: str) -> list[str] | None:
         """Pieces whose ids make up those of ``"\\n" + text``; None if the text must stay whole."""
@@ -128,10 +130,8 @@ class TextEncoder:
         known = len(self.numbers)
         index = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
         if len(self.numbers) > known:
-            new = self._pieces(list(islice(self.numbers, known, None)))
-            lengths = np.fromiter(map(len, new), np.int64, len(new))
-            ids = np.fromiter(chain.from_iterable(new), np.uint32, int(lengths.sum()))
-            self.flat = np.concatenate([self.flat, ids])
+            ids, lengths = self._pieces(list(islice(self.numbers, known, None)))
+            self.flat = np.concatenate([self.flat, ids.astype(np.uint32, copy=False)])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.starts = np.cumsum(self.lengths) - self.lengths
         lengths = self.lengths[index]

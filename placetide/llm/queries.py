@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetide.llm import language, line_chunks, packing, quality, simhash
+from placetide.llm import bpe, language, line_chunks, packing, quality, simhash, token_counts, topk
 from placetide.llm.shared import importable
 from placetide.workload.registry import Tables
 
@@ -54,6 +54,20 @@ def op3_language_id(t: Tables) -> DataFrame:
     return said.select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "lang_pred", "score", "near")
 
 
+@_query
+def op5_topk(t: Tables) -> DataFrame:
+    return topk.top_k(t.embeddings, F.col("key") % 20 == 0, 20)
+
+
+SQL["op5_topk"] = topk.SQL
+
+
+@_query
+def op6_token_counts(t: Tables) -> DataFrame:
+    lengths = token_counts.encoded_lengths(t.documents, tokenizer_file("byte_bpe_50k.json"))
+    return token_counts.suffix_sums(token_counts.histogram(lengths))
+
+
 @_query
 def op7_simhash(t: Tables) -> DataFrame:
     found = simhash.classes(t.documents.select("doc_id", "text"))
@@ -62,6 +76,12 @@ def op7_simhash(t: Tables) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@_query
+def op9_bpe(t: Tables) -> DataFrame:
+    path = tokenizer_file("byte_bpe_50k.json")
+    return bpe.round_trip(t.documents.select("doc_id", "text"), path, keep_ids=False)
+
+
 @_query
 def op10_quality_rules(t: Tables) -> DataFrame:
     rules = quality.fit(t.documents, t.labels)
