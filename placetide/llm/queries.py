@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetide.llm import bpe, language, line_chunks, packing, quality, simhash, token_counts, topk
-from placetide.llm.shared import importable
+from placetide.llm import bpe, language, licenses, line_chunks, packing, quality, simhash, token_counts, token_files, topk
+from placetide.llm.shared import importable, parts_for, scratch_path, text_bytes
 from placetide.workload.registry import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,16 @@ def op3_language_id(t: Tables) -> DataFrame:
     return said.select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "lang_pred", "score", "near")
 
 
+@_query
+def op4_token_files(t: Tables) -> DataFrame:
+    rows = t.documents.select("doc_id", "text")
+    files = parts_for(text_bytes(rows), token_files.FILE)
+    target = scratch_path(t.spark, "token_files")
+    token_files.write(rows, target, tokenizer_file("word_bpe_49k.json"), 2, files, id_bytes=2)
+    found = token_files.with_starts(token_files.read(t.spark, target, keep_ids=False))
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @_query
 def op5_topk(t: Tables) -> DataFrame:
     return topk.top_k(t.embeddings, F.col("key") % 20 == 0, 20)
@@ -76,6 +86,14 @@ def op7_simhash(t: Tables) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@_query
+def op8_licenses(t: Tables) -> DataFrame:
+    return licenses.scan(t.documents.select("doc_id", "text"))
+
+
+SQL["op8_licenses"] = licenses.sql()
+
+
 @_query
 def op9_bpe(t: Tables) -> DataFrame:
     path = tokenizer_file("byte_bpe_50k.json")
