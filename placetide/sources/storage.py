@@ -6,6 +6,7 @@ there is no transaction log, so readers of a year being replaced may see it abse
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 from collections.abc import Sequence
 from contextlib import contextmanager
@@ -36,6 +37,39 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), "placetide", *parts, uuid4().hex])
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def scratch_dir(spark: SparkSession, *parts: str) -> str:
+    """Like :func:`shared_dir`, for what only this process needs: removed when it ends."""
+    path = shared_dir(spark, *parts)
+    _scratch.append((spark, path))
+    return path
+
+
+@atexit.register
+def remove_scratch() -> None:
+    """Remove the scratch folders made so far whose session still runs."""
+    while _scratch:
+        spark, path = _scratch.pop()
+        try:
+            folder, files = _folder(spark, path)
+            files.delete(folder, True)
+        except Exception:  # noqa: BLE001  the session has ended; its folders stay
+            return
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a scratch folder and read back.
+
+    This cuts the lineage: later steps neither repeat the work nor depend on the executors
+    that did it.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession):
     before = spark.conf.get(_OVERWRITE)
@@ -62,8 +96,10 @@ def write_bronze(df: DataFrame, path: str, *keys: str) -> None:
     ``year`` repeats ``survey_year``, which stays in the files. A ``state`` key lives in the
     folder name only and :func:`read_bronze` puts it back.
     """
-    if "year" in keys and "year" not in df.columns:
-        df = df.withColumn("year", F.col(YEAR))
+    if "year" in keys:
+        year = F.col("year") if "year" in df.columns else F.col(YEAR)
+        # A row without a year would land in a folder that nothing finds again.
+        df = df.withColumn("year", F.coalesce(year, F.raise_error(F.lit("row without a year")).cast("int")))
     spread(df, *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
         "compression", "snappy"
     ).partitionBy(*keys).parquet(path)
@@ -166,6 +202,53 @@ def full_refresh(
     writer.saveAsTable(table)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def set_mark(spark: SparkSession, path: str, name: str) -> None:
+    """Leave an empty file as a note that outlives the process."""
+    file, files = _folder(spark, f"{path}/{name}")
+    files.create(file, True).close()
+
+
+def clear_mark(spark: SparkSession, path: str, name: str) -> None:
+    file, files = _folder(spark, f"{path}/{name}")
+    files.delete(file, False)
+
+
+def marks(spark: SparkSession, path: str) -> list[str]:
+    """Names of the notes left under a path."""
+    return sorted(n for n in _listing(spark, path) or [] if not n.startswith((".", "_")))
+
+
+def _listing(spark: SparkSession, path: str) -> list[str] | None:
+    """Names in a folder, or None where there is no such folder; file metadata only."""
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return None
+    return [f.getPath().getName() for f in files.listStatus(folder)]
+
+
+def has_landed(spark: SparkSession, path: str) -> bool:
+    """The folder is there and holds something."""
+    return bool(_listing(spark, path))
+
+
+def landed_years(spark: SparkSession, path: str) -> list[int]:
+    """Years with a ``year=Y`` folder under a bronze path."""
+    names = _listing(spark, path) or []
+    return sorted(int(n[5:]) for n in names if n.startswith("year=") and n[5:].isdigit())
+
+
+def table_years(spark: SparkSession, table: str, key: str = YEAR) -> list[int]:
+    """Years a partitioned table holds, from its partition list: no row is read."""
+    parts = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    found = {dict(x.split("=", 1) for x in p.split("/")).get(key) for p in parts}
+    return sorted(int(y) for y in found if y and y.isdigit())
+
+
 def create_view(df: DataFrame, name: str) -> None:
     """Session view of a projection (staging views)."""
     df.createOrReplaceTempView(name)
