@@ -17,7 +17,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placetide.llm.shared import free_name, stored
+from placetide.llm.shared import filter_computed, free_name, stored
 
 # Lines under the rolling hash, its factor, and one cut in so many lines on average.
 WINDOW = 2
@@ -63,20 +63,27 @@ def chunked(df: DataFrame, text: str = "text", average: int = AVERAGE_LINES) ->
 
 
 def _chunks(rows: DataFrame, average: int, body: bool) -> DataFrame:
-    """``key, version, place, hash`` of every multi-line chunk of ``key, version, text``, with
-    ``size`` and ``body`` if asked for. Further columns stay."""
-    d = chunked(rows, "text", average).filter(F.size("lines") >= MIN_LINES)
+    """``key, version, place, chunks, hash`` of every multi-line chunk of ``key, version, text``,
+    with ``body`` if asked for; ``chunks`` is how many its text has. Further columns stay."""
     others = [c for c in rows.columns if c != "text"]
-    d = d.select(*others, "lines", "starts", F.posexplode("starts").alias("place", "start"))
-    size = F.coalesce(F.get("starts", F.col("place") + 1), F.size("lines")) - F.col("start")
-    d = d.select(*others, "place", size.alias("size"), F.slice("lines", F.col("start") + 1, size).alias("part"))
-    d = d.select(*others, "place", "size", F.array_join("part", "\n").alias("body"))
-    return d.select(*others, "place", *(["size", "body"] if body else []), F.xxhash64("body").alias("hash"))
+    d = chunked(rows.filter(F.instr("text", "\n") > 0), "text", average)
+    # Chunks are made inside the row: a row that is exploded should not carry its whole text.
+    end = lambda p: F.coalesce(F.get("starts", p + 1), F.size("lines"))
+    bodies = F.transform("starts", lambda s, p: F.array_join(F.slice("lines", s + 1, end(p) - s), "\n"))
+    made = bodies if body else F.transform(bodies, lambda b: F.xxhash64(b))
+    d = d.select(*others, F.size("starts").alias("chunks"), made.alias("made"))
+    # Every such text has a chunk. The outer form only keeps a test for that, which would
+    # compute all of this once more, from being put below it.
+    d = d.select(*others, "chunks", F.posexplode_outer("made").alias("place", "one"))
+    if body:
+        return d.select(*others, "place", "chunks", F.xxhash64("one").alias("hash"), F.col("one").alias("body"))
+    return d.select(*others, "place", "chunks", F.col("one").alias("hash"))
 
 
 def repeated_chunks(df: DataFrame, key: str = "doc_id", text: str = "text", average: int = AVERAGE_LINES) -> DataFrame:
-    """``key, version, place`` of every multi-line chunk that equals an earlier one; ``version``
-    is the XXH64 of the text, so that rows sharing a key are told apart.
+    """``key, version, place, chunks`` of every multi-line chunk that equals an earlier one;
+    ``version`` is the XXH64 of the text, so that rows sharing a key are told apart, and
+    ``chunks`` how many the text has.
 
     Earlier means a smaller key, then version, then place; a NULL key comes last. Rows that
     repeat both key and text count as one text.
@@ -91,12 +98,38 @@ def repeated_chunks(df: DataFrame, key: str = "doc_id", text: str = "text", aver
     # Only the texts of chunks whose hash occurs again are compared: equal bytes make a group.
     both = F.col("key").eqNullSafe(F.col("k")) & (F.col("version") == F.col("v"))
     bodies = _chunks(rows.join(wanted, both).drop("k", "v"), average, body=True)
-    held = stored(bodies.filter(F.array_contains("places", F.col("place"))).drop("places"), "held")
+    asked = filter_computed(bodies, F.array_contains("places", F.col("place")))
+    held = stored(asked.drop("places"), "held")
     order = F.struct(F.col("key").isNull().alias("late"), *[F.col(c).alias(c) for c in ("key", "version", "place")])
     first = held.groupBy("hash", "body").agg(F.min(order).alias("first"))
-    same = held.join(first, ["hash", "body"]).select("key", "version", "place", "first")
+    same = held.join(first, ["hash", "body"]).select("key", "version", "place", "chunks", "first")
     is_first = reduce(and_, [F.col(c).eqNullSafe(F.col(f"first.{c}")) for c in ("key", "version", "place")])
-    return same.filter(~is_first).select("key", "version", "place").distinct()
+    return same.filter(~is_first).select("key", "version", "place", "chunks").distinct()
+
+
+def _marked(df: DataFrame, key: str, text: str, average: int) -> tuple[DataFrame, str, str]:
+    """Every row with the places of its repeated chunks (NULL if none) and whether that is all of
+    them, and the names of both columns."""
+    removed = repeated_chunks(df, key, text, average).filter("key IS NOT NULL")
+    found = removed.groupBy("key", "version").agg(F.collect_set("place").alias("gone"), F.max("chunks").alias("chunks"))
+    link, version, gone, emptied = (free_name(df.columns, n) for n in ("_key", "_version", "_gone", "_emptied"))
+    found = found.select("key", "version", "gone", F.size("gone") == F.col("chunks")).toDF(link, version, gone, emptied)
+    marked = df.join(found, (F.col(key) == F.col(link)) & (F.xxhash64(text) == F.col(version)), "left")
+    return marked.drop(link, version), gone, emptied
+
+
+def _without(marked: DataFrame, gone: str, text: str, average: int) -> tuple[DataFrame, str, str]:
+    """``marked`` with ``text`` cut, and the names of two added columns: its lines before and what
+    is left of them."""
+    cut = chunked(marked, text, average)
+    lines, starts = cut.columns[-2:]
+    end = lambda p: F.coalesce(F.get(F.col(starts), p + 1), F.size(lines))
+    spans = F.transform(
+        F.col(starts), lambda s, p: F.when(~F.array_contains(gone, p), F.slice(lines, s + 1, end(p) - s))
+    )
+    left = free_name(cut.columns, "_left")
+    cut = cut.withColumn(left, F.when(F.col(gone).isNotNull(), F.flatten(F.array_compact(spans))))
+    return cut.withColumn(text, F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))), lines, left
 
 
 def without_repeats(
@@ -108,35 +141,21 @@ def without_repeats(
     A text that loses all its chunks becomes empty; NULL text stays NULL with 0 lines. Rows with
     a NULL key lose nothing. Extra columns stay.
     """
-    removed = repeated_chunks(df, key, text, average).filter("key IS NOT NULL")
-    found = removed.groupBy("key", "version").agg(F.collect_set("place").alias("gone"))
-    n_lines, n_removed = free_name(df.columns, "n_lines"), free_name(df.columns, "n_removed")
-    link, version, gone = (free_name(df.columns, n) for n in ("_key", "_version", "_gone"))
-    found = found.toDF(link, version, gone)
-    joined = df.join(found, (F.col(key) == F.col(link)) & (F.xxhash64(text) == F.col(version)), "left")
-    cut = chunked(joined.drop(link, version), text, average)
-    lines, starts = cut.columns[-2:]
-    end = lambda p: F.coalesce(F.get(F.col(starts), p + 1), F.size(lines))
-    spans = F.transform(
-        F.col(starts), lambda s, p: F.when(~F.array_contains(gone, p), F.slice(lines, s + 1, end(p) - s))
-    )
-    left = free_name(cut.columns, "_left")
-    cut = cut.withColumn(left, F.when(F.col(gone).isNotNull(), F.flatten(F.array_compact(spans))))
-    whole = F.col(gone).isNull()
+    marked, gone, _ = _marked(df, key, text, average)
+    cut, lines, left = _without(marked, gone, text, average)
     total = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines))
+    lost = F.when(F.col(gone).isNull(), 0).otherwise(F.size(lines) - F.size(left))
     return cut.select(
-        *[F.when(whole, F.col(c)).otherwise(F.array_join(left, "\n")).alias(c) if c == text else c for c in df.columns],
-        total.cast("bigint").alias(n_lines),
-        F.when(whole, 0).otherwise(F.size(lines) - F.size(left)).cast("bigint").alias(n_removed),
+        *df.columns,
+        total.cast("bigint").alias(free_name(df.columns, "n_lines")),
+        lost.cast("bigint").alias(free_name(df.columns, "n_removed")),
     )
 
 
-def keep_new_lines(docs: DataFrame) -> DataFrame:
+def keep_new_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents without repeated chunks; those that consisted of nothing else are gone."""
-    cut = without_repeats(docs)
-    n_lines, n_removed = cut.columns[-2:]
-    emptied = (F.col(n_removed) > 0) & (F.col(n_removed) == F.col(n_lines))
-    return cut.filter(~emptied).select(*docs.columns)
+    marked, gone, emptied = _marked(docs, key, text, AVERAGE_LINES)
+    return _without(marked.filter(~F.coalesce(emptied, F.lit(False))), gone, text, AVERAGE_LINES)[0].select(*docs.columns)
 
 
 # The same chunks in SQL: the first of equal chunks stays.

@@ -2,53 +2,29 @@
 
 from __future__ import annotations
 
-import atexit
 import os
 from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetide.sources.storage import shared_dir
+from placetide.sources import storage
 
 # ASCII white space of the word rules: space, tab, line feed, vertical tab, form feed, return.
 SPACE = "\x20\x09-\x0d"
-_folders: list[tuple[SparkSession, str]] = []
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
-
-    This cuts the lineage: later steps neither repeat the work nor depend on the executors
-    that did it. The folder is removed when the Python process ends.
-    """
-    spark = df.sparkSession
-    path = shared_dir(spark, "llm", name)
-    _folders.append((spark, path))
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` written once to the shared folder and read back; see :func:`storage.stored`."""
+    return storage.stored(df, f"llm/{name}")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New folder path under the shared folder, removed when the Python process ends."""
-    path = shared_dir(spark, "llm", name)
-    _folders.append((spark, path))
-    return path
-
-
-@atexit.register
-def release() -> None:
-    """Remove the folders made so far whose session still runs; results read from them end."""
-    while _folders:
-        spark, path = _folders.pop()
-        try:
-            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-        except Exception:  # noqa: BLE001  the session has ended; its folder stays
-            return
+    return storage.scratch_dir(spark, "llm", name)
 
 
 def importable(spark: SparkSession) -> None:
@@ -70,6 +46,18 @@ def free_name(columns: Sequence[str], name: str) -> str:
     return name
 
 
+def filter_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on columns that are costly to compute.
+
+    The optimizer would push a plain filter below the projections and write their expressions out
+    in it, so that each is computed again, inside lambdas even once per element. A row number
+    that is neither deterministic nor negative keeps the filter where it stands.
+    """
+    mark = free_name(df.columns, "_mark")
+    marked = df.withColumn(mark, F.monotonically_increasing_id())
+    return marked.filter(condition & (F.col(mark) >= 0)).drop(mark)
+
+
 def parts_for(rows: int, each: int) -> int:
     """Partitions that hold about ``each`` rows."""
     return max(1, -(-int(rows) // each))
