@@ -164,15 +164,51 @@ def digests(spark: SparkSession) -> DataFrame:
     return rows.groupBy("digest").agg(F.min("license").alias("license"))
 
 
+def _beginnings() -> str:
+    """A pattern of the first two words of every known text, in all their spellings.
+
+    A text can only equal a known one if its first words do, so this spares the others the
+    canonical form. Between the two there may be whatever the canonical form leaves out.
+    """
+
+    def spelled(word: str) -> str:
+        found = {a.split()[0] for a, b in SPELLINGS if b.split()[0] == word}
+        return "(?:" + "|".join(sorted({word, *found})) + ")"
+
+    between = f"(?:[^A-Za-z0-9]|{COPYRIGHT_LINE})+"
+    firsts: dict[str, set[str]] = {}
+    for _, text in known_texts():
+        plain = "".join(c if c.isascii() and c.isalnum() else " " for c in text.lower())
+        # The first words as they are written here and as their canonical spelling is.
+        first, *rest = _respelled(plain).split()
+        firsts.setdefault(first, set()).add(rest[0] if rest else "")
+    parts = []
+    for first, seconds in sorted(firsts.items()):
+        then = [between + "(?:" + "|".join(spelled(w) for w in sorted(seconds) if w) + ")"] if seconds - {""} else []
+        then += [f"(?:[^A-Za-z0-9]|{COPYRIGHT_LINE})*\\z"] if "" in seconds else []
+        parts.append(f"{spelled(first)}(?:{'|'.join(then)})")
+    return "(?:" + "|".join(parts) + ")"
+
+
+def _respelled(words: str) -> str:
+    out = f" {' '.join(words.split())} "
+    for spelling, by in SPELLINGS:
+        out = out.replace(f" {spelling} ", f" {by} ")
+    return out
+
+
 def _units(text: Column) -> Column:
-    """The entire texts in a document: its lines, its paragraphs of several lines and itself."""
+    """The entire texts in a document that begin like a known one: its lines, its paragraphs of
+    several lines and itself. NULL if none of its lines does."""
+    begins = F.lit("(?imd)^[^A-Za-z0-9\n]*" + _beginnings())
     unit = lambda kind, parts: F.transform(
         parts, lambda x, i: F.struct(F.lit(kind).alias("unit"), (i + 1).alias("place"), x.alias("body"))
     )
     paragraphs = F.filter(unit("paragraph", F.split(text, BLANK)), lambda s: F.instr(s["body"], "\n") > 0)
     # A text of one paragraph is found as that.
     whole = F.filter(unit("document", F.array(text)), lambda s: F.regexp_like(s["body"], F.lit(BLANK)))
-    return F.concat(unit("line", F.split(text, "\n")), paragraphs, whole)
+    units = F.concat(unit("line", F.split(text, "\n")), paragraphs, whole)
+    return F.when(F.regexp_like(text, begins), F.filter(units, lambda s: F.regexp_like(s["body"], begins)))
 
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -181,8 +217,11 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     texts give none; a NULL key is kept.
     """
     known = digests(df.sparkSession)
-    units = df.select(F.col(key).alias(key), F.explode(_units(F.col(text))).alias("u"))
-    found = units.select(key, "u.unit", "u.place", F.sha2(canonical(F.col("u.body")), 256).alias("digest"))
+    # The outer form and the digest that is never NULL leave nothing to test below them, which
+    # would compute units and digests twice.
+    units = df.select(F.col(key).alias(key), F.explode_outer(_units(F.col(text))).alias("u"))
+    digest = F.coalesce(F.sha2(canonical(F.col("u.body")), 256), F.lit(""))
+    found = units.select(key, "u.unit", "u.place", digest.alias("digest"))
     return found.join(F.broadcast(known), "digest").select(key, "unit", "place", "license")
 
 
