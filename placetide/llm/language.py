@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,8 @@ ROUNDS = 8
 # A cosine below this part of the smallest in the language's sample is too far.
 REACH = 0.25
 UNKNOWN = "und"
+# Bits of a hash that are counted at a time.
+PART_BITS = 12
 # Bytes of text turned into vectors at a time.
 STEP = 4 << 20
 
@@ -124,6 +126,34 @@ class LanguageModel:
         return languages, scores, near
 
 
+def _beginning(parts: int) -> Column:
+    """The first 12 bits of ``hash``, or the first 24."""
+    return F.shiftrightunsigned("hash", 64 - PART_BITS * parts)
+
+
+def _last_hashes(rows: DataFrame, wanted: int) -> DataFrame:
+    """``lang, last``: the least beginning of a hash (24 bits) up to which a language has
+    ``wanted`` rows, or its greatest.
+
+    Rows are counted by the first 12 bits, then those of the decisive 12 by the next 12, so no
+    language has more than 4,096 counts at a time.
+    """
+    order = Window.partitionBy("lang").orderBy("part")
+
+    def cut(counted: DataFrame, before: Column) -> DataFrame:
+        running = counted.withColumn("sum", F.sum("n").over(order) + before)
+        reached = F.min(F.when(F.col("sum") >= wanted, F.col("part")))
+        return running.groupBy("lang").agg(
+            F.coalesce(reached, F.max("part")).alias("at"),
+            F.coalesce(F.max(F.when(F.col("sum") < wanted, F.col("sum"))), F.max(before)).alias("taken"),
+        )
+
+    first = cut(rows.groupBy("lang", _beginning(1).alias("part")).agg(F.count("*").alias("n")), F.lit(0))
+    inside = rows.join(F.broadcast(first), "lang").filter(_beginning(1) == F.col("at"))
+    counted = inside.groupBy("lang", _beginning(2).alias("part"), "taken").agg(F.count("*").alias("n"))
+    return cut(counted, F.col("taken")).select("lang", F.col("at").alias("last"))
+
+
 def fit(
     training: DataFrame,
     text: str = "text",
@@ -144,15 +174,13 @@ def fit(
     found, n = document_frequencies(rows, "text", buckets)
     idf = (np.log((1 + n) / (1 + found)) + 1).astype(np.float32)
     # The smallest hashes are found without the texts; only the chosen texts move.
-    hashed = rows.withColumn("hash", F.xxhash64("key", "text"))
-    order = Window.partitionBy("lang").orderBy("hash")
-    lettered = hashed.filter(F.col("text").rlike(r"\p{L}"))
-    ranked = lettered.select("lang", "hash").withColumn("rank", F.row_number().over(order))
-    last = ranked.filter(F.col("rank") <= int(per_language)).groupBy("lang").agg(F.max("hash").alias("last"))
+    hashed = rows.withColumn("hash", F.xxhash64("key"))
+    last = _last_hashes(hashed.select("lang", "hash"), int(per_language))
     # One row per language.
-    chosen = lettered.join(F.broadcast(last), "lang").filter("hash <= last")
+    chosen = hashed.join(F.broadcast(last), "lang").filter(_beginning(2) <= F.col("last"))
+    chosen = chosen.filter(F.col("text").rlike(r"\p{L}")).select("lang", "hash", "key", "text")
     order = Window.partitionBy("lang").orderBy("hash", "key", "text")
-    ranked = chosen.select("lang", "hash", "key", "text").withColumn("rank", F.row_number().over(order))
+    ranked = chosen.withColumn("rank", F.row_number().over(order))
     sample = stored(ranked.filter(F.col("rank") <= int(per_language)), "sample")
 
     def centre(pdf: pd.DataFrame) -> pd.DataFrame:
