@@ -185,7 +185,7 @@ def _beginnings() -> str:
     parts = []
     for first, seconds in sorted(firsts.items()):
         then = [between + "(?:" + "|".join(spelled(w) for w in sorted(seconds) if w) + ")"] if seconds - {""} else []
-        then += [f"(?:[^A-Za-z0-9]|{COPYRIGHT_LINE})*\\z"] if "" in seconds else []
+        then += [r"[^A-Za-z0-9\n]*$"] if "" in seconds else []  # nothing follows in its line
         parts.append(f"{spelled(first)}(?:{'|'.join(then)})")
     return "(?:" + "|".join(parts) + ")"
 
