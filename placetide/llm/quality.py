@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placetide.llm.shared import SPACE, free_name, stored
+from placetide.llm.shared import SPACE, filter_computed, free_name, stored
 
 # Labelled rows used for learning, at most: those with the smallest hash of their id.
 SAMPLE_ROWS = 20_000
@@ -219,7 +219,7 @@ def learn_rules(
         found_at = sorted({c for r in at for c in r[n]})
         # With the middles between them, so that a cut can lie apart from either class.
         cuts[n] = sorted({*found_at, *((a + b) / 2 for a, b in zip(found_at, found_at[1:], strict=False))})
-    place = lambda n: sum((F.col(f"v.{n}") > F.lit(c)).cast("int") for c in cuts[n])
+    place = lambda n: F.size(F.filter(F.lit(cuts[n]), lambda c: F.col(f"v.{n}") > c))
     binned = stored(
         rows.select(
             "bad",
@@ -314,10 +314,8 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, **opti
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents that no rule rejects, with the columns they came with."""
     rules = fit(documents, labels)
-    kept = free_name(documents.columns, "_kept_row")
-    text = free_name(documents.columns, "_text_twin")
     # The text travels beside its twin, which the statistics consume.
-    twin = documents.withColumn(text, F.col("text"))
-    judged = statistics(twin, text)
-    stats = judged.columns[-1]
-    return judged.withColumn(kept, verdict(rules, F.col(stats)).isNull()).filter(F.col(kept)).select(*documents.columns)
+    twin = free_name(documents.columns, "_twin")
+    judged = statistics(documents.withColumn(twin, F.col("text")), twin)
+    stats = F.col(judged.columns[-1])
+    return filter_computed(judged, verdict(rules, stats).isNull()).select(*documents.columns)
