@@ -1,12 +1,12 @@
 """Checks on neighbouring values of an ordered column, without one big sorted group.
 
 A plain ``lead`` over a whole table, or over one hot group, sorts it all in a single task.
-Here rows are first reduced to distinct values with a count (map-side combined, so copies
-collapse before the shuffle). The largest groups are then cut into blocks of consecutive
-values, each with a window of its own; the pair across two blocks comes from a second,
-small window over the blocks' first and last rows. All other groups keep one window. Blocks
-are value ranges taken from exact minima and maxima, so the result depends neither on how
-Spark partitions the data nor on which groups are cut.
+Here rows are first reduced to distinct rows with a count (map-side combined, so copies
+collapse before the shuffle). The distinct rows are range-partitioned by group and all ordered
+columns: each task gets a stretch of the same size, and a group of any size, or one value with
+very many second values, lies over as many tasks as it needs. Within a stretch the follower is
+the next row; for a stretch's last row it is the first row of the next stretch, found among
+the two ends of every stretch. There is one plan for all sizes.
 """
 
 from __future__ import annotations
@@ -17,89 +17,35 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Coarse blocks over the whole value range, and finer ones inside each: values bunched in a
-# small part of the range (one far outlier is enough) are still spread over many blocks.
-BLOCKS = 1024
-SUB_BLOCKS = 64
-# How many of the largest groups are cut, and the size below which none is.
-HOT_GROUPS = 1000
-HOT_ROWS = 50_000
-
-
-def _as_number(df: DataFrame, column: str) -> Column:
-    """Order-preserving number of a date, timestamp or numeric column."""
-    kind = df.schema[column].dataType
-    c = F.col(column)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        # Wall-clock seconds, free of any zone and so of its daylight-saving jumps.
-        return F.unix_date(c.cast("date")) * 86400.0 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    raise TypeError(f"column {column} of type {kind.simpleString()} has no block rule")
-
-
-def _cut(number: Column, low: Column, high: Column, parts: int) -> Column:
-    """Equal-width part of ``number`` between the limits: 0..parts, or -1 for NULL."""
-    width = F.nullif(high - low, F.lit(0.0))
-    part = F.floor((number - low) / width * parts).cast("int")
-    return F.when(number.isNull(), -1).otherwise(F.coalesce(part, F.lit(0)))
-
-
-def _mark_hot(distinct: DataFrame, group_by: list[str], hot_rows: int) -> DataFrame:
-    """Add ``_hot``: the row is in one of the largest groups. The broadcast holds at most
-    ``HOT_GROUPS`` keys; every group left out is smaller than all of those."""
-    if not group_by:
-        return distinct.withColumn("_hot", F.lit(True))
-    sizes = distinct.groupBy(*group_by).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-    largest = sizes.orderBy(F.desc("_n")).limit(HOT_GROUPS)
-    keys = largest.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(group_by)), F.lit(True).alias("_found"))
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(group_by)])
-    marked = distinct.join(F.broadcast(keys), same, "left")
-    return marked.select(*distinct.columns, F.coalesce("_found", F.lit(False)).alias("_hot"))
-
-
-def with_next(
-    df: DataFrame,
-    group_by: Sequence[str],
-    order: Sequence[str],
-    blocks: int = BLOCKS,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+
+from placetide.sources.storage import stored
+
+
+def with_next(df: DataFrame, group_by: Sequence[str], order: Sequence[str], stretches: int | None = None) -> DataFrame:
     """Distinct (group, order) rows with ``copies`` and ``next`` = struct of the following
-    row's ``order`` columns in the group (NULL at the group's end).
+    row's ``order`` columns in the group (NULL at the group's end). NULLs come first.
 
-    The first ``order`` column decides the block; rows with equal values share one.
+    ``stretches`` is how many parts the rows are dealt into (the session's number of shuffle
+    partitions if not given); the result does not depend on it. The paired rows are written to
+    the shared folder, as the ends of the stretches are read after all of them are known.
     """
     group_by, order = list(group_by), list(order)
-    number = _as_number(df, order[0])
-    distinct = df.groupBy(*group_by, *order).agg(F.count("*").alias("copies"))
-    marked = _mark_hot(distinct, group_by, hot_rows)
-    limits = df.select(number.alias("v")).agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
-    coarse = F.when(F.col("_hot"), _cut(number, limits["low"], limits["high"], blocks)).otherwise(-2)
-    marked = marked.withColumn("_coarse", coarse)
-    # At most one row per coarse block, so the broadcast is bounded by construction.
-    inner = marked.filter("_hot").groupBy("_coarse").agg(F.min(number).alias("_low"), F.max(number).alias("_high"))
-    sub = F.greatest(_cut(number, F.col("_low"), F.col("_high"), SUB_BLOCKS), F.lit(0))
-    block = F.when(F.col("_hot"), F.col("_coarse") * (SUB_BLOCKS + 1) + sub).otherwise(-2)
-    rows = marked.join(F.broadcast(inner), "_coarse", "left").withColumn("_block", block)
-
-    here = F.struct(*order)
-    inside = Window.partitionBy(*group_by, "_hot", "_block").orderBy(*order)
-    paired = rows.withColumns({"next": F.lead(here).over(inside), "_rn": F.row_number().over(inside)})
-    columns = [*group_by, *order, "copies", "next"]
-    settled = paired.filter(~F.col("_hot") | F.col("next").isNotNull())
-    # Each block's first and last row, at most two per block: the last one's follower is the
-    # first row of the group's next block.
-    ends = paired.filter(F.col("_hot") & (F.col("next").isNull() | (F.col("_rn") == 1)))
-    across = Window.partitionBy(*group_by).orderBy(*order)
-    seams = ends.withColumn("_over", F.lead(here).over(across)).filter(F.col("next").isNull())
-    return settled.select(*columns).unionByName(seams.withColumn("next", F.col("_over")).select(*columns))
+    keys = [*group_by, *order]
+    distinct = df.groupBy(*keys).agg(F.count("*").alias("copies"))
+    spread = distinct.repartitionByRange(*([stretches] if stretches else []), *keys)
+    placed = spread.withColumn("_stretch", F.spark_partition_id())
+    inside = Window.partitionBy("_stretch").orderBy(*keys)
+    follower = F.struct(*keys)
+    paired = placed.withColumns({"_next": F.lead(follower).over(inside), "_first": F.row_number().over(inside) == 1})
+    paired = stored(paired, "neighbours")
+    # Two rows of each stretch at most, so this window is as long as the stretches are many.
+    ends = paired.filter("_first OR _next IS NULL")
+    across = Window.orderBy("_stretch", F.col("_next").isNull(), *keys)
+    seams = ends.withColumn("_next", F.coalesce("_next", F.lead(follower).over(across)))
+    rows = paired.filter("NOT _first AND _next IS NOT NULL").unionByName(seams)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_next.{c}")) for c in group_by], F.lit(True))
+    following = F.when(F.col("_next").isNotNull() & same, F.struct(*[F.col(f"_next.{c}").alias(c) for c in order]))
+    return rows.select(*keys, "copies", following.alias("next"))
 
 
 # How the end of a range must relate to the start of the next one.

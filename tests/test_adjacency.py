@@ -31,22 +31,20 @@ def brute_ranges(data, keep, zero):
 KEEP = {"not_allowed": lambda a, b: a == b, "allowed": lambda a, b: a <= b, "required": lambda a, b: a < b}
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(st.tuples(st.integers(0, 2), st.integers(-5, 20), st.integers(-5, 20)), min_size=1, max_size=40),
     st.sampled_from(sorted(KEEP)),
     st.booleans(),
-    st.sampled_from([1, 3, 1024]),
+    st.sampled_from([1, 3, 40]),
 )
-def test_ranges_match_brute_force(spark, data, gaps, zero, blocks):
+def test_ranges_match_brute_force(spark, data, gaps, zero, stretches):
     df = spark.createDataFrame(data, RANGES)
     found = A.exclusive_range_violations(df, "lo", "hi", ["g"], gaps, zero)
     assert sum(r.violations for r in found.collect()) == brute_ranges(data, KEEP[gaps], zero)
-    # The neighbours do not depend on which groups are cut, nor into how many blocks.
+    # The neighbours do not depend on how many stretches the rows are dealt into.
     whole = sorted(rows(A.with_next(df, ["g"], ["lo", "hi"])), key=str)
-    for hot_rows in (0, 5):
-        cut = A.with_next(df, ["g"], ["lo", "hi"], blocks=blocks, hot_rows=hot_rows)
-        assert sorted(rows(cut), key=str) == whole
+    assert sorted(rows(A.with_next(df, ["g"], ["lo", "hi"], stretches)), key=str) == whole
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -109,22 +107,73 @@ def test_hourly_sequence(spark):
             spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_hot_group_is_cut_into_blocks(spark):
+def _stretch_sizes(spark, df, group_by, order, stretches):
+    """Rows of each stretch, found from the stored pairs."""
+    from placetide.sources import storage
+
+    A.with_next(df, group_by, order, stretches)
+    pairs = spark.read.parquet(storage._scratch[-1][1])
+    return [r["count"] for r in pairs.groupBy("_stretch").count().collect()]
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        # 1,500 groups of the same size; a narrow hot group beside a wide one; one equal first value.
+        "id % 1500 AS g, id AS lo, id AS hi",
+        "IF(id < 20000, 1, 2) AS g, IF(id < 20000, id, id * 1000000000) AS lo, id AS hi",
+        "1 AS g, 7 AS lo, id AS hi",
+        "IF(id % 3 = 0, NULL, 1) AS g, NULL AS lo, id AS hi",
+        "1 AS g, IF(id = 0, 1000000000000, id) AS lo, 0 AS hi",
+    ],
+)
+def test_no_stretch_is_much_longer_than_the_others(spark, sql):
+    df = spark.range(30000).selectExpr(*_terms(sql))
+    sizes = _stretch_sizes(spark, df, ["g"], ["lo", "hi"], 16)
+    assert sum(sizes) == 30000 and max(sizes) < 3 * 30000 / 16
+
+
+def _terms(sql):
+    """Terms of a select list; commas inside brackets do not part them."""
+    out, depth = [""], 0
+    for ch in sql:
+        depth += (ch == "(") - (ch == ")")
+        if ch == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += ch
+    return out
+
+
+def test_groups_end_where_they_end(spark):
     df = spark.range(1000).selectExpr("IF(id % 3 = 0, NULL, 1) AS g", "id AS v")
-    found = A.with_next(df, ["g"], ["v"], hot_rows=100)
-    plan = plan_of(found)
-    assert "_block" in plan and "CartesianProduct" not in plan and "SortMergeJoin" not in plan
-    # Copies of a row are counted before the shuffle.
-    assert "partial_count" in plan
-    # Both groups are cut, the NULL one too; only the two group ends have no follower.
+    found = A.with_next(df, ["g"], ["v"], 7)
     assert found.count() == 1000 and found.filter("next IS NULL").count() == 2
+    assert A.sequence_violations(df.filter("g = 1"), "v").count() == 332
+
+
+def test_source_is_read_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    # Each input partition adds one when it is read.
+    rdd = spark.sparkContext.parallelize([(k % 5, k) for k in range(2000)], 4)
+
+    def counted(part):
+        seen.add(1)
+        yield from part
+
+    df = spark.createDataFrame(rdd.mapPartitions(counted), "g int, v int")
+    assert A.sequence_violations(df, "v", 5, group_by=["g"]).count() == 0
+    assert seen.value == 4
+
+
+def test_copies_are_counted_before_the_shuffle(spark, data_dir):
+    orders = spark.read.parquet(f"{data_dir}/orders.parquet")
+    plan = plan_of(orders.groupBy("o_orderdate").count())
+    assert "partial_count" in plan
+    final = plan_of(A.with_next(orders, [], ["o_orderdate"]))
+    assert "CartesianProduct" not in final and "Join" not in final
 
 
-def test_outlier_does_not_put_all_rows_in_one_block(spark):
-    df = spark.range(5000).selectExpr("id AS v").union(spark.range(1).selectExpr("1000000000000 AS v"))
-    found = A.with_next(df, [], ["v"])
-    assert found.filter("next IS NULL").count() == 1 and found.count() == 5001
-    low, high = 0.0, 1e12
-    cut = df.selectExpr("CAST(v AS double) AS v").select(A._cut(F.col("v"), F.lit(low), F.lit(high), A.BLOCKS).alias("b"))
-    assert cut.distinct().count() == 2  # coarse blocks alone would not do
-    assert A.sequence_violations(df, "v").collect()[0]["v"] == 4999
+def test_empty_table(spark):
+    df = spark.range(0).selectExpr("id AS g", "id AS v")
+    assert A.with_next(df, ["g"], ["v"]).count() == 0
