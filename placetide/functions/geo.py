@@ -22,7 +22,13 @@ def _body(wkt: str) -> str:
     return rf"regexp_replace({wkt}, r'(?i)^\s*(MULTI)?POLYGON\s*(ZM|Z|M)?\s*', '')"
 
 
-def _polygons_sql(wkt: str) -> str:
+def _let(value: str, name: str, body: str) -> str:
+    """Bind ``value`` once under ``name`` inside ``body``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _parsed_sql(wkt: str) -> str:
+    """What the text gives as it stands; NULL where it is no such text."""
     body = _body(wkt)
     pairs = rf"regexp_replace({body}, r'{_NUMBER}\s+{_NUMBER}(\s+{_NUMBER})*', '[$1,$2]')"
     nested = f"translate({pairs}, '()', '[]')"
@@ -33,15 +39,40 @@ def _polygons_sql(wkt: str) -> str:
     return f"from_json({text}, '{COORDINATES}')"
 
 
-def _let(value: str, name: str, body: str) -> str:
-    """Bind ``value`` once under ``name`` inside ``body``."""
-    return f"transform(array({value}), {name} -> {body})[0]"
+def _sound_sql(wkt: str, p: str) -> str:
+    """The text is a polygon and every point of the parsed ``p`` has both coordinates."""
+    whole = rf"{wkt} RLIKE r'(?is)^\s*(MULTI)?POLYGON\s*(ZM|Z|M)?\s*(EMPTY\s*$|\(.*\)\s*$)'"
+    balanced = f"length(replace({wkt}, '(', '')) = length(replace({wkt}, ')', ''))"
+    point = "size(q) = 2 AND q[0] IS NOT NULL AND q[1] IS NOT NULL"
+    rings = f"forall({p}, y -> size(y) > 0 AND forall(y, r -> size(r) > 0 AND forall(r, q -> {point})))"
+    return f"coalesce({whole} AND {balanced} AND {p} IS NOT NULL AND {rings}, false)"
+
+
+def _polygons_sql(wkt: str) -> str:
+    sound = _sound_sql(wkt, "g")
+    error = f"raise_error(concat('cannot parse geometry: ', left({wkt}, 60)))"
+    blank = f"{wkt} IS NULL OR trim({wkt}) = ''"
+    return _let(_parsed_sql(wkt), "g", f"CASE WHEN {blank} THEN NULL WHEN {sound} THEN g ELSE {error} END")
+
+
+def is_sound(wkt: str) -> Column:
+    """True for POLYGON / MULTIPOLYGON text that can be read, EMPTY included; NULL for NULL or
+    blank text; false for anything else, which the functions below raise on."""
+    sound = _let(_parsed_sql(wkt), "g", _sound_sql(wkt, "g"))
+    return F.expr(f"CASE WHEN {wkt} IS NOT NULL AND trim({wkt}) <> '' THEN {sound} END")
+
+
+def split_unsound(df: DataFrame, wkt: str = "geometry_wkt") -> tuple[DataFrame, DataFrame]:
+    """Rows whose geometry can be read or is absent, and those to reject."""
+    bad = F.coalesce(~is_sound(wkt), F.lit(False))
+    return df.filter(~bad), df.filter(bad)
 
 
 def polygons(wkt: str) -> Column:
     """POLYGON / MULTIPOLYGON text as polygons > rings > points > (x, y).
 
-    EMPTY gives an empty array, NULL gives NULL.
+    EMPTY gives an empty array, NULL and blank text NULL. Any other text raises: a shape is
+    never lost silently. See :func:`split_unsound` for setting such rows apart.
     """
     return F.expr(_polygons_sql(wkt))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from placetide.functions import geo
 from placetide.functions import keys as K
 from placetide.functions.geo import bounding_box, centroid, polygons, selection_bounds
 from placetide.functions.numeric import haversine_distance, round_half_away, share
@@ -102,30 +103,69 @@ for _level in ("states", "counties"):
     coded AS (
       SELECT survey_year, 96 AS code, sum(h) AS households FROM totals GROUP BY survey_year, c_nationkey
       UNION ALL SELECT survey_year, CASE WHEN own THEN 58 ELSE 97 END, h FROM totals)
-    SELECT CAST(code AS INTEGER) AS code, survey_year, CAST(count(*) AS BIGINT) AS dropped FROM coded GROUP BY code, survey_year""",
+    SELECT CAST(code AS INTEGER) AS code, survey_year, CAST(count(*) AS BIGINT) AS dropped FROM (
+      SELECT code, survey_year FROM coded
+      UNION ALL SELECT more.code, survey_year FROM coded, (VALUES (57), (59), (98), (NULL)) more(code) WHERE coded.code = 96)
+    GROUP BY code, survey_year""",
 )
 def code_filter(t):
-    """Rows the total-code filter drops, by code and year."""
-    bronze = S.flow_bronze(t, "states")
-    kept = F.col("y2_statefips").cast("int").isin(*layers.AGGREGATE_CODES)
-    dropped = bronze.filter(kept)
-    return dropped.groupBy(F.col("y2_statefips").cast("int").alias("code"), F.col("survey_year").cast("int").alias("survey_year")).agg(
-        F.count("*").alias("dropped")
+    """Rows the total-code filter drops, by code and year; every total code and NULL occur, and
+    99, which is none."""
+    bronze = S.flow_bronze(t, "states").withColumns({"n1": F.lit("5"), "n2": F.lit("9")})
+    more = bronze.filter("y2_statefips = '96'").withColumn(
+        "y2_statefips", F.explode(F.array(*[F.lit(c) for c in ("57", "59", "98", "99", None)]))
     )
+    landed = bronze.unionByName(more)
+    # What was landed counts up, what the filter leaves counts down.
+    both = [
+        df.select(F.col("y2_statefips").cast("int").alias("code"), F.col("survey_year").cast("int").alias("survey_year"), F.lit(n).alias("n"))
+        for df, n in ((landed, 1), (layers.real_flows(landed), -1))
+    ]
+    return both[0].unionByName(both[1]).groupBy("code", "survey_year").agg(F.sum("n").alias("dropped")).filter("dropped > 0")
 
 
 @query(
     "suppressed_filter",
-    f"""WITH {S.flows_sql('states')} SELECT survey_year, CAST(count_if(households < {S.SUPPRESS_BELOW}) AS BIGINT) AS withheld,
-       CAST(count_if(households >= {S.SUPPRESS_BELOW}) AS BIGINT) AS kept FROM flows_edges GROUP BY survey_year""",
+    f"""WITH {S.flows_sql('states')}, marked AS (SELECT *, households < {S.SUPPRESS_BELOW} OR households % 7 = 0 AS gone FROM flows_edges)
+       SELECT survey_year, CAST(count_if(gone) AS BIGINT) AS withheld, CAST(count_if(NOT gone) AS BIGINT) AS kept FROM marked GROUP BY survey_year""",
 )
 def suppressed_filter(t):
+    """Withheld flows by year; in some only the second count is withheld, in some it is NULL."""
     bronze = S.flow_bronze(t, "states")
-    real = bronze.filter(~F.col("y2_statefips").cast("int").isin(*layers.AGGREGATE_CODES))
-    withheld = F.col("n1") == SUPPRESSED_TEXT
-    return real.groupBy(F.col("survey_year").cast("int").alias("survey_year")).agg(
-        F.count_if(withheld).alias("withheld"), F.count_if(~withheld).alias("kept")
+    seventh = F.col("n1").cast("bigint") % 7 == 0
+    n2 = F.when(seventh & (F.col("n1").cast("bigint") % 2 == 0), F.lit(None)).when(seventh, SUPPRESSED_TEXT).otherwise(F.col("n2"))
+    real = bronze.withColumn("n2", n2).filter(~F.col("y2_statefips").cast("int").isin(96, 97, 58))
+    year = F.col("survey_year").cast("int").alias("survey_year")
+    landed, left = (df.select(year, F.lit(k).alias("left")) for df, k in ((real, 0), (layers.real_flows(real), 1)))
+    n, kept = F.count_if(F.col("left") == 0), F.count_if(F.col("left") == 1)
+    return landed.unionByName(left).groupBy("survey_year").agg((n - kept).alias("withheld"), kept.alias("kept"))
+
+
+@query(
+    "geometry_rejects",
+    f"""WITH {S.boundary_sql('tracts')}, kinds AS (
+         SELECT survey_year, k % 8 = 3 OR coalesce(k % 8 IN (2, 5) AND geometry_wkt IS NOT NULL OR k % 8 = 4 AND geometry_wkt NOT LIKE '%EMPTY', false) AS bad FROM boundary)
+       SELECT survey_year, CAST(count_if(NOT bad) AS BIGINT) AS drawn_or_absent, CAST(count_if(bad) AS BIGINT) AS rejected
+       FROM kinds GROUP BY survey_year""",
+)
+def geometry_rejects(t):
+    """Outlines that can be read, EMPTY, NULL and damaged in several ways: none is lost silently."""
+    wkt, kind = F.col("geometry_wkt"), F.col("AWATER") % 8
+    damaged = (
+        F.when(kind == 0, F.lit(None))
+        .when(kind == 1, F.lit("MULTIPOLYGON EMPTY"))
+        .when(kind == 2, F.substring(wkt, F.lit(1), F.length(wkt) - 1))
+        .when(kind == 3, F.lit("POINT (1 2)"))
+        .when(kind == 4, F.regexp_replace(wkt, "[0-9]+", "x"))
+        .when(kind == 5, F.concat(wkt, F.lit(" tail")))
+        .otherwise(wkt)
     )
+    rows = S.boundary(t, "tracts").withColumn("geometry_wkt", damaged)
+    sound, rejected = geo.split_unsound(rows)
+    # The sound ones are drawn, which raises on any text that cannot be read.
+    drawn = sound.select("survey_year", geo.geojson_geometry("geometry_wkt").alias("g")).filter("g IS NOT NULL")
+    both = drawn.select("survey_year", F.lit(1).alias("ok")).unionByName(rejected.select("survey_year", F.lit(0).alias("ok")))
+    return both.groupBy("survey_year").agg(F.count_if(F.col("ok") == 1).alias("drawn_or_absent"), F.count_if(F.col("ok") == 0).alias("rejected"))
 
 
 # --- gold and marts -----------------------------------------------------------------------
@@ -213,6 +253,17 @@ def flows_top(t):
     return _six_digits(serving.flows(S.flow_mart(t, "states"), YEAR, min_households=MIN_FLOW))
 
 
+@query(
+    "flows_top_clamped",
+    f"""WITH {S.flow_mart_sql('states')} SELECT {_FLOW_COLS} FROM (SELECT * {_SIX} FROM fm)
+       WHERE survey_year = {YEAR} AND households >= {MIN_FLOW}
+       ORDER BY households DESC, origin_geography_id, dest_geography_id LIMIT 200""",
+)
+def flows_top_clamped(t):
+    """A year after the last one published shows the last one."""
+    return _six_digits(serving.flows(S.flow_mart(t, "states"), YEAR + 5, min_households=MIN_FLOW, last_year=YEAR))
+
+
 @query(
     "flows_either_end",
     f"""WITH {S.flow_mart_sql('states')} SELECT {_FLOW_COLS} FROM (SELECT * {_SIX} FROM fm)

@@ -4,7 +4,18 @@ import random
 import pytest
 from conftest import rows
 
-from placetide.functions.geo import bounding_box, centroid, geojson_geometry, polygons, selection_bounds
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from placetide.functions.geo import (
+    bounding_box,
+    centroid,
+    geojson_geometry,
+    is_sound,
+    polygons,
+    selection_bounds,
+    split_unsound,
+)
 from placetide.functions.numeric import haversine_distance
 
 SQUARE = "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))"
@@ -88,3 +99,29 @@ def test_haversine(spark):
     assert miles == pytest.approx(267.4, abs=0.5) and km == pytest.approx(miles * 1.60934)
     with pytest.raises(ValueError):
         haversine_distance("a", "b", "c", "d", "furlong")
+
+
+BAD = [
+    "POLYGON ((0 0, 1 1", "MULTIPOLYGON (((0 0, 1 1, 0 0))", "POINT (1 2)", "GEOMETRYCOLLECTION (POINT (1 2))", "POLYGON ((a b, 1 1, 0 0))",
+    "POLYGON ((0, 1 1, 0 0))", "POLYGON ()", "POLYGON (())", "POLYGON ((0 0, 1 1, 0 0)) tail", "LINESTRING (0 0, 1 1)", "nonsense", "EMPTY",
+]
+
+
+@pytest.mark.parametrize("text", BAD)
+def test_text_that_cannot_be_read_raises_and_is_told_apart(spark, text):
+    df = spark.createDataFrame([(1, text)], "i int, w string")
+    assert df.select(is_sound("w")).first()[0] is False
+    for use in (polygons, geojson_geometry, centroid, bounding_box):
+        with pytest.raises(PySparkException, match="cannot parse geometry"):
+            df.select(use("w")).collect()
+
+
+def test_rejects_are_counted_and_nothing_is_blank(spark):
+    good = [SQUARE, HOLE, MULTI, "POLYGON EMPTY", " multipolygon empty ", None, "  "]
+    df = spark.createDataFrame(list(enumerate(good + BAD)), "i int, w string")
+    sound, rejected = split_unsound(df, "w")
+    assert sorted(r["i"] for r in sound.collect()) == list(range(len(good)))
+    assert rejected.count() == len(BAD)
+    shapes = [r[0] for r in sound.orderBy("i").select(geojson_geometry("w")).collect()]
+    assert None not in shapes and shapes[-2:] == ["null", "null"]
+    assert df.select(F.count_if(is_sound("w"))).first()[0] == 5
