@@ -81,16 +81,24 @@ def silver_sources(levels: Sequence[str] = LEVELS, flow_levels: Sequence[str] =
     return out
 
 
-def refresh_silver(spark: SparkSession, layout: Layout, sources: Sequence[Source], years: Sequence[int]) -> dict[str, dict[int, int]]:
-    """Replace the given years of every silver table; returns rows per table and year."""
-    written: dict[str, dict[int, int]] = {}
+def refresh_silver(
+    spark: SparkSession, layout: Layout, sources: Sequence[Source], years: Sequence[int]
+) -> dict[str, dict[int, int | None]]:
+    """Replace the given years of every silver table; returns rows per table and year.
+
+    A year that a source has not landed is left as it is and reported as None: sources end
+    in different years.
+    """
+    written: dict[str, dict[int, int | None]] = {}
     for source in sources:
         table = layout.table(source.silver)
         storage.create_table(spark, table, source.silver_schema, location=layout.location(source.silver))
         path = layout.bronze(source.folder, source.level)
-        counts: dict[int, int] = {}
-        for start in range(0, len(years), YEAR_BATCH):
-            batch = list(years[start : start + YEAR_BATCH])
+        landed = set(storage.landed_years(spark, path))
+        counts: dict[int, int | None] = {y: None for y in years}
+        due = [y for y in years if y in landed]
+        for start in range(0, len(due), YEAR_BATCH):
+            batch = due[start : start + YEAR_BATCH]
             frames = [source.to_silver(storage.read_bronze(spark, path, source.schema, y)) for y in batch]
             counts |= storage.backfill_years(reduce(DataFrame.unionByName, frames), table, batch)
         written[source.silver] = counts
@@ -136,12 +144,21 @@ def staging_views(
 
 
 def refresh_marts(
-    spark: SparkSession, layout: Layout, levels: Sequence[str] = LEVELS, flow_levels: Sequence[str] = FLOW_LEVELS
+    spark: SparkSession,
+    layout: Layout,
+    levels: Sequence[str] = LEVELS,
+    flow_levels: Sequence[str] = FLOW_LEVELS,
+    years: Sequence[int] | None = None,
 ) -> None:
-    """Rebuild the place marts, then the flow marts that read them."""
+    """Rebuild the place marts, then the flow marts that read them: whole tables, or only some
+    years when given. A flow joins profiles of its own year, so years are independent."""
 
     def store(name: str, df: DataFrame) -> None:
-        storage.full_refresh(df, layout.table(name), bucket_by=marts.MART_BUCKETS.get(name), location=layout.location(name))
+        table, bucket = layout.table(name), marts.MART_BUCKETS.get(name)
+        if years is not None and spark.catalog.tableExists(table):
+            storage.backfill_years(df, table, years, bucket_by=bucket)
+        else:
+            storage.full_refresh(df, table, bucket_by=bucket, location=layout.location(name))
 
     views = staging_views(spark, layout, levels, flow_levels)
     for level in levels:
@@ -157,8 +174,11 @@ def refresh_all(
     years: Sequence[int],
     levels: Sequence[str] = LEVELS,
     flow_levels: Sequence[str] = FLOW_LEVELS,
-) -> dict[str, dict[int, int]]:
-    """New bronze years through every layer: silver by year, then gold and marts."""
+) -> dict[str, dict[int, int | None]]:
+    """New bronze years through every layer: silver by year, then gold and marts.
+
+    Returns rows per silver table and year, None for a year that has not landed.
+    """
     written = refresh_silver(spark, layout, silver_sources(levels, flow_levels), years)
     refresh_gold(spark, layout, levels, flow_levels)
     refresh_marts(spark, layout, levels, flow_levels)

@@ -89,12 +89,25 @@ def normalise_objects(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     return df.withColumns(fixes) if fixes else df
 
 
-def read_boundaries(spark: SparkSession, path: str, year: int, ingest_date: str, fmt: str = "parquet") -> DataFrame:
+def read_boundaries(
+    spark: SparkSession,
+    path: str,
+    year: int,
+    ingest_date: str,
+    fmt: str = "parquet",
+    schema: T.StructType | str | None = None,
+) -> DataFrame:
     """Landed boundary attributes with the outline as WKT text, in bronze shape.
 
-    Attributes a level lacks (county, tract) read as NULL.
+    Attributes a level lacks (county, tract) read as NULL. Text formats are read as the bronze
+    attributes, all text, unless another ``schema`` is given: learning it would read every file
+    once more.
     """
-    landed = spark.read.format(fmt).load(path)
+    if schema is None and fmt in ("json", "csv"):
+        names = [f.name for f in BOUNDARY_BRONZE if f.name not in ("survey_year", "ingest_date")]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    reader = spark.read.format(fmt)
+    landed = (reader.schema(schema) if schema is not None else reader).load(path)
     present = {c.lower(): c for c in landed.columns}
     cols = [
         (F.col(f"`{present[f.name.lower()]}`") if f.name.lower() in present else F.lit(None)).alias(f.name)

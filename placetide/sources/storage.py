@@ -9,7 +9,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 from collections.abc import Sequence
-from contextlib import contextmanager
+from urllib.parse import urlparse
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
@@ -20,7 +20,9 @@ from pyspark.sql import types as T
 from placetide.schemas import BUCKET_COUNT
 
 YEAR = "survey_year"
-_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+# Kept with the table: an overwrite replaces the partitions it brings and no others, whatever the
+# session's own mode is at that moment.
+_DYNAMIC = "partitionOverwriteMode"
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -70,16 +72,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    before = spark.conf.get(_OVERWRITE)
-    spark.conf.set(_OVERWRITE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_OVERWRITE, before)
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Group rows by partition keys before a write.
 
@@ -138,6 +130,7 @@ def create_table(
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered)
     clauses = [f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"]
     if partition_by:
+        clauses.append(f"OPTIONS ({_DYNAMIC} 'dynamic')")
         clauses.append("PARTITIONED BY (" + ", ".join(f"`{p}`" for p in partition_by) + ")")
     if bucket_by:
         clauses.append(f"CLUSTERED BY (`{bucket_by}`) INTO {int(buckets)} BUCKETS")
@@ -149,6 +142,26 @@ def create_table(
     return True
 
 
+def _replaces_partitions(spark: SparkSession, table: str) -> bool:
+    """The table was made by :func:`create_table`, which lets an overwrite replace partitions."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    found = " ".join(r["data_type"] or "" for r in rows if r["col_name"] == "Storage Properties")
+    return f"{_DYNAMIC}=dynamic" in found
+
+
+def _replace_each(rows: DataFrame, table: str, years: Sequence[int]) -> None:
+    """One write per year, each naming the partition it replaces: for tables made elsewhere."""
+    spark = rows.sparkSession
+    inner = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != YEAR)
+    view = f"replay_{uuid4().hex}"
+    rows.createOrReplaceTempView(view)
+    try:
+        for year in years:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({YEAR} = {year}) SELECT {inner} FROM {view} WHERE {YEAR} = {year}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def _observed_years(seen: Observation, rows: DataFrame, years: list[int]) -> dict[int, int]:
     try:
         found = seen.get
@@ -168,14 +181,17 @@ def backfill_years(df: DataFrame, table: str, years: Sequence[int], bucket_by: s
     spark = df.sparkSession
     years = [int(y) for y in years]
     target = spark.table(table)
-    counts = {y: F.count_if(F.col(YEAR) == y).alias(f"y{y}") for y in years}
-    seen = Observation()
     rows = df.filter(F.col(YEAR).isin(*years)).select(*target.columns)
     keys = [YEAR] + ([bucket_by] if bucket_by else [])
-    observed = spread(rows.observe(seen, *counts.values()), *keys)
-    with _dynamic_overwrite(spark):
-        observed.write.insertInto(table, overwrite=True)
-    written = _observed_years(seen, rows, years)
+    if _replaces_partitions(spark, table):
+        seen = Observation()
+        counts = [F.count_if(F.col(YEAR) == y).alias(f"y{y}") for y in years]
+        spread(rows.observe(seen, *counts), *keys).write.insertInto(table, overwrite=True)
+        written = _observed_years(seen, rows, years)
+    else:
+        _replace_each(spread(rows, *keys), table, years)
+        counted = {r[YEAR]: r["count"] for r in spark.table(table).groupBy(YEAR).count().collect()}
+        written = {y: counted.get(y, 0) for y in years}
     for year, n in written.items():
         if n == 0:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({YEAR}={year})")
@@ -191,15 +207,20 @@ def full_refresh(
     location: str | None = None,
 ) -> None:
     """Drop and rebuild a table from ``df`` (all years)."""
+    spark = df.sparkSession
     keys = [*partition_by, *([bucket_by] if bucket_by else [])]
-    writer = spread(df, *keys).write.mode("overwrite").format("parquet").option("compression", "snappy")
+    # What is read may be the table itself; its rows are safe before it goes.
+    if spark.catalog.tableExists(table):
+        described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        own = urlparse(described.get("Location") or "").path.rstrip("/") + "/"
+        if any(urlparse(f).path.startswith(own) for f in df.inputFiles()):
+            df = stored(df, "refresh")
+        spark.sql(f"DROP TABLE {table}")
     if location:
-        writer = writer.option("path", location)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if bucket_by:
-        writer = writer.bucketBy(buckets, bucket_by)
-    writer.saveAsTable(table)
+        folder, files = _folder(spark, location)
+        files.delete(folder, True)
+    create_table(spark, table, df.schema, partition_by, bucket_by, buckets, location)
+    spread(df.select(*spark.table(table).columns), *keys).write.insertInto(table, overwrite=True)
 
 
 def _folder(spark: SparkSession, path: str):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,16 @@ from placetide.functions.keys import available_years, latest_flow_year, latest_s
 from placetide.operators.relational import missing_keys
 from placetide.plans.refresh import FLOW_LEVELS, FLOW_STEM, Layout, refresh_gold, refresh_marts, silver_sources
 from placetide.schemas import LEVELS, STATE_FIPS_CODES
-from placetide.sources.storage import backfill_years, create_table, read_bronze
+from placetide.sources.storage import (
+    backfill_years,
+    clear_mark,
+    create_table,
+    has_landed,
+    marks,
+    read_bronze,
+    set_mark,
+    table_years,
+)
 
 
 def expected_years(spark: SparkSession, as_of: str, source: str = "survey") -> DataFrame:
@@ -44,8 +54,9 @@ def sync_years(
 
     The key list is years, a few dozen at most, so it is read to the driver.
     """
-    due = due_partitions(expected, spark.table(table)).orderBy("survey_year")
-    years = [r["survey_year"] for r in due.collect()]
+    held = set(table_years(spark, table))
+    years = sorted(r["survey_year"] for r in expected.select("survey_year").distinct().collect())
+    years = [y for y in years if y not in held]
     for i in range(0, len(years), batch):
         some = years[i : i + batch]
         frames = [bronze(y) for y in some]
@@ -70,12 +81,18 @@ def refresh_on_arrival(
     The stream only says *which years* have new files. Each of those years is then rebuilt
     from its whole bronze folder and overwritten, so a year spread over several batches, a
     re-delivery or a retried batch all end in the same table. ``after`` runs once per batch
-    with the years, for the layers above.
+    with the years, for the layers above. Files outside a ``year=`` folder are reported with a
+    warning and left alone; a folder that has not landed yet gives no year.
     """
+    if not has_landed(spark, bronze_path):
+        return []
     touched: set[int] = set()
 
     def refresh(batch: DataFrame, _: int) -> None:
-        years = sorted(r["y"] for r in batch.select(F.col("year").cast("int").alias("y")).distinct().collect())
+        folders = batch.groupBy(F.col("year").try_cast("int").alias("y")).agg(F.min("file").alias("file")).collect()
+        years = sorted(r["y"] for r in folders if r["y"] is not None)
+        for stray in (r["file"] for r in folders if r["y"] is None):
+            warnings.warn(f"file outside a year folder: {stray}", stacklevel=2)
         if not years:
             return
         frames = [to_silver(read_bronze(spark, bronze_path, schema, y)) for y in years]
@@ -93,7 +110,7 @@ def refresh_on_arrival(
         spark.readStream.schema(schema)
         .option("recursiveFileLookup", True)
         .parquet(bronze_path)
-        .select(folder_year.alias("year"))
+        .select(folder_year.alias("year"), F.col("_metadata.file_path").alias("file"))
         .writeStream.foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -103,7 +120,6 @@ def refresh_on_arrival(
     return sorted(touched)
 
 
-
 def cascade_on_arrival(
     spark: SparkSession,
     layout: Layout,
@@ -113,9 +129,11 @@ def cascade_on_arrival(
 ) -> dict[str, list[int]]:
     """Carry newly landed files of every source through silver, gold and marts, then stop.
 
-    Gold and marts are refreshed inside the batch, before the stream commits it: a run that
-    dies in between is replayed, and every step replaces whole years or tables, so nothing
-    is lost or doubled. Returns the years refreshed per silver table.
+    Gold is refreshed inside the batch, before the stream commits it: a run that dies in between
+    is replayed, and every step replaces whole years, so nothing is lost or doubled. Marts are
+    refreshed once, after all sources, for the years noted as due; a year stays due until its
+    marts are done. A source that has not landed is passed over. Returns the years refreshed per
+    silver table.
     """
     sources = silver_sources(levels, flow_levels)
     for source in sources:
@@ -125,13 +143,10 @@ def cascade_on_arrival(
         flow = source.folder == "irs"
 
         def upward(years: list[int], source=source, flow=flow) -> None:
-            places = () if flow else (source.level,)
-            refresh_gold(spark, layout, places, (source.level,) if flow else (), years)
-            # A place mart feeds the flow mart of its level, once both have gold.
-            feeds = [x for x in flow_levels if x == source.level]
-            ready = [x for x in feeds if spark.catalog.tableExists(layout.table(f"gold_{FLOW_STEM[x]}"))]
-            have = [x for x in levels if x == source.level and spark.catalog.tableExists(layout.table(f"gold_{x}"))]
-            refresh_marts(spark, layout, have, ready if have else ())
+            refresh_gold(spark, layout, () if flow else (source.level,), (source.level,) if flow else (), years)
+            # Noted before the stream commits: a run that dies before the marts are due finds it.
+            for year in years:
+                set_mark(spark, f"{checkpoint}/due/{source.level}", str(year))
 
         done[source.silver] = refresh_on_arrival(
             spark,
@@ -142,4 +157,14 @@ def cascade_on_arrival(
             f"{checkpoint}/{source.silver}",
             after=upward,
         )
+    # Marts follow once all sources are in, and only the years that changed.
+    for level in dict.fromkeys([*levels, *flow_levels]):
+        due = f"{checkpoint}/due/{level}"
+        changed = sorted(int(m) for m in marks(spark, due))
+        have = [x for x in levels if x == level and spark.catalog.tableExists(layout.table(f"gold_{x}"))]
+        feeds = [x for x in flow_levels if x == level and spark.catalog.tableExists(layout.table(f"gold_{FLOW_STEM[x]}"))]
+        if changed and have:
+            refresh_marts(spark, layout, have, feeds, changed)
+            for year in changed:
+                clear_mark(spark, due, str(year))
     return done

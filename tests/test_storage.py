@@ -33,8 +33,8 @@ def test_replay_replaces_and_empty_year_disappears(spark, tmp_path):
 def test_overwrite_mode_is_restored(spark, tmp_path):
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
-    S.create_table(spark, "t_mode", FLOW_SILVER, location=str(tmp_path / "t"))
-    S.backfill_years(flows(spark, ("01", 2020, 5)), "t_mode", [2020])
+    S.create_table(spark, "t_replay_mode", FLOW_SILVER, location=str(tmp_path / "t"))
+    S.backfill_years(flows(spark, ("01", 2020, 5)), "t_replay_mode", [2020])
     assert spark.conf.get(key) == before
 
 
@@ -186,6 +186,14 @@ def test_arrivals_cascade_to_marts(spark, tmp_path):
     def run():
         return cascade_on_arrival(spark, layout, str(tmp_path / "check"), ("states",), ("states",))
 
+    # Nothing has landed; then the sources land one by one.
+    assert set(map(tuple, run().values())) == {()}
+    S.write_bronze(moves(2020, ("1", "6")), layout.bronze("irs", "states"), "year")
+    assert run()["silver_irs_state_outflows"] == [2020]
+    assert not spark.catalog.tableExists("cas_mart_migration_flows_states")
+    S.write_bronze(survey(2020, "01", "06"), layout.bronze("census_acs5", "states"), "year")
+    S.write_bronze(shapes(2020, "01", "06"), layout.bronze("tiger", "states"), "year")
+    run()
     land(2020, ["01", "06"], [("1", "6"), ("6", "6"), ("1", "96")])
     assert set(map(tuple, run().values())) == {(2020,)}
     land(2021, ["01"], [("1", "6")])
@@ -194,3 +202,103 @@ def test_arrivals_cascade_to_marts(spark, tmp_path):
     got = rows(spark.table("cas_mart_migration_flows_states").select("survey_year", "origin_lat", "dest_lat", "agi_per_household"), "survey_year")
     assert got == [(2020, 1.0, 1.0, 20.0), (2021, 1.0, None, 20.0)]
     assert spark.table("cas_gold_states").count() == 3
+    # No year is left due, and one marked by a run that died is made up for.
+    assert S.marks(spark, f"{tmp_path}/check/due/states") == []
+    S.set_mark(spark, f"{tmp_path}/check/due/states", "2020")
+    spark.sql("ALTER TABLE cas_mart_migration_flows_states DROP PARTITION (survey_year=2020)")
+    run()
+    assert S.table_years(spark, "cas_mart_migration_flows_states") == [2020, 2021]
+
+
+def test_years_that_have_not_landed_are_reported_and_left(spark, tmp_path):
+    from placetide.plans.refresh import Layout, refresh_silver, silver_sources
+
+    layout = Layout(str(tmp_path), prefix="late_")
+    flows = spark.createDataFrame([("1", "6", "S", "N", "5", "9", "100", y, "x") for y in (2021, 2022)], STATE_FLOW_BRONZE)
+    S.write_bronze(flows, layout.bronze("irs", "states"), "year")
+    sources = silver_sources((), ("states",))
+    assert refresh_silver(spark, layout, sources, [2021, 2022]) == {"silver_irs_state_outflows": {2021: 1, 2022: 1}}
+    assert refresh_silver(spark, layout, sources, [2022, 2023]) == {"silver_irs_state_outflows": {2022: 1, 2023: None}}
+    assert S.table_years(spark, "late_silver_irs_state_outflows") == [2021, 2022]
+    missing = refresh_silver(spark, Layout(str(tmp_path / "none"), prefix="none_"), sources, [2022])
+    assert missing == {"silver_irs_state_outflows": {2022: None}}
+
+
+def test_a_row_without_a_year_does_not_land(spark, tmp_path):
+    from pyspark.errors import PySparkException
+
+    flows = spark.createDataFrame([("1", "6", "S", "N", "5", "9", "100", None, "x")], STATE_FLOW_BRONZE)
+    with pytest.raises(PySparkException, match="without a year"):
+        S.write_bronze(flows, str(tmp_path / "land"), "year")
+
+
+def test_stray_files_are_reported_not_fatal(spark, tmp_path):
+    from placetide.plans.layers import flow_silver
+    from placetide.streaming.arrivals import refresh_on_arrival
+
+    path = str(tmp_path / "land")
+    S.create_table(spark, "t_stray", FLOW_SILVER, location=str(tmp_path / "t"))
+    flows = spark.createDataFrame([("1", "6", "S", "N", "5", "9", "100", 2020, "x")], STATE_FLOW_BRONZE)
+    flows.write.parquet(f"{path}/year=__HIVE_DEFAULT_PARTITION__")
+    S.write_bronze(flows, path, "year")
+
+    def run():
+        return refresh_on_arrival(spark, path, STATE_FLOW_BRONZE, lambda df: flow_silver(df, "states"), "t_stray", str(tmp_path / "c"))
+
+    with pytest.warns(UserWarning, match="outside a year folder"):
+        assert run() == [2020]
+    assert run() == [] and spark.table("t_stray").count() == 1
+
+
+def test_scratch_folders_go(spark):
+    df = S.stored(spark.range(5), "test")
+    path = S._scratch[-1][1]
+    assert df.count() == 5 and S.has_landed(spark, path)
+    folder, files = S._folder(spark, path)
+    files.delete(folder, True)
+    assert not S.has_landed(spark, path)
+
+
+def _years_table(spark, tmp_path, name):
+    S.create_table(spark, name, FLOW_SILVER, location=str(tmp_path / name))
+    rows_ = spark.range(12).selectExpr(*[
+        f"CAST({'2010 + id % 4' if f.name == 'survey_year' else 'id'} AS {f.dataType.simpleString()}) AS {f.name}" for f in FLOW_SILVER
+    ])
+    S.backfill_years(rows_, name, range(2010, 2014))
+    return rows_
+
+
+def test_replay_does_not_depend_on_the_session_s_mode(spark, tmp_path):
+    import threading
+
+    rows_ = _years_table(spark, tmp_path, "t_replay_mode")
+    stop = threading.Event()
+
+    def other_writer():
+        # Another write of the same session that wants whole tables replaced.
+        while not stop.is_set():
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+
+    thread = threading.Thread(target=other_writer)
+    thread.start()
+    try:
+        for year in (2010, 2012, 2010):
+            assert S.backfill_years(rows_, "t_replay_mode", [year]) == {year: 3}
+    finally:
+        stop.set()
+        thread.join()
+    assert rows(spark.table("t_replay_mode").groupBy("survey_year").count(), "survey_year") == [(y, 3) for y in range(2010, 2014)]
+
+
+def test_replay_of_a_table_made_elsewhere(spark, tmp_path):
+    rows_ = _years_table(spark, tmp_path, "t_source")
+    rows_.write.partitionBy("survey_year").option("path", str(tmp_path / "own")).saveAsTable("t_own")
+    assert S.backfill_years(rows_, "t_own", [2011, 2013]) == {2011: 3, 2013: 3}
+    assert S.table_years(spark, "t_own") == [2010, 2011, 2012, 2013]
+    assert spark.table("t_own").count() == 12
+
+
+def test_full_refresh_of_a_table_from_itself(spark, tmp_path):
+    _years_table(spark, tmp_path, "t_self")
+    S.full_refresh(spark.table("t_self").filter("survey_year > 2010"), "t_self", location=str(tmp_path / "t_self"))
+    assert S.table_years(spark, "t_self") == [2011, 2012, 2013] and spark.table("t_self").count() == 9
