@@ -14,7 +14,8 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -433,26 +434,66 @@ def _frame_row(table: str, df: DataFrame, rule: FrameRule) -> DataFrame:
     )
 
 
-def check_table(spark: SparkSession, table: str, source, rules: Sequence[Rule]) -> DataFrame:
-    """Results of all rules on one table; ``source`` is a DataFrame or a function giving one."""
-    try:
-        df = source() if callable(source) else source
-    except AnalysisException as error:
-        return _failed(spark, table, rules, f"unreadable: {error.getCondition() or 'analysis error'}")
-    out: list[DataFrame] = []
+# Rules that are answered together, and what builds their rows.
+Job = tuple[list[Rule], Callable[[], DataFrame]]
+
+
+def _jobs(table: str, df: DataFrame, rules: Sequence[Rule]) -> list[Job]:
     groupings: dict[tuple[str, ...], list[AggregateRule]] = {}
     for rule in rules:
         if isinstance(rule, AggregateRule):
             groupings.setdefault(rule.by, []).append(rule)
-    jobs: list[tuple[list[Rule], Callable[[], DataFrame]]] = [
+    jobs: list[Job] = [
         (list(same), lambda by=by, same=same: _aggregate_rows(table, df, by, same)) for by, same in groupings.items()
     ]
-    jobs += [([r], lambda r=r: _frame_row(table, df, r)) for r in rules if isinstance(r, FrameRule)]
-    for covered, build in jobs:
+    return jobs + [([r], lambda r=r: _frame_row(table, df, r)) for r in rules if isinstance(r, FrameRule)]
+
+
+def _built(jobs: Sequence[Job]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [build() for _, build in jobs])
+
+
+def planned(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The rules' results as one plan that has not run yet."""
+    return _built(_jobs(table, df, rules))
+
+
+# What a plan or a read that fails raises.
+UNREADABLE = (PySparkException, Py4JJavaError)
+
+
+def _reason(error: Exception) -> str:
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    return f"unreadable: {condition or 'read error'}"
+
+
+def check_table(spark: SparkSession, table: str, source, rules: Sequence[Rule]) -> DataFrame:
+    """Results of all rules on one table; ``source`` is a DataFrame or a function giving one.
+
+    The rules are run here, in one job: their results are one row each. A table that cannot be
+    read, be it a missing column or a damaged file met while reading, fails the rules that meet
+    it and no others.
+    """
+    try:
+        df = source() if callable(source) else source
+    except UNREADABLE as error:
+        return _failed(spark, table, rules, _reason(error))
+    jobs = _jobs(table, df, rules)
+
+    def run(some: Sequence[Job]) -> DataFrame:
+        return spark.createDataFrame([tuple(r) for r in _built(some).collect()], RESULT_SCHEMA)
+
+    try:
+        return run(jobs)
+    except UNREADABLE:
+        pass
+    # Something failed: each job on its own, so that only its own rules do.
+    out = []
+    for job in jobs:
         try:
-            out.append(build())
-        except AnalysisException as error:
-            out.append(_failed(spark, table, covered, f"unreadable: {error.getCondition() or 'analysis error'}"))
+            out.append(run([job]))
+        except UNREADABLE as error:
+            out.append(_failed(spark, table, job[0], _reason(error)))
     return reduce(DataFrame.unionByName, out)
 
 

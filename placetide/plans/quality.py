@@ -54,7 +54,7 @@ def silver_rules(e: Expectations = DEFAULTS) -> dict:
         ("silver_irs_county_outflows", F.substring("dest_geography_id", 1, 2)),
     ):
         rules[table] = [
-            C.codes_absent(code.cast("int"), AGGREGATE_CODES, by=YEAR),
+            C.codes_absent(code.try_cast("int"), AGGREGATE_CODES, by=YEAR),
             C.sentinel_absent(("households", "individuals"), SUPPRESSED_COUNT, by=YEAR),
             C.not_null("origin_geography_id", "dest_geography_id", by=YEAR),
         ]

@@ -141,5 +141,32 @@ def test_standing_rules_count(spark):
 def test_aggregate_rules_share_one_scan(spark):
     df = spark.createDataFrame(GOOD, PLACES)
     rules = [C.not_null("geography_id", by=YEAR), C.fully_covered("n", by=YEAR), C.year_count(2), C.both_flags("flag", by=YEAR)]
-    plan = C.check_table(spark, "t", df, rules)._jdf.queryExecution().executedPlan().toString()
+    plan = C.planned("t", df, rules)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ExistingRDD") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_damaged_file_fails_its_own_rules_only(spark, tmp_path):
+    spark.range(10).selectExpr("id", "id AS v").write.parquet(str(tmp_path / "bad"))
+    part = next((tmp_path / "bad").glob("part-*.parquet"))
+    data = bytearray(part.read_bytes())
+    data[4:60] = b"\xff" * 56
+    part.write_bytes(bytes(data))
+    for crc in (tmp_path / "bad").glob(".*.crc"):
+        crc.unlink()
+    tables = {"good": spark.range(10).selectExpr("id", "id AS v"), "bad": lambda: spark.read.parquet(str(tmp_path / "bad"))}
+    rules = {t: [C.not_null("id"), C.unique_key("v")] for t in tables}
+    got = C.run_checks(spark, tables, rules).collect()
+    assert len(got) == 4
+    assert all(r["passed"] for r in got if r["table"] == "good")
+    broken = [r for r in got if r["table"] == "bad"]
+    assert not any(r["passed"] for r in broken) and all(r["sample"].startswith("unreadable") for r in broken)
+
+
+def test_a_code_that_is_no_number_does_not_end_the_check(spark):
+    from placetide.plans.quality import silver_rules
+
+    rules = silver_rules()["silver_irs_state_outflows"]
+    columns = "origin_geography_id string, dest_geography_id string, households bigint, individuals bigint, survey_year int"
+    df = spark.createDataFrame([("01", "XX", 1, 2, 2020), ("01", "96", 1, 2, 2020)], columns)
+    got = {r["check"]: r["passed"] for r in C.check_table(spark, "t", df, rules).collect()}
+    assert len(got) == len(rules) and not all(got.values())
