@@ -135,23 +135,25 @@ def union_relations(
         raise ValueError("give either include or exclude, not both")
     if not relations:
         raise ValueError("no relations to union")
-    override = dict(column_override or {})
+    override = {k.lower(): v for k, v in (column_override or {}).items()}
     keep, drop = _lower_set(include), _lower_set(exclude)
-    types: dict[str, object] = {}
+    # Names differ without regard to case, as Spark resolves them; the first spelling stays.
+    types: dict[str, tuple[str, object]] = {}
     for df in relations.values():
         for field in df.schema:
             name = field.name.lower()
             if (keep and name not in keep) or name in drop:
                 continue
-            types.setdefault(field.name, override.get(field.name, field.dataType))
+            types.setdefault(name, (field.name, override.get(name, field.dataType)))
     if not types:
         raise ValueError("no columns left to union")
 
     def shaped(name: str, df: DataFrame) -> DataFrame:
         if where is not None:
             df = df.filter(where)
+        held = {c.lower() for c in df.columns}
         cols = [
-            (F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()
+            (F.col(f"`{c}`") if key in held else F.lit(None)).cast(t).alias(c) for key, (c, t) in types.items()
         ]
         label = [F.lit(name).alias(source_column_name)] if source_column_name else []
         return df.select(*label, *cols)
@@ -202,6 +204,17 @@ def comparable_columns(
     return left
 
 
+def _rounded(value: Column, digits: int) -> Column:
+    """A double rounded to digits behind the point, ties away from zero.
+
+    A value too large to have such digits, an infinity and NaN stay as they are.
+    """
+    scaled = F.abs(value) * F.lit(10.0**digits)
+    whole = F.signum(value) * F.floor(scaled + 0.5).cast("double") / F.lit(10.0**digits)
+    # -0.0 is 0.0.
+    return F.when(scaled < F.lit(2.0**53), whole + 0.0).otherwise(value)
+
+
 def two_way_except(
     a: DataFrame,
     b: DataFrame,
@@ -223,8 +236,10 @@ def two_way_except(
         for name in columns:
             c = F.col(f"`{name}`")
             kind = kinds[name.lower()]
-            if precision is not None and isinstance(kind, (T.FractionalType, T.DecimalType)):
-                c = F.round(c.cast("decimal(38,12)"), precision)
+            if precision is not None and isinstance(kind, T.DecimalType):
+                c = F.round(c, precision)
+            elif precision is not None and isinstance(kind, T.FractionalType):
+                c = _rounded(c.cast("double"), precision)
             cols.append(c.alias(name))
         return df.select(*cols, F.lit(in_a).alias("_in_a"))
 

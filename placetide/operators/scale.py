@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placetide.schemas import METRICS, PALETTES
@@ -30,23 +30,54 @@ def percentile_bounds(
 ) -> DataFrame:
     """One row ``(p5, p95)``: linearly interpolated 5th and 95th percentiles.
 
-    Rows are reduced to (value, count) with a map-side combine before the percentile sees
-    them, so its state holds one entry per distinct value: at most about ten thousand for a
-    rate of two decimals, and a few hundred thousand for a top-coded dollar amount. For a
-    column of unbounded precision give ``accuracy``, which switches to the bounded
-    ``approx_percentile`` sketch.
+    Exact by counted ranks: rows are reduced to (value, count) with a map-side combine, values
+    are counted by magnitude first and then within one magnitude, and the wanted ranks are
+    looked up. No buffer grows with the number of different values. ``accuracy`` switches to
+    the ``approx_percentile`` sketch.
     """
     value = F.col(column).cast("double")
     value = F.coalesce(value, F.lit(0.0)) if null_as_zero else value
     values = df.select(value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    shares = F.array(F.lit(LOW_SHARE), F.lit(HIGH_SHARE))
     if accuracy is not None:
-        p = F.percentile_approx("v", shares, accuracy)
-        bounds = values.agg(p.alias("p"))
-    else:
-        counted = values.groupBy("v").agg(F.count("*").alias("n"))
-        bounds = counted.agg(F.percentile("v", shares, F.col("n")).alias("p"))
-    return bounds.select(F.col("p")[0].alias("p5"), F.col("p")[1].alias("p95"))
+        shares = F.array(F.lit(LOW_SHARE), F.lit(HIGH_SHARE))
+        bounds = values.agg(F.percentile_approx("v", shares, accuracy).alias("p"))
+        return bounds.select(F.col("p")[0].alias("p5"), F.col("p")[1].alias("p95"))
+    counted = values.groupBy("v").agg(F.count("*").alias("n")).withColumn("b", _magnitude(F.col("v")))
+    blocks = counted.groupBy("b").agg(F.sum("n").alias("block_n"))
+    # One row per magnitude, of which the type of the column allows a fixed number.
+    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    blocks = blocks.select(
+        "b",
+        F.coalesce(F.sum("block_n").over(before), F.lit(0)).alias("block_from"),
+        F.sum("block_n").over(everything).alias("total"),
+    )
+    inside = Window.partitionBy("b").orderBy("v")
+    ranked = counted.select("b", "v", "n", F.sum("n").over(inside).alias("upto")).join(blocks, "b")
+    # Ranks from first to last, counted from 0, are those of this value's copies.
+    last = F.col("block_from") + F.col("upto") - 1
+    first = last - F.col("n") + 1
+    found = []
+    for name, share in (("p5", LOW_SHARE), ("p95", HIGH_SHARE)):
+        position = F.lit(share) * (F.col("total") - 1)
+        for end, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
+            found.append(F.max(F.when((first <= rank) & (rank <= last), F.col("v"))).alias(f"{name}_{end}"))
+        found.append(F.max(position).alias(f"{name}_at"))
+    ends = ranked.agg(*found)
+
+    def between(name: str) -> Column:
+        low, high, at = (F.col(f"{name}_{x}") for x in ("low", "high", "at"))
+        mixed = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+        return F.when(low == high, low).otherwise(mixed).alias(name)
+
+    return ends.select(between("p5"), between("p95"))
+
+
+def _magnitude(value: Column) -> Column:
+    """Order-preserving whole number of a value's sign and power of two, in 64ths."""
+    steps = F.floor((F.log2(F.abs(value)) + 1100) * 64).cast("int")
+    steps = F.when(F.abs(value) == float("inf"), F.lit(200_000)).otherwise(steps)
+    return F.when(value == 0, F.lit(0)).when(value > 0, steps).otherwise(-steps)
 
 
 def normalised(value: Column, low: Column, high: Column) -> Column:

@@ -1,7 +1,7 @@
 """Number and date spines, and the date dimension.
 
-A spine is one row exploded through ``sequence``: its length depends on the range asked
-for, never on a table.
+The length of a spine depends on the range asked for, never on a table. ``spine_array`` holds
+one in an array, for short ones per row; the others are rows of ``spark.range``.
 """
 
 from __future__ import annotations
@@ -42,10 +42,33 @@ def spine_array(start: Column, end: Column, datepart: str = "day") -> Column:
     return F.filter(whole, lambda t: t < end)
 
 
+# Months or seconds of each step.
+MONTHS = {"month": 1, "quarter": 3, "year": 12}
+SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _spine_rows(spark: SparkSession, start: Column, end: Column, datepart: str, name: str) -> DataFrame:
+    """Starts in ``[start, end)``, one row each, made by ``spark.range``: a spine of any length
+    is spread over tasks and never held in one array."""
+    bounds = spark.range(1).select(start.cast("timestamp_ntz").alias("s"), end.cast("timestamp_ntz").alias("e"))
+    months = MONTHS.get(datepart)
+    unit = "MONTH" if months else "SECOND"
+    between = F.timestamp_diff(unit, F.col("s"), F.col("e"))
+    low, e, units = bounds.select("s", "e", between.alias("n")).first()
+    if low is None or e is None or units is None or e <= low:
+        return spark.range(0).select(F.lit(None).cast("timestamp_ntz").alias(name))
+    each = months or SECONDS[datepart]
+    # One more than fits: the last may lie behind the end, which the filter settles.
+    rows = spark.range(units // each + 2)
+    step = F.make_interval(months=F.col("id").cast("int") * each) if months else F.make_dt_interval(secs=F.col("id") * each)
+    first, last = (F.lit(str(x)).cast("timestamp_ntz") for x in (low, e))
+    return rows.select((first + step).alias(name)).filter(F.col(name) < last)
+
+
 def date_spine(spark: SparkSession, datepart: str, start: str, end: str) -> DataFrame:
     """Rows ``date_<datepart>`` in ``[start, end)`` by the given step."""
     name = f"date_{datepart}"
-    one = spark.range(1).select(F.explode(spine_array(F.lit(start), F.lit(end), datepart)).alias(name))
+    one = _spine_rows(spark, F.lit(start), F.lit(end), datepart, name)
     return one.withColumn(name, F.col(name).cast("date")) if datepart not in ("second", "minute", "hour") else one
 
 
@@ -78,7 +101,7 @@ def base_dates(
         high = D.tomorrow(F.lit(as_of))
     else:
         raise ValueError("give start and end, or n_dateparts and as_of")
-    return spark.range(1).select(F.explode(spine_array(low, high, datepart)).alias(name))
+    return _spine_rows(spark, low, high, datepart, name)
 
 
 def date_attributes(d: str = "date_day") -> list[Column]:

@@ -73,20 +73,17 @@ def migrants(flows: DataFrame) -> DataFrame:
 def flow_mart(gold_flows: DataFrame, profile: DataFrame, level: str) -> DataFrame:
     """Migrant flows with the profile of both ends; a flow without a profile keeps NULLs.
 
-    The profile is cut to the needed columns first. At state level it is broadcast: its key
-    is a two-digit code and a year and is unique, so it cannot outgrow a hundred rows a
-    year. At county level Spark's own size check picks the join, and AQE splits a hot
-    origin or destination.
+    The profile is cut to the needed columns first. Spark's own size check picks the join, and
+    AQE splits a hot origin or destination.
     """
     context = FLOW_CONTEXT[level]
 
     def end(role: str) -> DataFrame:
-        side = profile.select(
+        return profile.select(
             F.col("geography_id").alias(f"{role}_geography_id"),
             "survey_year",
             *(F.col(c).alias(f"{role}_{name}") for c, name in context.items()),
         )
-        return F.broadcast(side) if level == "states" else side
 
     joined = migrants(staging_flows(gold_flows)).drop("dest_state", "dest_name")
     for role in ("origin", "dest"):

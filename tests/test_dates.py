@@ -163,3 +163,16 @@ def test_retail_year_known_closings(spark):
     df = day(spark, "2024-02-03", "2024-02-04", "2023-01-28")
     out = rows(df.select(D.fiscal_period("d")["fiscal_year_number"], D.fiscal_period("d")["fiscal_week_of_year"], D.fiscal_period("d")["fiscal_period_number"]))
     assert out == [(2023, 53, 12), (2024, 1, 1), (2022, 52, 12)]
+
+
+def test_long_fine_spine(spark):
+    from placetide.operators import spines
+
+    year = spines.date_spine(spark, "second", "2020-01-01", "2021-01-01")
+    assert year.count() == 366 * 86400
+    assert "date_second" in year.columns
+    for part in spines.STEPS:
+        rows = [r[0] for r in spines.date_spine(spark, part, "2020-01-31", "2020-01-31").collect()]
+        assert rows == []
+    months = [str(r[0]) for r in spines.date_spine(spark, "month", "2020-01-31", "2020-06-01").orderBy("date_month").collect()]
+    assert months == ["2020-01-31", "2020-02-29", "2020-03-31", "2020-04-30", "2020-05-31"]

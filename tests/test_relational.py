@@ -115,3 +115,17 @@ def test_missing_keys_and_orphans(spark):
     child = spark.createDataFrame([(1, "a"), (2, "a"), (None, "a"), (2, "b")], "k int, g string")
     assert rows(R.orphans(child, "k", have, "k", "g = 'a'")) == [(2, "a")]
     assert R.orphans(child, "k", have, "k", to_condition="k > 5").count() == 3
+
+
+def test_union_ignores_case(spark):
+    a, b = spark.range(1).selectExpr("id AS Id"), spark.range(2).selectExpr("id", "'x' AS Extra")
+    out = R.union_relations({"a": a, "b": b}, column_override={"ID": "string"}, source_column_name=None)
+    assert out.columns == ["Id", "Extra"] and dict(out.dtypes)["Id"] == "string" and out.count() == 3
+
+
+def test_precision_of_large_values_and_nan(spark):
+    nan, inf = float("nan"), float("inf")
+    a = spark.createDataFrame([(1e30,), (nan,), (0.14,), (-0.04,), (inf,), (None,)], "d double")
+    b = spark.createDataFrame([(1e30,), (None,), (0.1,), (0.0,), (-inf,)], "d double")
+    got = [(r[0], str(r[1])) for r in R.two_way_except(a, b, precision=1).collect()]
+    assert sorted(got) == [("a_minus_b", "inf"), ("a_minus_b", "nan"), ("b_minus_a", "-inf")]

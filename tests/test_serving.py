@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from conftest import plan_of, rows
@@ -35,7 +36,23 @@ def test_sketch_for_unbounded_values(spark):
 
 def test_percentile_state_is_one_entry_per_distinct_value(spark):
     plan = plan_of(percentile_bounds(values(spark, 1.0, 1.0, 2.0), "renter_rate"))
-    assert "partial_count(1)" in plan and "percentile(v" in plan
+    assert "partial_count(1)" in plan and "percentile(" not in plan
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_percentiles_match_plain_interpolation(spark, seed):
+    rng = random.Random(seed)
+    data = [rng.choice([0.0, -1.5, rng.uniform(-1e6, 1e6), rng.gauss(0, 1), 1e-9, 7.25]) for _ in range(rng.choice([1, 2, 3, 50, 401]))]
+    got = percentile_bounds(spark.createDataFrame([(x,) for x in data], "v double"), "v").first()
+    data.sort()
+    for name, share in (("p5", 0.05), ("p95", 0.95)):
+        at = share * (len(data) - 1)
+        low, high = data[int(at)], data[min(len(data) - 1, int(at) + (at > int(at)))]
+        assert got[name] == pytest.approx(low + (high - low) * (at - int(at)), rel=1e-9, abs=1e-12)
+
+
+def test_percentiles_of_nothing(spark):
+    assert tuple(percentile_bounds(spark.createDataFrame([], "v double"), "v").first()) == (None, None)
 
 
 def test_equal_values_take_the_lowest_colour(spark):
