@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placetide.llm.encoding import encoder
-from placetide.llm.shared import slices
+from placetide.llm.shared import slices, stored
 
-STEP = 4 << 20
+STEP = 6 << 20
 # Lengths in a block of the histogram.
 BLOCK = 1024
 
@@ -27,15 +27,16 @@ def encoded_lengths(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
         for piece in slices(batches, text, STEP):
-            _, sizes = encode([t or "" for t in piece.column(text).to_pylist()])
+            _, sizes = encode(piece.column(text))
             yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], ["n_tokens"])
 
     return df.select(text).mapInArrow(run, "n_tokens long")
 
 
 def histogram(lengths: DataFrame) -> DataFrame:
-    """``n_tokens, n_docs``: how many documents have each length that occurs."""
-    return lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    """``n_tokens, n_docs``: how many documents have each length that occurs; written once, as
+    all answers come from it."""
+    return stored(lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "histogram")
 
 
 def suffix_sums(hist: DataFrame, block: int = BLOCK) -> DataFrame:
