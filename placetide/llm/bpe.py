@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from placetide.llm.encoding import TextEncoder, _Numbers, byte_alphabet
+from placetide.llm.encoding import TextEncoder, _Numbers, byte_alphabet, gather
 from placetide.llm.shared import free_name, slices
 
 # The published pattern that cuts text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = np.iinfo(np.int64).max
-STEP = 4 << 20
-# Different words remembered by one task at most.
+STEP = 2 << 20
+# Different pieces remembered by one task at most.
 REMEMBERED = 300_000
 # A character that no class of the pattern names: it stands for unassigned ones.
 _STAND_IN = "￿"
@@ -127,10 +127,7 @@ class BytePairs:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes that ids stand for."""
-        lengths = self.lengths[ids]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.bytes[np.repeat(self.starts[ids] - (ends - lengths), lengths) + np.arange(total)].tobytes()
+        return gather(self.bytes, self.starts[ids], self.lengths[ids]).tobytes()
 
 
 class PairEncoder(TextEncoder):
@@ -141,6 +138,7 @@ class PairEncoder(TextEncoder):
         self.special = list(self.pairs.special)
         self.remembered = remembered
         self.words_only = False
+        self.tails = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -149,7 +147,14 @@ class PairEncoder(TextEncoder):
         self.word_ids = np.zeros(0, np.int64)
         self.word_sizes = np.zeros(0, np.int64)
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _make_room(self) -> None:
+        super()._make_room()
+        # The pieces kept have their ids; words of new ones are numbered anew.
+        self.words = _Numbers()
+        self.word_ids = np.zeros(0, np.int64)
+        self.word_sizes = np.zeros(0, np.int64)
+
+    def _merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, one after the other, and how many each has."""
         known = len(self.words)
         index = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
@@ -159,10 +164,7 @@ class PairEncoder(TextEncoder):
             self.word_ids = np.concatenate([self.word_ids, ids])
             self.word_sizes = np.concatenate([self.word_sizes, sizes])
         starts = np.cumsum(self.word_sizes) - self.word_sizes
-        sizes = self.word_sizes[index]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.word_ids[np.repeat(starts[index] - (ends - sizes), sizes) + np.arange(total)], sizes
+        return gather(self.word_ids, starts[index], self.word_sizes[index]), self.word_sizes[index]
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         """Ids of whole texts; special tokens in them are single ids and split the text."""
@@ -175,7 +177,7 @@ class PairEncoder(TextEncoder):
             ids: list[int] = []
             for part in split.split(text) if split else [text]:
                 number = self.pairs.special.get(part)
-                ids.extend(self._words(self.pairs.cut(part))[0].tolist() if number is None else [number])
+                ids.extend(self._merged(self.pairs.cut(part))[0].tolist() if number is None else [number])
             out.append(ids)
         return out
 
@@ -190,7 +192,9 @@ class PairEncoder(TextEncoder):
                 cut = self.pairs.cut(piece if piece[:1] == "\n" else " " + piece)
                 words.extend(cut)
                 counts.append(len(cut))
-        flat, sizes = self._words(words)
+        flat, sizes = self._merged(words)
+        if not counts:
+            return flat, sizes
         ends = np.cumsum(counts)
         return flat, np.add.reduceat(sizes, ends - counts)
 
@@ -222,7 +226,7 @@ def round_trip(df: DataFrame, path: str, text: str = "text", keep_ids: bool = Tr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoder(path)
         for piece in slices(batches, text, STEP):
-            flat, sizes = coder.encode([t or "" for t in piece.column(text).to_pylist()])
+            flat, sizes = coder.encode(piece.column(text))
             rows = []
             at = 0
             for size in sizes.tolist():

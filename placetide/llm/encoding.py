@@ -4,21 +4,29 @@ Both supported kinds of tokenizer never merge across the start of a word, so the
 are the ids of its pieces, cut before single spaces and line feeds, one after the other. Pieces
 recur, so each task keeps the ids of those it has met and sends only new ones to the library.
 Texts where a cut could change the ids go to the library whole.
+Arrow's kernels cut the texts and number the pieces of a batch; Python sees different ones only.
 """
 
 from __future__ import annotations
 
 import os
-import re
-from itertools import chain, islice
+import string
+from itertools import chain, compress, islice
 
 import numpy as np
-
-# Words remembered by one task at most; beyond it the memory starts anew.
-REMEMBERED = 400_000
-# White-space runs that a byte-level pattern splits by their length.
-_RUNS = re.compile(r"\s{3}|\s\s\Z")
-_MARKS = ".,;:!?"
+import pyarrow as pa
+import pyarrow.compute as pc
+
+# Words remembered by one task at most; beyond it those met only once are forgotten.
+REMEMBERED = 600_000
+# All white space there is, and the runs of it that a byte-level pattern splits by their length
+# or that stand at an end.
+_BLANK = "[\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+_RUNS = f"{_BLANK}{{3}}|{_BLANK}{{2}}\\z|^{_BLANK}"
+# A run of these behind a word is a unit of its own for either pattern.
+_MARKS = string.punctuation
+# Different runs of marks remembered at a time.
+TAILS = 10_000
 # Letters below this one (Latin-1) lower-case one by one and are composed already.
 _PLAIN_LETTERS = "\u0100"
 
@@ -43,6 +51,13 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
 
 
+def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Stretches of an array, one after the other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+
+
 class TextEncoder:
     """Ids of texts by a tokenizer file, as ``encode(text, add_special_tokens=False)`` gives them."""
 
@@ -58,7 +73,7 @@ class TextEncoder:
         # A normalizer that drops white space: words carry no space and may be cut at any.
         self.words_only = self.tokenizer.normalizer is not None
         self.alphabet = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
-        self.marks = {m: self._whole([m])[0] for m in _MARKS}
+        self.tails: dict[str, list[int]] = {}
         self.line = self._whole(["\n"])[0]
         self._forget()
 
@@ -67,102 +82,167 @@ class TextEncoder:
         self.flat = np.zeros(0, np.uint32)
         self.lengths = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
+
+    def _make_room(self) -> None:
+        """Forget the words met once; all of them if too many were met more often."""
+        often = self.uses > 1
+        if 2 * int(often.sum()) > self.remembered:
+            self._forget()
+            return
+        kept = _Numbers()
+        for word in compress(self.numbers, often.tolist()):
+            kept[word] = len(kept)
+        self.numbers = kept
+        self.flat = gather(self.flat, self.starts[often], self.lengths[often])
+        self.lengths = self.lengths[often]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.uses = np.ones(len(kept), np.int64)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _tail(self, piece: str) -> tuple[str, list[int]]:
+        """A piece without the marks at its end, and the ids of those; no ids if there are none or
+        the piece must stay whole."""
+        body = piece.rstrip(_MARKS)
+        if len(body) == len(piece) or any(s in piece for s in self.special):
+            return piece, []
+        marks = piece[len(body) :]
+        ids = self.tails.get(marks)
+        if ids is None:
+            if len(self.tails) >= TAILS:
+                self.tails.clear()
+            ids = self.tails[marks] = self._whole([marks])[0]
+        return body, ids
+
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces and how many each has; one that starts with a line feed has no
-        space before it.
+        """Ids of all pieces and how many each has; one that starts with a line feed has no space
+        before it.
 
-        A word of plain letters is one unit of the model, and so is one mark after it; every
-        other piece takes the library's whole way.
+        A word of plain letters is one unit of the library's model, and so are the marks behind
+        it; every other piece takes the library's whole way.
         """
         out: list[list[int]] = []
         rest = []
-        model, marks, words_only = self.tokenizer.model.tokenize, self.marks, self.words_only
-        space = "" if words_only else byte_alphabet()[ord(" ")]
+        model, words_only, alphabet = self.tokenizer.model.tokenize, self.words_only, self.alphabet
+        space, line = "" if words_only else self.alphabet[ord(" ")], self.line
         for k, piece in enumerate(pieces):
             after_line = piece[:1] == "\n"
-            word = piece[1:] if after_line else piece
-            tail = marks.get(word[-1:])
-            if tail:
-                word = word[:-1]
-            plain = word.isalpha()
-            if plain and words_only:
-                word = word.lower() if word.isascii() or max(word) < _PLAIN_LETTERS else "\n"
-                plain = word != "\n"
-            if not plain:
+            word, tail = self._tail(piece[1:] if after_line else piece)
+            if not word.isalpha() or words_only and not word.isascii() and max(word) >= _PLAIN_LETTERS:
                 rest.append(k)
                 out.append([])
                 continue
+            if words_only:
+                word = word.lower()
             if not word.isascii():
-                word = word.encode().decode("latin-1").translate(self.alphabet)
-            ids = [t.id for t in model(word if after_line else space + word)]
+                word = word.encode().decode("latin-1").translate(alphabet)
             if after_line:
-                ids = self.line + ids
-            out.append(ids + tail if tail else ids)
-        whole = [p if words_only or p[:1] == "\n" else " " + p for p in (pieces[k] for k in rest)]
+                out.append(line + [t.id for t in model(word)] + tail)
+            else:
+                out.append([t.id for t in model(space + word)] + tail)
+        whole = [pieces[k] if words_only or pieces[k][:1] == "\n" else " " + pieces[k] for k in rest]
         for k, ids in zip(rest, self._whole(whole), strict=True):
             out[k] = ids
         sizes = np.fromiter(map(len, out), np.int64, len(out))
         return np.fromiter(chain.from_iterable(out), np.uint32, int(sizes.sum())), sizes
 
-    def _cut(self, text: str) -> list[str] | None:
-        """Pieces whose ids make up those of ``"\\n" + text``; None if the text must stay whole."""
-        if self.words_only:
-            return text.replace("\n", " ").split(" ")
-        if any(s in text for s in self.special) or text[:1].isspace():
-            return None
-        # Printable text has no other white space than the space; most texts need no search.
-        flat = text.replace("\n", " ")
-        if ("  " in flat or not flat.isprintable()) and _RUNS.search(text):
-            return None
-        return ("\n" + text.replace("\n", " \n")).split(" ")
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and how many each text has."""
+    def _learn(self, new: list[str]) -> None:
+        """Add the ids of new pieces. One that is a known or new piece and marks behind its last
+        letter or digit, or that only differs in case where that is dropped, has that one's."""
+        known, get = len(self.lengths), self.numbers.get
+        direct, derived, bodies, tails = [], [], [], []
+        for k, piece in enumerate(new):
+            body, tail = self._tail(piece)
+            # Lower-casing other letters can leave one that is no letter at the end.
+            plain = not self.words_only or body.isascii() or max(body) < _PLAIN_LETTERS
+            if self.words_only and plain and body.isalpha():
+                body = body.lower()
+            if plain and body != piece and body[-1:].isalnum():
+                number = get(body)
+                if number is not None:
+                    derived.append(k)
+                    bodies.append(number)
+                    tails.append(tail)
+                    continue
+            direct.append(k)
+        ids, sizes = self._pieces([new[k] for k in direct])
+        flat = np.concatenate([self.flat, ids.astype(np.uint32, copy=False)])
+        starts = np.concatenate([self.starts, np.zeros(len(new), np.int64)])
+        lengths = np.concatenate([self.lengths, np.zeros(len(new), np.int64)])
+        at = known + np.array(direct, np.int64)
+        lengths[at] = sizes
+        starts[at] = len(self.flat) + np.cumsum(sizes) - sizes
+        if derived:
+            # No body is derived itself: it ends in no mark, and its case is lower.
+            body = np.array(bodies)
+            behind = np.fromiter(map(len, tails), np.int64, len(tails))
+            sizes = lengths[body] + behind
+            ends = np.cumsum(sizes)
+            more = np.empty(int(ends[-1]), np.uint32)
+            last = np.arange(len(more)) >= np.repeat(ends - behind, sizes)
+            more[last] = np.fromiter(chain.from_iterable(tails), np.uint32, int(behind.sum()))
+            more[~last] = gather(flat, starts[body], lengths[body])
+            at = known + np.array(derived, np.int64)
+            lengths[at] = sizes
+            starts[at] = len(flat) + ends - sizes
+            flat = np.concatenate([flat, more])
+        self.flat, self.starts, self.lengths = flat, starts, lengths
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and how many each text has; NULL counts as empty."""
         if len(self.numbers) > self.remembered:
-            self._forget()
-        cut = [self._cut(t) for t in texts]
-        whole = [k for k, c in enumerate(cut) if c is None]
-        pieces = list(chain.from_iterable(c for c in cut if c))
+            self._make_room()
+        column = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if self.words_only:
+            odd = np.zeros(len(column), bool)
+            column = pc.replace_substring(column, "\n", " ")
+        else:
+            odd = pc.match_substring_regex(column, _RUNS).to_numpy(zero_copy_only=False).astype(bool)
+            for token in self.special:
+                odd |= pc.match_substring(column, token).to_numpy(zero_copy_only=False).astype(bool)
+        whole = column.filter(pa.array(odd)).to_pylist() if odd.any() else []
+        if not self.words_only:
+            # What stands before the first word of a text and of each line is a line feed.
+            column = pc.binary_join_element_wise("\n", pc.replace_substring(column, "\n", " \n"), "")
+        if whole:
+            column = pc.if_else(pa.array(odd), "\n" if not self.words_only else "", column)
+        lists = pc.split_pattern(column, " ")
+        pieces = lists.flatten().dictionary_encode()
         known = len(self.numbers)
-        index = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
+        used = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(self.numbers.__getitem__, used), np.int64, len(used))
         if len(self.numbers) > known:
-            ids, lengths = self._pieces(list(islice(self.numbers, known, None)))
-            self.flat = np.concatenate([self.flat, ids.astype(np.uint32, copy=False)])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.starts = np.cumsum(self.lengths) - self.lengths
+            self._learn(list(islice(self.numbers, known, None)))
+        index = numbers[pieces.indices.to_numpy()]
+        self.uses += np.bincount(index, minlength=len(self.uses))
         lengths = self.lengths[index]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        places = np.repeat(self.starts[index] - (ends - lengths), lengths) + np.arange(total)
-        flat = self.flat[places]
+        sums = np.append(0, np.cumsum(lengths))
+        flat = gather(self.flat, self.starts[index], lengths)
         # Ids of each text: those of its pieces, without the line feed set before the first.
-        counts = np.fromiter((len(c) if c else 0 for c in cut), np.int64, len(cut))
-        sums = np.concatenate([[0], ends])
-        last = np.cumsum(counts)
-        sizes = sums[last] - sums[last - counts]
+        last = np.cumsum(pc.list_value_length(lists).to_numpy())
+        begins = sums[np.append(0, last[:-1])] if len(last) else last
+        sizes = sums[last] - begins
         if not self.words_only:
-            keep = np.ones(total, bool)
-            first = sums[(last - counts)[counts > 0]]
-            keep[first] = False
+            keep = np.ones(len(flat), bool)
+            keep[begins] = False
             flat = flat[keep]
-            sizes = np.where(counts > 0, sizes - 1, 0)
+            sizes = sizes - 1
         if whole:
-            encoded = self._whole([texts[k] for k in whole])
-            at = np.cumsum(sizes)
-            flat = np.insert(flat, np.repeat(at[whole], [len(e) for e in encoded]), list(chain.from_iterable(encoded)))
-            sizes[whole] = [len(e) for e in encoded]
-        return flat.astype(np.uint32, copy=False), sizes
+            encoded = self._whole(whole)
+            more = [len(e) for e in encoded]
+            flat = np.insert(flat, np.repeat(np.cumsum(sizes)[odd], more), list(chain.from_iterable(encoded)))
+            sizes[odd] = more
+        return flat, sizes
 
 
 _encoders: dict[str, TextEncoder] = {}
 
 
-def encoder(path: str) -> TextEncoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> TextEncoder:
     """The task process's encoder for a tokenizer file."""
     if path not in _encoders:
-        _encoders[path] = TextEncoder(path)
+        _encoders[path] = TextEncoder(path, remembered)
     return _encoders[path]

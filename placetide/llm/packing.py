@@ -25,12 +25,14 @@ from placetide.llm.shared import slices, stored
 
 WINDOW = 2048
 # Tokens in a shard and in a task's range, about.
-SHARD_TOKENS = 1 << 19
+SHARD_TOKENS = 1 << 18
 RANGE_TOKENS = 1 << 21
 # BM25 constants.
 K1 = 1.2
 B = 0.75
-STEP = 4 << 20
+# Tokens in more than this share of all documents are stop words: they have no postings.
+STOP_SHARE = 0.2
+STEP = 6 << 20
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "window long, tokens binary"
@@ -50,54 +52,60 @@ def tokenized(
 ) -> DataFrame:
     """``key, n, anchor, tokens``: the ids of each text and ``end_id``, little-endian, in
     ``id_bytes`` bytes each. NULL text counts as empty, so every row has one id at least.
+
+    Each task adds one row with ``n`` 0: in how many of its documents each id occurs (64 bits
+    each), which spares a second pass over all tokens.
     """
     kind = np.dtype(f"<u{id_bytes}")
+    names = ["key", "n", "anchor", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
         hashes = _hashes(1 << 17)
+        found, seen = np.zeros(0, np.int64), np.zeros(0, bool)
         for piece in slices(batches, text, STEP):
-            flat, sizes = encode([t or "" for t in piece.column(text).to_pylist()])
-            if len(flat) and int(flat.max()) > np.iinfo(kind).max:
+            flat, sizes = encode(piece.column(text))
+            top = max(int(flat.max()) if len(flat) else 0, end_id)
+            if top > np.iinfo(kind).max:
                 raise ValueError(f"token ids need more than {id_bytes} bytes")
+            if top >= len(found):
+                found = np.concatenate([found, np.zeros(top + 1 - len(found), np.int64)])
+                seen = np.zeros(len(found), bool)
+            # The end id behind each document.
             ends = np.cumsum(sizes)
-            bodies, anchors = [], []
-            for begin, end in zip(ends - sizes, ends, strict=True):
+            flat = np.insert(flat, ends, end_id).astype(kind)
+            ends = ends + np.arange(1, len(ends) + 1)
+            anchors = []
+            bodies = []
+            begin = 0
+            for end in ends.tolist():
                 ids = flat[begin:end]
-                anchors.append(int(hashes[ids].min()) if len(ids) else -1)
-                bodies.append(np.append(ids, np.uint32(end_id)).astype(kind).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    piece.column(key).cast(pa.int64()),
-                    pa.array(sizes + 1),
-                    pa.array(anchors, pa.int64()),
-                    pa.array(bodies, pa.binary()),
-                ],
-                ["key", "n", "anchor", "tokens"],
-            )
+                seen[ids] = True
+                used = np.flatnonzero(seen)
+                found[used] += 1
+                seen[used] = False
+                anchors.append(int(hashes[used].min()))
+                bodies.append(ids.tobytes())
+                begin = end
+            arrays = [piece.column(key).cast(pa.int64()), pa.array(sizes + 1), pa.array(anchors, pa.int64()), pa.array(bodies, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+        counts = [pa.array([None], pa.int64()), pa.array([0]), pa.array([0]), pa.array([found.astype("<i8").tobytes()])]
+        yield pa.RecordBatch.from_arrays(counts, names)
 
     return df.select(key, text).mapInArrow(run, "key long, n long, anchor long, tokens binary")
 
 
-def token_frequencies(tokens: DataFrame, id_bytes: int = 4) -> dict[int, int]:
+def token_frequencies(tokens: DataFrame) -> dict[int, int]:
     """In how many documents each token id occurs, over all rows; the vocabulary bounds it."""
-    kind = np.dtype(f"<u{id_bytes}")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(0, np.int64)
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for body in batch.column("tokens"):
-                ids = np.frombuffer(body.as_buffer(), kind)
-                top = int(ids.max()) + 1 if len(ids) else 0
-                if top > len(found):
-                    found = np.concatenate([found, np.zeros(top - len(found), np.int64)])
-                seen = np.zeros(len(found), bool)
-                seen[ids] = True
-                found += seen
-        used = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(found[used])], ["id", "n"])
+                found = np.frombuffer(body.as_buffer(), "<i8")
+                used = np.flatnonzero(found)
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(found[used])], ["id", "n"])
 
-    parts = tokens.select("tokens").mapInArrow(count, "id long, n long")
+    parts = tokens.filter("n = 0").select("tokens").mapInArrow(spread, "id long, n long")
     return {r["id"]: r["n"] for r in parts.groupBy("id").agg(F.sum("n").alias("n")).collect()}
 
 
@@ -118,8 +126,8 @@ class Shard:
         length = np.array([len(b) for b in bodies], np.float32)[doc]
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average))
         order = np.argsort(term, kind="stable")
-        self.docs, self.weights = doc[order], weight[order].astype(np.float32)
-        self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        self.docs, self.weights = doc[order], weight[order].astype(np.float64)
+        self.first = np.append(0, np.cumsum(np.bincount(term, minlength=len(idf))))
         self.size = len(bodies)
 
     def scores(self, seed: int) -> np.ndarray:
@@ -237,17 +245,17 @@ def pack(
     NULL text is empty and has its end id only; a NULL key is kept as NULL; rows that repeat a
     key are documents of their own. Sequence ids are distinct, not gapless.
     """
-    tokens = stored(tokenized(df, path, end_id, key, text, id_bytes), "tokens")
-    frequencies = token_frequencies(tokens, id_bytes)
+    made = stored(tokenized(df, path, end_id, key, text, id_bytes), "tokens")
+    frequencies = token_frequencies(made)
+    tokens = made.filter("n > 0")
     kind = np.dtype(f"<u{id_bytes}")
     rows, total = tokens.agg(F.count("*"), F.sum("n")).first()
     total = total or 0
     size = max(frequencies, default=0) + 1
     found = np.zeros(size)
     found[list(frequencies)] = list(frequencies.values())
-    # Terms in half of the documents or more weigh nothing, so they have no postings.
-    idf = np.where(found > 0, np.log(np.maximum((rows - found + 0.5) / (found + 0.5), 1e-9)), 0.0)
-    idf = np.maximum(idf, 0.0).astype(np.float32)
+    used = (found > 0) & (found <= max(1.0, STOP_SHARE * rows))
+    idf = np.where(used, np.log(1 + (rows - found + 0.5) / (found + 0.5)), 0.0).astype(np.float32)
     average = max(1.0, total / max(1, rows))
     ranges = max(1, -(-total // range_tokens))
     dealt = tokens.repartitionByRange(ranges, "anchor", "key", "n").sortWithinPartitions("anchor", "key", "tokens")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placetide.llm import bpe, language, licenses, line_chunks, packing, quality, simhash, token_counts, token_files, topk
-from placetide.llm.shared import importable, parts_for, scratch_path, text_bytes
+from placetide.llm.shared import importable, scratch_path
 from placetide.workload.registry import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,9 +57,8 @@ def op3_language_id(t: Tables) -> DataFrame:
 @_query
 def op4_token_files(t: Tables) -> DataFrame:
     rows = t.documents.select("doc_id", "text")
-    files = parts_for(text_bytes(rows), token_files.FILE)
     target = scratch_path(t.spark, "token_files")
-    token_files.write(rows, target, tokenizer_file("word_bpe_49k.json"), 2, files, id_bytes=2)
+    token_files.write(rows, target, tokenizer_file("word_bpe_49k.json"), 2, id_bytes=2)
     found = token_files.with_starts(token_files.read(t.spark, target, keep_ids=False))
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 

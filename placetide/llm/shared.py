@@ -63,11 +63,6 @@ def parts_for(rows: int, each: int) -> int:
     return max(1, -(-int(rows) // each))
 
 
-def text_bytes(df: DataFrame, text: str = "text") -> int:
-    """Bytes of all texts."""
-    return df.agg(F.sum(F.octet_length(F.col(text)).cast("bigint"))).first()[0] or 0
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a text column has about ``size`` bytes in each piece.
 
