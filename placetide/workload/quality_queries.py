@@ -434,3 +434,16 @@ def available_years(t):
     return t.orders.select(
         "o_orderkey", latest.alias("survey_year"), K.latest_flow_year(day).alias("flow_year"), F.size(K.available_years(latest)).alias("survey_years")
     )
+
+
+def _duplicates_line(table: str, key: str) -> str:
+    dupes = f"SELECT {key} AS k FROM {table} GROUP BY {key} HAVING count(*) > 1"
+    return f"""SELECT '{table}' AS "table", 'no_duplicate_keys' AS "check", 'ERROR' AS severity, count(*) = 0 AS passed, CAST(count(*) AS STRING) AS observed,
+      'unique {key}' AS expected, (SELECT string_agg(t, ', ' ORDER BY t) FROM (SELECT CAST(k AS STRING) AS t FROM ({dupes}) ORDER BY k LIMIT 3)) AS sample FROM ({dupes})"""
+
+
+@query("checks_samples", " UNION ALL ".join(_duplicates_line(*x) for x in (("customer", "c_nationkey"), ("orders", "o_custkey"), ("events", "event_id"))))
+def checks_samples(t):
+    """Whole result rows, with what was expected and the first offenders."""
+    keys = {"customer": "c_nationkey", "orders": "o_custkey", "events": "event_id"}
+    return C.run_checks(t.spark, {n: getattr(t, n) for n in keys}, {n: [C.unique_key(k)] for n, k in keys.items()})
