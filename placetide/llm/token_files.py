@@ -35,10 +35,11 @@ CHECKSUMS = 0x80
 # An empty skippable frame: all its bytes are ASCII.
 SEPARATOR = struct.pack("<II", SKIPPABLE, 0)
 LEVEL = 3
-# Bytes of ids in a frame, and of text in a file, about.
+# Bytes of ids in a frame.
 FRAME = 1 << 18
-FILE = 16 << 20
-STEP = 4 << 20
+# Pieces that a task remembers: its files in the making need memory too.
+REMEMBERED = 300_000
+STEP = 3 << 20
 
 
 def _checksum(data: bytes) -> int:
@@ -67,16 +68,18 @@ class _Writer:
         self.entries.append((len(packed) + len(SEPARATOR), len(data), _checksum(data)))
         return packed
 
-    def add(self, key: int | None, ids: np.ndarray) -> Iterator[bytes]:
-        """Take a document; yields the frames that are full."""
-        self.keys.append(key)
-        self.lengths.append(len(ids))
+    def add(self, keys: list[int | None], lengths: list[int], ids: np.ndarray) -> Iterator[bytes]:
+        """Take documents, their ids one after the other; yields the frames that are full."""
+        self.keys += keys
+        self.lengths += lengths
         body = ids.astype(self.kind).tobytes()
-        for at in range(0, len(body), FRAME):
-            part = body[at : at + FRAME]
+        at = 0
+        while at < len(body):
+            part = body[at : at + FRAME - self.size]
             self.held.append(part)
             self.size += len(part)
-            if self.size >= FRAME:
+            at += len(part)
+            if self.size == FRAME:
                 yield self._flush()
 
     def _flush(self) -> bytes:
@@ -139,6 +142,10 @@ class Reader:
         self.frames_read += 1
         return data
 
+    def all_ids(self) -> np.ndarray:
+        """Ids of all documents, one after the other."""
+        return np.frombuffer(b"".join(map(self.frame, range(len(self.plain) - 1))), self.kind)
+
     def ids(self, row: int) -> np.ndarray:
         """Ids of the row-th document; only the frames that hold them are decompressed."""
         begin = int(self.starts[row]) * self.kind.itemsize
@@ -160,7 +167,7 @@ def write(
     target: str,
     path: str,
     end_id: int,
-    files: int,
+    files: int | None = None,
     key: str = "doc_id",
     text: str = "text",
     id_bytes: int = 4,
@@ -168,30 +175,29 @@ def write(
     """Encode every text, append ``end_id`` and write the files, documents ascending by ``key``
     (an integer; NULL first, equal keys by their text).
 
-    NULL text counts as empty. ``id_bytes`` is the width of ids in the files; larger ids raise.
+    Without ``files`` there are as many as the session has shuffle partitions, small neighbours
+    merged by adaptive execution. NULL text counts as empty. ``id_bytes`` is the width of ids in
+    the files; larger ids raise.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path, REMEMBERED).encode
         writer = _Writer(id_bytes)
-        some = False
         for piece in slices(batches, "text", STEP):
-            flat, sizes = encode([t or "" for t in piece.column("text").to_pylist()])
-            if len(flat) and int(flat.max()) > np.iinfo(writer.kind).max:
+            flat, sizes = encode(piece.column("text"))
+            if max(int(flat.max()) if len(flat) else 0, end_id) > np.iinfo(writer.kind).max:
                 raise ValueError(f"token ids need more than {id_bytes} bytes")
-            out, at = [], 0
-            for name, size in zip(piece.column("key").to_pylist(), sizes.tolist(), strict=True):
-                some = True
-                out.extend(writer.add(name, np.append(flat[at : at + size], np.uint32(end_id))))
-                at += size
+            flat = np.insert(flat, np.cumsum(sizes), end_id)
+            out = list(writer.add(piece.column("key").to_pylist(), (sizes + 1).tolist(), flat))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
-        if some:
+        if writer.keys:
             yield pa.RecordBatch.from_arrays([pa.array(list(writer.finish()), pa.binary())], ["value"])
 
     rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    rows = rows.repartitionByRange(max(1, files), "key", F.xxhash64("text")).sortWithinPartitions("key", "text")
+    rows = rows.repartitionByRange(*([files] if files else []), "key", F.xxhash64("text"))
     # A string column may hold any bytes; the sink writes them as they are.
-    pieces = rows.mapInArrow(run, "value binary").select(F.expr("cast(value AS string)").alias("value"))
+    pieces = rows.sortWithinPartitions("key", "text").mapInArrow(run, "value binary")
+    pieces = pieces.select(F.expr("cast(value AS string)").alias("value"))
     pieces.write.option("lineSep", SEPARATOR.decode("ascii")).text(target)
 
 
@@ -211,10 +217,17 @@ def read(spark: SparkSession, target: str, keys: Sequence[int] | None = None, ke
             for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 reader = Reader(pa.BufferReader(content.as_buffer()))
                 rows = []
-                for row, name in enumerate(reader.keys):
-                    if wanted is None or name in wanted:
-                        body = reader.ids(row).astype("<u4").tobytes()
-                        rows.append((file, row, name, len(body) // 4, zlib.crc32(body), body if keep_ids else None))
+                if wanted is None:
+                    body = memoryview(reader.all_ids().astype("<u4").tobytes())
+                    ends = (4 * np.cumsum(reader.lengths)).tolist()
+                    for row, (name, begin, end) in enumerate(zip(reader.keys, [0, *ends], ends, strict=False)):
+                        part = body[begin:end]
+                        rows.append((file, row, name, (end - begin) // 4, zlib.crc32(part), bytes(part) if keep_ids else None))
+                else:
+                    for row, name in enumerate(reader.keys):
+                        if name in wanted:
+                            part = reader.ids(row).astype("<u4").tobytes()
+                            rows.append((file, row, name, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
                 kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 names = [c.split()[0] for c in schema.split(", ")]
                 columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
