@@ -30,8 +30,8 @@ RANGE_TOKENS = 1 << 21
 # BM25 constants.
 K1 = 1.2
 B = 0.75
-# Tokens in more than this share of all documents are stop words: they have no postings.
-STOP_SHARE = 0.2
+# A term in one of so many documents of a shard or more has a row of all their weights.
+DENSE = 16
 STEP = 6 << 20
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -110,7 +110,10 @@ def token_frequencies(tokens: DataFrame) -> dict[int, int]:
 
 
 class Shard:
-    """BM25 inverted index of some documents: postings of one term lie side by side."""
+    """BM25 inverted index of some documents: postings of one term lie side by side. Those of a
+    frequent term are a row with a weight for every document, 0 where it does not occur; rows
+    add up faster than postings, and all of them have ``DENSE`` times as many cells at most.
+    """
 
     def __init__(self, bodies: list[np.ndarray], idf: np.ndarray, average: float):
         terms, docs, counts = [], [], []
@@ -125,19 +128,31 @@ class Shard:
         tf = np.concatenate(counts).astype(np.float32)
         length = np.array([len(b) for b in bodies], np.float32)[doc]
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average))
+        self.size = len(bodies)
+        found = np.bincount(term, minlength=len(idf))
+        dense = found * DENSE >= max(self.size, 1)
+        dense &= found > 0
+        # The row of each frequent term, -1 for the others.
+        self.row = np.where(dense, np.cumsum(dense) - 1, -1)
+        often = dense[term]
+        self.rows = np.zeros((int(dense.sum()), self.size), np.float32)
+        self.rows[self.row[term[often]], doc[often]] = weight[often]
+        term, doc, weight = term[~often], doc[~often], weight[~often]
         order = np.argsort(term, kind="stable")
         self.docs, self.weights = doc[order], weight[order].astype(np.float64)
         self.first = np.append(0, np.cumsum(np.bincount(term, minlength=len(idf))))
-        self.size = len(bodies)
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document for the distinct terms of the seed."""
         bag = self.bags[seed]
+        row = self.row[bag]
+        often = self.rows[row[row >= 0]].sum(axis=0, dtype=np.float64)
+        bag = bag[row < 0]
         begin = self.first[bag]
         lengths = self.first[bag + 1] - begin
         ends = np.cumsum(lengths)
         at = np.repeat(begin - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
-        return np.bincount(self.docs[at], self.weights[at], minlength=self.size)
+        return often + np.bincount(self.docs[at], self.weights[at], minlength=self.size)
 
 
 def _windows(total: int, window: int) -> list[int]:
@@ -254,8 +269,8 @@ def pack(
     size = max(frequencies, default=0) + 1
     found = np.zeros(size)
     found[list(frequencies)] = list(frequencies.values())
-    used = (found > 0) & (found <= max(1.0, STOP_SHARE * rows))
-    idf = np.where(used, np.log(1 + (rows - found + 0.5) / (found + 0.5)), 0.0).astype(np.float32)
+    # Positive for every term that occurs: all of them have postings, however frequent.
+    idf = np.where(found > 0, np.log(1 + (rows - found + 0.5) / (found + 0.5)), 0.0).astype(np.float32)
     average = max(1.0, total / max(1, rows))
     ranges = max(1, -(-total // range_tokens))
     dealt = tokens.repartitionByRange(ranges, "anchor", "key", "n").sortWithinPartitions("anchor", "key", "tokens")

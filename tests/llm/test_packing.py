@@ -63,6 +63,22 @@ def test_neighbours_share_a_window(spark):
     assert sum(m <= 2 for m in mixed) > 0.8 * len(mixed)
 
 
+def test_terms_of_a_third_of_all_documents_count(spark):
+    rng = random.Random(6)
+    topics = [
+        "river water lake fish boat ocean island beach wave storm harbor sail".split(),
+        "bread cheese butter sugar salt kitchen oven dinner soup apple lemon garlic".split(),
+        "court judge law trial jury crime prison police guilty appeal verdict lawyer".split(),
+    ]
+    # One beginning for all, so that the anchors are equal and the order is that of the keys.
+    header = " ".join(f"section {k} of the report on house street number time year people" for k in range(10))
+    texts = {k: f"{header} " + " ".join(rng.choices(topics[k % 3], k=30)) for k in range(150)}
+    out = packing.pack(docs(spark, texts.items()), BYTE, 1, window=1024)
+    windows = check([r.asDict() for r in out.collect()], texts, 1024)
+    mixed = [len({r["doc_id"] % 3 for r in w}) for w in windows.values() if len(w) > 3]
+    assert len(mixed) > 10 and sum(m <= 2 for m in mixed) > 0.8 * len(mixed)
+
+
 def test_same_result_again(spark, data_dir):
     table = spark.read.parquet(f"{data_dir}/documents.parquet").limit(100)
     first, again = (packing.pack(table, BYTE, 1, id_bytes=2).collect() for _ in range(2))
