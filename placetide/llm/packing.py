@@ -3,7 +3,7 @@
 Texts become token ids once. Token document frequencies over the whole corpus give the BM25
 weights. Documents are range-partitioned by a lexical anchor (the smallest hash of their
 tokens, so like documents lie together), which splits a group of any size, and each task packs
-its range shard by shard: a shard of bounded size gets an inverted index, and each seed
+its range shard by shard, mostly in one: a shard of bounded size gets an inverted index, and each seed
 document asks it for the unused documents that score best. They fill the seed's window one
 after the other; the last one is cut at the window's end and its rest seeds the next window. Full
 windows inside a long document are cut off first. Only the end of a range can leave a window
@@ -24,14 +24,14 @@ from placetide.llm.encoding import encoder
 from placetide.llm.shared import slices, stored
 
 WINDOW = 2048
-# Tokens in a shard and in a task's range, about.
-SHARD_TOKENS = 1 << 18
+# Tokens in a shard, at most, and in a task's range, about: as a rule a range is one shard.
+SHARD_TOKENS = 1 << 22
 RANGE_TOKENS = 1 << 21
 # BM25 constants.
 K1 = 1.2
 B = 0.75
 # A term in one of so many documents of a shard or more has a row of all their weights.
-DENSE = 16
+DENSE = 8
 STEP = 6 << 20
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -142,11 +142,20 @@ class Shard:
         self.docs, self.weights = doc[order], weight[order].astype(np.float64)
         self.first = np.append(0, np.cumsum(np.bincount(term, minlength=len(idf))))
 
+    def keep(self, wanted: np.ndarray) -> None:
+        """Leave out the documents that are not ``wanted``, in the order of the others; every
+        document can still be a seed."""
+        good = wanted[self.docs]
+        self.first = np.append(0, np.cumsum(good))[self.first]
+        self.docs, self.weights = (np.cumsum(wanted) - 1)[self.docs[good]], self.weights[good]
+        self.rows = self.rows[:, wanted]
+        self.size = int(wanted.sum())
+
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document for the distinct terms of the seed."""
+        """BM25 of every document in the index for the distinct terms of the seed."""
         bag = self.bags[seed]
         row = self.row[bag]
-        often = self.rows[row[row >= 0]].sum(axis=0, dtype=np.float64)
+        often = self.rows[row[row >= 0]].sum(axis=0)
         bag = bag[row < 0]
         begin = self.first[bag]
         lengths = self.first[bag + 1] - begin
@@ -214,7 +223,13 @@ def pack_shard(
     unused = sizes > begins
     left = int(unused.sum())
     follow = 0
+    # The documents in the index: used ones leave it when they are a quarter.
+    inside = np.arange(index.size)
     while left:
+        if left <= 0.75 * index.size:
+            wanted = unused[inside]
+            index.keep(wanted)
+            inside = inside[wanted]
         if packer.open and packer.open[-1][0] >= 0:
             seed = packer.open[-1][0]  # the rest of the document that the last window cut
         else:
@@ -226,9 +241,9 @@ def pack_shard(
             yield from packer.add(seed, int(begins[seed]), int(sizes[seed] - begins[seed]))
             if not packer.open:
                 continue
-        scores = np.where(unused, index.scores(seed), -1.0)
+        scores = np.where(unused[inside], index.scores(seed), -1.0)
         # Best first; of equal scores the first document.
-        for doc in np.argsort(-scores, kind="stable")[:left]:
+        for doc in inside[np.argsort(-scores, kind="stable")[:left]]:
             unused[doc] = False
             left -= 1
             full = False

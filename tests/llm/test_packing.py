@@ -79,6 +79,28 @@ def test_terms_of_a_third_of_all_documents_count(spark):
     assert len(mixed) > 10 and sum(m <= 2 for m in mixed) > 0.8 * len(mixed)
 
 
+def test_neighbours_far_apart_in_a_range_are_found(spark):
+    rng = random.Random(7)
+    common = "section of the report on house street number time year people school city market".split()
+    near = " ".join(common * 3 + "guilty verdict jury lawyer appeal".split() * 8)
+    # Over 2^18 tokens lie between the two; all anchors are equal, so the order is that of the keys.
+    texts = {0: near, 1000: near + " prison"} | {k: " ".join(common + rng.choices(common, k=1200)) for k in range(1, 240)}
+    out = packing.pack(docs(spark, texts.items()), BYTE, 1)
+    windows = check([r.asDict() for r in out.collect()], texts, 2048)
+    assert any({0, 1000} <= {r["doc_id"] for r in w} for w in windows.values())
+
+
+def test_used_documents_leave_the_index():
+    rng = np.random.default_rng(3)
+    bodies = [rng.integers(0, 200, rng.integers(1, 40)).astype("<u4") for _ in range(60)]
+    idf = rng.random(200).astype(np.float32)
+    whole, part = (packing.Shard(bodies, idf, 20.0) for _ in range(2))
+    wanted = rng.random(60) < 0.4
+    part.keep(wanted)
+    for seed in range(60):
+        assert np.allclose(part.scores(seed), whole.scores(seed)[wanted])
+
+
 def test_same_result_again(spark, data_dir):
     table = spark.read.parquet(f"{data_dir}/documents.parquet").limit(100)
     first, again = (packing.pack(table, BYTE, 1, id_bytes=2).collect() for _ in range(2))
