@@ -4,7 +4,8 @@ A text becomes a vector of hashed byte trigrams, weighted by term frequency and
 frequency and scaled to length 1. Document frequencies come from all training documents.
 Centroids are clusters (spherical k-means) of a bounded sample of each language, one task per
 language. A text takes the language of the centroid with the largest cosine, and is rejected
-when that cosine lies far below those of the training sample.
+when that cosine lies below nearly all of those that sample rows reach with centroids they had no
+part in.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ BUCKETS = 4096
 SAMPLE_PER_LANGUAGE = 1500
 CLUSTERS = 4
 ROUNDS = 8
-# A cosine below this part of the smallest in the language's sample is too far.
-REACH = 0.25
+# A cosine is too far when fewer of the sample's rows than this share lie below it.
+FAR_SHARE = 0.005
+# Two equal vectors may have a cosine that is less than 1 by this.
+ROUNDING = 1e-6
 UNKNOWN = "und"
 # Bits of a hash that are counted at a time.
 PART_BITS = 12
@@ -99,6 +102,26 @@ def cluster(vectors: np.ndarray, clusters: int, rounds: int = ROUNDS) -> np.ndar
     return centres
 
 
+def least_cosines(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The least cosine of each centre that still counts as near.
+
+    Each half of the rows is compared with centres made from the other half. The bar of a
+    centre is the low quantile of the rows nearest to it, or that of all rows if lower, so that
+    a tight cluster rejects nothing that is typical of the language. A single row gives none: 0.
+    """
+    if len(vectors) < 2:
+        return np.zeros(len(centres))
+    half = np.arange(len(vectors)) % 2 == 0
+    cosines = np.zeros(len(vectors))
+    for part in (half, ~half):
+        cosines[part] = (vectors[part] @ cluster(vectors[~part], len(centres)).T).max(axis=1)
+    nearest = np.argmax(vectors @ centres.T, axis=1)
+    bars = np.full(len(centres), np.quantile(cosines, FAR_SHARE))
+    for k in np.unique(nearest):
+        bars[k] = min(bars[k], np.quantile(cosines[nearest == k], FAR_SHARE))
+    return bars - ROUNDING
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """Weights, one centroid per row, and the language and least cosine of each centroid."""
@@ -187,7 +210,7 @@ def fit(
         pdf = pdf.sort_values("rank")
         vectors = weigh(term_counts(list(pdf["text"]), buckets), idf)
         centres = cluster(vectors, clusters)
-        least = REACH * float((vectors @ centres.T).max(axis=1).min())
+        least = least_cosines(vectors, centres)
         return pd.DataFrame(
             {"lang": pdf["lang"].iloc[0], "number": range(len(centres)), "least": least, "centre": list(centres)}
         )

@@ -40,6 +40,35 @@ def test_distance_rejects_what_is_like_no_language(spark):
     assert not got[3][1] and not got[4][1]
 
 
+FOREIGN = [
+    "Il gatto dorme sulla sedia mentre la pioggia cade lentamente sui tetti della città vecchia e la gente corre verso casa",
+    "Kissa nukkuu tuolilla ja sade putoaa hitaasti vanhan kaupungin katoille kun ihmiset juoksevat kotiin",
+    "Kot śpi na krześle, a deszcz pada powoli na dachy starego miasta i ludzie biegną do domu",
+    "Paka analala kwenye kiti wakati mvua inanyesha polepole juu ya paa za mji wa zamani na watu wanakimbia nyumbani",
+    "Кошка спит на стуле, а дождь медленно падает на крыши старого города",
+    "".join(np.random.default_rng(1).choice(list("abcdefghijklmnopqrstuvwxyz "), 400)),
+    np.random.default_rng(1).bytes(300).hex(" ", 4),
+]
+
+
+def test_foreign_and_noise_texts_are_rejected_and_clean_ones_stay(spark, data_dir):
+    # Large enough for samples of over 900 rows a language.
+    table = spark.read.parquet(f"{data_dir}/../sf0.1/documents.parquet")
+    m = language.fit(table)
+    said = language.identify(docs(spark, enumerate(FOREIGN)), m).collect()
+    assert [r["doc_id"] for r in said if r["near"]] == []
+    clean = language.identify(table.filter("n_chars >= 200"), m).collect()
+    assert np.mean([r["near"] for r in clean]) > 0.99
+
+
+def test_one_odd_row_does_not_set_the_bar():
+    rng = np.random.default_rng(4)
+    usual, odd = np.abs(rng.normal(1, 0.2, (400, 50))), np.abs(rng.normal(1, 0.2, (1, 50)))
+    usual[:, 25:] = odd[:, :25] = 0
+    vectors = language._unit(np.concatenate([usual, odd]))
+    assert language.least_cosines(vectors, language.cluster(vectors, 4)).min() > 0.5
+
+
 def test_null_empty_and_letterless_texts(spark):
     said = language.identify(docs(spark, [(1, None), (2, ""), (3, "12 #!"), (None, ENGLISH), (5, ENGLISH * 3000)]), model(spark))
     got = {r["doc_id"]: (r["lang_pred"], r["score"], r["near"]) for r in said.collect()}
