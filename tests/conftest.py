@@ -34,13 +34,3 @@ def spark():
 @pytest.fixture(scope="session")
 def data_dir():
     return DATA
-
-
-def plan_of(df) -> str:
-    """Physical plan text."""
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def rows(df, *order):
-    """Rows as tuples, ordered."""
-    return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]

@@ -4,7 +4,7 @@ from collections import defaultdict
 from itertools import groupby
 
 import pytest
-from conftest import plan_of, rows
+from support import plan_of, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -2,7 +2,7 @@ import json
 import random
 
 import pytest
-from conftest import rows
+from support import rows
 
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from placetide.plans.layers import boundary_silver, survey_silver

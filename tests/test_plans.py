@@ -1,6 +1,6 @@
 """Physical plans of the main queries: pruning, early limits, reuse."""
 
-from conftest import plan_of
+from support import plan_of
 
 from placetide.workload import all_queries
 

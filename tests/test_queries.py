@@ -3,7 +3,7 @@
 import math
 
 import pytest
-from conftest import plan_of
+from support import plan_of
 
 from placetide.workload import all_queries, all_sql
 from placetide.workload.registry import SCHEMAS

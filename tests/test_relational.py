@@ -1,5 +1,5 @@
 import pytest
-from conftest import plan_of, rows
+from support import plan_of, rows
 from pyspark.sql import functions as F
 
 from placetide.operators import relational as R

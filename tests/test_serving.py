@@ -2,7 +2,7 @@ import json
 import random
 
 import pytest
-from conftest import plan_of, rows
+from support import plan_of, rows
 from pyspark.sql import functions as F
 
 from placetide.operators.scale import arc_width, colour_layer, percentile_bounds, ramp_colour

@@ -1,7 +1,7 @@
 import glob
 
 import pytest
-from conftest import plan_of, rows
+from support import plan_of, rows
 from pyspark.sql import functions as F
 
 from placetide.schemas import FLOW_GOLD, FLOW_SILVER, STATE_FLOW_BRONZE, SURVEY_BRONZE
@@ -271,7 +271,7 @@ def _years_table(spark, tmp_path, name):
 def test_replay_does_not_depend_on_the_session_s_mode(spark, tmp_path):
     import threading
 
-    rows_ = _years_table(spark, tmp_path, "t_replay_mode")
+    rows_ = _years_table(spark, tmp_path, "t_replay_other_writer")
     stop = threading.Event()
 
     def other_writer():
@@ -283,11 +283,11 @@ def test_replay_does_not_depend_on_the_session_s_mode(spark, tmp_path):
     thread.start()
     try:
         for year in (2010, 2012, 2010):
-            assert S.backfill_years(rows_, "t_replay_mode", [year]) == {year: 3}
+            assert S.backfill_years(rows_, "t_replay_other_writer", [year]) == {year: 3}
     finally:
         stop.set()
         thread.join()
-    assert rows(spark.table("t_replay_mode").groupBy("survey_year").count(), "survey_year") == [(y, 3) for y in range(2010, 2014)]
+    assert rows(spark.table("t_replay_other_writer").groupBy("survey_year").count(), "survey_year") == [(y, 3) for y in range(2010, 2014)]
 
 
 def test_replay_of_a_table_made_elsewhere(spark, tmp_path):

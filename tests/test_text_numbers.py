@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from placetide.functions import numeric as N
@@ -69,7 +69,7 @@ def test_safe_math(spark):
 
 
 def test_numbers_stay_in_codegen(spark):
-    from conftest import plan_of
+    from support import plan_of
 
     df = spark.range(10).select(N.share("id", "id").alias("s"), N.safe_divide("id", "id").alias("d"))
     assert "*(1) Project" in plan_of(df) and "Python" not in plan_of(df)
