@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetide.llm import bpe, language, licenses, line_chunks, packing, quality, simhash, token_counts, token_files, topk
+from placetide.llm import bpe, language, licenses, line_chunks, packing, quality, simhash, substrings, token_counts, token_files, topk
 from placetide.llm.shared import importable, scratch_path
 from placetide.workload.registry import Tables
 
@@ -110,3 +110,12 @@ def op10_quality_rules(t: Tables) -> DataFrame:
         "kept",
         "rule",
     )
+
+
+@_query
+def op13_substrings(t: Tables) -> DataFrame:
+    found = substrings.without_repeats(t.documents.select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op13_substrings"] = substrings.SQL
