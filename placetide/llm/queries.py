@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetide.llm import bpe, language, licenses, line_chunks, packing, quality, search, simhash, substrings, token_counts, token_files, topk
+from placetide.llm import alignment, bpe, language, licenses, line_chunks, packing, quality, search, simhash, substrings, token_counts, token_files, topk
 from placetide.llm.shared import importable, scratch_path
 from placetide.workload.registry import Tables
 
@@ -112,6 +112,12 @@ def op10_quality_rules(t: Tables) -> DataFrame:
     )
 
 
+@_query
+def op11_alignment(t: Tables) -> DataFrame:
+    paths = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return alignment.align(t.documents.select("doc_id", "text"), *paths, keep_groups=False).drop("groups")
+
+
 @_query
 def op12_search(t: Tables) -> DataFrame:
     return search.search(t.documents.select("doc_id", "text"), t.benchmark.select("item_id", "text"), 50)
