@@ -11,6 +11,7 @@ histograms only. The rules become one ordered ``CASE WHEN``.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -51,62 +52,86 @@ def _without(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(rest)
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it occurs there.
+
+    A named column would be written out at each use when the optimizer pushes a filter below the
+    projection that makes it.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _stats(text: Column) -> Column:
+    """The struct of counts of a text, as one expression in which no step is repeated."""
+    count = lambda c: c.cast("bigint")
+
+    def of_text(t: Column) -> Column:
+        flat = t
+        for c in "\t\n\x0b\x0c\r":
+            flat = F.replace(flat, F.lit(c), F.lit(" "))
+        lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
+        words = F.array_remove(F.split(flat, " "), "")
+        return _bound(lines, lambda line: _bound(words, lambda w: of_words(t, line, w)))
+
+    def of_words(t: Column, line: Column, w: Column) -> Column:
+        return _bound(F.transform(w, lambda x: F.xxhash64(x)), lambda h: of_hashes(t, line, w, h))
+
+    def of_hashes(t: Column, line: Column, w: Column, h: Column) -> Column:
+        n = F.size(w)
+        return F.struct(
+            count(n).alias("n_words"),
+            count(F.length(t) - _without(t, " \t\n\x0b\x0c\r")).alias("word_chars"),
+            count(_without(t, SYMBOLS)).alias("n_symbols"),
+            count(F.size(line) - F.size(F.array_distinct(line))).alias("n_dup_lines"),
+            count(repeated_words(n, h)).alias("n_repeat_words"),
+            count(F.regexp_count(t, F.lit("[A-Z]"))).alias("n_upper"),
+            count(_without(t, "!?")).alias("n_exclaims"),
+            count(F.regexp_count(t, F.lit("[0-9]"))).alias("n_digits"),
+            count(_without(t, ".,;:")).alias("n_marks"),
+            count(F.size(line)).alias("n_lines"),
+            count(F.size(F.array_distinct(h))).alias("n_distinct"),
+        )
+
+    def repeated_words(n: Column, h: Column) -> Column:
+        window = F.transform(
+            F.sequence(F.lit(0), n - GRAM), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(GRAM)])
+        )
+        grams = F.when(n >= GRAM, window).otherwise(F.expr("cast(array() as array<bigint>)"))
+        # Only texts that repeat a window sort theirs.
+        return _bound(grams, lambda g: F.when(F.size(F.array_distinct(g)) < F.size(g), covered(g)).otherwise(F.lit(0)))
+
+    def covered(g: Column) -> Column:
+        # Sorted windows with their places: equal ones come together.
+        placed = F.array_sort(F.transform(g, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+        return _bound(placed, twice)
+
+    def twice(p: Column) -> Column:
+        here, before, after = (lambda i, k=k: F.get(p, i + k)["x"] for k in (0, -1, 1))
+        found = F.filter(
+            F.sequence(F.lit(0), F.size(p) - 1),
+            lambda i: here(i).eqNullSafe(before(i)) | here(i).eqNullSafe(after(i)),
+        )
+        places = F.array_sort(F.transform(found, lambda i: F.get(p, i)["i"]))
+        return F.aggregate(
+            places,
+            F.struct(F.lit(0).alias("n"), F.lit(-GRAM).alias("at")),
+            lambda a, i: F.struct((a["n"] + F.least(F.lit(GRAM), i - a["at"])).alias("n"), i.alias("at")),
+            lambda a: a["n"],
+        )
+
+    return _bound(F.coalesce(text, F.lit("")), of_text)
+
+
 def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with a struct column ``stats`` (a free name) in place of ``text``.
 
     Fields: the base counts ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` and
     ``n_upper, n_exclaims, n_digits, n_marks, n_lines, n_distinct``. NULL text counts as no
     words. ``n_repeat_words`` compares 64-bit hashes of five-word windows inside one text.
+    A filter on the struct costs one more computation at most, wherever the optimizer puts it.
     """
     keep = [c for c in df.columns if c != text]
-    t, w, h, g, p, q = (free_name(df.columns, n) for n in ("_t", "_w", "_h", "_g", "_p", "_q"))
-    spaced = F.coalesce(F.col(text), F.lit(""))
-    d = df.select(*keep, spaced.alias(t))
-    flat = F.col(t)
-    for c in "\t\n\x0b\x0c\r":
-        flat = F.replace(flat, F.lit(c), F.lit(" "))
-    d = d.select("*", F.array_remove(F.split(flat, " "), "").alias(w))
-    d = d.select("*", F.transform(w, lambda x: F.xxhash64(x)).alias(h))
-    n = F.size(w)
-    window = F.transform(
-        F.sequence(F.lit(0), n - GRAM), lambda i: F.xxhash64(*[F.get(F.col(h), i + k) for k in range(GRAM)])
-    )
-    d = d.select("*", F.when(n >= GRAM, window).otherwise(F.expr("cast(array() as array<bigint>)")).alias(g))
-    # Only texts that repeat a window sort theirs: equal ones come together, with their places.
-    repeats = F.size(F.array_distinct(g)) < F.size(g)
-    placed = F.array_sort(F.transform(g, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
-    d = d.select("*", F.when(repeats, placed).alias(p))
-    here, before, after = (lambda i, k=k: F.get(F.col(p), i + k)["x"] for k in (0, -1, 1))
-    twice = F.filter(
-        F.sequence(F.lit(0), F.size(p) - 1),
-        lambda i: here(i).eqNullSafe(before(i)) | here(i).eqNullSafe(after(i)),
-    )
-    places = F.array_sort(F.transform(twice, lambda i: F.get(F.col(p), i)["i"]))
-    d = d.select("*", F.when(F.col(p).isNotNull(), places).alias(q))
-    covered = F.aggregate(
-        q,
-        F.struct(F.lit(0).alias("n"), F.lit(-GRAM).alias("at")),
-        lambda a, i: F.struct((a["n"] + F.least(F.lit(GRAM), i - a["at"])).alias("n"), i.alias("at")),
-        lambda a: a["n"],
-    )
-    lines = F.filter(F.split(F.col(t), "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
-    line = free_name(df.columns, "_l")
-    d = d.select("*", lines.alias(line))
-    count = lambda c: c.cast("bigint")
-    stats = F.struct(
-        count(n).alias("n_words"),
-        count(F.length(t) - _without(F.col(t), " \t\n\x0b\x0c\r")).alias("word_chars"),
-        count(_without(F.col(t), SYMBOLS)).alias("n_symbols"),
-        count(F.size(line) - F.size(F.array_distinct(line))).alias("n_dup_lines"),
-        count(F.coalesce(covered, F.lit(0))).alias("n_repeat_words"),
-        count(F.regexp_count(F.col(t), F.lit("[A-Z]"))).alias("n_upper"),
-        count(_without(F.col(t), "!?")).alias("n_exclaims"),
-        count(F.regexp_count(F.col(t), F.lit("[0-9]"))).alias("n_digits"),
-        count(_without(F.col(t), ".,;:")).alias("n_marks"),
-        count(F.size(line)).alias("n_lines"),
-        count(F.size(F.array_distinct(h))).alias("n_distinct"),
-    )
-    return d.select(*keep, stats.alias(free_name(keep, "stats")))
+    return df.select(*keep, _stats(F.col(text)).alias(free_name(keep, "stats")))
 
 
 def base_failed(stats: Column) -> Column:
@@ -302,7 +327,7 @@ def judge(documents: DataFrame, rules: list[Rule], text: str = "text") -> DataFr
     judged = statistics(documents, text)
     stats = judged.columns[-1]
     rule = free_name(judged.columns, "rule")
-    judged = judged.withColumn(rule, verdict(rules, F.col(stats)))
+    judged = judged.withColumn(rule, _bound(F.col(stats), lambda s: verdict(rules, s)))
     return judged.withColumn(free_name(judged.columns, "kept"), F.col(rule).isNull())
 
 

@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -130,3 +131,15 @@ def test_native_and_computed_once(spark, data_dir):
         text = plan(df)
         assert not any(x in text for x in ("Python", "Pandas", "InArrow", "Cartesian", "NestedLoop"))
         assert text.count("split(") == 2  # words and lines
+
+
+@pytest.mark.parametrize("condition", ["kept", "rule IS NOT NULL", "stats.n_words > 50", "kept AND stats.n_repeat_words > 0"])
+def test_filters_on_computed_columns(spark, data_dir, condition):
+    documents = spark.read.parquet(f"{data_dir}/documents.parquet").select("doc_id", "text")
+    rules = quality.fit(spark.read.parquet(f"{data_dir}/documents.parquet"), spark.read.parquet(f"{data_dir}/labels.parquet"))
+    judged = quality.judge(documents, rules)
+    want = judged.withColumn("hit", F.expr(condition)).toPandas()
+    start = time.monotonic()
+    got = {r["doc_id"] for r in judged.filter(condition).collect()}
+    assert time.monotonic() - start < 60
+    assert got == set(want[want["hit"].fillna(False).astype(bool)]["doc_id"]) and got
