@@ -3,8 +3,8 @@
 A text is tokenized twice, by a byte-level vocabulary (with a space before the text) and by a piece
 vocabulary (which adds the space itself). Each id list gets a dictionary from cumulative byte ends
 to token numbers; the ends in both dictionaries cut the lists into groups, and the tokens that end
-with a group are linked. Both vocabularies start a token at a space between words, so a text is
-aligned word by word and each task aligns a word once.
+with a group are linked. Both vocabularies start a token at a space between words, so a text's
+alignment is that of its words. A task aligns a word once, thousands of new ones in one run.
 
 Pairs are counted over the corpus by chunks: a chunk sends its different pairs with their counts and
 gets the totals of those pairs back, so a frequent pair is one row from each chunk.
@@ -13,9 +13,10 @@ gets the totals of those pairs back, so a frequent pair is one row from each chu
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import accumulate, chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,10 @@ from pyspark.sql import functions as F
 from placetide.llm.encoding import _BLANK, byte_alphabet, gather
 from placetide.llm.shared import slices, stored
 
-CHUNK_BYTES = 8 << 20
-# Aligned words that a task remembers.
-REMEMBERED = 250_000
+CHUNK_BYTES = 4 << 20
+# Aligned words that a task remembers, and words aligned in one run.
+REMEMBERED = 400_000
+LEARNED = 8192
 SPACE_MARK = "\u2581"
 
 _blank = _BLANK.replace("\\x{", "{").replace("{85}", "\\x85").replace("{a0}", "\\xa0")
@@ -43,6 +45,7 @@ class Aligner:
     """Alignments of the words of a task, numbered in the order of their first use."""
 
     def __init__(self, byte_path: str, piece_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -61,6 +64,7 @@ class Aligner:
             bytes([int(piece[3:5], 16)]) if self.second.is_byte(k) else piece.replace(SPACE_MARK, " ").encode()
             for k, piece in ((k, self.second.id_to_piece(k)) for k in range(self.second.get_piece_size()))
         ]
+        self.digits = [str(k) for k in range(max(len(self.first_bytes), len(self.second_bytes)))]
         self.forget()
 
     def forget(self) -> None:
@@ -68,46 +72,80 @@ class Aligner:
         self.groups: list[str] = []
         # Columns: first tokens, second tokens, groups, links, whether the bytes agree.
         self.sizes = np.zeros((0, 5), np.int64)
-        self.pair_numbers: dict[tuple[int, int], int] = {}
+        # Linked pairs, both ids in one number.
         self.links = np.zeros(0, np.int64)
-
-    def _aligned(self, word: str, a: list[int], b: list[int]) -> tuple[str, list[int], list[int]]:
-        """Groups, sizes and numbers of the linked pairs of a word that follows a space."""
-        first = [self.first_bytes[i] for i in a]
-        second = [self.second_bytes[i] for i in b]
-        whole = b" " + word.encode()
-        if b"".join(first) != whole or b"".join(second) != whole:
-            return "", [0, 0, 0, 0, 0], []
-        ends_a, ends_b = list(accumulate(map(len, first))), list(accumulate(map(len, second)))
-        place_a = {end: k for k, end in enumerate(ends_a)}
-        place_b = {end: k for k, end in enumerate(ends_b)}
-        groups, links = [], []
-        from_a = from_b = 0
-        for end in sorted(place_a.keys() & place_b.keys()):
-            to_a, to_b = place_a[end] + 1, place_b[end] + 1
-            groups.append(",".join(map(str, a[from_a:to_a])) + "|" + ",".join(map(str, b[from_b:to_b])))
-            # Usually one token of either list ends here; one without bytes would end here too.
-            for i in range(from_a, to_a):
-                if ends_a[i] == end:
-                    links += [(a[i], b[j]) for j in range(from_b, to_b) if ends_b[j] == end]
-            from_a, from_b = to_a, to_b
-        known = self.pair_numbers
-        return ";".join(groups), [len(a), len(b), len(groups), len(links), 1], [known.setdefault(p, len(known)) for p in links]
+        self.begins = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
+
+    def make_room(self, remembered: int) -> None:
+        """Forget the words met once; all of them if too many were met more often."""
+        often = self.uses > 1
+        if 2 * int(often.sum()) > remembered:
+            self.forget()
+            return
+        mask = often.tolist()
+        self.numbers = {w: k for k, w in enumerate(compress(self.numbers, mask))}
+        self.groups = list(compress(self.groups, mask))
+        self.links = gather(self.links, self.begins[often], self.sizes[often, 3])
+        self.sizes = self.sizes[often]
+        self.begins = np.cumsum(self.sizes[:, 3]) - self.sizes[:, 3]
+        self.uses = np.ones(len(self.groups), np.int64)
 
     def learn(self, words: list[str]) -> None:
         """Align new words; they have their numbers already."""
+        made = [self._learned(words[k : k + LEARNED]) for k in range(0, len(words), LEARNED)]
+        for groups, _, _ in made:
+            self.groups += groups
+        self.sizes = np.concatenate([self.sizes, *(m[1] for m in made)])
+        self.links = np.concatenate([self.links, *(m[2] for m in made)])
+        self.begins = np.cumsum(self.sizes[:, 3]) - self.sizes[:, 3]
+        self.uses = np.append(self.uses, np.zeros(len(words), np.int64))
+
+    def _learned(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Groups, sizes and linked pairs of words that each follow a space, all words in one run."""
         a = [e.ids for e in self.first.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
         b = self.second.encode(words, num_threads=1)
-        sizes, links = [], []
-        for word, x, y in zip(words, a, b, strict=True):
-            groups, size, link = self._aligned(word, x, y)
-            self.groups.append(groups)
-            sizes.append(size)
-            links.append(link)
-        self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64)])
-        flat = np.fromiter(chain.from_iterable(links), np.int64)
-        self.links = np.concatenate([self.links, flat])
-        self.begins = np.cumsum(self.sizes[:, 3]) - self.sizes[:, 3]
+        sides = ((a, self.first_bytes), (b, self.second_bytes))
+        whole = [b" " + w.encode() for w in words]
+        good = np.ones(len(words), np.int64)
+        for ids, spelt in sides:
+            said = [b"".join(map(spelt.__getitem__, x)) for x in ids]
+            if said != whole:
+                good &= np.fromiter((x == y for x, y in zip(said, whole, strict=True)), np.int64, len(words))
+        for ids, _ in sides:
+            for k in np.flatnonzero(good == 0).tolist():
+                ids[k] = []
+        counts = [np.fromiter(map(len, ids), np.int64, len(ids)) for ids, _ in sides]
+        flat = [list(chain.from_iterable(ids)) for ids, _ in sides]
+        ends = [list(accumulate(map(len, map(spelt.__getitem__, x)))) for x, (_, spelt) in zip(flat, sides, strict=True)]
+        # Where each list's last token ends that ends there; common ends cut both lists.
+        places = [dict(zip(e, range(1, len(e) + 1), strict=True)) for e in ends]
+        common = sorted(places[0].keys() & places[1].keys())
+        cuts = [[place[end] for end in common] for place in places]
+        digits = self.digits
+        said_a, said_b = (list(map(digits.__getitem__, x)) for x in flat)
+        groups = []
+        from_a = from_b = 0
+        for to_a, to_b in zip(*cuts, strict=True):
+            left = said_a[from_a] if to_a - from_a == 1 else ",".join(said_a[from_a:to_a])
+            groups.append(f"{left}|{said_b[from_b] if to_b - from_b == 1 else ','.join(said_b[from_b:to_b])}")
+            from_a, from_b = to_a, to_b
+        # The tokens that end with a group: usually one of either list, more if some have no bytes.
+        first = [np.searchsorted(np.array(e, np.int64), common) for e in ends]
+        ended = [np.array(c, np.int64) - f for c, f in zip(cuts, first, strict=True)]
+        times = ended[0] * ended[1]
+        group = np.repeat(np.arange(len(common)), times)
+        k = np.arange(len(group)) - (np.cumsum(times) - times)[group]
+        first_id = np.array(flat[0], np.int64)[first[0][group] + k // ended[1][group]]
+        second_id = np.array(flat[1], np.int64)[first[1][group] + k % ended[1][group]]
+        # Every word ends at a common end.
+        word_ends = np.cumsum(good * np.fromiter(map(len, whole), np.int64, len(whole)))
+        word = np.searchsorted(word_ends, common)
+        n_groups = np.bincount(word, minlength=len(words))
+        n_links = np.bincount(word, times, minlength=len(words)).astype(np.int64)
+        cut = np.cumsum(n_groups)
+        joined = [";".join(groups[x:y]) for x, y in zip((cut - n_groups).tolist(), cut.tolist(), strict=True)]
+        return joined, np.stack([*counts, n_groups, n_links, good], axis=1), first_id << 32 | second_id
 
     def words(self, text: str) -> list[str]:
         """The words of a text, without the space before each."""
@@ -148,10 +186,12 @@ def _chunk(aligner: Aligner, names: pa.Array, texts: list[str | None], number: i
         aligner.learn(fresh)
     lengths = np.array([len(u) for u in used])
     flat = np.concatenate(used) if used else np.zeros(0, np.int64)
+    aligner.uses += np.bincount(flat, minlength=len(aligner.uses))
     ends = np.cumsum(lengths)
-    sizes = aligner.sizes[flat]
-    sums = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(sizes, axis=0)])
-    each = sums[ends] - sums[ends - lengths]
+    each = np.empty((len(used), 5), np.int64)
+    for column in range(5):
+        sums = np.append(0, np.cumsum(aligner.sizes[flat, column]))
+        each[:, column] = sums[ends] - sums[ends - lengths]
     # A text whose bytes come out otherwise has no tokens.
     good = (each[:, 4] == lengths) & (lengths > 0)
     each[~good] = 0
@@ -168,8 +208,6 @@ def _chunk(aligner: Aligner, names: pa.Array, texts: list[str | None], number: i
     mixed, count = np.unique(doc * width + place, return_counts=True)
     doc, place = np.divmod(mixed, width)
     totals = np.bincount(place, count, minlength=len(own)).astype(np.int64)
-    names_of = list(aligner.pair_numbers)
-    pairs = np.array([names_of[n] for n in own.tolist()], np.int64).reshape(-1, 2)
 
     def listed(array: pa.Array) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array([0, len(array)], pa.int32()), array)
@@ -183,8 +221,8 @@ def _chunk(aligner: Aligner, names: pa.Array, texts: list[str | None], number: i
         pa.array([np.bincount(doc, minlength=len(used)).astype("<i8").tobytes()]),
         pa.array([place.astype("<u4").tobytes()]),
         pa.array([count.astype("<u4").tobytes()]),
-        listed(pa.array(pairs[:, 0], pa.int32())),
-        listed(pa.array(pairs[:, 1], pa.int32())),
+        listed(pa.array(own >> 32, pa.int32())),
+        listed(pa.array(own & 0xFFFFFFFF, pa.int32())),
         listed(pa.array(totals, pa.int64())),
     ]
     return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _CHUNKS.split(", ")])
@@ -206,7 +244,7 @@ def aligned_chunks(
         aligner = _aligner(byte_path, piece_path)
         for piece in slices(batches, text, chunk_bytes):
             if len(aligner.numbers) > remembered:
-                aligner.forget()
+                aligner.make_room(remembered)
             yield _chunk(aligner, piece.column(0), piece.column(1).to_pylist(), number, keep_groups)
             number += 1
 
