@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +33,6 @@ QUERY_BLOCK = 1024
 SHARD_POSTINGS = 1 << 19
 # Intervals opened together.
 OPENED = 32
-# Documents scored first, whose best give every shard a score to beat.
-FIRST_LOOK = 20_000
 
 # Fixed values of the score.
 HALF = 50
@@ -203,9 +202,12 @@ class Shard:
 
 def _ranked(
     made: DataFrame, queries: list[tuple[int, np.ndarray]], weight: np.ndarray, documents: int, total: int, k: int,
-    floors: dict[int, int], shard_postings: int,
+    floors: dict[int, int], shard_postings: int, first_only: bool = False,
 ) -> DataFrame:
-    """``query, key, score``: the best documents of every shard for each query, by range maxima."""
+    """``query, key, score``: the best documents of every shard for each query, by range maxima.
+
+    ``first_only`` leaves it at the first task's first shard.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def answers(held: list[tuple]) -> pa.RecordBatch:
@@ -225,6 +227,8 @@ def _ranked(
 
         held: list[tuple] = []
         size = 0
+        if first_only and TaskContext.get().partitionId():
+            return
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("key", "n", "terms", "counts")]
             for name, n, terms, counts in zip(*columns, strict=True):
@@ -234,6 +238,8 @@ def _ranked(
                 if size >= shard_postings:
                     yield answers(held)
                     held, size = [], 0
+                    if first_only:
+                        return
         if held:
             yield answers(held)
 
@@ -250,16 +256,15 @@ def search(
     query_text: str = "text",
     query_block: int = QUERY_BLOCK,
     shard_postings: int = SHARD_POSTINGS,
-    first_look: int = FIRST_LOOK,
 ) -> DataFrame:
     """``query_key, rank, key, score``: each query's ``k`` best documents with a score above 0.
 
     Equal scores go by ascending key, a NULL key first. NULL or empty texts have no terms: such
     documents count nowhere, such queries have no rows. Rows that repeat a document's key are
     documents of their own, rows that repeat a query's key queries of their own. Other columns are
-    left out. The queries are read in blocks of ``query_block``; each block takes one pass. The best
-    of the first ``first_look`` documents only spare work elsewhere: they are a score that every
-    query's ``k`` best reach anyway.
+    left out. The queries are read in blocks of ``query_block``; each block takes one pass. The first
+    task's first shard is searched beforehand: its ``k``-th score is one that every query's ``k`` best
+    reach anyway, which spares the other shards work.
     """
     spark = documents.sparkSession
     out = None
@@ -277,7 +282,7 @@ def search(
         found, total = texts.agg(F.count("*"), F.sum("n")).first()
         weight = weights(found, frequencies)
         args = (bags, weight, found, total or 0, k)
-        look = _ranked(texts.limit(first_look), *args, {}, shard_postings)
+        look = _ranked(texts, *args, {}, shard_postings, first_only=True)
         order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_first("key"))
         placed = look.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == k)
         floors = {r["query"]: r["score"] for r in placed.collect()}

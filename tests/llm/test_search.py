@@ -55,11 +55,11 @@ def corpus(seed, n=150):
     return rows, queries
 
 
-@pytest.mark.parametrize("seed,k,postings,block,look", [(1, 5, 1 << 19, 1024, 20_000), (2, 10, 200, 3, 20), (3, 1, 60, 1, 1), (4, 500, 300, 5, 40)])
-def test_against_scoring_all(spark, seed, k, postings, block, look):
+@pytest.mark.parametrize("seed,k,postings,block", [(1, 5, 1 << 19, 1024), (2, 10, 200, 3), (3, 1, 60, 1), (4, 500, 300, 5)])
+def test_against_scoring_all(spark, seed, k, postings, block):
     rows, queries = corpus(seed)
     got = search.search(
-        docs(spark, rows).repartition(3), table(spark, queries), k, shard_postings=postings, query_block=block, first_look=look
+        docs(spark, rows).repartition(3), table(spark, queries), k, shard_postings=postings, query_block=block
     )
     assert found(got) == brute(rows, queries, k)
 
