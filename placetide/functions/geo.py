@@ -2,7 +2,8 @@
 
 The text is rewritten into nested JSON arrays and read with ``from_json``, so parsing,
 centroids and boxes are all built-in expressions: no UDF, no geometry library. Functions
-take a column name or SQL text.
+take a column name or SQL text. Stored layers keep what they give (``OUTLINE``), so that marts,
+boxes and map bounds parse nothing.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ _NUMBER = r"([^\s,()]+)"
 
 
 def _is_multi(wkt: str) -> str:
-    return f"startswith(upper(ltrim({wkt})), 'MULTIPOLYGON')"
+    return f"startswith(upper(left(ltrim({wkt}), 12)), 'MULTIPOLYGON')"
 
 
 def _body(wkt: str) -> str:
@@ -29,23 +30,28 @@ def _let(value: str, name: str, body: str) -> str:
 
 def _parsed_sql(wkt: str) -> str:
     """What the text gives as it stands; NULL where it is no such text."""
-    body = _body(wkt)
-    pairs = rf"regexp_replace({body}, r'{_NUMBER}\s+{_NUMBER}(\s+{_NUMBER})*', '[$1,$2]')"
+    pairs = rf"regexp_replace(b, r'{_NUMBER}\s+{_NUMBER}(\s+{_NUMBER})*', '[$1,$2]')"
     nested = f"translate({pairs}, '()', '[]')"
     text = (
-        f"CASE WHEN startswith(upper({body}), 'EMPTY') THEN '[]' "
+        f"CASE WHEN upper(left(b, 5)) = 'EMPTY' THEN '[]' "
         f"WHEN {_is_multi(wkt)} THEN {nested} ELSE concat('[', {nested}, ']') END"
     )
-    return f"from_json({text}, '{COORDINATES}')"
+    return f"from_json({_let(_body(wkt), 'b', text)}, '{COORDINATES}')"
 
 
 def _sound_sql(wkt: str, p: str) -> str:
-    """The text is a polygon and every point of the parsed ``p`` has both coordinates."""
-    whole = rf"{wkt} RLIKE r'(?is)^\s*(MULTI)?POLYGON\s*(ZM|Z|M)?\s*(EMPTY\s*$|\(.*\)\s*$)'"
+    """The text is a polygon and every point of the parsed ``p`` has both coordinates.
+
+    The points are tested as one flat array: an absent one anywhere makes ``flatten`` NULL, and
+    each that was read has two numbers, as the text holds no brackets of its own.
+    """
+    begins = rf"{wkt} RLIKE r'(?i)^\s*(MULTI)?POLYGON\s*(ZM|Z|M)?\s*(EMPTY\s*$|\()'"
+    ends = rf"({wkt} RLIKE r'\)\s*$' OR size({p}) = 0) AND instr({wkt}, '[') = 0"
     balanced = f"length(replace({wkt}, '(', '')) = length(replace({wkt}, ')', ''))"
-    point = "size(q) = 2 AND q[0] IS NOT NULL AND q[1] IS NOT NULL"
-    rings = f"forall({p}, y -> size(y) > 0 AND forall(y, r -> size(r) > 0 AND forall(r, q -> {point})))"
-    return f"coalesce({whole} AND {balanced} AND {p} IS NOT NULL AND {rings}, false)"
+    rings = f"forall({p}, y -> size(y) > 0 AND forall(y, r -> size(r) > 0))"
+    numbers = "c IS NOT NULL AND size(array_compact(c)) = size(c) AND size(c) = 2 * size(flatten(flatten({p})))"
+    points = _let(f"flatten(flatten(flatten({p})))", "c", numbers.format(p=p))
+    return f"coalesce({begins} AND {balanced} AND {p} IS NOT NULL AND {ends} AND {rings} AND {points}, false)"
 
 
 def _polygons_sql(wkt: str) -> str:
@@ -111,17 +117,13 @@ _RING = _let(
 )
 
 
-def centroid(wkt: str) -> Column:
-    """Area centroid as ``struct(lon, lat)``; holes are subtracted.
-
-    A shape without area falls back to the mean of its points; NULL and EMPTY give NULL.
-    """
+def _centroid_sql(p: str) -> str:
     ring = _let("CASE WHEN k = 0 THEN 1D ELSE -1D END", "s", _RING)
-    rings = f"flatten(transform(p, poly -> transform(poly, (r, k) -> {ring})))"
+    rings = f"flatten(transform({p}, poly -> transform(poly, (r, k) -> {ring})))"
     total = f"aggregate({rings}, {_ZERO}, (t, m) -> named_struct('a', t.a + m.a, 'x', t.x + m.x, 'y', t.y + m.y))"
 
     def mean(axis: int) -> str:
-        return f"aggregate(flatten(flatten(p)), 0D, (t, q) -> t + q[{axis}]) / size(flatten(flatten(p)))"
+        return f"aggregate(flatten(flatten({p})), 0D, (t, q) -> t + q[{axis}]) / size(flatten(flatten({p})))"
 
     centre = _let(
         total,
@@ -129,28 +131,79 @@ def centroid(wkt: str) -> Column:
         f"""CASE WHEN t.a > 0 THEN named_struct('lon', t.x / t.a, 'lat', t.y / t.a)
             ELSE named_struct('lon', {mean(0)}, 'lat', {mean(1)}) END""",
     )
-    return F.expr(_let(_polygons_sql(wkt), "p", f"CASE WHEN size(flatten(flatten(p))) > 0 THEN {centre} END"))
+    return f"CASE WHEN size(flatten(flatten({p}))) > 0 THEN {centre} END"
 
 
-def bounding_box(wkt: str) -> Column:
-    """``struct(min_lon, min_lat, max_lon, max_lat)``: outer ring of a POLYGON, all rings of a
-    MULTIPOLYGON; NULL for NULL or EMPTY."""
-    points = f"CASE WHEN {_is_multi(wkt)} THEN flatten(flatten(p)) WHEN size(p) > 0 THEN p[0][0] END"
+def _box_sql(wkt: str, p: str) -> str:
+    points = f"CASE WHEN {_is_multi(wkt)} THEN flatten(flatten({p})) WHEN size({p}) > 0 THEN {p}[0][0] END"
     box = """CASE WHEN size(q) > 0 THEN named_struct(
         'min_lon', array_min(transform(q, c -> c[0])), 'min_lat', array_min(transform(q, c -> c[1])),
         'max_lon', array_max(transform(q, c -> c[0])), 'max_lat', array_max(transform(q, c -> c[1]))) END"""
-    return F.expr(_let(_let(_polygons_sql(wkt), "p", points), "q", box))
+    return _let(points, "q", box)
+
+
+def centroid(wkt: str) -> Column:
+    """Area centroid as ``struct(lon, lat)``; holes are subtracted.
+
+    A shape without area falls back to the mean of its points; NULL and EMPTY give NULL.
+    """
+    return F.expr(_let(_polygons_sql(wkt), "p", _centroid_sql("p")))
+
+
+def bounding_box(wkt: str) -> Column:
+    """``struct(min_lon, min_lat, max_lon, max_lat)``: outer ring of a POLYGON, all rings of a
+    MULTIPOLYGON; NULL for NULL or EMPTY."""
+    return F.expr(_let(_polygons_sql(wkt), "p", _box_sql(wkt, "p")))
+
+
+# Columns of a stored layer that hold its outlines' box, centre and validity.
+BOX = ("min_lon", "min_lat", "max_lon", "max_lat")
+OUTLINE = (*BOX, "centroid_lon", "centroid_lat", "geometry_sound")
+
+
+def with_outline(df: DataFrame, wkt: str = "geometry_wkt") -> DataFrame:
+    """``df`` with the columns of ``OUTLINE``: what a stored layer keeps so that no later step
+    parses the text again. Text that cannot be read gives false and NULLs, NULL or blank text NULLs.
+
+    The text is parsed once for all of them; those that nobody reads are not computed.
+    """
+    parsed = df.withColumn("_shape", F.expr(f"CASE WHEN trim({wkt}) <> '' THEN {_parsed_sql(wkt)} END"))
+    judged = parsed.withColumn("_sound", F.expr(f"CASE WHEN trim({wkt}) <> '' THEN {_sound_sql(wkt, '_shape')} END"))
+    known = judged.select(
+        *df.columns,
+        F.expr(f"CASE WHEN _sound THEN {_box_sql(wkt, '_shape')} END").alias("_box"),
+        F.expr(f"CASE WHEN _sound THEN {_centroid_sql('_shape')} END").alias("_centre"),
+        "_sound",
+    )
+    sides = [F.col(f"_box.{c}").alias(c) for c in BOX]
+    centre = [F.col(f"_centre.{c}").alias(f"centroid_{c}") for c in ("lon", "lat")]
+    return known.select(*df.columns, *sides, *centre, F.col("_sound").alias("geometry_sound"))
+
+
+def read_outline(df: DataFrame, column: str) -> Column:
+    """A stored outline column of ``df``; raises where the text could not be read."""
+    error = F.raise_error(F.concat(F.lit("cannot parse geometry of "), F.col("geography_id")))
+    return F.when(~F.col("geometry_sound"), error.cast(df.schema[column].dataType)).otherwise(F.col(column))
+
+
+def within(df: DataFrame, min_lon: float, min_lat: float, max_lon: float, max_lat: float) -> DataFrame:
+    """Rows of a stored layer whose box meets the given one.
+
+    Plain comparisons with stored columns: files whose statistics lie outside are not read.
+    """
+    across = (F.col("min_lon") <= max_lon) & (F.col("max_lon") >= min_lon)
+    return df.filter(across & (F.col("min_lat") <= max_lat) & (F.col("max_lat") >= min_lat))
 
 
 def selection_bounds(df: DataFrame, wkt: str = "geometry_wkt", by=()) -> DataFrame:
     """One box over all rows (or per group): min / max of the per-row boxes.
 
-    Only four numbers per row reach the aggregate, and it combines map-side.
+    Only four numbers per row reach the aggregate, and it combines map-side. Stored boxes are
+    read where ``df`` has them, else the text is parsed.
     """
-    boxes = df.select(*by, bounding_box(wkt).alias("box"))
-    return boxes.groupBy(*by).agg(
-        F.min("box.min_lon").alias("min_lon"),
-        F.min("box.min_lat").alias("min_lat"),
-        F.max("box.max_lon").alias("max_lon"),
-        F.max("box.max_lat").alias("max_lat"),
-    )
+    if set(OUTLINE) <= set(df.columns):
+        boxes = df.select(*by, *(read_outline(df, c).alias(c) for c in BOX))
+    else:
+        boxes = df.select(*by, bounding_box(wkt).alias("box")).select(*by, *(f"box.{c}" for c in BOX))
+    ends = {c: F.min if c.startswith("min") else F.max for c in BOX}
+    return boxes.groupBy(*by).agg(*(end(c).alias(c) for c, end in ends.items()))

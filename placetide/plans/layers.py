@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placetide.functions.geo import OUTLINE, with_outline
 from placetide.functions.keys import county_code, geography_id, state_code, typed_measures
 from placetide.schemas import (
     AGGREGATE_CODES,
@@ -59,9 +60,10 @@ BOUNDARY_NAMES = {
 
 
 def boundary_silver(bronze: DataFrame) -> DataFrame:
-    """Boundary rows under their silver names, values unchanged."""
+    """Boundary rows under their silver names, values unchanged, with their outlines' boxes,
+    centres and validity: the only place where the text is parsed for them."""
     named = bronze.select(*(F.col(old).alias(new) for old, new in BOUNDARY_NAMES.items()))
-    return named.withColumn("survey_year", F.col("survey_year").cast("int"))
+    return with_outline(named.withColumn("survey_year", F.col("survey_year").cast("int")))
 
 
 def real_flows(bronze: DataFrame) -> DataFrame:
@@ -96,7 +98,7 @@ def place_gold(survey: DataFrame, boundary: DataFrame) -> DataFrame:
     An equi-join on the stored key and year. No hint: Spark compares the real side sizes and
     AQE splits a skewed key.
     """
-    shapes = boundary.select("geography_id", "survey_year", "ALAND", "AWATER", "geometry_wkt")
+    shapes = boundary.select("geography_id", "survey_year", "ALAND", "AWATER", "geometry_wkt", *OUTLINE)
     return survey.join(shapes, ["geography_id", "survey_year"], "inner").select(
         "geography_id",
         "survey_year",
@@ -108,6 +110,7 @@ def place_gold(survey: DataFrame, boundary: DataFrame) -> DataFrame:
         "ALAND",
         "AWATER",
         "geometry_wkt",
+        *OUTLINE,
     )
 
 

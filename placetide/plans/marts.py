@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placetide.functions.geo import centroid
+from placetide.functions.geo import OUTLINE, read_outline
 from placetide.functions.numeric import per_unit, share_sql
 from placetide.schemas import BASE_MEASURES, FLOW_GOLD, LEVEL_CODES, MEASURES, RATES
 
@@ -13,7 +13,7 @@ from placetide.schemas import BASE_MEASURES, FLOW_GOLD, LEVEL_CODES, MEASURES, R
 def staging_places(gold: DataFrame, level: str) -> DataFrame:
     """Gold columns that exist at the level, nothing else."""
     return gold.select(
-        "geography_id", "survey_year", "geography_name", *LEVEL_CODES[level], *MEASURES, "ALAND", "AWATER", "geometry_wkt"
+        "geography_id", "survey_year", "geography_name", *LEVEL_CODES[level], *MEASURES, "ALAND", "AWATER", "geometry_wkt", *OUTLINE
     )
 
 
@@ -24,10 +24,12 @@ def staging_flows(gold: DataFrame) -> DataFrame:
 def socioeconomic_mart(gold: DataFrame, level: str) -> DataFrame:
     """One row per place and year: base measures, the twelve rates, geometry.
 
-    Only the state mart carries centroids.
+    Only the state mart carries centroids, as gold stores them; a geometry that could not be read
+    raises there.
     """
     places = staging_places(gold, level)
-    mart = places.select(
+    centre = ("centroid_lat", "centroid_lon") if level == "states" else ()
+    return places.select(
         "geography_id",
         "survey_year",
         "geography_name",
@@ -37,11 +39,7 @@ def socioeconomic_mart(gold: DataFrame, level: str) -> DataFrame:
         "geometry_wkt",
         "ALAND",
         "AWATER",
-    )
-    if level != "states":
-        return mart
-    return mart.withColumn("_c", centroid("geometry_wkt")).select(
-        *mart.columns, F.col("_c.lat").alias("centroid_lat"), F.col("_c.lon").alias("centroid_lon")
+        *(read_outline(places, c).alias(c) for c in centre),
     )
 
 

@@ -111,11 +111,17 @@ SURVEY_SILVER = T.StructType(
     + [T.StructField(m, _measure_type(m)) for m in MEASURES]
 )
 
-BOUNDARY_SILVER = _schema(
+# What stored boundary and place tables keep of an outline, parsed once.
+_OUTLINE = [
+    *_fields(("min_lon", "min_lat", "max_lon", "max_lat", "centroid_lon", "centroid_lat"), T.DoubleType()),
+    T.StructField("geometry_sound", T.BooleanType()),
+]
+
+BOUNDARY_SILVER = T.StructType(_schema(
     "geography_id string, survey_year int, geography_name string, state_fips string, "
     "county_fips string, tract_fips string, namelsad string, mtfcc string, funcstat string, "
     "ALAND bigint, AWATER bigint, intptlat string, intptlon string, geometry_wkt string"
-)
+).fields + _OUTLINE)
 
 FLOW_SILVER = _schema(
     "origin_geography_id string, dest_geography_id string, dest_state string, dest_name string, "
@@ -134,6 +140,7 @@ PLACE_GOLD = T.StructType(
         T.StructField("AWATER", T.LongType()),
         T.StructField("geometry_wkt", T.StringType()),
     ]
+    + _OUTLINE
 )
 
 FLOW_GOLD = T.StructType(FLOW_SILVER.fields + [T.StructField("is_non_migrant", T.BooleanType())])

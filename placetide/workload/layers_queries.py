@@ -12,7 +12,7 @@ from placetide.functions.text import display_value, legend_labels
 from placetide.operators.scale import arc_width, percentile_bounds
 from placetide.plans import layers, marts, serving
 from placetide.schemas import MEASURES, METRICS, SUPPRESSED_TEXT
-from placetide.sources import geojson
+from placetide.sources import geojson, storage
 from placetide.sources.landing import explode_header_json
 from placetide.sources.storage import create_view
 from placetide.workload import standins as S
@@ -184,7 +184,7 @@ def boundary_rename(t):
 
 for _level in ("states", "counties", "tracts"):
     query(f"node_join_{_level}", f"""WITH {S.gold_sql(_level)} SELECT geography_id, survey_year, geography_name, state_fips, county_fips,
-        tract_fips, {', '.join(MEASURES)}, ALAND, AWATER, geometry_wkt FROM gold""")(lambda t, level=_level: S.gold(t, level))
+        tract_fips, {', '.join(MEASURES)}, ALAND, AWATER, geometry_wkt FROM gold""")(lambda t, level=_level: S.gold(t, level).drop(*geo.OUTLINE))
 
 query("mart_states", f"""WITH {S.mart_sql('states')} SELECT * REPLACE (floor(centroid_lat * 1e6 + 0.5) / 1e6 AS centroid_lat,
     floor(centroid_lon * 1e6 + 0.5) / 1e6 AS centroid_lon) FROM mart""")(
@@ -454,6 +454,30 @@ def bbox(t):
     return selection_bounds(S.boundary(t, "tracts"), by=["state_fips"])
 
 
+_BOX_SIDES = """CAST(x AS DOUBLE) AS min_lon, CAST(y AS DOUBLE) AS min_lat,
+       CAST(x + CASE k % 4 WHEN 2 THEN 8 WHEN 3 THEN 2 ELSE 4 END AS DOUBLE) AS max_lon,
+       CAST(y + CASE k % 4 WHEN 3 THEN 2 ELSE 4 END AS DOUBLE) AS max_lat"""
+
+
+@query(
+    "stored_outlines",
+    f"""WITH {S.boundary_sql('tracts')}, boxes AS (SELECT *, {_BOX_SIDES} FROM boundary WHERE k % 50 < 48)
+       SELECT geography_id, survey_year, min_lon, min_lat, max_lon, max_lat, floor({S.CENTROID_LON} * 1e6 + 0.5) / 1e6 AS lon,
+       floor({S.CENTROID_LAT} * 1e6 + 0.5) / 1e6 AS lat FROM boxes
+       WHERE min_lon <= -90 AND max_lon >= -110 AND min_lat <= 40 AND max_lat >= 30""",
+)
+def stored_outlines(t):
+    """Places of a map window, from a stored boundary table: no outline is parsed to find them."""
+    path = storage.scratch_dir(t.spark, "outlines")
+    rows = S.boundary(t, "tracts").sortWithinPartitions("min_lon", "min_lat")
+    rows.write.partitionBy("survey_year").parquet(path)
+    found = geo.within(t.spark.read.parquet(path), -110, 30, -90, 40)
+    return found.select(
+        "geography_id", "survey_year", *geo.BOX,
+        *((F.floor(F.col(f"centroid_{c}") * 1e6 + 0.5) / 1e6).alias(c) for c in ("lon", "lat")),
+    )
+
+
 @query(
     "geojson_features",
     f"""WITH {S.gold_sql('tracts')}, rated AS (SELECT *, {S.rate_sql('renter_occupied', 'total_occupied')} AS renter_rate FROM gold)

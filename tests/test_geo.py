@@ -2,7 +2,7 @@ import json
 import random
 
 import pytest
-from support import rows
+from support import plan_of, rows
 
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ from placetide.functions.geo import (
     polygons,
     selection_bounds,
     split_unsound,
+    with_outline,
+    within,
 )
 from placetide.functions.numeric import haversine_distance
 
@@ -125,3 +127,39 @@ def test_rejects_are_counted_and_nothing_is_blank(spark):
     shapes = [r[0] for r in sound.orderBy("i").select(geojson_geometry("w")).collect()]
     assert None not in shapes and shapes[-2:] == ["null", "null"]
     assert df.select(F.count_if(is_sound("w"))).first()[0] == 5
+
+
+def test_outline_agrees_with_the_single_functions(shapes):
+    out = with_outline(shapes.withColumns({"b": bounding_box("w"), "c": centroid("w")}), "w").collect()
+    for r in out:
+        assert tuple(r.b or [None] * 4) == (r.min_lon, r.min_lat, r.max_lon, r.max_lat)
+        assert tuple(r.c or [None] * 2) == (r.centroid_lon, r.centroid_lat)
+        assert r.geometry_sound is (None if r.i == 8 else True)
+
+
+@pytest.mark.parametrize("text", [
+    "POLYGON ((0 0, 1 x, 1 1, 0 0))", "POLYGON ((0 0, 1, 1 1, 0 0))", "POLYGON ((0 0, 1 1, 0 0)", "POLYGON ()", "POLYGON (())", "POINT (1 2)",
+    "POLYGON ((0 0, 1 1, 0 0)) tail", "POLYGON (([1], [1,2,3]))", "MULTIPOLYGON (((0 0, 1 1, 0 0)), ())", "((0 0, 1 1, 0 0))", "POLYGON EMPTY x",
+])
+def test_unsound_outlines_are_marked_and_raise_where_read(spark, text):
+    df = spark.createDataFrame([("a", text), ("b", SQUARE), ("c", " ")], "geography_id string, geometry_wkt string")
+    stored = with_outline(df)
+    assert rows(stored.select("geography_id", "geometry_sound", "max_lon"), "geography_id") == [("a", False, None), ("b", True, 4.0), ("c", None, None)]
+    assert rows(df.select("geography_id", is_sound("geometry_wkt")), "geography_id") == [("a", False), ("b", True), ("c", None)]
+    with pytest.raises(PySparkException):
+        selection_bounds(stored).collect()
+
+
+def test_stored_outlines_are_read_without_parsing(spark, tmp_path):
+    df = spark.range(400).selectExpr(
+        "CAST(id AS STRING) AS geography_id",
+        "format_string('POLYGON ((%1$d 0, %2$d 0, %2$d 2, %1$d 2, %1$d 0))', id, id + 1) AS geometry_wkt",
+    )
+    with_outline(df).repartitionByRange(4, "min_lon").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    near = within(stored, 10.5, 0, 12.5, 1)
+    plan = plan_of(near)
+    assert "PushedFilters: [IsNotNull(min_lon)" in plan and "regexp_replace" not in plan
+    assert sorted(r.geography_id for r in near.collect()) == ["10", "11", "12"]
+    assert "regexp_replace" not in plan_of(selection_bounds(stored)) and "geometry_wkt" not in plan_of(selection_bounds(stored))
+    assert tuple(selection_bounds(near).first()) == (10.0, 0.0, 13.0, 2.0)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from placetide.functions import keys as K
 from placetide.functions.numeric import per_unit, round_half_away, share
+from placetide.functions.geo import OUTLINE, with_outline
 from placetide.plans import layers, marts
 from placetide.schemas import BOUNDARY_SILVER, FLOW_SILVER, MEASURES, PLACE_GOLD, STATE_FIPS_CODES, SURVEY_SILVER
 
@@ -85,7 +86,7 @@ def test_non_migrant_flag_with_null_end_is_false(spark):
 def gold_rows(spark, *dicts):
     names = PLACE_GOLD.fieldNames()
     base = {n: None for n in names} | {m: 100 for m in MEASURES} | {"median_age": 40.0, "geography_id": "06", "survey_year": 2020, "geography_name": "X", "state_fips": "06"}
-    return spark.createDataFrame([tuple((base | d)[n] for n in names) for d in dicts], PLACE_GOLD)
+    return with_outline(spark.createDataFrame([tuple((base | d)[n] for n in names) for d in dicts], PLACE_GOLD).drop(*OUTLINE))
 
 
 def test_join_drops_one_sided_rows(spark):
