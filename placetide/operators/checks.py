@@ -5,13 +5,15 @@ A table that is missing, unreadable or empty fails all of its checks.
 
 Rules that are plain aggregates are folded: all of them on one table (and one grouping) run
 in a single scan and a single two-step aggregate, first per group (a year, say), then over
-the groups. Both steps combine map-side, so no rule gathers a group in one task.
+the groups. A key rule joins them where its key determines the groups: rows are counted by key
+first and those counts rolled up. All steps combine map-side, so no rule gathers a group in one
+task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -46,6 +48,8 @@ class AggregateRule:
     by: tuple[str, ...] = ()
     sample: Callable[[Callable[[str], Column]], Column] | None = None
     severity: str = ERROR
+    # How a part's values of smaller groups give that of a larger one.
+    merge: Mapping[str, Callable[[Column], Column]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -59,6 +63,14 @@ class FrameRule:
     severity: str = ERROR
 
 
+@dataclass(frozen=True)
+class KeyRule(FrameRule):
+    """A :class:`FrameRule` that counts rows by key; the aggregate rules of groups that the key
+    determines are answered from the same counts."""
+
+    columns: tuple[str, ...] = ()
+
+
 Rule = AggregateRule | FrameRule
 
 
@@ -203,7 +215,7 @@ def accepted_range(
 # --- rules that may run per group: observed = failing groups ----------------------------
 
 
-def _per_group(name, parts, failing, expected, by, severity=ERROR) -> AggregateRule:
+def _per_group(name, parts, failing, expected, by, severity=ERROR, merge=None) -> AggregateRule:
     return AggregateRule(
         name,
         parts,
@@ -212,6 +224,7 @@ def _per_group(name, parts, failing, expected, by, severity=ERROR) -> AggregateR
         expected,
         by=tuple(by),
         severity=severity,
+        merge=merge or {},
     )
 
 
@@ -222,7 +235,8 @@ def at_least_one(column: str, group_by: Sequence[str] = (), name: str = "at_leas
 def not_constant(column: str, group_by: Sequence[str] = (), name: str = "not_constant") -> AggregateRule:
     """At least two different values; min and max decide, so no distinct count is needed."""
     parts = {"low": F.min(column), "high": F.max(column)}
-    return _per_group(name, parts, lambda p: p("low") == p("high"), "two values in every group", group_by)
+    merge = {"low": F.min, "high": F.max}
+    return _per_group(name, parts, lambda p: p("low") == p("high"), "two values in every group", group_by, merge=merge)
 
 
 def not_null_proportion(
@@ -254,7 +268,7 @@ def recency(
     if ignore_time_component:
         newest, threshold = newest.cast("date"), threshold.cast("date")
     return _per_group(
-        name, {"newest": newest}, lambda p: p("newest") < threshold, f"within {interval}", group_by
+        name, {"newest": newest}, lambda p: p("newest") < threshold, f"within {interval}", group_by, merge={"newest": F.max}
     )
 
 
@@ -269,17 +283,21 @@ def unique_key(*columns: str, name: str = "no_duplicate_keys") -> FrameRule:
 
     def build(df: DataFrame) -> DataFrame:
         counted = df.groupBy(*columns).agg(F.count("*").alias("n"))
-        text = F.concat_ws("/", *(F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns))
         # The sample reads the same counts; Spark reuses their shuffle.
-        first = counted.filter("n > 1").orderBy(*columns).limit(SAMPLE_SIZE).select(text.alias("k"))
-        listed = first.agg(F.array_join(F.array_sort(F.collect_list("k")), ", ").alias("s")).scalar()
         return counted.agg(
             F.count_if(F.col("n") > 1).alias("observed"),
             (F.count_if(F.col("n") > 1) == 0).alias("passed"),
             (F.count("*") > 0).alias("some"),
-        ).withColumn("sample", F.nullif(listed, F.lit("")))
+        ).withColumn("sample", _repeated_keys(counted, columns, "n").scalar())
+
+    return KeyRule(name, build, "unique " + ", ".join(columns), columns=columns)
+
 
-    return FrameRule(name, build, "unique " + ", ".join(columns))
+def _repeated_keys(counted: DataFrame, columns: Sequence[str], n: str) -> DataFrame:
+    """The first keys counted more than once, in one text; NULL if there are none."""
+    text = F.concat_ws("/", *(F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns))
+    first = counted.filter(F.col(n) > 1).orderBy(*columns).limit(SAMPLE_SIZE).select(text.alias("k"))
+    return first.agg(F.nullif(F.array_join(F.array_sort(F.collect_list("k")), ", "), F.lit("")).alias("s"))
 
 
 def _counted(rows: DataFrame, expected_zero: Column | None = None) -> DataFrame:
@@ -387,11 +405,27 @@ def _failed(spark: SparkSession, table: str, rules: Sequence[Rule], why: str) ->
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
-def _aggregate_rows(table: str, df: DataFrame, by: tuple[str, ...], rules: Sequence[AggregateRule]) -> DataFrame:
-    parts = [p.alias(f"r{i}_{k}") for i, r in enumerate(rules) for k, p in r.parts.items()]
-    grouped = df.groupBy(*by).agg(F.count("*").alias("rows"), *parts)
+def _parts(rules: Sequence[AggregateRule]) -> list[Column]:
+    return [p.alias(f"r{i}_{k}") for i, r in enumerate(rules) for k, p in r.parts.items()]
 
-    finals = []
+
+def _aggregate_rows(
+    table: str, df: DataFrame, by: tuple[str, ...], rules: Sequence[AggregateRule], key: KeyRule | None = None, sample_key: bool = True
+) -> DataFrame:
+    """The rules' rows; with ``key`` its row too, from one count by key that is rolled up to the
+    groups, so the table is read once for all. ``sample_key`` lists repeated keys, which counts
+    the keys again."""
+    if key is None:
+        grouped = df.groupBy(*by).agg(F.count("*").alias("rows"), *_parts(rules))
+    else:
+        keyed = df.groupBy(*key.columns).agg(F.count("*").alias("rows"), *_parts(rules))
+        merged = [
+            r.merge.get(k, F.sum)(F.col(f"r{i}_{k}")).alias(f"r{i}_{k}") for i, r in enumerate(rules) for k in r.parts
+        ]
+        repeated = F.count_if(F.col("rows") > 1).alias("repeated_keys")
+        grouped = keyed.groupBy(*by).agg(F.sum("rows").alias("rows"), repeated, *merged)
+
+    finals, wanted = [], list(rules)
     for i, rule in enumerate(rules):
         def part(key, i=i):
             return F.col(f"r{i}_{key}")
@@ -399,19 +433,30 @@ def _aggregate_rows(table: str, df: DataFrame, by: tuple[str, ...], rules: Seque
         finals.append(rule.observed(part).alias(f"o{i}"))
         sample = rule.sample(part) if rule.sample else F.lit(None)
         finals.append(sample.cast("string").alias(f"s{i}"))
+    if key is not None:
+        finals.append(F.sum("repeated_keys").alias(f"o{len(wanted)}"))
+        wanted.append(key)
     summary = grouped.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total"), *finals)
+    if key is not None:
+        listed = _repeated_keys(keyed, key.columns, "rows").scalar() if sample_key else F.lit(None).cast("string")
+        summary = summary.withColumn(f"s{len(rules)}", listed)
 
     lines = []
-    for i, rule in enumerate(rules):
-        verdict = (F.col("total") > 0) & F.coalesce(rule.passed(F.col(f"o{i}")), F.lit(False))
+    for i, rule in enumerate(wanted):
+        observed = F.col(f"o{i}")
+        passed = observed == 0 if isinstance(rule, KeyRule) else rule.passed(observed)
+        verdict = (F.col("total") > 0) & F.coalesce(passed, F.lit(False))
         empty = F.when(F.col("total") == 0, F.lit("empty table"))
+        if isinstance(rule, KeyRule):
+            # No group means no key that repeats.
+            observed = F.coalesce(observed, F.lit(0))
         lines.append(
             F.struct(
                 F.lit(table).alias("table"),
                 F.lit(rule.name).alias("check"),
                 F.lit(rule.severity).alias("severity"),
                 verdict.alias("passed"),
-                F.col(f"o{i}").cast("string").alias("observed"),
+                observed.cast("string").alias("observed"),
                 F.lit(rule.expected).alias("expected"),
                 F.coalesce(empty, F.col(f"s{i}")).alias("sample"),
             )
@@ -438,15 +483,25 @@ def _frame_row(table: str, df: DataFrame, rule: FrameRule) -> DataFrame:
 Job = tuple[list[Rule], Callable[[], DataFrame]]
 
 
-def _jobs(table: str, df: DataFrame, rules: Sequence[Rule]) -> list[Job]:
+def _jobs(table: str, df: DataFrame, rules: Sequence[Rule], together: bool = True, sample_keys: bool = True) -> list[Job]:
+    """Rules by what answers them. ``together`` folds a key rule and the aggregate rules whose
+    groups its key determines into one pass over the table, a second one if ``sample_keys``."""
     groupings: dict[tuple[str, ...], list[AggregateRule]] = {}
     for rule in rules:
         if isinstance(rule, AggregateRule):
             groupings.setdefault(rule.by, []).append(rule)
+    frames = [r for r in rules if isinstance(r, FrameRule)]
+    keys: dict[tuple[str, ...], KeyRule] = {}
+    for rule in frames if together else []:
+        fitting = [by for by in groupings if isinstance(rule, KeyRule) and set(by) <= set(rule.columns) and by not in keys]
+        if fitting:
+            keys[max(fitting, key=lambda by: len(groupings[by]))] = rule
+    folded = set(map(id, keys.values()))
     jobs: list[Job] = [
-        (list(same), lambda by=by, same=same: _aggregate_rows(table, df, by, same)) for by, same in groupings.items()
+        ([*same, *([keys[by]] if by in keys else [])], lambda by=by, same=same: _aggregate_rows(table, df, by, same, keys.get(by), sample_keys))
+        for by, same in groupings.items()
     ]
-    return jobs + [([r], lambda r=r: _frame_row(table, df, r)) for r in rules if isinstance(r, FrameRule)]
+    return jobs + [([r], lambda r=r: _frame_row(table, df, r)) for r in frames if id(r) not in folded]
 
 
 def _built(jobs: Sequence[Job]) -> DataFrame:
@@ -467,6 +522,28 @@ def _reason(error: Exception) -> str:
     return f"unreadable: {condition or 'read error'}"
 
 
+def _run(spark: SparkSession, jobs: Sequence[Job]) -> DataFrame:
+    return spark.createDataFrame([tuple(r) for r in _built(jobs).collect()], RESULT_SCHEMA)
+
+
+def _run_once(spark: SparkSession, frames: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Rule]]) -> DataFrame:
+    """All rules of all tables in one job that reads each table once for its folded rules.
+
+    Keys are counted again only where some repeat, to list them.
+    """
+    jobs = [job for table, df in frames.items() for job in _jobs(table, df, rules[table], sample_keys=False)]
+    keys = {(t, r.name): r for t in frames for r in rules[t] if isinstance(r, KeyRule)}
+    found = []
+    for row in _built(jobs).collect():
+        key = keys.get((row["table"], row["check"]))
+        listed = row["sample"]
+        if key is not None and listed is None and row["observed"] != "0":
+            counted = frames[row["table"]].groupBy(*key.columns).agg(F.count("*").alias("n"))
+            listed = _repeated_keys(counted, key.columns, "n").first()[0]
+        found.append((*tuple(row)[:-1], listed))
+    return spark.createDataFrame(found, RESULT_SCHEMA)
+
+
 def check_table(spark: SparkSession, table: str, source, rules: Sequence[Rule]) -> DataFrame:
     """Results of all rules on one table; ``source`` is a DataFrame or a function giving one.
 
@@ -474,35 +551,43 @@ def check_table(spark: SparkSession, table: str, source, rules: Sequence[Rule])
     read, be it a missing column or a damaged file met while reading, fails the rules that meet
     it and no others.
     """
-    try:
-        df = source() if callable(source) else source
-    except UNREADABLE as error:
-        return _failed(spark, table, rules, _reason(error))
-    jobs = _jobs(table, df, rules)
+    return run_checks(spark, {table: source}, {table: rules})
 
-    def run(some: Sequence[Job]) -> DataFrame:
-        return spark.createDataFrame([tuple(r) for r in _built(some).collect()], RESULT_SCHEMA)
 
+def _apart(spark: SparkSession, table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Each job of a table on its own, so that only the rules that fail do."""
     try:
-        return run(jobs)
+        return _run_once(spark, {table: df}, {table: rules})
     except UNREADABLE:
         pass
-    # Something failed: each job on its own, so that only its own rules do.
     out = []
-    for job in jobs:
+    for job in _jobs(table, df, rules, together=False):
         try:
-            out.append(run([job]))
+            out.append(_run(spark, [job]))
         except UNREADABLE as error:
             out.append(_failed(spark, table, job[0], _reason(error)))
     return reduce(DataFrame.unionByName, out)
 
 
 def run_checks(spark: SparkSession, tables: Mapping[str, object], rules: Mapping[str, Sequence[Rule]]) -> DataFrame:
-    """All rules of all tables; a table with rules but no source fails them."""
+    """All rules of all tables; a table with rules but no source fails them.
+
+    One job answers all tables; only if it fails does each table run on its own.
+    """
+    frames: dict[str, DataFrame] = {}
     results = []
     for table, wanted in rules.items():
-        if table in tables:
-            results.append(check_table(spark, table, tables[table], wanted))
-        else:
-            results.append(_failed(spark, table, wanted, "unreadable: no such table"))
+        try:
+            if table not in tables:
+                results.append(_failed(spark, table, wanted, "unreadable: no such table"))
+                continue
+            source = tables[table]
+            frames[table] = source() if callable(source) else source
+        except UNREADABLE as error:
+            results.append(_failed(spark, table, wanted, _reason(error)))
+    if frames:
+        try:
+            results.append(_run_once(spark, frames, rules))
+        except UNREADABLE:
+            results += [_apart(spark, table, df, rules[table]) for table, df in frames.items()]
     return reduce(DataFrame.unionByName, results)

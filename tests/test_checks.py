@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from support import plan_of, rows
 
 from placetide.operators import checks as C
 from placetide.plans import quality as Q
@@ -170,3 +171,23 @@ def test_a_code_that_is_no_number_does_not_end_the_check(spark):
     df = spark.createDataFrame([("01", "XX", 1, 2, 2020), ("01", "96", 1, 2, 2020)], columns)
     got = {r["check"]: r["passed"] for r in C.check_table(spark, "t", df, rules).collect()}
     assert len(got) == len(rules) and not all(got.values())
+
+
+def test_key_rule_shares_the_scan_of_its_groups(spark, tmp_path):
+    spark.range(60).selectExpr("id % 20 AS k", "2000 + id % 2 AS y", "IF(id % 7 = 0, NULL, id) AS v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    rules = [
+        C.rows_per_year(30, exact=True, year="y"), C.not_null("v", by=("y",)), C.fully_covered("v", by=("y",)),
+        C.not_constant("v", ["y"]), C.at_least_one("v", ["y"]), C.unique_key("k", "y"),
+    ]
+    together, apart = (
+        rows(C._built(C._jobs("t", df, rules, together=t)), "check") for t in (True, False)
+    )
+    assert together == apart and len(together) == 6
+    folded = C._jobs("t", df, rules)
+    assert len(folded) == 1
+    assert plan_of(C._built(C._jobs("t", df, rules, sample_keys=False))).count("FileScan") == 1
+    assert rows(C.check_table(spark, "t", df, rules), "check") == apart
+    empty = rows(C._built(C._jobs("t", df.limit(0), rules)), "check")
+    assert empty == rows(C._built(C._jobs("t", df.limit(0), rules, together=False)), "check")
+    assert all(r[3] is False for r in empty)
