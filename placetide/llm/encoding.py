@@ -9,9 +9,11 @@ Arrow's kernels cut the texts and number the pieces of a batch; Python sees diff
 
 from __future__ import annotations
 
+import json
 import os
 import string
 from itertools import chain, compress, islice
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,10 @@ _MARKS = string.punctuation
 TAILS = 10_000
 # Letters below this one (Latin-1) lower-case one by one and are composed already.
 _PLAIN_LETTERS = "\u0100"
+# Fixed value: how byte-level vocabularies of this kind cut a text into units.
+UNITS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Both libraries agree on what is a letter below this one.
+_SETTLED = "\u0250"
 
 
 class _Numbers(dict):
@@ -51,6 +57,26 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
 
 
+def ranked_encoder(path: str):
+    """A second encoder of the same ids, or None: for byte-level vocabularies that cut texts by
+    ``UNITS`` and number their tokens in the order of the merges that make them."""
+    kind = json.loads(Path(path).read_text())
+    cut, model = kind.get("pre_tokenizer") or {}, kind["model"]
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+    if not plain or kind.get("normalizer") or model.get("type") != "BPE" or model.get("ignore_merges"):
+        return None
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    vocabulary, back = model["vocab"], {c: b for b, c in byte_alphabet().items()}
+    made = [vocabulary.get("".join(m)) for m in merges]
+    ordered = None not in made and made == list(range(256, 256 + len(made)))
+    if not ordered or any(vocabulary.get(c, 256) >= 256 for c in back):
+        return None
+    import tiktoken
+
+    ranks = {bytes(back[c] for c in token): number for token, number in vocabulary.items() if number < 256 + len(made)}
+    return tiktoken.Encoding(Path(path).name, pat_str=UNITS, mergeable_ranks=ranks, special_tokens={})
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Stretches of an array, one after the other."""
     ends = np.cumsum(lengths)
@@ -61,6 +87,8 @@ def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
 class TextEncoder:
     """Ids of texts by a tokenizer file, as ``encode(text, add_special_tokens=False)`` gives them."""
 
+    ranked = None
+
     def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -73,6 +101,7 @@ class TextEncoder:
         # A normalizer that drops white space: words carry no space and may be cut at any.
         self.words_only = self.tokenizer.normalizer is not None
         self.alphabet = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
+        self.ranked = None if self.words_only else ranked_encoder(path)
         self.tails: dict[str, list[int]] = {}
         self.line = self._whole(["\n"])[0]
         self._forget()
@@ -148,6 +177,21 @@ class TextEncoder:
         sizes = np.fromiter(map(len, out), np.int64, len(out))
         return np.fromiter(chain.from_iterable(out), np.uint32, int(sizes.sum())), sizes
 
+    def _learn_ranked(self, new: list[str]) -> None:
+        """Add the ids of new pieces by the second encoder, those with other letters by the library."""
+        ordinary = self.ranked.encode_ordinary
+        out = [
+            ordinary(p if p[:1] == "\n" else " " + p) if p.isascii() or max(p) < _SETTLED else None for p in new
+        ]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        for k, ids in zip(rest, self._whole([new[k] if new[k][:1] == "\n" else " " + new[k] for k in rest]), strict=True):
+            out[k] = ids
+        sizes = np.fromiter(map(len, out), np.int64, len(out))
+        ids = np.fromiter(chain.from_iterable(out), np.uint32, int(sizes.sum()))
+        self.flat, self.lengths = np.concatenate([self.flat, ids]), np.concatenate([self.lengths, sizes])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+
     def _learn(self, new: list[str]) -> None:
         """Add the ids of new pieces. One that is a known or new piece and marks behind its last
         letter or digit, or that only differs in case where that is dropped, has that one's."""
@@ -215,7 +259,8 @@ class TextEncoder:
         used = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
         numbers = np.fromiter(map(self.numbers.__getitem__, used), np.int64, len(used))
         if len(self.numbers) > known:
-            self._learn(list(islice(self.numbers, known, None)))
+            learn = self._learn_ranked if self.ranked else self._learn
+            learn(list(islice(self.numbers, known, None)))
         index = numbers[pieces.indices.to_numpy()]
         self.uses += np.bincount(index, minlength=len(self.uses))
         lengths = self.lengths[index]

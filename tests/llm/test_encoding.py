@@ -1,9 +1,12 @@
+import json
+from pathlib import Path
+
 import numpy as np
 import pytest
 from helpers import BYTE, WORD, library, odd_texts
 
 from placetide.llm.bpe import BytePairs, PairEncoder
-from placetide.llm.encoding import TextEncoder
+from placetide.llm.encoding import TextEncoder, ranked_encoder
 
 LONG = ["", "a" * 3000, "ab" * 2000, " " * 500, "\n" * 7, "中文" * 800, "the\n    def x():\n\t\treturn 1\n" * 50]
 
@@ -44,3 +47,19 @@ def test_merge_rounds_take_the_leftmost_of_overlapping_pairs():
         assert sizes[1] == 0
         assert ids.tolist() == expected("a" * n) + expected("o" * n)
     assert pairs.merge([])[0].dtype == np.int64
+
+
+def test_second_encoder_takes_only_vocabularies_in_merge_order(tmp_path):
+    assert ranked_encoder(BYTE) is not None and ranked_encoder(WORD) is None
+    kind = json.loads(Path(BYTE).read_text())
+    vocabulary = kind["model"]["vocab"]
+    a, b = (t for t, n in vocabulary.items() if n in (300, 301))
+    vocabulary[a], vocabulary[b] = vocabulary[b], vocabulary[a]
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(kind))
+    assert ranked_encoder(str(other)) is None
+    letters = "".join(chr(c) for c in range(0x21, 0x250))
+    texts = [f"{letters[k]} {letters[k : k + 3]}'s {letters[k]}1" for k in range(len(letters) - 3)]
+    expected = library(BYTE)
+    flat, sizes = TextEncoder(BYTE).encode(texts)
+    assert flat.tolist() == [i for t in texts for i in expected(t)] and len(sizes) == len(texts)
