@@ -335,6 +335,27 @@ def choropleth_all_tracts(t):
     return _scaled(colour_layer(S.mart(t, "tracts"), "renter_rate"), "geography_id", "survey_year")
 
 
+_BOUNDED = ("median_household_income", "poverty_rate", "bachelors_plus_rate", "renter_rate", "remote_work_rate")
+
+
+@query(
+    "choropleth_all_metrics",
+    f"WITH {S.mart_sql('tracts')} "
+    + " UNION ALL ".join(
+        f"SELECT geography_id, survey_year, metric, norm, scale_min, scale_max, red, green, blue, alpha FROM "
+        f"(SELECT *, '{m}' AS metric FROM (WITH "
+        + _scale_sql(m, p, "mart", "geography_id, survey_year")
+        + "))"
+        for m, p in zip(_BOUNDED, ("YlOrRd", "YlOrRd", "YlGnBu", "PuRd", "BuPu"), strict=True)
+    ),
+)
+def choropleth_all_metrics(t):
+    """Every listed metric of all tracts; the bounds of all five come from one count."""
+    from placetide.operators.scale import colour_layers
+
+    return _scaled(colour_layers(S.mart(t, "tracts"), ["geography_id", "survey_year"]), "geography_id", "survey_year", "metric")
+
+
 _where = f"survey_year = {YEAR} AND state_fips = '06'"
 query(
     "counties_layer",

@@ -1,11 +1,16 @@
 import json
+import math
 import random
+import re
+import struct
 
 import pytest
 from support import plan_of, rows
 from pyspark.sql import functions as F
 
-from placetide.operators.scale import arc_width, colour_layer, percentile_bounds, ramp_colour
+from placetide.operators.scale import (
+    arc_width, colour_layer, colour_layers, ordered_bits, percentile_bounds, percentile_table, ramp_colour,
+)
 from placetide.plans import serving
 from placetide.schemas import METRICS, PALETTES
 from placetide.sources import geojson
@@ -55,6 +60,52 @@ def test_percentiles_of_nothing(spark):
     assert tuple(percentile_bounds(spark.createDataFrame([], "v double"), "v").first()) == (None, None)
 
 
+def test_key_of_a_double_is_its_bits(spark):
+    rng = random.Random(7)
+    data = [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(3000)]
+    data = [x for x in data if x == x] + [0.0, -0.0, math.inf, -math.inf]
+    for e in range(-1074, 1024, 7):
+        x = math.ldexp(1.0, e)
+        data += [x, -x, math.nextafter(x, 0), math.nextafter(x, math.inf)]
+    got = spark.createDataFrame([(x,) for x in data], "v double").select("v", ordered_bits(F.col("v")).alias("k"))
+    for r in got.collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(r.v)))[0]
+        assert r.k == (-bits if r.v < 0 else bits)
+
+
+def test_values_close_together_are_not_sorted_in_one_task(spark):
+    """A million different values from 100 to 101: one count is shared, no window over values."""
+    n = 1_000_000
+    df = spark.range(n).select((F.lit(100.0) + (F.col("id") * 7919 % n) / n).alias("v"))
+    out = percentile_bounds(df, "v")
+    low, high = out.first()
+    assert low == pytest.approx(100 + 0.05 * (n - 1) / n, abs=1e-9) and high == pytest.approx(100 + 0.95 * (n - 1) / n, abs=1e-9)
+    out.collect()
+    plan = plan_of(out)
+    assert plan.count("ReusedExchange") >= 3
+    windows = [line for line in plan.splitlines() if " Window [" in line]
+    assert windows and not any(re.search(r"\bv#\d+ ASC", line) for line in windows)
+
+
+def test_bounds_of_several_columns(spark):
+    df = spark.createDataFrame([(1.0, None), (3.0, None), (math.nan, None)], "a double, b double")
+    assert rows(percentile_table(df, ["a", "b"], null_as_zero=False)) == [("a", pytest.approx(1.1), pytest.approx(2.9))]
+    assert rows(percentile_table(df, ["a", "b"]), "metric")[1] == ("b", 0.0, 0.0)
+
+
+def test_layers_of_all_metrics_equal_single_ones(spark):
+    rng = random.Random(3)
+    data = [(i, *(rng.choice([None, rng.uniform(0, 100)]) for _ in METRICS)) for i in range(40)]
+    df = spark.createDataFrame(data, "i int, " + ", ".join(f"{m} double" for m in METRICS))
+    every = colour_layers(df, ["i"])
+    for metric in METRICS:
+        one = colour_layer(df, metric).select("i", "norm", "fill_color", "scale_min", "scale_max")
+        assert rows(every.filter(F.col("metric") == metric).select(one.columns), "i") == rows(one, "i")
+    assert colour_layers(df.filter("i < 0"), ["i"]).collect() == []
+    with pytest.raises(ValueError):
+        colour_layers(df, ["i"], ["height"])
+
+
 def test_equal_values_take_the_lowest_colour(spark):
     out = colour_layer(values(spark, 5.0, 5.0), "renter_rate").collect()
     lowest = [*bytes.fromhex(PALETTES["PuRd"][0]), 180]
