@@ -1,12 +1,18 @@
 """Removal of repeated passages by content-defined chunks of lines.
 
-A rolling hash over the hashes of neighbouring lines decides where a text is cut, so equal
-passages are cut alike wherever they stand and an inserted line moves only the cuts near it.
-Chunks of two or more lines whose hash occurs more than once are compared byte by byte; of
-equal ones the first stays (by document id, then place) and the others are removed.
+The hash of a line alone decides whether it is a boundary; a chunk runs from one boundary line to
+the next, both included. So a chunk depends on nothing outside it: equal passages are cut alike
+wherever they stand, an inserted line changes only the chunks over it, and every chunk has two
+lines or more. Neighbouring chunks share their boundary line. All but one in ``SPARING`` lines of
+some length are boundaries, for many shared passages have two or three lines only: sparser ones
+would miss those. Short lines are none, so that a pair of closing brackets is not a chunk.
+
+Chunks whose hash occurs more than once are compared byte by byte; of equal ones the first stays
+(by document id, then place) and the lines of the others are removed. Chunks are judged on the
+input, not on what is left.
 
 Texts are cut row by row with built-in expressions. Hashes alone are counted over the corpus;
-only chunks with a repeated hash move with their text, and only ids and places come back.
+only chunks with a repeated hash move with their text, once, and only places come back.
 """
 
 from __future__ import annotations
@@ -19,12 +25,9 @@ from pyspark.sql import functions as F
 
 from placetide.llm.shared import filter_computed, free_name, stored
 
-# Lines under the rolling hash, its factor, and one cut in so many lines on average.
-WINDOW = 2
-FACTOR = 1009
-AVERAGE_LINES = 4
-# Lines in a chunk at least; shorter texts have one chunk that is never removed.
-MIN_LINES = 2
+# One line in so many is no boundary, nor is a line of fewer characters.
+SPARING = 32
+MIN_LINE = 8
 
 
 def line_hash(line: Column) -> Column:
@@ -32,119 +35,112 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("bigint") % F.lit(1 << 31)
 
 
-def _cut(hashes: Column, i: Column, average: int) -> Column:
-    """The rolling hash of the window that ends in line ``i`` asks for a cut after it."""
-    rolled = F.lit(0).cast("bigint")
-    for back in range(WINDOW):
-        rolled = rolled * FACTOR + F.get(hashes, i - (WINDOW - 1 - back))
-    # High bits: the low ones of a weighted sum depend on the low bits of the lines only.
-    return F.shiftright(rolled, 16) % average == 0
-
+def chunked(df: DataFrame, text: str = "text", sparing: int = SPARING) -> DataFrame:
+    """Adds the arrays ``lines`` and ``starts`` (boundary lines, from 0) under free names; NULL
+    text gives NULL arrays.
 
-def chunked(df: DataFrame, text: str = "text", average: int = AVERAGE_LINES) -> DataFrame:
-    """Adds the arrays ``lines`` and ``starts`` (first line of each chunk, from 0) under free
-    names; NULL text gives NULL arrays.
-
-    A cut stands after line i when the hash asks for it there and not one line earlier, and when
-    at least two lines lie on either side; so every chunk of a longer text has two lines or more.
+    Chunk k holds the lines from ``starts[k]`` to ``starts[k + 1]``, both included. The first and
+    the last line are always boundaries; a text of one line has no chunk.
     """
-    lines, hashes, starts = (free_name(df.columns, n) for n in ("lines", "hashes", "starts"))
+    lines, starts = (free_name(df.columns, n) for n in ("lines", "starts"))
     d = df.withColumn(lines, F.split(F.col(text), "\n"))
-    d = d.withColumn(hashes, F.transform(lines, line_hash))
-    h, n = F.col(hashes), F.size(lines)
-    # Candidates: the next chunk starts at i when there is a cut after line i - 1.
-    inner = F.when(n >= 2 * MIN_LINES, F.sequence(F.lit(MIN_LINES), n - MIN_LINES)).otherwise(
-        F.expr("cast(array() as array<int>)")
-    )
-    asked = lambda i: _cut(h, i - 1, average)
-    cuts = F.filter(inner, lambda i: asked(i) & ((i == MIN_LINES) | ~F.coalesce(asked(i - 1), F.lit(False))))
-    d = d.withColumn(starts, F.when(F.col(lines).isNotNull(), F.concat(F.array(F.lit(0)), cuts)))
-    return d.drop(hashes)
+    last = F.size(lines) - 1
+    line = lambda i: F.get(F.col(lines), i)
+    asks = lambda i: (F.length(line(i)) >= MIN_LINE) & (line_hash(line(i)) % sparing != 0)
+    cuts = F.filter(F.sequence(F.lit(0), last), lambda i: (i == 0) | (i == last) | asks(i))
+    return d.withColumn(starts, F.when(F.col(lines).isNotNull(), cuts))
 
 
-def _chunks(rows: DataFrame, average: int, body: bool) -> DataFrame:
-    """``key, version, place, chunks, hash`` of every multi-line chunk of ``key, version, text``,
-    with ``body`` if asked for; ``chunks`` is how many its text has. Further columns stay."""
+def _chunks(rows: DataFrame, sparing: int, body: bool) -> DataFrame:
+    """``key, version, place, hash`` of every chunk of ``key, version, text``, with ``body`` if
+    asked for. Further columns stay."""
     others = [c for c in rows.columns if c != "text"]
-    d = chunked(rows.filter(F.instr("text", "\n") > 0), "text", average)
+    d = chunked(rows.filter(F.instr("text", "\n") > 0), "text", sparing)
     # Chunks are made inside the row: a row that is exploded should not carry its whole text.
-    end = lambda p: F.coalesce(F.get("starts", p + 1), F.size("lines"))
-    bodies = F.transform("starts", lambda s, p: F.array_join(F.slice("lines", s + 1, end(p) - s), "\n"))
-    made = bodies if body else F.transform(bodies, lambda b: F.xxhash64(b))
-    d = d.select(*others, F.size("starts").alias("chunks"), made.alias("made"))
+    held = lambda s, p: F.slice("lines", s + 1, F.get("starts", p + 1) - s + 1)
+    if body:
+        one = lambda s, p: F.struct(F.xxhash64(held(s, p)).alias("hash"), F.array_join(held(s, p), "\n").alias("body"))
+    else:
+        one = lambda s, p: F.struct(F.xxhash64(held(s, p)).alias("hash"))
+    made = F.transform(F.slice("starts", F.lit(1), F.size("starts") - 1), one)
     # Every such text has a chunk. The outer form only keeps a test for that, which would
     # compute all of this once more, from being put below it.
-    d = d.select(*others, "chunks", F.posexplode_outer("made").alias("place", "one"))
-    if body:
-        return d.select(*others, "place", "chunks", F.xxhash64("one").alias("hash"), F.col("one").alias("body"))
-    return d.select(*others, "place", "chunks", F.col("one").alias("hash"))
+    d = d.select(*others, made.alias("made")).select(*others, F.posexplode_outer("made").alias("place", "one"))
+    return d.select(*others, "place", "one.*")
 
 
-def repeated_chunks(df: DataFrame, key: str = "doc_id", text: str = "text", average: int = AVERAGE_LINES) -> DataFrame:
-    """``key, version, place, chunks`` of every multi-line chunk that equals an earlier one;
-    ``version`` is the XXH64 of the text, so that rows sharing a key are told apart, and
-    ``chunks`` how many the text has.
+def repeated_chunks(df: DataFrame, key: str = "doc_id", text: str = "text", sparing: int = SPARING) -> DataFrame:
+    """``key, version, place`` of every chunk that equals an earlier one; ``version`` is the XXH64
+    of the text, so that rows sharing a key are told apart.
 
     Earlier means a smaller key, then version, then place; a NULL key comes last. Rows that
     repeat both key and text count as one text.
     """
     rows = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
-    hashes = stored(_chunks(rows, average, body=False), "hashes")
+    hashes = stored(_chunks(rows, sparing, body=False), "hashes")
     repeated = hashes.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
-    places = hashes.join(repeated, "hash", "left_semi").groupBy("key", "version")
-    wanted = places.agg(F.collect_set("place").alias("places")).select(
-        F.col("key").alias("k"), F.col("version").alias("v"), "places"
-    )
-    # Only the texts of chunks whose hash occurs again are compared: equal bytes make a group.
-    both = F.col("key").eqNullSafe(F.col("k")) & (F.col("version") == F.col("v"))
-    bodies = _chunks(rows.join(wanted, both).drop("k", "v"), average, body=True)
-    asked = filter_computed(bodies, F.array_contains("places", F.col("place")))
-    held = stored(asked.drop("places"), "held")
+    held = _bodies(rows, hashes.join(repeated, "hash", "left_semi"), sparing)
     order = F.struct(F.col("key").isNull().alias("late"), *[F.col(c).alias(c) for c in ("key", "version", "place")])
-    first = held.groupBy("hash", "body").agg(F.min(order).alias("first"))
-    same = held.join(first, ["hash", "body"]).select("key", "version", "place", "chunks", "first")
+    # Equal bytes make a group. Nearly always all chunks of a hash do: then the hash names it and
+    # texts need not move again to bring the group's first chunk to the others.
+    groups = held.groupBy("hash", "body").agg(F.min(order).alias("first"))
+    firsts = stored(groups.groupBy("hash").agg(F.count("*").alias("bodies"), F.min("first").alias("first")), "firsts")
+    columns = ["key", "version", "place", "first"]
+    same = hashes.join(firsts.filter("bodies = 1"), "hash").select(*columns)
+    clashing = firsts.filter("bodies > 1").select("hash")
+    if not clashing.isEmpty():
+        held = stored(_bodies(rows, hashes.join(clashing, "hash", "left_semi"), sparing), "clashing")
+        groups = held.groupBy("hash", "body").agg(F.min(order).alias("first"))
+        same = same.unionByName(held.join(groups, ["hash", "body"]).select(*columns))
     is_first = reduce(and_, [F.col(c).eqNullSafe(F.col(f"first.{c}")) for c in ("key", "version", "place")])
-    return same.filter(~is_first).select("key", "version", "place", "chunks").distinct()
+    return same.filter(~is_first).select("key", "version", "place").distinct()
 
 
-def _marked(df: DataFrame, key: str, text: str, average: int) -> tuple[DataFrame, str, str]:
-    """Every row with the places of its repeated chunks (NULL if none) and whether that is all of
-    them, and the names of both columns."""
-    removed = repeated_chunks(df, key, text, average).filter("key IS NOT NULL")
-    found = removed.groupBy("key", "version").agg(F.collect_set("place").alias("gone"), F.max("chunks").alias("chunks"))
-    link, version, gone, emptied = (free_name(df.columns, n) for n in ("_key", "_version", "_gone", "_emptied"))
-    found = found.select("key", "version", "gone", F.size("gone") == F.col("chunks")).toDF(link, version, gone, emptied)
-    marked = df.join(found, (F.col(key) == F.col(link)) & (F.xxhash64(text) == F.col(version)), "left")
-    return marked.drop(link, version), gone, emptied
+def _bodies(rows: DataFrame, places: DataFrame, sparing: int) -> DataFrame:
+    """``key, version, place, hash, body`` of the chunks at ``places``."""
+    wanted = places.groupBy("key", "version").agg(F.collect_set("place").alias("places"))
+    wanted = wanted.withColumnsRenamed({"key": "k", "version": "v"})
+    both = F.col("key").eqNullSafe(F.col("k")) & (F.col("version") == F.col("v"))
+    found = _chunks(rows.join(wanted, both).drop("k", "v"), sparing, body=True)
+    return filter_computed(found, F.array_contains("places", F.col("place"))).drop("places")
 
 
-def _without(marked: DataFrame, gone: str, text: str, average: int) -> tuple[DataFrame, str, str]:
-    """``marked`` with ``text`` cut, and the names of two added columns: its lines before and what
-    is left of them."""
-    cut = chunked(marked, text, average)
+def _without(df: DataFrame, key: str, text: str, sparing: int) -> tuple[DataFrame, str, str]:
+    """Every row with ``text`` cut, and the names of two added columns: its lines before and what
+    is left of them, NULL where nothing was removed."""
+    removed = repeated_chunks(df, key, text, sparing).filter("key IS NOT NULL")
+    found = removed.groupBy("key", "version").agg(F.array_sort(F.collect_set("place")).alias("gone"))
+    link, version, gone = (free_name(df.columns, n) for n in ("_key", "_version", "_gone"))
+    found = found.toDF(link, version, gone)
+    marked = df.join(found, (F.col(key) == F.col(link)) & (F.xxhash64(text) == F.col(version)), "left")
+    cut = chunked(marked.drop(link, version), text, sparing)
     lines, starts = cut.columns[-2:]
-    end = lambda p: F.coalesce(F.get(F.col(starts), p + 1), F.size(lines))
-    spans = F.transform(
-        F.col(starts), lambda s, p: F.when(~F.array_contains(gone, p), F.slice(lines, s + 1, end(p) - s))
-    )
+
+    def kept(j: Column) -> Column:
+        """The lines between the removed chunks j - 1 and j."""
+        before, after = F.get(F.col(gone), j - 1), F.get(F.col(gone), j)
+        begin = F.when(j == 0, 0).otherwise(F.get(F.col(starts), before + 1) + 1)
+        end = F.when(j == F.size(gone), F.size(lines)).otherwise(F.get(F.col(starts), after))
+        return F.slice(lines, begin + 1, F.greatest(end - begin, F.lit(0)))
+
     left = free_name(cut.columns, "_left")
-    cut = cut.withColumn(left, F.when(F.col(gone).isNotNull(), F.flatten(F.array_compact(spans))))
-    return cut.withColumn(text, F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))), lines, left
+    spans = F.transform(F.sequence(F.lit(0), F.size(gone)), kept)
+    cut = cut.withColumn(left, F.when(F.col(gone).isNotNull(), F.flatten(spans)))
+    return cut.withColumn(text, F.when(F.col(left).isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))), lines, left
 
 
 def without_repeats(
-    df: DataFrame, key: str = "doc_id", text: str = "text", average: int = AVERAGE_LINES
+    df: DataFrame, key: str = "doc_id", text: str = "text", sparing: int = SPARING
 ) -> DataFrame:
     """Every row with repeated chunks cut from ``text``, and ``n_lines`` and ``n_removed`` (lines)
     added under free names.
 
-    A text that loses all its chunks becomes empty; NULL text stays NULL with 0 lines. Rows with
+    A text that loses all its lines becomes empty; NULL text stays NULL with 0 lines. Rows with
     a NULL key lose nothing. Extra columns stay.
     """
-    marked, gone, _ = _marked(df, key, text, average)
-    cut, lines, left = _without(marked, gone, text, average)
+    cut, lines, left = _without(df, key, text, sparing)
     total = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines))
-    lost = F.when(F.col(gone).isNull(), 0).otherwise(F.size(lines) - F.size(left))
+    lost = F.when(F.col(left).isNull(), 0).otherwise(F.size(lines) - F.size(left))
     return cut.select(
         *df.columns,
         total.cast("bigint").alias(free_name(df.columns, "n_lines")),
@@ -154,41 +150,36 @@ def without_repeats(
 
 def keep_new_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents without repeated chunks; those that consisted of nothing else are gone."""
-    marked, gone, emptied = _marked(docs, key, text, AVERAGE_LINES)
-    return _without(marked.filter(~F.coalesce(emptied, F.lit(False))), gone, text, AVERAGE_LINES)[0].select(*docs.columns)
+    cut, _, left = _without(docs, key, text, SPARING)
+    return filter_computed(cut, F.col(left).isNull() | (F.size(left) > 0)).select(*docs.columns)
 
 
 # The same chunks in SQL: the first of equal chunks stays.
 SQL = f"""
 WITH lines AS (
   SELECT doc_id, i, line, n,
-         ('0x' || substr(md5(line), 1, 8))::BIGINT % {1 << 31} AS h
+         i = 0 OR i = n - 1 OR (length(line) >= {MIN_LINE}
+           AND ('0x' || substr(md5(line), 1, 8))::BIGINT % {1 << 31} % {SPARING} <> 0) AS cut
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i,
                len(string_split(text, chr(10))) AS n
         FROM documents WHERE doc_id IS NOT NULL)
-), rolled AS (
-  SELECT *, lag(h) OVER w * {FACTOR} + h AS r FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-), asked AS (
-  SELECT *, coalesce((r // {1 << 16}) % {AVERAGE_LINES} = 0, false) AS a FROM rolled
-), begun AS (
-  SELECT *, (i >= {MIN_LINES} AND i <= n - {MIN_LINES} AND lag(a) OVER w
-             AND (i = {MIN_LINES} OR NOT lag(a, 2) OVER w)) AS b
-  FROM asked WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-), placed AS (
-  SELECT doc_id, i, line, n, sum(CASE WHEN b THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS place
-  FROM begun
+), spans AS (
+  SELECT doc_id, i AS s, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM lines WHERE cut
 ), chunks AS (
-  SELECT doc_id, place, n, count(*) AS size, string_agg(line, chr(10) ORDER BY i) AS body
-  FROM placed GROUP BY doc_id, place, n
+  SELECT doc_id, s, e, string_agg(line, chr(10) ORDER BY i) AS body
+  FROM spans JOIN lines USING (doc_id) WHERE i BETWEEN s AND e GROUP BY doc_id, s, e
 ), judged AS (
-  SELECT *, n >= {MIN_LINES} AND row_number() OVER (PARTITION BY body, n >= {MIN_LINES} ORDER BY doc_id, place) > 1 AS gone
-  FROM chunks
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, s) > 1 AS gone FROM chunks
+), kept AS (
+  SELECT doc_id, i, line, n,
+         EXISTS (SELECT 1 FROM judged j WHERE j.gone AND j.doc_id = l.doc_id AND l.i BETWEEN j.s AND j.e) AS lost
+  FROM lines l
 )
 SELECT d.doc_id, coalesce(k.text, CASE WHEN d.text IS NULL THEN NULL ELSE '' END) AS text,
        coalesce(k.n, 0)::BIGINT AS n_lines, coalesce(k.lost, 0)::BIGINT AS n_removed
 FROM documents d LEFT JOIN (
-  SELECT doc_id, string_agg(body, chr(10) ORDER BY place) FILTER (WHERE NOT gone) AS text, max(n) AS n,
-         sum(CASE WHEN gone THEN size ELSE 0 END) AS lost
-  FROM judged GROUP BY doc_id) k USING (doc_id)
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT lost) AS text, max(n) AS n,
+         sum(CASE WHEN lost THEN 1 ELSE 0 END) AS lost
+  FROM kept GROUP BY doc_id) k USING (doc_id)
 """

@@ -48,12 +48,75 @@ def test_an_inserted_line_moves_few_cuts(spark):
     assert len(a ^ b) <= 6
 
 
-def test_every_chunk_of_a_longer_text_has_two_lines(spark):
+def test_chunks_cover_the_text_and_share_their_boundary_lines(spark):
     rng = random.Random(4)
     rows = [(k, "\n".join(lines(rng, k))) for k in range(1, 60)]
     for r in lc.chunked(docs(spark, rows)).collect():
-        ends = [*r["starts"][1:], len(r["lines"])]
-        assert all(e - s >= min(2, len(r["lines"])) for s, e in zip(r["starts"], ends, strict=True))
+        assert r["starts"][0] == 0 and r["starts"][-1] == len(r["lines"]) - 1
+        assert all(a < b for a, b in zip(r["starts"], r["starts"][1:], strict=False))
+
+
+def test_short_lines_are_no_boundaries(spark):
+    body = [f"a line of its own {k}\n  }}\n}}\n" for k in range(4)]
+    got = cut(spark, [(k, b + f"and an end {k}") for k, b in enumerate(body)])
+    assert all(n == 0 for _, _, n in got.values())
+
+
+@pytest.mark.parametrize("n", range(2, 9))
+def test_short_shared_passages_go(spark, n):
+    """Passages of few lines inside otherwise different texts: over 0.9 of their lines go."""
+    rng = random.Random(n)
+    passages = [lines(rng, n) for _ in range(60)]
+    rows = [
+        (100 * copy + k, "\n".join(lines(rng, 1 + k % 4) + p + lines(rng, 1 + k % 3)))
+        for copy in range(2) for k, p in enumerate(passages)
+    ]
+    got = cut(spark, rows)
+    own = {k: set(t.split("\n")) - set(passages[k % 100]) for k, t in rows}
+    assert all(own[k] <= set(got[k][0].split("\n")) for k in own)
+    assert all(got[k][2] == 0 for k in range(60))
+    assert sum(got[100 + k][2] for k in range(60)) >= 0.9 * 60 * n
+
+
+def brute(rows):
+    """Whole rule over (doc_id, text) in plain Python."""
+    import hashlib
+
+    seen, out = set(), {}
+    for key, text in sorted(rows):
+        held = text.split("\n")
+        last = len(held) - 1
+        cuts = [
+            i for i, x in enumerate(held)
+            if i in (0, last) or (len(x) >= lc.MIN_LINE and int(hashlib.md5(x.encode()).hexdigest()[:8], 16) % 2**31 % lc.SPARING)
+        ]
+        gone = set()
+        for s, e in zip(cuts, cuts[1:], strict=False):
+            body = tuple(held[s : e + 1])
+            if body in seen:
+                gone |= set(range(s, e + 1))
+            seen.add(body)
+        left = [x for i, x in enumerate(held) if i not in gone]
+        out[key] = ("\n".join(left), len(held), len(gone))
+    return out
+
+
+def test_brute_force_with_overlaps_and_repeats_inside_a_text(spark):
+    rng = random.Random(6)
+    pool = lines(rng, 12) + ["", "}", "é" * 9]
+    rows = [(k, "\n".join(rng.choices(pool, k=rng.randint(1, 14)))) for k in range(150)]
+    got = cut(spark, rows)
+    assert got == brute(rows)
+    kept = lc.keep_new_lines(docs(spark, rows)).select("doc_id", "text").collect()
+    want = {k: t for k, (t, n, lost) in brute(rows).items() if lost < n}
+    assert {r["doc_id"]: r["text"] for r in kept} == want
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(8)
+    long = lines(rng, 40_000)
+    got = cut(spark, [(1, "\n".join(long)), (2, "\n".join([*long, "its own last line"]))])
+    assert got[1][2] == 0 and got[2][2] >= 39_990
 
 
 def test_equal_hashes_of_different_bytes_stay(spark, monkeypatch):
