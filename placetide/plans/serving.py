@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from placetide.functions.keys import clamp_flow_year
 from placetide.operators.scale import colour_layer, require_metric
 from placetide.schemas import BASE_MEASURES, LEVEL_CODES, METRICS, RATES
+from placetide.sources import storage
 
 DEFAULT_YEAR = 2024
 DEFAULT_FLOW_YEAR = 2023
@@ -85,4 +86,10 @@ def flows(
 
 
 def years_available(gold: DataFrame) -> DataFrame:
+    """Years of any frame, from its rows."""
     return gold.select("survey_year").distinct().orderBy("survey_year")
+
+
+def years_held(spark: SparkSession, table: str) -> DataFrame:
+    """Years of a stored table, from its partition list where it is partitioned by year."""
+    return storage.partition_keys(spark, table, ["survey_year"]).orderBy("survey_year")

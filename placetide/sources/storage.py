@@ -270,6 +270,30 @@ def table_years(spark: SparkSession, table: str, key: str = YEAR) -> list[int]:
     return sorted(int(y) for y in found if y and y.isdigit())
 
 
+def partition_keys(spark: SparkSession, table: str, keys: Sequence[str] = (YEAR,)) -> DataFrame:
+    """The different keys a table holds, as they are at the call.
+
+    Where all keys are partition columns they come from the table's partition list, one row for
+    each partition and typed as in the table: no data file is opened. A partition that other
+    writers left without rows is listed as well. For any other table the rows are reduced.
+    """
+    held = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if not set(keys) <= set(held):
+        return spark.table(table).select(*keys).distinct()
+    types = {f.name: f.dataType for f in spark.table(table).schema}
+    parts = F.split("partition", "/")
+
+    def value(key: str) -> Column:
+        # Folder names are escaped as in addresses, but for the plus sign.
+        text = F.get(parts, held.index(key)).substr(F.lit(len(key) + 2), F.length("partition"))
+        plain = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+        return F.when(text != "__HIVE_DEFAULT_PARTITION__", plain).cast(types[key]).alias(key)
+
+    listed = spark.sql(f"SHOW PARTITIONS {table}").select(*(value(k) for k in keys))
+    # Several partitions share a key where the table has further partition columns.
+    return listed if set(keys) == set(held) else listed.distinct()
+
+
 def create_view(df: DataFrame, name: str) -> None:
     """Session view of a projection (staging views)."""
     df.createOrReplaceTempView(name)

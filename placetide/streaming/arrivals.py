@@ -19,6 +19,7 @@ from placetide.sources.storage import (
     create_table,
     has_landed,
     marks,
+    partition_keys,
     read_bronze,
     set_mark,
     table_years,
@@ -43,6 +44,13 @@ def due_partitions(expected: DataFrame, present: DataFrame, keys: Sequence[str]
     return missing_keys(expected, present, keys)
 
 
+def due_in_table(
+    spark: SparkSession, expected: DataFrame, table: str, keys: Sequence[str] = ("survey_year",)
+) -> DataFrame:
+    """Expected partitions a stored table does not hold, from its partition list where it has one."""
+    return missing_keys(expected, partition_keys(spark, table, keys), keys)
+
+
 def sync_years(
     spark: SparkSession,
     bronze: Callable[[int], DataFrame],

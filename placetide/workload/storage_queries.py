@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placetide.plans import layers, refresh
+from placetide.plans import layers, refresh, serving
 from placetide.schemas import (
     FLOW_GOLD,
     FLOW_SILVER,
@@ -132,6 +132,33 @@ def year_backfill(t):
     return t.spark.table(table)
 
 
+def _stored_flows(t):
+    table = _name("held_flows")
+    storage.create_table(
+        t.spark, table, FLOW_SILVER, ("survey_year", "dest_geography_id"), location=storage.scratch_dir(t.spark, "held")
+    )
+    storage.backfill_years(S.flows(t, "states"), table, range(1988, 2004))
+    return table
+
+
+@query("years_held", f"WITH {S.flows_sql('states')} SELECT DISTINCT survey_year FROM flows")
+def years_held(t):
+    """Years of a stored table, listed without reading its rows."""
+    return serving.years_held(t.spark, _stored_flows(t))
+
+
+@query(
+    "due_in_table",
+    f"""WITH {S.flows_sql('states')}, wanted AS (SELECT CAST(y AS INTEGER) AS survey_year, lpad(CAST(s AS STRING), 2, '0') AS dest_geography_id FROM range(1988, 2012) AS a(y), range(0, 60) AS b(s))
+       SELECT * FROM wanted WHERE NOT EXISTS (SELECT 1 FROM flows f WHERE f.survey_year = wanted.survey_year AND f.dest_geography_id = wanted.dest_geography_id)""",
+)
+def due_in_table(t):
+    """Year and state partitions that a stored table lacks, from its partition list."""
+    years = t.spark.range(1988, 2012).select(F.col("id").cast("int").alias("survey_year"))
+    wanted = arrivals.expected_partitions(years, [f"{s:02d}" for s in range(60)]).withColumnRenamed("state", "dest_geography_id")
+    return arrivals.due_in_table(t.spark, wanted, _stored_flows(t), ["survey_year", "dest_geography_id"])
+
+
 @query(
     "backfill_bucketed",
     f"WITH {S.flows_sql('states')} SELECT * FROM flows",

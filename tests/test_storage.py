@@ -4,8 +4,10 @@ import pytest
 from support import plan_of, rows
 from pyspark.sql import functions as F
 
+from placetide.plans import serving
 from placetide.schemas import FLOW_GOLD, FLOW_SILVER, STATE_FLOW_BRONZE, SURVEY_BRONZE
 from placetide.sources import storage as S
+from placetide.streaming import arrivals as A
 
 
 def flows(spark, *specs):
@@ -302,3 +304,25 @@ def test_full_refresh_of_a_table_from_itself(spark, tmp_path):
     _years_table(spark, tmp_path, "t_self")
     S.full_refresh(spark.table("t_self").filter("survey_year > 2010"), "t_self", location=str(tmp_path / "t_self"))
     assert S.table_years(spark, "t_self") == [2011, 2012, 2013] and spark.table("t_self").count() == 9
+
+
+def test_keys_come_from_the_partition_list(spark, tmp_path):
+    odd = ["06", "a/b=c", "x+y %z", None, "é"]
+    df = spark.createDataFrame([(2020 + k % 2, v, k) for k, v in enumerate(odd)], "survey_year int, state string, n int")
+    df.write.partitionBy("survey_year", "state").option("path", str(tmp_path / "odd")).saveAsTable("t_listed")
+    both = S.partition_keys(spark, "t_listed", ["survey_year", "state"])
+    assert sorted(map(repr, map(tuple, both.collect()))) == sorted(repr((2020 + k % 2, v)) for k, v in enumerate(odd))
+    assert dict(both.dtypes) == {"survey_year": "int", "state": "string"}
+    years = serving.years_held(spark, "t_listed")
+    assert rows(years) == [(2020,), (2021,)]
+    wanted = spark.createDataFrame([(2020,), (2022,)], "survey_year int")
+    due = A.due_in_table(spark, wanted, "t_listed")
+    assert rows(due) == [(2022,)]
+    assert not any("FileScan" in plan_of(d) for d in (both, years, due))
+
+
+def test_keys_of_other_tables_come_from_their_rows(spark, tmp_path):
+    df = spark.createDataFrame([(2020, 1), (2020, 2), (2019, 3)], "survey_year int, n int")
+    df.write.option("path", str(tmp_path / "flat")).saveAsTable("t_flat")
+    held = serving.years_held(spark, "t_flat")
+    assert rows(held) == [(2019,), (2020,)] and "FileScan" in plan_of(held)
