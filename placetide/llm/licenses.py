@@ -84,7 +84,118 @@ ISC_WARRANTY = (
     "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
     "USE OR PERFORMANCE OF THIS SOFTWARE."
 )
+BSD_START = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:"
+)
+BSD_CONDITIONS = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+    "following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.",
+)
+BSD_WARRANTY = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+    "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+    "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+    "liable for any damages arising from the use of this software.",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+    "alter it and redistribute it freely, subject to the following restrictions:",
+    "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original "
+    "software. If you use this software in a product, an acknowledgment in the product documentation would be "
+    "appreciated but is not required.",
+    "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original "
+    "software.",
+    "3. This notice may not be removed or altered from any source distribution.",
+)
+UNLICENSE = (
+    "This is free and unencumbered software released into the public domain.",
+    "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code "
+    "form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all "
+    "copyright interest in the software to the public domain. We make this dedication for the benefit of the public at "
+    "large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of "
+    "relinquishment in perpetuity of all present and future rights to this software under copyright law.",
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+    "AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+    "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+)
+UNLICENSE_ENDS = (
+    "For more information, please refer to <https://unlicense.org>",
+    "For more information, please refer to <http://unlicense.org/>",
+)
+BOOST_TITLE = "Boost Software License - Version 1.0 - August 17th, 2003"
+BOOST = (
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+    'accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, '
+    "execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties "
+    "to whom the Software is furnished to do so, all subject to the following:",
+    "The copyright notices in the Software and this entire statement, including the above license grant, this "
+    "restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and "
+    "all derivative works of the Software, unless such copies or derivative works are solely in the form of "
+    "machine-executable object code generated by a source language processor.",
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL "
+    "THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN "
+    "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+    "IN THE SOFTWARE.",
+)
+# Notices at the head of files, for licences whose own text is long.
+APACHE_NOTICE = (
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
+    "with the License. You may obtain a copy of the License at",
+    "http://www.apache.org/licenses/LICENSE-2.0",
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed "
+    'on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for '
+    "the specific language governing permissions and limitations under the License.",
+)
+# {0}: program or library, {1}: the licence's name, {2}: its version.
+GNU_NOTICE = (
+    "This {0} is free software: you can redistribute it and/or modify it under the terms of the {1} as published by the "
+    "Free Software Foundation, either version {2} of the License, or (at your option) any later version.",
+    "This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {1} for more details.",
+    "You should have received a copy of the {1} along with this {0}. If not, see <{3}://www.gnu.org/licenses/>.",
+)
+MPL_NOTICE = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+    "distributed with this file, You can obtain one at http{}://mozilla.org/MPL/2.0/."
+)
+
+
+def _bsd(conditions: int) -> tuple[str, ...]:
+    """The text with numbered and with marked conditions."""
+    lists = ("\n\n".join(f"{n}. {c}" for n, c in enumerate(BSD_CONDITIONS[:conditions], 1)), "\n\n".join(BSD_CONDITIONS[:conditions]))
+    return tuple("\n\n".join((BSD_START, x, BSD_WARRANTY)) for x in lists)
+
+
+def _gnu(short: str, version: str) -> tuple[str, ...]:
+    plain = version.removesuffix(".0")
+    return tuple(
+        "\n\n".join(GNU_NOTICE).format(thing, GNU[short], plain, scheme)
+        for thing in ("program", "library") for scheme in ("http", "https")
+    )
+
+
 FULL_TEXTS = {
+    "BSD-2-Clause": (*_bsd(2), *(f"BSD 2-Clause License\n\n{t}" for t in _bsd(2))),
+    "BSD-3-Clause": (*_bsd(3), *(f"BSD 3-Clause License\n\n{t}" for t in _bsd(3))),
+    "Zlib": ("\n\n".join(ZLIB), "\n\n".join(("zlib License", *ZLIB))),
+    "Unlicense": tuple("\n\n".join((*UNLICENSE, end)) for end in UNLICENSE_ENDS),
+    "BSL-1.0": ("\n\n".join(BOOST), "\n\n".join((BOOST_TITLE, *BOOST))),
+    "Apache-2.0": ("\n\n".join(APACHE_NOTICE), "\n\n".join(APACHE_NOTICE).replace("http:", "https:")),
+    "MPL-2.0": (MPL_NOTICE.format(""), MPL_NOTICE.format("s")),
+    **{f"{short}-{v}": _gnu(short, v) for short, versions in GNU_VERSIONS.items() for v in versions},
     "MIT": (
         "\n\n".join((MIT_GRANT, MIT_NOTICE, MIT_WARRANTY)),
         "\n\n".join(("MIT License", MIT_GRANT, MIT_NOTICE, MIT_WARRANTY)),
@@ -115,8 +226,9 @@ SPELLINGS = (
 )
 ALL_RIGHTS = "all rights reserved"
 RESERVED = "all-rights-reserved"
-# A line that only states who holds the rights: left out of texts of several lines.
-COPYRIGHT_LINE = r"^[ \t]*(?:copyright\b|\(c\)|©).*$"
+# A line that only states who holds the rights, behind marks of a comment or not: left out of texts
+# of several lines. Where a word follows "copyright" a year tells it from a line of running text.
+COPYRIGHT_LINE = r"^[ \t/#*;%!<-]*(?:copyright(?:[ \t]*$|[ \t]*[^a-z \t\n].*$|[ \t]+[a-z].*[12][0-9]{3}.*$)|\(c\).*$|©.*$)"
 OTHER = "[^a-z0-9]+"
 # A blank line or more between paragraphs.
 BLANK = r"\n[ \t]*\n[ \t\r\n\f]*"

@@ -48,6 +48,32 @@ def test_whole_texts_with_copyright_lines(spark):
     assert found(spark, [(3, parted)])[-1] == (3, "paragraph", 1, "MIT")
 
 
+def wrapped(text, width=70, mark=""):
+    """A published form: paragraphs wrapped, each line behind the mark of a comment."""
+    import textwrap
+
+    paragraphs = [textwrap.wrap(x, width) for x in text.split("\n\n")]
+    lines = [line for k, p in enumerate(paragraphs) for line in ([""] if k else []) + p]
+    return "\n".join((mark + line).rstrip() for line in lines)
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_every_whole_text_is_found_wrapped_and_in_comments(spark, mark):
+    texts = [(k, t) for k, ts in licenses.FULL_TEXTS.items() for t in ts]
+    head = f"{mark}Copyright (c) 2021 Some One\n{mark}\n" if mark else "Copyright 2021 Some One\n\n"
+    rows = [(n, "a file\n\n" + head + wrapped(t, 50 + 3 * (n % 9), mark) if mark else head + wrapped(t, 50 + 3 * (n % 9))) for n, (_, t) in enumerate(texts)]
+    got = {(d, k) for d, unit, _, k in found(spark, rows) if unit == ("paragraph" if mark else "document")}
+    assert {(n, k) for n, (k, _) in enumerate(texts)} <= got
+
+
+def test_lines_of_text_that_begin_with_copyright_stay(spark):
+    text = licenses.FULL_TEXTS["BSD-3-Clause"][0].replace("above copyright notice", "above\ncopyright notice")
+    text = text.replace("of the copyright holder", "of the\ncopyright holder").replace("BY THE COPYRIGHT", "BY THE\nCOPYRIGHT")
+    assert (1, "document", 1, "BSD-3-Clause") in found(spark, [(1, text)])
+    other = text.replace("without specific prior written permission", "without permission")
+    assert not [x for x in found(spark, [(1, other)]) if x[1] == "document"]
+
+
 def test_the_spared_texts_would_not_match(spark):
     known = spark.createDataFrame(licenses.known_texts(), "license string, text string")
     known = known.select(F.monotonically_increasing_id().alias("doc_id"), "text")
