@@ -26,6 +26,8 @@ SCALE = 64
 # Rows in a block of the index, and queries that meet it in one task.
 ROW_BLOCK = 1 << 16
 QUERY_BLOCK = 128
+# Query blocks that share one copy of a block of rows.
+SLICE_BLOCKS = 32
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -206,18 +208,33 @@ def top_k(
     rows = stored(quantised(df, key, vector, scale), "vectors")
     n, asked = rows.agg(F.count("*"), F.count_if(is_query)).first()
     index = stored(blocked(rows, row_block, parts_for(n, row_block), True), "index")
-    queries = blocked(rows.filter(is_query), query_block, parts_for(asked, query_block), False)
-    queries = stored(queries.select("block", "keys", "width", "body").toDF("q_block", "q_keys", "q_width", "q_body"), "queries")
-    # Every block of rows meets every block of queries; a merge join deals the pairs over tasks.
-    numbers = queries.agg(F.collect_list("q_block")).scalar()
-    cells = index.select("*", F.explode(numbers).alias("q_block")).join(queries.hint("merge"), "q_block")
+    queries = stored(blocked(rows.filter(is_query), query_block, parts_for(asked, query_block), False), "queries")
+    # A tile is one block of rows and one slice of the query blocks. Blocks of rows, which are
+    # large, are copied once a slice; the small query blocks go to every block of rows and stream
+    # past it. Slices are smaller where there are too few blocks of rows to occupy the cores.
+    blocks = index.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    spare = min(parts_for(asked, query_block), parts_for(cores, max(1, blocks)))
+    slices = max(parts_for(asked, query_block * SLICE_BLOCKS), spare)
+    every = F.sequence(F.lit(0), F.lit(slices - 1))
+    held = index.select("block", F.explode(every).alias("slice"), F.lit(0).alias("kind"), "keys", "low", "bits", "body")
+    # One number for each block of rows.
+    numbers = index.agg(F.collect_list("block")).scalar()
+    slice_of = F.pmod(F.xxhash64("block"), F.lit(slices)).cast("int").alias("slice")
+    sent = queries.select(F.explode(numbers).alias("to"), slice_of, F.lit(1).alias("kind"), "keys", "low", "bits", "body")
+    tiles = held.union(sent).repartition(max(1, blocks * slices), "block", "slice").sortWithinPartitions("block", "slice", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = None
         for batch in batches:
-            for cell in batch.to_pylist():
-                block = Block(*(np.frombuffer(cell[c], t) for c, t in (("keys", "<i8"), ("low", "<i8"), ("bits", "<i8"), ("body", "<u8"))))
-                asked = np.frombuffer(cell["q_keys"], "<i8")
-                mine = np.frombuffer(cell["q_body"], "<i8").reshape(len(asked), -1)
+            for at in range(batch.num_rows):
+                cell = batch.slice(at, 1).to_pylist()[0]
+                if cell["kind"] == 0:  # the rows of the tile, ahead of its queries
+                    parts = (("keys", "<i8"), ("low", "<i8"), ("bits", "<i8"), ("body", "<u8"))
+                    block = Block(*(np.frombuffer(cell[c], t) for c, t in parts))
+                    continue
+                asked = np.frombuffer(cell["keys"], "<i8")
+                mine = np.frombuffer(cell["body"], "<i8").reshape(len(asked), -1)
                 found: list[list[np.ndarray]] = [[], [], []]
                 for query, vector in zip(asked.tolist(), mine, strict=True):
                     keys, score = block.search(query, vector, k)
@@ -225,8 +242,7 @@ def top_k(
                         column.append(values)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], ["query_id", "vec_id", "score"])
 
-    cells = cells.select("keys", "low", "bits", "body", "q_keys", "q_body")
-    best = cells.mapInArrow(run, "query_id long, vec_id long, score long")
+    best = tiles.select("kind", "keys", "low", "bits", "body").mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -36,6 +36,21 @@ def test_against_brute_force(spark, options):
     assert run(spark, rows, **options) == brute(rows, 4, 5)
 
 
+@pytest.mark.parametrize("shared", [1, 3])
+def test_tiles_of_several_slices(spark, monkeypatch, shared):
+    monkeypatch.setattr(topk, "SLICE_BLOCKS", shared)
+    rng = np.random.default_rng(2)
+    rows = [(k, rng.normal(0, 0.2, 5).tolist(), 0) for k in range(400)]
+    assert run(spark, rows, every=2, row_block=64, query_block=7) == brute(rows, 2, 5)
+
+
+def test_blocks_of_rows_are_copied_once_a_slice(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(k, rng.normal(0, 0.2, 4).tolist(), 0) for k in range(600)], SCHEMA)
+    plan = topk.top_k(df, F.col("key") % 4 == 0, 5, row_block=64, query_block=5)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Cartesian" not in plan
+
+
 def test_odd_vectors_take_no_part(spark):
     rows = [
         (0, [0.5, -0.5], 1), (4, None, 1), (8, [], 1), (12, [float("nan"), 1.0], 1), (16, [float("inf"), 1.0], 1),
