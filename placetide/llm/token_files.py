@@ -9,7 +9,7 @@ sink and those bytes its line separator, so files reach any Hadoop file system a
 like those of every other sink. A reader finds the table from the end, checks each frame it
 touches and decompresses only those that hold requested documents.
 
-Documents are range-partitioned by id, so the files in name order hold them in ascending order.
+Documents are range-partitioned by id, so the files in the order of their numbers hold them in ascending order.
 """
 
 from __future__ import annotations
@@ -237,12 +237,14 @@ def read(spark: SparkSession, target: str, keys: Sequence[int] | None = None, ke
 
 
 def with_starts(rows: DataFrame) -> DataFrame:
-    """Adds ``start``: the ids of all documents before, over all files in name order.
+    """Adds ``start``: the ids of all documents before, over all files in the order of their
+    numbers (by name ``part-100000`` would stand before ``part-99999``).
 
     Totals per file are summed first; only those, one row per file, meet in one window.
     """
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("file_tokens"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.regexp_extract("file", r"/?part-(\d+)[^/]*$", 1).cast("long")
+    before = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("file_tokens").over(before), F.lit(0)).alias("file_start"))
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("in_file", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))

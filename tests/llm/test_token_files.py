@@ -76,3 +76,11 @@ def test_damage_is_found(spark):
 
 def test_empty_table(spark):
     assert token_files.with_starts(token_files.read(spark, written(spark, []))).count() == 0
+
+
+def test_files_count_in_the_order_of_their_numbers(spark):
+    names = [f"file:/x/part-1/part-{n:05d}-0a1b.txt" for n in (99_999, 100_000, 7)]
+    rows = [(name, row, 10 * k + row, 2 + k) for k, name in enumerate(names) for row in range(2)]
+    df = spark.createDataFrame(rows, "file string, row long, doc_id long, n_tokens long")
+    got = {r["doc_id"]: r["start"] for r in token_files.with_starts(df).collect()}
+    assert got == {20: 0, 21: 4, 0: 8, 1: 10, 10: 12, 11: 15}
