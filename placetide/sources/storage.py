@@ -1,15 +1,18 @@
 """Partitioned files and tables: write, replay, read back.
 
-Tables are parquet with dynamic partition overwrite. A replayed year replaces the old one;
-there is no transaction log, so readers of a year being replaced may see it absent.
+Tables are parquet. A replayed year is written beside the old one, into a folder of its own, and
+the table's partition is then pointed at it: whoever reads the table by its name sees the old rows
+of that year or the new ones, never none or half of them. There is no transaction log: several
+years of one replay change one after the other.
 """
 
 from __future__ import annotations
 
 import atexit
 import tempfile
+import time
 from collections.abc import Sequence
-from urllib.parse import urlparse
+from urllib.parse import unquote, urlparse
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
@@ -23,6 +26,8 @@ YEAR = "survey_year"
 # Kept with the table: an overwrite replaces the partitions it brings and no others, whatever the
 # session's own mode is at that moment.
 _DYNAMIC = "partitionOverwriteMode"
+# How long replaced partitions stay for readers that have begun with them: a day.
+KEEP_SECONDS = 86_400
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -142,24 +147,36 @@ def create_table(
     return True
 
 
-def _replaces_partitions(spark: SparkSession, table: str) -> bool:
-    """The table was made by :func:`create_table`, which lets an overwrite replace partitions."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    found = " ".join(r["data_type"] or "" for r in rows if r["col_name"] == "Storage Properties")
-    return f"{_DYNAMIC}=dynamic" in found
+def _described(spark: SparkSession, table: str, partition: str = "") -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {partition}").collect()
+    # A partition's own facts come before those of its table.
+    return {r["col_name"]: r["data_type"] for r in reversed(rows)}
 
 
-def _replace_each(rows: DataFrame, table: str, years: Sequence[int]) -> None:
-    """One write per year, each naming the partition it replaces: for tables made elsewhere."""
-    spark = rows.sparkSession
-    inner = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != YEAR)
-    view = f"replay_{uuid4().hex}"
-    rows.createOrReplaceTempView(view)
-    try:
-        for year in years:
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({YEAR} = {year}) SELECT {inner} FROM {view} WHERE {YEAR} = {year}")
-    finally:
-        spark.catalog.dropTempView(view)
+def _partitions(spark: SparkSession, table: str) -> dict[str, str]:
+    """Partitions of a table: folder name (``survey_year=2020/state=06``) -> SQL clause."""
+    parts = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+
+    def clause(part: str) -> str:
+        keys = [p.split("=", 1) for p in part.split("/")]
+        return "PARTITION (" + ", ".join(f"`{k}` = {_key_literal(v)}" for k, v in keys) + ")"
+
+    return {p: clause(p) for p in parts}
+
+
+def _key_literal(folder_value: str) -> str:
+    if folder_value == "__HIVE_DEFAULT_PARTITION__":
+        return "NULL"
+    return _quoted(unquote(folder_value))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _of_years(partitions: dict[str, str], years: Sequence[int]) -> dict[str, str]:
+    wanted = {f"{YEAR}={y}" for y in years}
+    return {p: c for p, c in partitions.items() if wanted & set(p.split("/"))}
 
 
 def _observed_years(seen: Observation, rows: DataFrame, years: list[int]) -> dict[int, int]:
@@ -172,32 +189,84 @@ def _observed_years(seen: Observation, rows: DataFrame, years: list[int]) -> dic
         return {y: counted.get(y, 0) for y in years}
 
 
-def backfill_years(df: DataFrame, table: str, years: Sequence[int], bucket_by: str | None = None) -> dict[int, int]:
+def backfill_years(
+    df: DataFrame,
+    table: str,
+    years: Sequence[int],
+    bucket_by: str | None = None,
+    keep_seconds: float = KEEP_SECONDS,
+) -> dict[int, int]:
     """Replace the given years of a table by the rows of ``df``; returns rows per year.
 
-    Running it twice leaves the same table. Row counts come from the write itself
-    (observed metrics, no second scan); a year delivered without rows ends up absent.
+    The rows are written to a new folder under the table's own (``_versions/``), by a twin of the
+    table with the same columns, partitions and buckets. Then the partitions are pointed there, one
+    change of the catalog each, so a reader of the table never meets a year absent or half written,
+    and a run that dies before that changes nothing. Running it twice leaves the same table. Row
+    counts come from the write itself (observed metrics, no second scan); a year delivered without
+    rows ends up absent. What the partitions pointed at before is left to readers that have begun
+    with it and removed by a later replay after ``keep_seconds`` (:func:`sweep_replaced`).
+
+    Read such a table by its name: its folder alone does not tell which version is in force.
     """
     spark = df.sparkSession
     years = [int(y) for y in years]
-    target = spark.table(table)
-    rows = df.filter(F.col(YEAR).isin(*years)).select(*target.columns)
-    keys = [YEAR] + ([bucket_by] if bucket_by else [])
-    if _replaces_partitions(spark, table):
+    rows = df.filter(F.col(YEAR).isin(*years)).select(*spark.table(table).columns)
+    home = _described(spark, table)["Location"].rstrip("/")
+    version = f"{home}/_versions/{uuid4().hex}"
+    twin = f"{table}_v{uuid4().hex}"
+    spark.sql(f"CREATE TABLE {twin} LIKE {table} LOCATION {_quoted(version)}")
+    try:
         seen = Observation()
         counts = [F.count_if(F.col(YEAR) == y).alias(f"y{y}") for y in years]
-        spread(rows.observe(seen, *counts), *keys).write.insertInto(table, overwrite=True)
+        keys = [YEAR] + ([bucket_by] if bucket_by else [])
+        spread(rows.observe(seen, *counts), *keys).write.insertInto(twin)
         written = _observed_years(seen, rows, years)
-    else:
-        _replace_each(spread(rows, *keys), table, years)
-        counted = {r[YEAR]: r["count"] for r in spark.table(table).groupBy(YEAR).count().collect()}
-        written = {y: counted.get(y, 0) for y in years}
-    for year, n in written.items():
-        if n == 0:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({YEAR}={year})")
+        delivered = _partitions(spark, twin)
+    finally:
+        # The twin has a location of its own, so its files stay.
+        spark.sql(f"DROP TABLE {twin}")
+    held = _of_years(_partitions(spark, table), years)
+    before = {p: _described(spark, table, clause)["Location"] for p, clause in held.items()}
+    for part in held.keys() & delivered.keys():
+        spark.sql(f"ALTER TABLE {table} {held[part]} SET LOCATION {_quoted(f'{version}/{part}')}")
+    new = [f"{c} LOCATION {_quoted(f'{version}/{p}')}" for p, c in delivered.items() if p not in held]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(new))
+    gone = [c for p, c in held.items() if p not in delivered]
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(gone))
+    spark.catalog.refreshTable(table)
+    for folder in before.values():
+        _note_replaced(spark, home, folder)
+    sweep_replaced(spark, table, keep_seconds)
     return written
 
 
+def _note_replaced(spark: SparkSession, home: str, folder: str) -> None:
+    note, files = _folder(spark, f"{home}/_replaced/{uuid4().hex}")
+    out = files.create(note, True)
+    out.write(bytearray(folder.encode()))
+    out.close()
+
+
+def sweep_replaced(spark: SparkSession, table: str, keep_seconds: float = KEEP_SECONDS) -> list[str]:
+    """Remove the folders of replaced partitions ``keep_seconds`` after they were replaced; returns
+    them. A reader that takes longer than that fails rather than reading less."""
+    home = _described(spark, table)["Location"].rstrip("/")
+    notes, files = _folder(spark, f"{home}/_replaced")
+    removed = []
+    for note in files.listStatus(notes) if files.exists(notes) else []:
+        if time.time() - note.getModificationTime() / 1000 < keep_seconds:
+            continue
+        stream = files.open(note.getPath())
+        folder = bytes(stream.readAllBytes()).decode()
+        stream.close()
+        files.delete(_folder(spark, folder)[0], True)
+        files.delete(note.getPath(), False)
+        removed.append(folder)
+    return removed
+
+
 def full_refresh(
     df: DataFrame,
     table: str,
@@ -211,8 +280,7 @@ def full_refresh(
     keys = [*partition_by, *([bucket_by] if bucket_by else [])]
     # What is read may be the table itself; its rows are safe before it goes.
     if spark.catalog.tableExists(table):
-        described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-        own = urlparse(described.get("Location") or "").path.rstrip("/") + "/"
+        own = urlparse(_described(spark, table).get("Location") or "").path.rstrip("/") + "/"
         if any(urlparse(f).path.startswith(own) for f in df.inputFiles()):
             df = stored(df, "refresh")
         spark.sql(f"DROP TABLE {table}")
@@ -308,8 +376,6 @@ def with_metrics(df: DataFrame, name: str = "write", **extra: Column) -> tuple[D
 
 def write_with_metrics(df: DataFrame, path: str, *keys: str, **labels) -> dict:
     """Write bronze and report row count, target and duration of that one write."""
-    import time
-
     start = time.monotonic()
     observed, seen = with_metrics(df)
     write_bronze(observed, path, *keys)
