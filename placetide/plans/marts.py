@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placetide.functions.geo import OUTLINE, read_outline
 from placetide.functions.numeric import per_unit, share_sql
 from placetide.schemas import BASE_MEASURES, FLOW_GOLD, LEVEL_CODES, MEASURES, RATES
+from placetide.sources import storage
 
 
 def staging_places(gold: DataFrame, level: str) -> DataFrame:
@@ -101,6 +102,44 @@ def flow_mart(gold_flows: DataFrame, profile: DataFrame, level: str) -> DataFram
     )
 
 
+def colocated_profile(flows: DataFrame, profile: DataFrame, level: str, role: str = "origin") -> DataFrame:
+    """Flows with the profile of one end, joined bucket by bucket.
+
+    For flows bucketed by that end's place and a profile table bucketed alike by
+    ``geography_id``: neither side is shuffled. The join is by the place alone, which is what the
+    buckets are by; a place's years (one row each, so a few dozen) are gathered first and the
+    flow takes its own. A flow without a profile keeps NULLs; several profiles of one place and
+    year give several rows, as in any join.
+    """
+    end = f"{role}_geography_id"
+    names = {c: f"{role}_{name}" for c, name in FLOW_CONTEXT[level].items()}
+    one = F.struct("survey_year", *(F.col(c).alias(name) for c, name in names.items()))
+    places = profile.groupBy(F.col("geography_id").alias(end)).agg(F.collect_list(one).alias("_years"))
+    # Merged even where the profile is small: sending it to all tasks would be a shuffle of its own.
+    joined = flows.join(places.hint("merge"), end, "left")
+    year = F.col("survey_year")
+    own = joined.withColumn("_own", F.explode_outer(F.filter("_years", lambda p: p["survey_year"] == year)))
+    return own.select(*flows.columns, *(F.col(f"_own.{name}") for name in names.values()))
+
+
+def flows_with_origin(spark: SparkSession, flow_table: str, place_table: str, level: str) -> DataFrame:
+    """Migrant flows of a stored table with the profile of their origin.
+
+    Two tables with as many buckets by place are joined without a shuffle, unless one bucket is
+    far above the others (a hot origin): a bucket is one task, so such tables and all others go
+    by an ordinary join, whose hot keys adaptive execution splits.
+    """
+    flows = migrants(staging_flows(spark.table(flow_table))).drop("dest_state", "dest_name")
+    profile = spark.table(place_table)
+    by_flow, by_place = (storage.buckets_of(spark, t) for t in (flow_table, place_table))
+    alike = by_flow and by_place and by_flow[0] == ["origin_geography_id"] and by_place == (["geography_id"], by_flow[1])
+    if alike and storage.even_buckets(spark, flow_table):
+        return colocated_profile(flows, profile, level)
+    names = {c: f"origin_{name}" for c, name in FLOW_CONTEXT[level].items()}
+    end = profile.select(F.col("geography_id").alias("origin_geography_id"), "survey_year", *(F.col(c).alias(n) for c, n in names.items()))
+    return flows.join(end, ["origin_geography_id", "survey_year"], "left").select(*flows.columns, *names.values())
+
+
 # Bucket column of each bucketed mart; the state profile is partitioned only.
 MART_BUCKETS = {
     "mart_socioeconomic_counties": "state_fips",

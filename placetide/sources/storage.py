@@ -26,6 +26,8 @@ YEAR = "survey_year"
 # Kept with the table: an overwrite replaces the partitions it brings and no others, whatever the
 # session's own mode is at that moment.
 _DYNAMIC = "partitionOverwriteMode"
+# A bucket is read by one task; with so few rows it is never too large for it.
+BUCKET_ROWS = 20_000_000
 # How long replaced partitions stay for readers that have begun with them: a day.
 KEEP_SECONDS = 86_400
 
@@ -362,6 +364,31 @@ def partition_keys(spark: SparkSession, table: str, keys: Sequence[str] = (YEAR,
     return listed if set(keys) == set(held) else listed.distinct()
 
 
+def buckets_of(spark: SparkSession, table: str) -> tuple[list[str], int] | None:
+    """Bucket columns and number of buckets of a table, None where it has none."""
+    described = _described(spark, table)
+    if "Num Buckets" not in described:
+        return None
+    columns = described["Bucket Columns"].strip("[]").replace("`", "")
+    return [c.strip() for c in columns.split(",")], int(described["Num Buckets"])
+
+
+def bucket_rows(spark: SparkSession, table: str) -> DataFrame:
+    """``bucket, n``: rows of each bucket that has some, counted from file footers."""
+    # Fixed form of the names of bucketed files: the bucket's number behind the last underscore.
+    number = F.regexp_extract("_metadata.file_name", r"_(\d+)(?:\..*)?$", 1).cast("int")
+    return spark.table(table).groupBy(number.alias("bucket")).agg(F.count("*").alias("n"))
+
+
+def even_buckets(spark: SparkSession, table: str, rows: int = BUCKET_ROWS, times: float = 4) -> bool:
+    """No bucket has both more than ``rows`` rows and ``times`` the mean of all buckets."""
+    held = buckets_of(spark, table)
+    if held is None:
+        return False
+    most = bucket_rows(spark, table).agg(F.max("n").alias("most"), F.sum("n").alias("total")).first()
+    return not most["total"] or most["most"] <= max(rows, times * most["total"] / held[1])
+
+
 def create_view(df: DataFrame, name: str) -> None:
     """Session view of a projection (staging views)."""
     df.createOrReplaceTempView(name)

@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placetide.plans import layers, refresh, serving
+from placetide.plans import layers, marts, refresh, serving
 from placetide.schemas import (
     FLOW_GOLD,
     FLOW_SILVER,
@@ -187,6 +187,19 @@ def bucketed_mart(t):
     return t.spark.table(table).filter("survey_year = 1998 AND state_fips = '06'")
 
 
+@query(
+    "flows_with_origin",
+    f"""WITH {S.flow_mart_sql('counties')} SELECT origin_geography_id, dest_geography_id, survey_year, households, individuals, agi, is_non_migrant,
+       origin_county_name, origin_state_fips, origin_total_population, origin_median_income, origin_poverty_rate FROM fm""",
+)
+def flows_with_origin(t):
+    """Stored flows and places, bucketed alike by place, joined without a shuffle."""
+    held, places = _name("flows_by_origin"), _name("places_by_id")
+    storage.full_refresh(S.flows_gold(t, "counties"), held, bucket_by="origin_geography_id", location=storage.scratch_dir(t.spark, "held"))
+    storage.full_refresh(S.mart(t, "counties"), places, bucket_by="geography_id", location=storage.scratch_dir(t.spark, "places"))
+    return marts.flows_with_origin(t.spark, held, places, "counties")
+
+
 @query(
     "write_metrics",
     f"WITH {S.flows_sql('states')} SELECT CAST(count(*) AS BIGINT) AS row_count, 'states' AS level FROM flows",
@@ -213,6 +226,28 @@ def geojson_sink(t):
     )
 
 
+@query(
+    "flow_document",
+    f"""WITH {S.flows_sql('states')} SELECT origin_geography_id, dest_geography_id, survey_year, households,
+       row_number() OVER (ORDER BY origin_geography_id, dest_geography_id, survey_year) > 1 AS follows FROM flows
+       UNION ALL SELECT NULL, NULL, NULL, 2, false""",
+)
+def flow_document(t):
+    """All flows as one JSON document in parts, read back by lines: each flow but the first follows
+    a comma, and a head and an end without flows stand around them."""
+    path = storage.scratch_dir(t.spark, "flow_document")
+    order = ["origin_geography_id", "dest_geography_id", "survey_year"]
+    geojson.write_flow_document(S.flows_gold(t, "states").select(*order, "households"), path, order)
+    comma = F.startswith("value", F.lit(","))
+    text = F.when(comma, F.substr("value", F.lit(2))).otherwise(F.col("value"))
+    read = F.from_json(text, "origin_geography_id string, dest_geography_id string, survey_year int, households bigint")
+    lines = t.spark.read.text(path).select("value", comma.alias("follows"), read.alias("flow"))
+    around = lines.filter(F.col("value").isin('{"flows":[', "]}")).groupBy().agg(F.count("*").alias("households"))
+    flows = lines.filter("flow.origin_geography_id IS NOT NULL").select("flow.*", "follows")
+    ends = around.select(*(F.lit(None).cast(flows.schema[c].dataType).alias(c) for c in order), "households", F.lit(False).alias("follows"))
+    return flows.unionByName(ends)
+
+
 @query(
     "stream_arrivals",
     f"""WITH {S.flows_sql('states')} SELECT {_FLOW_COLS} FROM flows WHERE survey_year <= 1998
