@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from placetide.plans.layers import rename_variables
 from placetide.schemas import BOUNDARY_BRONZE
+from placetide.sources.storage import stored
+
+_DOCUMENT = "array<array<string>>"
 
 
 def explode_header_json(df: DataFrame, column: str, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -18,38 +21,74 @@ def explode_header_json(df: DataFrame, column: str, names: Sequence[str], keep:
     Each row is paired with its own document's header, so column order may differ between
     documents. A name the header lacks reads as NULL.
     """
-    parsed = F.from_json(F.col(column), "array<array<string>>")
+    parsed = F.from_json(F.col(column), _DOCUMENT)
     rows = (
         df.select(*keep, parsed.alias("_doc"))
         .filter(F.size("_doc") > 1)
         .select(*keep, F.col("_doc")[0].alias("_head"), F.explode(F.slice("_doc", 2, F.size("_doc") - 1)).alias("_row"))
-        # A short or long row is paired as far as both go.
-        .withColumn("_n", F.least(F.size("_head"), F.size("_row")))
-        .select(*keep, F.map_from_arrays(F.slice("_head", 1, F.col("_n")), F.slice("_row", 1, F.col("_n"))).alias("_cells"))
     )
-    return rows.select(*keep, *(F.try_element_at("_cells", F.lit(n)).alias(n) for n in names))
+    return _named_cells(rows, names, keep)
+
+
+def _named_cells(rows: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    # A short or long row is paired with its header as far as both go.
+    cut = F.least(F.size("_head"), F.size("_row"))
+    cells = F.map_from_arrays(F.slice("_head", 1, cut), F.slice("_row", 1, cut))
+    return rows.select(*keep, cells.alias("_cells")).select(*keep, *(F.try_element_at("_cells", F.lit(n)).alias(n) for n in names))
 
 
 def read_header_json(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
     """Landed survey responses, one document per file, files read in parallel.
 
     A document is one response of the source (a level and a year, or one state of it), so
-    its size is set by the source, not by how much has landed.
+    its size is set by the source, not by how much has landed. Documents that hold a row a line
+    need not be read whole: see :func:`read_header_lines`.
     """
     files = spark.read.text(path, wholetext=True)
     return explode_header_json(files, "value", names)
 
 
+def read_header_lines(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """Landed survey responses of one or more whole rows a line, so that several tasks share a file.
+
+    The line that opens a document, ``[[...]``, holds its header; all other lines are paired
+    with it by the file's path. Headers, one row per file, are stored first: their true size is
+    known then, and Spark sends them to all tasks or joins them by path. Files are read twice for that. A line that
+    is no row, a file with rows but no header and a file with two headers raise.
+    """
+    text = F.regexp_replace("value", r"^\s+|\s*,?\s*$", "")
+    lines = spark.read.text(path).select(text.alias("text"), F.col("_metadata.file_path").alias("file")).filter("text <> ''")
+    opens = F.col("text").rlike(r"^\[\s*\[")
+    whole = F.concat(
+        F.when(opens, "").otherwise("["), "text", F.when(F.col("text").rlike(r"\]\s*\]$"), "").otherwise("]")
+    )
+    broken = F.raise_error(F.concat(F.lit("no rows of a response in "), "file")).cast(_DOCUMENT)
+    lines = lines.select("file", opens.alias("opens"), F.coalesce(F.from_json(whole, _DOCUMENT), broken).alias("_doc"))
+    heads = lines.filter("opens").groupBy("file").agg(F.min(F.col("_doc")[0]).alias("_head"), F.count("*").alias("n"))
+    twice = F.raise_error(F.concat(F.lit("more than one header in "), "file")).cast("array<string>")
+    heads = stored(heads.select(F.col("file"), F.when(F.col("n") == 1, F.col("_head")).otherwise(twice).alias("_head")), "headers")
+    body = F.when(F.col("opens"), F.slice("_doc", F.lit(2), F.size("_doc"))).otherwise(F.col("_doc"))
+    rows = lines.select("file", F.explode(body).alias("_row")).join(heads, "file", "left")
+    none = F.raise_error(F.concat(F.lit("no header in "), "file")).cast("array<string>")
+    return _named_cells(rows.select(F.coalesce("_head", none).alias("_head"), "_row"), names)
+
+
 def add_ingest_columns(df: DataFrame, year: int | Column, ingest_date: str) -> DataFrame:
     """``survey_year`` and ``ingest_date``; the date is an argument so a re-run repeats."""
     survey_year = year if isinstance(year, Column) else F.lit(year)
     return df.withColumns({"survey_year": survey_year.cast("bigint"), "ingest_date": F.lit(ingest_date)})
 
 
-def survey_bronze(spark: SparkSession, path: str, variables: Sequence[str], year: int, ingest_date: str) -> DataFrame:
-    """Survey responses as bronze rows: renamed variables, place codes, ingest columns."""
+def survey_bronze(
+    spark: SparkSession, path: str, variables: Sequence[str], year: int, ingest_date: str, by_lines: bool = False
+) -> DataFrame:
+    """Survey responses as bronze rows: renamed variables, place codes, ingest columns.
+
+    ``by_lines`` shares large documents of a row a line among tasks (:func:`read_header_lines`).
+    """
     names = ["NAME", *variables, "state", "county", "tract"]
-    return add_ingest_columns(rename_variables(read_header_json(spark, path, names)), year, ingest_date)
+    read = read_header_lines if by_lines else read_header_json
+    return add_ingest_columns(rename_variables(read(spark, path, names)), year, ingest_date)
 
 
 def read_text_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, encoding: str = "UTF-8") -> DataFrame:

@@ -336,11 +336,13 @@ def arrivals_cascade(t):
     return _six_digits(t.spark.table(layout.table(refresh.FLOW_MART["states"])))
 
 
-def _documents_of(t, line, joined, name):
+def _documents_of(t, line, joined, name, head=None):
     """One text file for every 500 customers, as a source delivers one document per answer."""
     path = storage.scratch_dir(t.spark, name)
     lines = t.customer.select(F.expr("c_custkey div 500").alias("part"), line.alias("line"))
     texts = lines.groupBy("part").agg(joined(F.sort_array(F.collect_list("line"))).alias("value"))
+    if head is not None:
+        texts = texts.withColumn("value", F.concat(head, "value"))
     texts.write.partitionBy("part").text(path)
     return f"{path}/*"
 
@@ -358,6 +360,23 @@ def header_json_files(t):
     return landing.read_header_json(t.spark, path, names).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
+@query(
+    "header_json_lines",
+    "SELECT c_custkey, c_name, c_mktsegment FROM customer",
+)
+def header_json_lines(t):
+    """The same answers with a row a line, every second document in another order of columns, shared
+    among tasks by lines."""
+    names = ["c_custkey", "c_name", "c_mktsegment"]
+    cells = [F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_mktsegment")]
+    turned = F.expr("c_custkey div 500 % 2 = 1")
+    line = F.when(turned, F.array(*cells[::-1])).otherwise(F.array(*cells))
+    head = F.when(F.col("part") % 2 == 1, F.array(*map(F.lit, names[::-1]))).otherwise(F.array(*map(F.lit, names)))
+    document = lambda rows: F.concat(F.lit(",\n"), F.array_join(F.transform(rows, lambda r: F.to_json(r)), ",\n"), F.lit("]"))
+    path = _documents_of(t, line, document, "header_lines", F.concat(F.lit("["), F.to_json(head)))
+    return landing.read_header_lines(t.spark, path, names).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+
+
 @query(
     "csv_bad_bytes",
     "SELECT CAST(c_custkey AS STRING) AS c_custkey, c_name || chr(65533) || 'x' AS c_name FROM customer",
