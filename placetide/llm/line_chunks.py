@@ -28,6 +28,8 @@ from placetide.llm.shared import filter_computed, free_name, stored
 # One line in so many is no boundary, nor is a line of fewer characters.
 SPARING = 32
 MIN_LINE = 8
+# A hash of more than one chunk in so many is hot: there are fewer such hashes than this.
+HOT = 1000
 
 
 def line_hash(line: Column) -> Column:
@@ -78,15 +80,16 @@ def repeated_chunks(df: DataFrame, key: str = "doc_id", text: str = "text", spar
     """
     rows = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
     hashes = stored(_chunks(rows, sparing, body=False), "hashes")
-    repeated = hashes.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
-    held = _bodies(rows, hashes.join(repeated, "hash", "left_semi"), sparing)
+    repeated = stored(hashes.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1"), "repeated")
+    hot = repeated.filter(F.col("n") > F.lit(hashes.count() / HOT)).select("hash")
+    held = _bodies(rows, _on_hash(hashes, repeated.select("hash"), hot, "left_semi"), sparing)
     order = F.struct(F.col("key").isNull().alias("late"), *[F.col(c).alias(c) for c in ("key", "version", "place")])
     # Equal bytes make a group. Nearly always all chunks of a hash do: then the hash names it and
     # texts need not move again to bring the group's first chunk to the others.
     groups = held.groupBy("hash", "body").agg(F.min(order).alias("first"))
     firsts = stored(groups.groupBy("hash").agg(F.count("*").alias("bodies"), F.min("first").alias("first")), "firsts")
     columns = ["key", "version", "place", "first"]
-    same = hashes.join(firsts.filter("bodies = 1"), "hash").select(*columns)
+    same = _on_hash(hashes, firsts.filter("bodies = 1"), hot, "inner").select(*columns)
     clashing = firsts.filter("bodies > 1").select("hash")
     if not clashing.isEmpty():
         held = stored(_bodies(rows, hashes.join(clashing, "hash", "left_semi"), sparing), "clashing")
@@ -96,6 +99,19 @@ def repeated_chunks(df: DataFrame, key: str = "doc_id", text: str = "text", spar
     return same.filter(~is_first).select("key", "version", "place").distinct()
 
 
+def _on_hash(chunks: DataFrame, other: DataFrame, hot: DataFrame, how: str) -> DataFrame:
+    """``chunks`` joined on ``hash`` with a table of one row a hash.
+
+    The chunks of the hashes in ``hot`` stay where they are, as the other side has fewer than
+    ``HOT`` rows of them, which are sent to all tasks; a hash of the rest is too rare to fill a task.
+    """
+    hot = F.broadcast(hot)
+    few = F.broadcast(other.join(hot, "hash", "left_semi"))
+    here = chunks.join(hot, "hash", "left_semi").join(few, "hash", how)
+    rest = chunks.join(hot, "hash", "left_anti").join(other.join(hot, "hash", "left_anti"), "hash", how)
+    return here.unionByName(rest)
+
+
 def _bodies(rows: DataFrame, places: DataFrame, sparing: int) -> DataFrame:
     """``key, version, place, hash, body`` of the chunks at ``places``."""
     wanted = places.groupBy("key", "version").agg(F.collect_set("place").alias("places"))

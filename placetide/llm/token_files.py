@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from placetide.llm.encoding import encoder
-from placetide.llm.shared import slices
+from placetide.llm.shared import parts_for, slices
 
 # Fixed values of the public formats: skippable frames and the seek table.
 SKIPPABLE = 0x184D2A50
@@ -40,6 +40,9 @@ FRAME = 1 << 18
 # Pieces that a task remembers: its files in the making need memory too.
 REMEMBERED = 300_000
 STEP = 3 << 20
+# Text bytes that a file takes at most on average. Its ids are well below the 2 GB that one
+# cell of the reader can hold, also at four bytes an id and without compression.
+FILE_TEXT = 1 << 28
 
 
 def _checksum(data: bytes) -> int:
@@ -175,8 +178,9 @@ def write(
     """Encode every text, append ``end_id`` and write the files, documents ascending by ``key``
     (an integer; NULL first, equal keys by their text).
 
-    Without ``files`` there are as many as the session has shuffle partitions, small neighbours
-    merged by adaptive execution. NULL text counts as empty. ``id_bytes`` is the width of ids in
+    Without ``files`` the texts' bytes are counted first: there is a file for each ``FILE_TEXT`` of
+    them or, if that is more, for each of the session's shuffle partitions, with small neighbours
+    merged by adaptive execution. So no file grows with the table. NULL text counts as empty. ``id_bytes`` is the width of ids in
     the files; larger ids raise.
     """
 
@@ -194,6 +198,10 @@ def write(
             yield pa.RecordBatch.from_arrays([pa.array(list(writer.finish()), pa.binary())], ["value"])
 
     rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
+    if files is None:
+        files = parts_for(rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0, FILE_TEXT)
+        if files <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            files = None
     rows = rows.repartitionByRange(*([files] if files else []), "key", F.xxhash64("text"))
     # A string column may hold any bytes; the sink writes them as they are.
     pieces = rows.sortWithinPartitions("key", "text").mapInArrow(run, "value binary")

@@ -162,3 +162,31 @@ def test_short_texts_are_whole_chunks(spark, n):
     text = "\n".join("abcde"[:n])
     got = cut(spark, [(1, text), (2, text)])
     assert got[2] == ((text, 1, 0) if n == 1 else ("", n, n))
+
+
+@pytest.mark.parametrize("hot", [1, 10, 10**6])
+def test_hot_chunks_give_the_same_result(spark, monkeypatch, hot):
+    """Whether no hash, some hashes or every repeated hash is hot, the first of equal chunks stays."""
+    monkeypatch.setattr(lc, "HOT", hot)
+    rng = random.Random(7)
+    common, passages = "\n".join(lines(rng, 4)), [lines(rng, 3) for _ in range(20)]
+    rows = [(k, common) for k in range(0, 120, 2)]
+    rows += [(k, "\n".join(lines(rng, 2) + passages[k % 20] + lines(rng, 2))) for k in range(1, 120, 2)]
+    got = cut(spark, rows)
+    seen, want = set(), {}
+    for k, text in sorted(rows):
+        body = text.split("\n")
+        starts = [i for i, x in enumerate(body) if i in (0, len(body) - 1) or _boundary(x)]
+        gone = set()
+        for s, e in zip(starts, starts[1:], strict=False):
+            chunk = "\n".join(body[s : e + 1])
+            gone |= set(range(s, e + 1)) if chunk in seen else set()
+            seen.add(chunk)
+        want[k] = ("\n".join(x for i, x in enumerate(body) if i not in gone), len(body), len(gone))
+    assert got == want
+
+
+def _boundary(line):
+    import hashlib
+
+    return len(line) >= lc.MIN_LINE and int(hashlib.md5(line.encode()).hexdigest()[:8], 16) % (1 << 31) % lc.SPARING != 0

@@ -84,3 +84,19 @@ def test_files_count_in_the_order_of_their_numbers(spark):
     df = spark.createDataFrame(rows, "file string, row long, doc_id long, n_tokens long")
     got = {r["doc_id"]: r["start"] for r in token_files.with_starts(df).collect()}
     assert got == {20: 0, 21: 4, 0: 8, 1: 10, 10: 12, 11: 15}
+
+
+def test_files_follow_the_bytes_of_the_texts(spark, monkeypatch):
+    """More text makes more files, not larger ones; few bytes leave the session's partitions."""
+    rng = random.Random(5)
+    rows = [(k, words(rng, 200)) for k in range(300)]
+    text = sum(len(t) for _, t in rows)
+    monkeypatch.setattr(token_files, "FILE_TEXT", text // 20)
+    target = written(spark, rows, files=None)
+    found = token_files.read(spark, target).groupBy("file").count().collect()
+    assert 15 <= len(found) <= 25 and max(r["count"] for r in found) < 40
+    starts = token_files.with_starts(token_files.read(spark, target)).orderBy("start").collect()
+    assert [r["doc_id"] for r in starts] == list(range(300))
+    monkeypatch.undo()
+    few = token_files.read(spark, written(spark, rows, files=None)).groupBy("file").count().collect()
+    assert len(few) <= 8 and sum(r["count"] for r in few) == 300
