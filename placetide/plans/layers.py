@@ -95,11 +95,12 @@ def flow_silver(bronze: DataFrame, level: str) -> DataFrame:
 def place_gold(survey: DataFrame, boundary: DataFrame) -> DataFrame:
     """Survey rows with their boundary; places found on one side only drop out.
 
-    An equi-join on the stored key and year. No hint: Spark compares the real side sizes and
-    AQE splits a skewed key.
+    An equi-join on the stored key and year. Always merged: Spark takes the size of derived or well
+    compressed outlines from their files, and would gather millions of them on the driver to send
+    them to all tasks. AQE splits a skewed key.
     """
     shapes = boundary.select("geography_id", "survey_year", "ALAND", "AWATER", "geometry_wkt", *OUTLINE)
-    return survey.join(shapes, ["geography_id", "survey_year"], "inner").select(
+    return survey.join(shapes.hint("merge"), ["geography_id", "survey_year"], "inner").select(
         "geography_id",
         "survey_year",
         "geography_name",

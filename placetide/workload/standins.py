@@ -18,6 +18,8 @@ from placetide.workload.registry import Tables
 BOUNDARY_YEARS = (1996, 2001)
 INGEST_DATE = "2002-01-01"
 SUPPRESS_BELOW = 4
+# Places whose outlines one task draws, each once a boundary year.
+PLACES_PER_TASK = 5000
 
 # Additive parts of the measures, per customer and year (same text in both engines).
 PARTS = {
@@ -108,7 +110,8 @@ def survey_parts(t: Tables) -> DataFrame:
 
 def survey_bronze(t: Tables, level: str) -> DataFrame:
     """Survey rows as landed: all text, codes without padding."""
-    people = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    # Merged: a few MB of file hold a million customers, too many to gather on the driver.
+    people = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").hint("merge")
     rolled = survey_parts(t).join(people, F.col("o_custkey") == F.col("c_custkey"))
     if level != "tracts":
         # A tract is one customer, so only the wider levels are summed again.
@@ -249,6 +252,19 @@ _PLACE_ROWS = {
 }
 
 
+def _spread(places: DataFrame) -> DataFrame:
+    """Places dealt to as many tasks as their number asks for.
+
+    A million of them lie in one or two splits of a file, and so would all their outlines.
+    """
+    parts = -(-places.count() // PLACES_PER_TASK)
+    if parts < 2:
+        return places
+    # The row number keeps a filter on an outline from being put before the deal.
+    dealt = places.repartition(parts, "k").withColumn("_at", F.monotonically_increasing_id())
+    return dealt.filter("_at >= 0").drop("_at")
+
+
 def boundary_bronze(t: Tables, level: str) -> DataFrame:
     """Boundary rows as landed, one per place and boundary year."""
     if level == "states":
@@ -268,7 +284,7 @@ def boundary_bronze(t: Tables, level: str) -> DataFrame:
             (tract if tracts else F.lit(None).cast("string")).alias("tract"),
             F.col("c_name" if tracts else "c_mktsegment").alias("nm"),
         )
-        places = places if tracts else places.distinct()
+        places = _spread(places) if tracts else places.distinct()
     state = F.lpad(F.col("nk").cast("string"), 2, "0")
     county = F.lpad("county", 3, "0")
     # The outline is built once per place, ahead of the repetition over years.
