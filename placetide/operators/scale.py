@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import floor
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,31 +130,35 @@ def normalised(value: Column, low: Column, high: Column) -> Column:
     return F.when(high > low, (clamped - low) / F.nullif(high - low, F.lit(0.0))).otherwise(F.lit(0.0))
 
 
-def _anchors(palette: str) -> list[Column]:
-    """Red, green and blue of a palette's colours, as three arrays."""
-    colours = [bytes.fromhex(c) for c in PALETTES[palette]]
-    return [F.array(*(F.lit(float(c[i])) for c in colours)) for i in range(3)]
-
-
-def _channel(position: Column, anchors: Column) -> Column:
-    """Piecewise-linear colour channel at a position in 0..1, cut to a whole number."""
-    parts = F.size(anchors) - 1
-    segment = F.least(F.floor(position * parts), parts - 1).cast("int")
-    offset = position * parts - segment
-    start = F.get(anchors, segment)
-    return F.floor(start + (F.get(anchors, segment + 1) - start) * offset + 1e-9).cast("int")
+def _ramp(palette: str) -> Column:
+    """The palette's colour at each step, red, green and blue packed into one whole number.
 
-
-def _fill(norm: Column, anchors: list[Column]) -> Column:
+    Channels run linearly from one colour of the palette to the next. They are worked out here
+    once: written as expressions they make a method too long for the JVM to compile.
+    """
+    colours = [bytes.fromhex(c) for c in PALETTES[palette]]
+    parts = len(colours) - 1
+    packed = []
+    for step in range(RAMP_STEPS):
+        position = step / (RAMP_STEPS - 1) * parts
+        segment = min(floor(position), parts - 1)
+        ends = zip(colours[segment], colours[segment + 1], strict=True)
+        red, green, blue = (floor(low + (high - low) * (position - segment) + 1e-9) for low, high in ends)
+        packed.append(red << 16 | green << 8 | blue)
+    return F.expr(f"array({', '.join(map(str, packed))})")
+
+
+def _fill(norm: Column, ramp: Column) -> Column:
     step = F.least(F.floor(norm * RAMP_STEPS), F.lit(RAMP_STEPS - 1))
-    filled = F.array(*(_channel(step / (RAMP_STEPS - 1), a) for a in anchors), F.lit(ALPHA))
+    packed = F.get(ramp, step.cast("int"))
+    filled = F.array(*(F.shiftright(packed, bits).bitwiseAND(255) for bits in (16, 8, 0)), F.lit(ALPHA))
     grey = F.array(*(F.lit(g) for g in GREY), F.lit(ALPHA))
     return F.when(norm.isNull() | F.isnan(norm), grey).otherwise(filled)
 
 
 def ramp_colour(norm: Column, palette: str) -> Column:
     """``[r, g, b, alpha]`` of a normalised value on a 256-step ramp; grey when NULL or NaN."""
-    return _fill(norm, _anchors(palette))
+    return _fill(norm, _ramp(palette))
 
 
 def colour_layer(df: DataFrame, metric: str, null_as_zero: bool = True) -> DataFrame:
@@ -163,7 +169,7 @@ def colour_layer(df: DataFrame, metric: str, null_as_zero: bool = True) -> DataF
     palette = require_metric(metric)["palette"]
     bounds = percentile_bounds(df, metric, null_as_zero).select(F.struct("p5", "p95")).scalar()
     scaled = df.withColumn("_bounds", bounds)
-    return _scaled(scaled, _number(metric, null_as_zero), _anchors(palette)).drop("_bounds")
+    return _scaled(scaled, _number(metric, null_as_zero), _ramp(palette)).drop("_bounds")
 
 
 def colour_layers(
@@ -175,22 +181,18 @@ def colour_layers(
     The bounds of all metrics come from one count. ``keys`` may not bear the names of the others.
     """
     metrics = list(METRICS) if metrics is None else list(metrics)
-    palettes = {m: _anchors(require_metric(m)["palette"]) for m in metrics}
+    ramps = F.create_map(*(c for m in metrics for c in (F.lit(m), _ramp(require_metric(m)["palette"]))))
     rows = percentile_table(df, metrics, null_as_zero).select(F.struct("metric", F.struct("p5", "p95")).alias("e"))
     bounds = rows.agg(F.map_from_entries(F.collect_list("e"))).scalar()
     values = F.array(*(F.struct(F.lit(m).alias("metric"), _number(m, null_as_zero).alias("value")) for m in metrics))
     long = df.select(*keys, F.inline(values)).withColumn("_bounds", F.element_at(bounds, F.col("metric")))
-    anchors = [
-        F.element_at(F.create_map(*(c for m in metrics for c in (F.lit(m), palettes[m][i]))), F.col("metric"))
-        for i in range(3)
-    ]
-    return _scaled(long, F.col("value"), anchors).drop("_bounds")
+    return _scaled(long, F.col("value"), F.element_at(ramps, F.col("metric"))).drop("_bounds")
 
 
-def _scaled(df: DataFrame, value: Column, anchors: list[Column]) -> DataFrame:
+def _scaled(df: DataFrame, value: Column, ramp: Column) -> DataFrame:
     low, high = F.col("_bounds.p5"), F.col("_bounds.p95")
     df = df.withColumn("norm", F.when(value.isNotNull(), normalised(value, low, high)))
-    return df.withColumns({"fill_color": _fill(F.col("norm"), anchors), "scale_min": low, "scale_max": high})
+    return df.withColumns({"fill_color": _fill(F.col("norm"), ramp), "scale_min": low, "scale_max": high})
 
 
 # Widest arc on the national and on the one-state map.

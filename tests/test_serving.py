@@ -135,6 +135,32 @@ def test_ramp_ends_and_monotone_steps(spark):
         assert all(0 <= v <= 255 for c in out for v in c)
 
 
+def test_ramp_steps_are_the_linear_mix_of_their_neighbours(spark):
+    df = spark.range(256).select("id", ((F.col("id") + 0.5) / 256).alias("x"))
+    for name, palette in PALETTES.items():
+        colours = [bytes.fromhex(c) for c in palette]
+        for r in df.select("id", ramp_colour(F.col("x"), name).alias("c")).collect():
+            at = r.id / 255 * (len(colours) - 1)
+            low = min(int(at), len(colours) - 2)
+            mixed = [int(a + (b - a) * (at - low) + 1e-9) for a, b in zip(colours[low], colours[low + 1], strict=True)]
+            assert list(r.c) == [*mixed, 180]
+    odd = spark.createDataFrame([(None,), (float("nan"),), (-0.5,), (2.0,)], "x double")
+    got = [list(r[0]) for r in odd.select(ramp_colour(F.col("x"), "PuRd")).collect()]
+    assert got == [[128, 128, 128, 180]] * 2 + [[None, None, None, 180], [*bytes.fromhex(PALETTES["PuRd"][-1]), 180]]
+
+
+def test_colours_are_compiled(spark, capsys):
+    # Above 8,000 bytes the JVM interprets a method.
+    df = spark.range(10).select("id", *(F.col("id").cast("double").alias(m) for m in METRICS))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        colour_layers(df, ["id"]).select("id", "metric", "norm", *(F.col("fill_color")[i] for i in range(4))).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_arc_width(spark):
     df = spark.createDataFrame([(10,), (100,), (1000,)], "households bigint")
     assert [r.arc_width for r in arc_width(df).orderBy("households").collect()] == [1.0, 1.0, 8.0]
