@@ -12,7 +12,8 @@ Chunks whose hash occurs more than once are compared byte by byte; of equal ones
 input, not on what is left.
 
 Texts are cut row by row with built-in expressions. Hashes alone are counted over the corpus;
-only chunks with a repeated hash move with their text, once, and only places come back.
+only texts that hold a chunk with a repeated hash move, once, and only places come back. Texts that
+lose nothing do not move to be cut.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ SPARING = 32
 MIN_LINE = 8
 # A hash of more than one chunk in so many is hot: there are fewer such hashes than this.
 HOT = 1000
+# Bits by which texts are told that need not move (8 MB in all), and of them in one row.
+FILTER_BITS = 1 << 26
+ROW_BITS = 1 << 15
 
 
 def line_hash(line: Column) -> Column:
@@ -112,12 +116,30 @@ def _on_hash(chunks: DataFrame, other: DataFrame, hot: DataFrame, how: str) -> D
     return here.unionByName(rest)
 
 
+def _marked(rows: DataFrame, ids: list[Column], known: DataFrame) -> tuple[DataFrame, str]:
+    """``rows`` with an added column, and its name: false where no row of ``known`` has these ids.
+
+    True may be wrong, so a join must follow; what is false needs none. Only the bits of the ids'
+    hashes go to all tasks, as many whatever the corpus.
+    """
+    row, bits, mark = (free_name(rows.columns, n) for n in ("_row", "_bits", "_mark"))
+    slot = lambda cols: F.pmod(F.xxhash64(*cols), F.lit(FILTER_BITS))
+    row_of = lambda cols: F.floor(slot(cols) / ROW_BITS)
+    held = known.groupBy(row_of(known.columns).alias(row)).agg(F.bitmap_construct_agg(slot(known.columns) % ROW_BITS).alias(bits))
+    at = (slot(ids) % ROW_BITS).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.join(F.broadcast(held), row_of(ids) == F.col(row), "left")
+    return found.withColumn(mark, F.coalesce(F.getbit(byte, at.bitwiseAND(7)) == 1, F.lit(False))).drop(row, bits), mark
+
+
 def _bodies(rows: DataFrame, places: DataFrame, sparing: int) -> DataFrame:
     """``key, version, place, hash, body`` of the chunks at ``places``."""
     wanted = places.groupBy("key", "version").agg(F.collect_set("place").alias("places"))
-    wanted = wanted.withColumnsRenamed({"key": "k", "version": "v"})
+    wanted = stored(wanted.withColumnsRenamed({"key": "k", "version": "v"}), "wanted")
+    rows, mark = _marked(rows, [F.col("key"), F.col("version")], wanted.select("k", "v"))
     both = F.col("key").eqNullSafe(F.col("k")) & (F.col("version") == F.col("v"))
-    found = _chunks(rows.join(wanted, both).drop("k", "v"), sparing, body=True)
+    moved = rows.filter(mark).drop(mark).join(wanted.hint("merge"), both).drop("k", "v")
+    found = _chunks(moved, sparing, body=True)
     return filter_computed(found, F.array_contains("places", F.col("place"))).drop("places")
 
 
@@ -127,9 +149,12 @@ def _without(df: DataFrame, key: str, text: str, sparing: int) -> tuple[DataFram
     removed = repeated_chunks(df, key, text, sparing).filter("key IS NOT NULL")
     found = removed.groupBy("key", "version").agg(F.array_sort(F.collect_set("place")).alias("gone"))
     link, version, gone = (free_name(df.columns, n) for n in ("_key", "_version", "_gone"))
-    found = found.toDF(link, version, gone)
-    marked = df.join(found, (F.col(key) == F.col(link)) & (F.xxhash64(text) == F.col(version)), "left")
-    cut = chunked(marked.drop(link, version), text, sparing)
+    found = stored(found.toDF(link, version, gone), "found")
+    rows, mark = _marked(df, [F.col(key), F.xxhash64(text)], found.select(link, version))
+    same = (F.col(key) == F.col(link)) & (F.xxhash64(text) == F.col(version))
+    touched = rows.filter(mark).drop(mark).join(found.hint("merge"), same, "left").drop(link, version)
+    whole = rows.filter(~F.col(mark)).drop(mark).withColumn(gone, F.lit(None).cast(found.schema[gone].dataType))
+    cut = chunked(touched.unionByName(whole), text, sparing)
     lines, starts = cut.columns[-2:]
 
     def kept(j: Column) -> Column:

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from helpers import docs, plan
+from pyspark.sql import functions as F
 
 from placetide.llm import line_chunks as lc
 
@@ -190,3 +191,28 @@ def _boundary(line):
     import hashlib
 
     return len(line) >= lc.MIN_LINE and int(hashlib.md5(line.encode()).hexdigest()[:8], 16) % (1 << 31) % lc.SPARING != 0
+
+
+def test_only_texts_that_may_hold_a_known_id_are_marked(spark):
+    rows = spark.range(40_000).selectExpr("id AS key", "xxhash64(id) AS version")
+    known = rows.filter("key % 100 = 0")
+    got, mark = lc._marked(rows, [F.col("key"), F.col("version")], known)
+    marked = {r["key"] for r in got.filter(mark).collect()}
+    assert marked >= set(range(0, 40_000, 100)) and len(marked) < 440 and got.count() == 40_000
+    none, mark = lc._marked(rows, [F.col("key"), F.col("version")], known.limit(0))
+    assert none.filter(mark).count() == 0
+
+
+def test_texts_that_lose_nothing_do_not_move(spark):
+    rng = random.Random(21)
+    big = [(k, "\n".join(lines(rng, 200))) for k in range(300)]
+    shared = "\n".join(lines(rng, 12))
+    rows = [*big, (1000, shared), (1001, shared), (None, shared), (1002, None)]
+    df = docs(spark, rows).repartition(4).select("doc_id", "text")
+    out = lc.without_repeats(df)
+    text = plan(out)
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in out.collect()}
+    assert got == {**{k: (t, 0) for k, t in big}, 1000: (shared, 0), 1001: ("", 12), None: (shared, 0), 1002: (None, 0)}
+    # Of both sides of the union only the texts with a mark are merged with what they lose.
+    assert text.count("Union") == 1 and text.count("SortMergeJoin") == 1
+    assert text.count("BroadcastHashJoin") == 2
