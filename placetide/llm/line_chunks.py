@@ -25,15 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placetide.llm.shared import filter_computed, free_name, stored
+from placetide.llm.shared import marked as _marked
 
 # One line in so many is no boundary, nor is a line of fewer characters.
 SPARING = 32
 MIN_LINE = 8
 # A hash of more than one chunk in so many is hot: there are fewer such hashes than this.
 HOT = 1000
-# Bits by which texts are told that need not move (8 MB in all), and of them in one row.
-FILTER_BITS = 1 << 26
-ROW_BITS = 1 << 15
 
 
 def line_hash(line: Column) -> Column:
@@ -116,22 +114,6 @@ def _on_hash(chunks: DataFrame, other: DataFrame, hot: DataFrame, how: str) -> D
     return here.unionByName(rest)
 
 
-def _marked(rows: DataFrame, ids: list[Column], known: DataFrame) -> tuple[DataFrame, str]:
-    """``rows`` with an added column, and its name: false where no row of ``known`` has these ids.
-
-    True may be wrong, so a join must follow; what is false needs none. Only the bits of the ids'
-    hashes go to all tasks, as many whatever the corpus.
-    """
-    row, bits, mark = (free_name(rows.columns, n) for n in ("_row", "_bits", "_mark"))
-    slot = lambda cols: F.pmod(F.xxhash64(*cols), F.lit(FILTER_BITS))
-    row_of = lambda cols: F.floor(slot(cols) / ROW_BITS)
-    held = known.groupBy(row_of(known.columns).alias(row)).agg(F.bitmap_construct_agg(slot(known.columns) % ROW_BITS).alias(bits))
-    at = (slot(ids) % ROW_BITS).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    found = rows.join(F.broadcast(held), row_of(ids) == F.col(row), "left")
-    return found.withColumn(mark, F.coalesce(F.getbit(byte, at.bitwiseAND(7)) == 1, F.lit(False))).drop(row, bits), mark
-
-
 def _bodies(rows: DataFrame, places: DataFrame, sparing: int) -> DataFrame:
     """``key, version, place, hash, body`` of the chunks at ``places``."""
     wanted = places.groupBy("key", "version").agg(F.collect_set("place").alias("places"))

@@ -32,7 +32,8 @@ K1 = 1.2
 B = 0.75
 # A term in one of so many documents of a shard or more has a row of all their weights.
 DENSE = 8
-STEP = 6 << 20
+# Bytes of text encoded at a time; the arrays made meanwhile take some twenty times as many.
+STEP = 2 << 20
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "window long, tokens binary"

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placetide.llm.components import components
-from placetide.llm.shared import free_name, slices, stored
+from placetide.llm.shared import free_name, marked, slices, stored
 
 SHINGLE = 3
 RADIUS = 3
@@ -252,14 +252,21 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     Of rows that share this key the one whose text sorts first stays. Rows whose key is NULL
     cannot be named and stay.
+
+    Texts do not move: bits of the hashes of the keys that may stay, and of those that may go, tell
+    every row its fate where it lies. Only rows that have both bits are joined with their key's.
     """
     found = classes(docs.filter(F.col(key).isNotNull()), key, text)
-    kept, n = free_name(docs.columns, "_kept"), free_name(docs.columns, "_n")
-    keys = found.filter("key = component").groupBy(F.col("key").alias(kept)).agg(F.count("*").alias(n))
-    keys = stored(keys, "kept")
-    chosen = lambda k: docs.join(keys.filter(k).select(kept), F.col(key) == F.col(kept)).select(*docs.columns)
+    link, n = free_name(docs.columns, "_kept"), free_name(docs.columns, "_n")
+    # In how many rows of a key it is the smallest of its component: all rows of a key with one stay.
+    least = F.count(F.when(F.col("key") == F.col("component"), 1))
+    keys = stored(found.groupBy(F.col("key").alias(link)).agg(least.alias(n)), "kept")
+    rows, stays = marked(docs, [F.col(key)], keys.filter(F.col(n) > 0).select(link))
+    rows, goes = marked(rows, [F.col(key)], keys.filter(F.col(n) != 1).select(link))
+    sure = rows.filter(F.col(key).isNull() | ~F.col(goes)).select(*docs.columns)
+    unsure = rows.filter(F.col(key).isNotNull() & F.col(stays) & F.col(goes)).select(*docs.columns)
+    chosen = lambda k: unsure.join(keys.filter(k).select(link).hint("merge"), F.col(key) == F.col(link)).select(*docs.columns)
     rank = free_name(docs.columns, "_rank")
     order = Window.partitionBy(key).orderBy(text)
     repeated = chosen(F.col(n) > 1).withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1)
-    out = chosen(F.col(n) == 1).unionByName(repeated.select(*docs.columns))
-    return out.unionByName(docs.filter(F.col(key).isNull()))
+    return sure.unionByName(chosen(F.col(n) == 1)).unionByName(repeated.select(*docs.columns))

@@ -1,11 +1,12 @@
 import random
+import re
 
 import numpy as np
 import pytest
-from helpers import docs, split_words, words
+from helpers import docs, plan, split_words, words
 from xxhash import xxh64_intdigest
 
-from placetide.llm import components, queries, simhash
+from placetide.llm import components, queries, shared, simhash
 
 
 def fingerprint(text):
@@ -132,6 +133,40 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4]
 
 
+@pytest.mark.parametrize("bits", [shared.FILTER_BITS, 8])
+def test_keys_that_repeat_and_full_filters(spark, monkeypatch, bits):
+    """Whether the bits tell the rows that stay or all rows have to be joined."""
+    monkeypatch.setattr(shared, "FILTER_BITS", bits)
+    monkeypatch.setattr(shared, "ROW_BITS", min(bits, shared.ROW_BITS))
+    rng = random.Random(8)
+    a, b, c, d = (words(rng, 80) for _ in range(4))
+    rows = [(1, a), (2, a), (3, b), (3, b), (3, c), (4, c), (5, a), (5, d), (None, a), (None, None), (6, None), (7, "")]
+    rows += [(k, words(rng, 60)) for k in range(100, 160)] + [(k, d) for k in range(200, 230)]
+    kept = [(r["doc_id"], r["text"]) for r in simhash.keep_one(docs(spark, rows)).collect()]
+    # Key 3 is the least of both its texts' groups, so one row stays; key 5 only of one of them.
+    want = [(1, a), (3, min(b, c)), (5, a), (5, d), (None, a), (None, None), (6, None), *rows[12:72]]
+    assert sorted(kept, key=str) == sorted(want, key=str)
+
+
+def test_texts_that_stay_or_go_do_not_move(spark):
+    rng = random.Random(9)
+    texts = [words(rng, 80) for _ in range(20)]
+    df = docs(spark, [(k, texts[k % 20]) for k in range(400)]).repartition(4).select("doc_id", "text")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # As if the table of the keys that stay were large.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = simhash.keep_one(df)
+        text = plan(kept)
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(20))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Of the parts of the union only those behind both filters are merged.
+    whole, *joined = re.split(r"(?m)^   [:+]- ", text)[1:]
+    assert "SortMergeJoin" not in whole and whole.count("BroadcastHashJoin") == 1
+    assert len(joined) == 2 and all(p.count("SortMergeJoin") == 1 and p.count("BroadcastHashJoin") == 2 for p in joined)
+
+
 def test_long_chains_settle(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(300)] + [(1000, 1001), (5, 5)], "a long, b long")
     got = {r["node"]: r["root"] for r in components.components(edges).collect()}
