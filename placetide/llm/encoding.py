@@ -31,10 +31,11 @@ _MARKS = string.punctuation
 TAILS = 10_000
 # Letters below this one (Latin-1) lower-case one by one and are composed already.
 _PLAIN_LETTERS = "\u0100"
-# Fixed value: how byte-level vocabularies of this kind cut a text into units.
-UNITS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Both libraries agree on what is a letter below this one.
-_SETTLED = "\u0250"
+# How byte-level vocabularies of this kind cut a text without ``_RUNS`` into units: white space
+# that stands before no word of its line is a unit by the character, so none looks ahead.
+UNITS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
+# Both libraries agree on what is a letter below these.
+_UNSETTLED = "[\\x{250}-\\x{10ffff}]"
 
 
 class _Numbers(dict):
@@ -59,7 +60,8 @@ def byte_alphabet() -> dict[int, str]:
 
 def ranked_encoder(path: str):
     """A second encoder of the same ids, or None: for byte-level vocabularies that cut texts by
-    ``UNITS`` and number their tokens in the order of the merges that make them."""
+    the published pattern (``UNITS``) and number their tokens in the order of the merges that make
+    them."""
     kind = json.loads(Path(path).read_text())
     cut, model = kind.get("pre_tokenizer") or {}, kind["model"]
     plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
@@ -102,6 +104,9 @@ class TextEncoder:
         self.words_only = self.tokenizer.normalizer is not None
         self.alphabet = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
         self.ranked = None if self.words_only else ranked_encoder(path)
+        if self.ranked:
+            size = self.ranked.max_token_value + 1
+            self.widths = np.fromiter((len(self.ranked.decode_single_token_bytes(k)) for k in range(size)), np.int64, size)
         self.tails: dict[str, list[int]] = {}
         self.line = self._whole(["\n"])[0]
         self._forget()
@@ -177,15 +182,24 @@ class TextEncoder:
         sizes = np.fromiter(map(len, out), np.int64, len(out))
         return np.fromiter(chain.from_iterable(out), np.uint32, int(sizes.sum())), sizes
 
-    def _learn_ranked(self, new: list[str]) -> None:
-        """Add the ids of new pieces by the second encoder, those with other letters by the library."""
-        ordinary = self.ranked.encode_ordinary
-        out = [
-            ordinary(p if p[:1] == "\n" else " " + p) if p.isascii() or max(p) < _SETTLED else None for p in new
-        ]
-        rest = [k for k, ids in enumerate(out) if ids is None]
-        for k, ids in zip(rest, self._whole([new[k] if new[k][:1] == "\n" else " " + new[k] for k in rest]), strict=True):
-            out[k] = ids
+    def _ranked_ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces by the second encoder, one after the other, and how many each has.
+
+        No unit goes on behind a space or a line feed before it, so the pieces are encoded as one
+        text, and the bytes of the ids tell where each ends.
+        """
+        if not len(pieces):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(pieces)], pieces), " ")[0].as_py()
+        ids = np.array(self.ranked.encode_ordinary((" " + joined).replace(" \n", "\n")), np.uint32)
+        spaced = pc.invert(pc.starts_with(pieces, "\n")).to_numpy(zero_copy_only=False).astype(bool)
+        ends = np.cumsum(pc.binary_length(pieces).to_numpy() + spaced)
+        last = np.searchsorted(np.cumsum(self.widths[ids]), ends, side="right")
+        return ids, np.diff(last, prepend=0)
+
+    def _learn_whole(self, new: list[str]) -> None:
+        """Add the ids of new pieces by the library's whole way."""
+        out = self._whole([p if p[:1] == "\n" else " " + p for p in new])
         sizes = np.fromiter(map(len, out), np.int64, len(out))
         ids = np.fromiter(chain.from_iterable(out), np.uint32, int(sizes.sum()))
         self.flat, self.lengths = np.concatenate([self.flat, ids]), np.concatenate([self.lengths, sizes])
@@ -235,6 +249,35 @@ class TextEncoder:
         self.flat, self.starts, self.lengths = flat, starts, lengths
         self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
 
+    def _numbered(self, pieces: pa.Array, uses: np.ndarray) -> np.ndarray:
+        """The numbers of different pieces met ``uses`` times; new ones are learnt."""
+        known = len(self.numbers)
+        used = pieces.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(self.numbers.__getitem__, used), np.int64, len(used))
+        if len(self.numbers) > known:
+            learn = self._learn_whole if self.ranked else self._learn
+            learn(list(islice(self.numbers, known, None)))
+        self.uses[numbers] += uses
+        return numbers
+
+    def _stretches(self, pieces: pa.Array, uses: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An array of ids, and where in it those of each of the different pieces begin and how many
+        they are."""
+        if not self.ranked:
+            numbers = self._numbered(pieces, uses)
+            return self.flat, self.starts[numbers], self.lengths[numbers]
+        # The second encoder is as fast as looking pieces up, so only the others are remembered.
+        mask = pc.match_substring_regex(pieces, _UNSETTLED)
+        other = mask.to_numpy(zero_copy_only=False).astype(bool)
+        flat, sizes = self._ranked_ids(pieces.filter(pc.invert(mask)))
+        starts, lengths = (np.zeros(len(pieces), np.int64) for _ in range(2))
+        starts[~other], lengths[~other] = np.cumsum(sizes) - sizes, sizes
+        if other.any():
+            numbers = self._numbered(pieces.filter(mask), uses[other])
+            starts[other], lengths[other] = len(flat) + self.starts[numbers], self.lengths[numbers]
+            flat = np.concatenate([flat, self.flat])
+        return flat, starts, lengths
+
     def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has; NULL counts as empty."""
         if len(self.numbers) > self.remembered:
@@ -255,17 +298,11 @@ class TextEncoder:
             column = pc.if_else(pa.array(odd), "\n" if not self.words_only else "", column)
         lists = pc.split_pattern(column, " ")
         pieces = lists.flatten().dictionary_encode()
-        known = len(self.numbers)
-        used = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
-        numbers = np.fromiter(map(self.numbers.__getitem__, used), np.int64, len(used))
-        if len(self.numbers) > known:
-            learn = self._learn_ranked if self.ranked else self._learn
-            learn(list(islice(self.numbers, known, None)))
-        index = numbers[pieces.indices.to_numpy()]
-        self.uses += np.bincount(index, minlength=len(self.uses))
-        lengths = self.lengths[index]
+        index = pieces.indices.to_numpy()
+        known, starts, lengths = self._stretches(pieces.dictionary, np.bincount(index, minlength=len(pieces.dictionary)))
+        lengths = lengths[index]
         sums = np.append(0, np.cumsum(lengths))
-        flat = gather(self.flat, self.starts[index], lengths)
+        flat = gather(known, starts[index], lengths)
         # Ids of each text: those of its pieces, without the line feed set before the first.
         last = np.cumsum(pc.list_value_length(lists).to_numpy())
         begins = sums[np.append(0, last[:-1])] if len(last) else last

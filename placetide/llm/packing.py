@@ -63,7 +63,7 @@ def tokenized(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
         hashes = _hashes(1 << 17)
-        found, seen = np.zeros(0, np.int64), np.zeros(0, bool)
+        found, place = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for piece in slices(batches, text, STEP):
             flat, sizes = encode(piece.column(text))
             top = max(int(flat.max()) if len(flat) else 0, end_id)
@@ -71,22 +71,24 @@ def tokenized(
                 raise ValueError(f"token ids need more than {id_bytes} bytes")
             if top >= len(found):
                 found = np.concatenate([found, np.zeros(top + 1 - len(found), np.int64)])
-                seen = np.zeros(len(found), bool)
+                place = np.zeros(len(found), np.int64)
             # The end id behind each document.
             ends = np.cumsum(sizes)
-            flat = np.insert(flat, ends, end_id).astype(kind)
+            flat = np.insert(flat, ends, end_id).astype(np.int64)
+            narrow = flat.astype(kind)
             ends = ends + np.arange(1, len(ends) + 1)
+            at = np.arange(len(flat))
             anchors = []
             bodies = []
             begin = 0
             for end in ends.tolist():
                 ids = flat[begin:end]
-                seen[ids] = True
-                used = np.flatnonzero(seen)
+                # Each different id once: where it stands last.
+                place[ids] = at[begin:end]
+                used = ids[place[ids] == at[begin:end]]
                 found[used] += 1
-                seen[used] = False
                 anchors.append(int(hashes[used].min()))
-                bodies.append(ids.tobytes())
+                bodies.append(narrow[begin:end].tobytes())
                 begin = end
             arrays = [piece.column(key).cast(pa.int64()), pa.array(sizes + 1), pa.array(anchors, pa.int64()), pa.array(bodies, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names)

@@ -63,3 +63,37 @@ def test_second_encoder_takes_only_vocabularies_in_merge_order(tmp_path):
     expected = library(BYTE)
     flat, sizes = TextEncoder(BYTE).encode(texts)
     assert flat.tolist() == [i for t in texts for i in expected(t)] and len(sizes) == len(texts)
+
+
+class Counted:
+    """A second encoder that counts its calls."""
+
+    def __init__(self, coder):
+        self.coder, self.calls = coder, 0
+
+    def encode_ordinary(self, text):
+        self.calls += 1
+        return self.coder.encode_ordinary(text)
+
+
+def test_second_encoder_takes_all_pieces_in_one_call():
+    coder, expected = TextEncoder(BYTE), library(BYTE)
+    coder.ranked = Counted(coder.ranked)
+    texts = [" ".join(f"word{k}x{j}, naïve" for j in range(40)) + f"\nline{k} “quoted” слово" for k in range(30)]
+    for _ in range(2):
+        flat, sizes = coder.encode(texts)
+        assert flat.tolist() == [i for t in texts for i in expected(t)] and len(sizes) == len(texts)
+    assert coder.ranked.calls == 2
+    # Pieces that it does not take are remembered.
+    assert set(coder.numbers) == {"“quoted”", "слово"} and coder.uses.tolist() == [60, 60]
+
+
+def test_white_space_at_borders_of_pieces():
+    blanks = [" ", "\n", "\t", "\r", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u2028", "\u3000"]
+    ends = ["a", "1", "!", "'s", "é", "中", ""]
+    texts = [f"{a}{x}{y}{b}{x}" for x in blanks for y in [*blanks, ""] for a in ends for b in ends]
+    expected = library(BYTE)
+    # All in one call, so that pieces of different texts lie side by side.
+    flat, sizes = TextEncoder(BYTE).encode(texts)
+    wanted = [expected(t) for t in texts]
+    assert sizes.tolist() == [len(w) for w in wanted] and flat.tolist() == [i for w in wanted for i in w]

@@ -137,3 +137,18 @@ def test_bm25_scores_match_the_formula():
                 total += idf[t] * tf * (packing.K1 + 1) / norm
             want.append(total)
         assert np.allclose(index.scores(seed), want, rtol=1e-5)
+
+
+def test_frequencies_and_anchors_count_an_id_once_a_document(spark):
+    rng = random.Random(8)
+    texts = {k: words(rng, rng.choice([0, 1, 3, 60]), 40) for k in range(150)} | {200: None, 201: "a a a a"}
+    expected = {k: {*library(BYTE)(t), 1} for k, t in texts.items()}
+    made = packing.tokenized(docs(spark, texts.items()).repartition(3), BYTE, 1).cache()
+    found = defaultdict(int)
+    for ids in expected.values():
+        for i in ids:
+            found[i] += 1
+    assert packing.token_frequencies(made) == found
+    hashes = packing._hashes(1 << 17)
+    anchors = {r["key"]: r["anchor"] for r in made.filter("n > 0").collect()}
+    assert anchors == {k: min(int(hashes[i]) for i in ids) for k, ids in expected.items()}
